@@ -103,6 +103,31 @@ daily_series AS (
 )""",
 ]
 
+_LAGS = ",\n    ".join(
+    (f"lag(demand_mw, {24 - h}) OVER (PARTITION BY region_id ORDER BY time)" if h < 24 else "demand_mw")
+    + f" AS horizon_h{h:02d}"
+    for h in range(1, 25)
+)
+CTES.append(
+    f"""
+predictions AS (
+  SELECT time AS created_at, region_id,
+    {_LAGS}
+  FROM features_ml
+)"""
+)
+CTES.append(
+    """
+forecast_long AS (
+  SELECT p.created_at, p.region_id, h.horizon,
+    CASE h.horizon """
+    + " ".join(f"WHEN {h} THEN p.horizon_h{h:02d}" for h in range(1, 25))
+    + """ END AS predicted,
+    p.created_at + to_hours(CAST(h.horizon AS BIGINT)) AS target_time
+  FROM predictions p, (SELECT unnest(range(1, 25)) AS horizon) h
+)"""
+)
+
 EXTRA_CTES: list[str] = []
 
 

@@ -70,3 +70,10 @@ def hourly_features_daily(demand: DataFrame, weather: DataFrame) -> DataFrame:
     j = demand.join(weather.select("time", "region_id", *WEATHER_COLS), ["time", "region_id"], "left")
     cal = calendar_columns("time")
     return j.select("time", "region_id", "demand_mw", *WEATHER_COLS, *[e.alias(n) for n, e in cal.items()])
+
+
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast table: seasonal-naive forecasts over the hourly features."""
+    from wattlake.operators.forecast import seasonal_naive
+
+    return seasonal_naive(features_ml(spark, sf_dir))
