@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from wattlake.functions.timecols import cyclic, target_calendar
 from wattlake.operators.series import DEFAULT_BLOCK_ROWS, row_window
 from wattlake.schemas import DEMAND_LAGS, MAX_HORIZON, PER_HORIZON, STATIC_FEATS, TEMP_LAGS, WEATHER_COLS
 
@@ -81,32 +80,37 @@ def _ok(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c)
 
 
-def _per_horizon(h: Column, lead: dict[str, Column]) -> dict[str, Column]:
-    """P7-P9 at ``time + h hours`` using the lead values of that horizon."""
-    cal = target_calendar("time", h)
-    hs, hc = cyclic(cal["hour"], 24)
-    ds, dc = cyclic(cal["day_of_week"], 7)
-    ms, mc = cyclic(cal["month"], 12)
+def _per_horizon_sql(h: str, lead: dict[str, str]) -> dict[str, str]:
+    """P7-P9 at ``time + h hours`` as SQL expressions (one plan call for all
+    horizons); ``h`` is an SQL integer expression, ``lead`` maps a column to
+    the SQL reference of its value ``h`` rows ahead."""
+    tt = f"(time + make_dt_interval(0, {h}))"
+    hr, dow, mo = f"hour({tt})", f"weekday({tt})", f"month({tt})"
+    two_pi = "(2D * pi())"
     return {
         **{c: lead[c] for c in WEATHER_COLS},
-        "hour": cal["hour"],
-        "day_of_week": cal["day_of_week"],
-        "is_weekend": cal["is_weekend"],
-        "month": cal["month"],
+        "hour": hr,
+        "day_of_week": dow,
+        "is_weekend": f"CAST({dow} IN (5, 6) AS INT)",
+        "month": mo,
         "target": lead["demand_mw"],
-        "wind_power": F.pow(lead["wind_speed_10m"], 3),
-        "solar_potential": lead["shortwave_radiation"] * (F.lit(1.0) - lead["cloud_cover"] / F.lit(100.0)),
-        "temp_change": lead["temperature_2m"] - F.col("temp_now"),
-        "hour_sin": hs,
-        "hour_cos": hc,
-        "dow_sin": ds,
-        "dow_cos": dc,
-        "month_sin": ms,
-        "month_cos": mc,
-        "has_precip": (F.coalesce(lead["precipitation"], F.lit(0.0)) > 0).cast("int"),
+        "wind_power": f"pow({lead['wind_speed_10m']}, 3)",
+        "solar_potential": f"{lead['shortwave_radiation']} * (1D - {lead['cloud_cover']} / 100D)",
+        "temp_change": f"{lead['temperature_2m']} - temp_now",
+        "hour_sin": f"sin({two_pi} * {hr} / 24D)",
+        "hour_cos": f"cos({two_pi} * {hr} / 24D)",
+        "dow_sin": f"sin({two_pi} * {dow} / 7D)",
+        "dow_cos": f"cos({two_pi} * {dow} / 7D)",
+        "month_sin": f"sin({two_pi} * {mo} / 12D)",
+        "month_cos": f"cos({two_pi} * {mo} / 12D)",
+        "has_precip": f"CAST(coalesce({lead['precipitation']}, 0D) > 0 AS INT)",
     }
 
 
+def _ok_sql(c: str) -> str:
+    return f"({c} IS NOT NULL AND NOT isnan({c}))"
+
+
 def horizon_long(df: DataFrame, horizons: int = MAX_HORIZON, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """R1 + P10: one complete row per (region, time, horizon)."""
     base = horizon_base(df, horizons=horizons, block_rows=block_rows).withColumn("temp_now", F.col("temperature_2m"))
@@ -115,13 +119,10 @@ def horizon_long(df: DataFrame, horizons: int = MAX_HORIZON, block_rows: int = D
         "time", "region_id", "demand_mw", *STATIC_FEATS, "temp_now",
         F.posexplode(zipped).alias("_pos", "_lead"),
     ).withColumn("horizon", (F.col("_pos") + 1).cast("int"))
-    lead = {c: F.col(f"_lead.{c}") for c in LEAD_COLS}
-    feats = _per_horizon(F.col("horizon"), lead)
-    long = exploded.select(*[feats[c].alias(c) if c in feats else F.col(c) for c in LONG_COLS])
-    doubles = [f.name for f in long.schema.fields if f.dataType.typeName() == "double"]
-    cond = F.lit(True)
-    for c in LONG_COLS:
-        cond = cond & (_ok(F.col(c)) if c in doubles else F.col(c).isNotNull())
+    feats = _per_horizon_sql("horizon", {c: f"_lead.{c}" for c in LEAD_COLS})
+    long = exploded.selectExpr(*[f"{feats[c]} AS {c}" if c in feats else c for c in LONG_COLS])
+    doubles = {f.name for f in long.schema.fields if f.dataType.typeName() == "double"}
+    cond = " AND ".join(_ok_sql(c) if c in doubles else f"{c} IS NOT NULL" for c in LONG_COLS)
     return long.where(cond)
 
 
@@ -139,20 +140,16 @@ def features_wide(df: DataFrame, horizons: int = MAX_HORIZON, block_rows: int =
     every horizon, without the 23 joins.
     """
     base = horizon_base(df, horizons=horizons, block_rows=block_rows).withColumn("temp_now", F.col("temperature_2m"))
-    cond = _ok(F.col("demand_mw")) & _ok(F.col("temp_now"))
-    for c in STATIC_FEATS:
-        cond = cond & _ok(F.col(c))
-    for c in LEAD_COLS:
-        cond = cond & F.forall(F.col(f"{c}_leads"), lambda x: x.isNotNull() & ~F.isnan(x))
-    kept = base.where(cond)
-    cols: list[Column] = [F.col("region_id"), F.col("time"), *[F.col(c) for c in STATIC_FEATS]]
+    conds = [_ok_sql("demand_mw"), _ok_sql("temp_now"), *[_ok_sql(c) for c in STATIC_FEATS]]
+    conds += [f"forall({c}_leads, x -> x IS NOT NULL AND NOT isnan(x))" for c in LEAD_COLS]
+    kept = base.where(" AND ".join(conds))
+    cols = ["region_id", "time", *STATIC_FEATS]
     for h in range(1, horizons + 1):
-        lead = {c: F.col(f"{c}_leads")[h - 1] for c in LEAD_COLS}
-        feats = _per_horizon(F.lit(h), lead)
-        cols += [feats[c].alias(f"{c}_h{h}") for c in PER_HORIZON]
-        cols.append(feats["target"].alias(f"target_h{h}"))
+        feats = _per_horizon_sql(str(h), {c: f"{c}_leads[{h - 1}]" for c in LEAD_COLS})
+        cols += [f"{feats[c]} AS {c}_h{h}" for c in PER_HORIZON]
+        cols.append(f"{feats['target']} AS target_h{h}")
     targets, feature_cols = wide_columns(horizons)
-    return kept.select(*cols), targets, feature_cols
+    return kept.selectExpr(*cols), targets, feature_cols
 
 
 def chrono_split(df: DataFrame, train_end, val_end, col: str = "time") -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -28,14 +28,22 @@ def round4(c: Column) -> Column:
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Round every double column (the oracle compares value hashes)."""
-    cols: list[Column] = []
+    """Round every double column (the oracle compares value hashes).
+
+    Built as one ``selectExpr`` so a wide frame costs one plan call.
+    """
+    exprs = []
     for f in df.schema.fields:
+        q = f"`{f.name}`"
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(round4(F.col(f.name)).alias(f.name))
+            d = f"CAST({q} AS DOUBLE)"
+            exprs.append(
+                f"CASE WHEN {d} IS NULL OR isnan({d}) THEN {d} "
+                f"ELSE floor(round({d}, 9) * 10000D + 0.5D) / 10000D END AS {q}"
+            )
         else:
-            cols.append(F.col(f.name))
-    return df.select(*cols)
+            exprs.append(q)
+    return df.selectExpr(*exprs)
 
 
 def demand_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
