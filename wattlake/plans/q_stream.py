@@ -21,6 +21,17 @@ from wattlake.streaming import changes as CH
 from wattlake.streaming import refresh as RF
 
 
+def _envelopes(ev: DataFrame) -> DataFrame:
+    """Each event row as a JSON change envelope (the shape a change feed delivers)."""
+    after = F.struct(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("time"),
+        standins._map_lookup(standins.DEMAND_REGION_OF_EVENT, F.col("event_type")).alias("region_id"),
+        F.col("value").cast("string").alias("demand_mw"),
+    )
+    envelope = F.to_json(F.struct(F.struct(after.alias("after"), F.lit("c").alias("op")).alias("payload")))
+    return ev.select(envelope.alias("value"))
+
+
 def _change_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = standins.read(spark, sf_dir, "events").schema
     ev = (
@@ -29,13 +40,11 @@ def _change_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         .option("maxFilesPerTrigger", 1)
         .parquet(sf_dir)
     )
-    after = F.struct(
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("time"),
-        standins._map_lookup(standins.DEMAND_REGION_OF_EVENT, F.col("event_type")).alias("region_id"),
-        F.col("value").cast("string").alias("demand_mw"),
-    )
-    envelope = F.to_json(F.struct(F.struct(after.alias("after"), F.lit("c").alias("op")).alias("payload")))
-    return CH.decode_changes(ev.select(envelope.alias("value")))
+    return CH.decode_changes(_envelopes(ev))
+
+
+def _change_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return CH.decode_changes(_envelopes(standins.read(spark, sf_dir, "events")))
 
 
 def _run_dir(spark: SparkSession, name: str) -> str:
@@ -99,3 +108,46 @@ def stream_hour_trigger(spark, sf_dir):
     q = RF.hour_trigger(_change_stream(spark, sf_dir), f"{base}/state", checkpoint=f"{base}/ckpt")
     q.awaitTermination()
     return spark.read.parquet(f"{base}/state/v=*").select("hour")
+
+
+@register(
+    "live_projection",
+    O.sql(
+        f"SELECT 'demand_update' AS type, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS timestamp, {_REGION_CASE} AS region_id, "
+        + O.r4("value", "demand_mw") + " FROM events"
+    ),
+)
+def live_projection(spark, sf_dir):
+    """T8 over the decoded change feed (batch twin of the live fan-out)."""
+    from wattlake.plans.silver import rounded
+
+    return rounded(CH.live_updates(_change_batch(spark, sf_dir)))
+
+
+@register(
+    "region_staleness",
+    O.sql(
+        f", c AS (SELECT {_REGION_CASE} AS region_id, ts FROM events), m AS (SELECT max(ts) AS t FROM c) "
+        "SELECT region_id, max(ts) AS last_time, "
+        "CAST(floor(epoch(any_value(m.t))) - floor(epoch(max(ts))) AS BIGINT) AS staleness_seconds FROM c, m GROUP BY region_id"
+    ).replace("\n, c AS", ", c AS"),
+)
+def region_staleness(spark, sf_dir):
+    """Seconds since each region's last event, as of the newest event."""
+    ch = _change_batch(spark, sf_dir)
+    return CH.staleness(ch, ch.select(F.max("time")).scalar())
+
+
+@register(
+    "retention_prune",
+    O.sql(
+        f"SELECT time, region_id, {O.r4('demand_mw')} FROM demand_5min "
+        "WHERE time >= (SELECT max(time) FROM demand_5min) - INTERVAL 7 DAY"
+    ),
+)
+def retention_prune(spark, sf_dir):
+    """Keep the last 7 days relative to the newest row."""
+    from wattlake.plans import silver as S
+
+    dm = S.demand_5min(spark, sf_dir)
+    return S.rounded(CH.prune(dm, dm.select(F.max("time")).scalar(), 7))
