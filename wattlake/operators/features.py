@@ -64,22 +64,19 @@ def static_features(df: DataFrame, key: str = "region_id", order: str = "time",
 
 def horizon_base(df: DataFrame, key: str = "region_id", order: str = "time", horizons: int = MAX_HORIZON,
                  block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """Static features plus ``<col>_leads`` arrays (W3): value ``h`` rows ahead, h = 1..horizons."""
+    """Static features plus ``_ahead``: the next ``horizons`` rows as an array of
+    structs (W3). One sliding ``collect_list`` replaces 24 x 7 ``lead`` calls;
+    element ``h`` is the row ``h`` ahead (the array is shorter at the end)."""
 
     def build(w: WindowSpec) -> dict[str, Column]:
         out = _static_exprs(w)
-        for c in LEAD_COLS:
-            out[f"{c}_leads"] = F.array(*[F.lead(F.col(c), h).over(w) for h in range(1, horizons + 1)])
+        out["_ahead"] = F.collect_list(F.struct(*[F.col(c) for c in LEAD_COLS])).over(w.rowsBetween(1, horizons))
         return out
 
     base = df.select(*BASE_COLS)
     return row_window(base, key, order, build, lookback=max(DEMAND_LAGS), lookahead=horizons, block_rows=block_rows)
 
 
-def _ok(c: Column) -> Column:
-    return c.isNotNull() & ~F.isnan(c)
-
-
 def _per_horizon_sql(h: str, lead: dict[str, str]) -> dict[str, str]:
     """P7-P9 at ``time + h hours`` as SQL expressions (one plan call for all
     horizons); ``h`` is an SQL integer expression, ``lead`` maps a column to
@@ -114,10 +111,9 @@ def _ok_sql(c: str) -> str:
 def horizon_long(df: DataFrame, horizons: int = MAX_HORIZON, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """R1 + P10: one complete row per (region, time, horizon)."""
     base = horizon_base(df, horizons=horizons, block_rows=block_rows).withColumn("temp_now", F.col("temperature_2m"))
-    zipped = F.arrays_zip(*[F.col(f"{c}_leads").alias(c) for c in LEAD_COLS])
     exploded = base.select(
         "time", "region_id", "demand_mw", *STATIC_FEATS, "temp_now",
-        F.posexplode(zipped).alias("_pos", "_lead"),
+        F.posexplode("_ahead").alias("_pos", "_lead"),
     ).withColumn("horizon", (F.col("_pos") + 1).cast("int"))
     feats = _per_horizon_sql("horizon", {c: f"_lead.{c}" for c in LEAD_COLS})
     long = exploded.selectExpr(*[f"{feats[c]} AS {c}" if c in feats else c for c in LONG_COLS])
@@ -141,11 +137,12 @@ def features_wide(df: DataFrame, horizons: int = MAX_HORIZON, block_rows: int =
     """
     base = horizon_base(df, horizons=horizons, block_rows=block_rows).withColumn("temp_now", F.col("temperature_2m"))
     conds = [_ok_sql("demand_mw"), _ok_sql("temp_now"), *[_ok_sql(c) for c in STATIC_FEATS]]
-    conds += [f"forall({c}_leads, x -> x IS NOT NULL AND NOT isnan(x))" for c in LEAD_COLS]
+    conds.append(f"size(_ahead) = {horizons}")
+    conds += [f"forall(_ahead, x -> x.{c} IS NOT NULL AND NOT isnan(x.{c}))" for c in LEAD_COLS]
     kept = base.where(" AND ".join(conds))
     cols = ["region_id", "time", *STATIC_FEATS]
     for h in range(1, horizons + 1):
-        feats = _per_horizon_sql(str(h), {c: f"{c}_leads[{h - 1}]" for c in LEAD_COLS})
+        feats = _per_horizon_sql(str(h), {c: f"_ahead[{h - 1}].{c}" for c in LEAD_COLS})
         cols += [f"{feats[c]} AS {c}_h{h}" for c in PER_HORIZON]
         cols.append(f"{feats['target']} AS target_h{h}")
     targets, feature_cols = wide_columns(horizons)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.schemas import HORIZON_COLS, PREDICTION_ROW_COUNT_MAX, ROW_COUNT_MAX, VALID_REGIONS
@@ -57,33 +57,33 @@ class Suite:
     rules: list[Rule] = field(default_factory=list)
 
 
-def _row_rule_aggs(r: Rule) -> tuple[Column, Column, Column, Column]:
-    """(evaluated, unexpected, observed, success) aggregate expressions."""
-    one = F.lit(1)
+def _row_rule_sql(r: Rule) -> tuple[str, str, str, str]:
+    """(evaluated, unexpected, observed, success) as aggregate SQL expressions."""
     if r.expectation == "expect_table_row_count_to_be_between":
-        n = F.count(one)
-        ok = (n >= F.lit(int(r.min_value))) & (n <= F.lit(int(r.max_value)))
-        return n, F.lit(None).cast("bigint"), n.cast("double"), ok
-    c = F.col(r.column)
+        n = "count(1)"
+        ok = f"({n} >= {int(r.min_value)} AND {n} <= {int(r.max_value)})"
+        return n, "CAST(NULL AS BIGINT)", f"CAST({n} AS DOUBLE)", ok
+    c = f"`{r.column}`"
     if r.expectation == "expect_column_values_to_not_be_null":
-        n = F.count(one)
-        bad = F.count_if(c.isNull())
-        return n, bad, (bad / F.greatest(n, one)).cast("double"), bad == 0
+        n, bad = "count(1)", f"count_if({c} IS NULL)"
+        return n, bad, f"CAST({bad} / greatest({n}, 1) AS DOUBLE)", f"({bad} = 0)"
     if r.expectation == "expect_column_values_to_be_in_set":
-        n = F.count(c)
-        bad = F.count_if(c.isNotNull() & ~c.isin(*r.value_set))
-        return n, bad, (bad / F.greatest(n, one)).cast("double"), bad == 0
+        vals = ", ".join("'" + str(v).replace("'", "''") + "'" for v in r.value_set)
+        n, bad = f"count({c})", f"count_if({c} IS NOT NULL AND NOT {c} IN ({vals}))"
+        return n, bad, f"CAST({bad} / greatest({n}, 1) AS DOUBLE)", f"({bad} = 0)"
     if r.expectation == "expect_column_values_to_be_between":
-        n = F.count(c)
-        bad = F.count_if(c.isNotNull() & ~((c >= F.lit(r.min_value)) & (c <= F.lit(r.max_value))))
-        frac_ok = F.when(n == 0, F.lit(1.0)).otherwise(F.lit(1.0) - bad / n)
-        ok = (frac_ok >= F.lit(r.mostly)) if r.mostly is not None else (bad == 0)
-        return n, bad, (F.lit(1.0) - frac_ok).cast("double"), ok
+        n = f"count({c})"
+        bad = f"count_if({c} IS NOT NULL AND NOT ({c} >= {float(r.min_value)!r} AND {c} <= {float(r.max_value)!r}))"
+        frac_ok = f"(CASE WHEN {n} = 0 THEN 1.0D ELSE 1.0D - {bad} / {n} END)"
+        ok = f"({frac_ok} >= {float(r.mostly)!r})" if r.mostly is not None else f"({bad} = 0)"
+        return n, bad, f"CAST(1.0D - {frac_ok} AS DOUBLE)", ok
     raise ValueError(f"not a row rule: {r.expectation}")
 
 
 def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
-    """Q6: evaluate a suite; row rules in one aggregate, key rules separately."""
+    """Q6: evaluate a suite; row rules in one aggregate, key rules separately.
+
+    The rules compile to SQL text, so a 52-rule suite is two plan calls."""
     spark = df.sparkSession
     row_rules = [(i, r) for i, r in enumerate(suite.rules, 1) if r.expectation != "expect_compound_columns_to_be_unique"]
     key_rules = [(i, r) for i, r in enumerate(suite.rules, 1) if r.expectation == "expect_compound_columns_to_be_unique"]
@@ -91,23 +91,16 @@ def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
     if row_rules:
         aggs = []
         for i, r in row_rules:
-            ev, bad, obs, ok = _row_rule_aggs(r)
-            aggs += [ev.alias(f"e{i}"), bad.alias(f"u{i}"), obs.alias(f"o{i}"), ok.alias(f"s{i}")]
-        one = df.agg(*aggs)
-        structs = [
-            F.struct(
-                F.lit(i).alias("rule_id"),
-                F.lit(r.expectation).alias("expectation"),
-                F.lit(r.column).cast("string").alias("column_name"),
-                F.lit(r.severity).alias("severity"),
-                F.col(f"e{i}").cast("bigint").alias("evaluated"),
-                F.col(f"u{i}").cast("bigint").alias("unexpected"),
-                F.col(f"o{i}").alias("observed"),
-                F.col(f"s{i}").alias("success"),
-            )
+            ev, bad, obs, ok = _row_rule_sql(r)
+            aggs += [f"{ev} AS e{i}", f"{bad} AS u{i}", f"{obs} AS o{i}", f"{ok} AS s{i}"]
+        one = df.selectExpr(*aggs)
+        structs = ", ".join(
+            f"named_struct('rule_id', {i}, 'expectation', '{r.expectation}', "
+            f"'column_name', CAST({repr(r.column) if r.column else 'NULL'} AS STRING), 'severity', '{r.severity}', "
+            f"'evaluated', CAST(e{i} AS BIGINT), 'unexpected', CAST(u{i} AS BIGINT), 'observed', o{i}, 'success', s{i})"
             for i, r in row_rules
-        ]
-        parts.append(one.select(F.inline(F.array(*structs))))
+        )
+        parts.append(one.selectExpr(f"inline(array({structs}))"))
     for i, r in key_rules:
         parts.append(_unique_rule(df, i, r))
     out = parts[0]
@@ -122,19 +115,19 @@ def duplicate_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _unique_rule(df: DataFrame, i: int, r: Rule) -> DataFrame:
+    """Q5 in one pass: per-key counts (partial aggregation), then one global
+    aggregate gives both the evaluated rows and the rows in duplicated keys."""
     cols = list(r.columns)
-    evaluated = df.select(F.count(F.lit(1))).scalar()
-    # one row per duplicated key -> one summed row (global aggregate)
-    dups = duplicate_keys(df, cols).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("unexpected"))
-    return dups.select(
-        F.lit(i).alias("rule_id"),
-        F.lit(r.expectation).alias("expectation"),
-        F.lit(",".join(cols)).alias("column_name"),
-        F.lit(r.severity).alias("severity"),
-        evaluated.cast("bigint").alias("evaluated"),
-        F.col("unexpected").cast("bigint").alias("unexpected"),
-        (F.col("unexpected") / F.greatest(evaluated, F.lit(1))).cast("double").alias("observed"),
-        (F.col("unexpected") == 0).alias("success"),
+    per_key = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.selectExpr(
+        f"{i} AS rule_id",
+        f"'{r.expectation}' AS expectation",
+        f"'{','.join(cols)}' AS column_name",
+        f"'{r.severity}' AS severity",
+        "CAST(coalesce(sum(n), 0) AS BIGINT) AS evaluated",
+        "CAST(coalesce(sum(CASE WHEN n > 1 THEN n ELSE 0 END), 0) AS BIGINT) AS unexpected",
+        "CAST(coalesce(sum(CASE WHEN n > 1 THEN n ELSE 0 END), 0) / greatest(coalesce(sum(n), 0), 1) AS DOUBLE) AS observed",
+        "coalesce(sum(CASE WHEN n > 1 THEN n ELSE 0 END), 0) = 0 AS success",
     )
 
 

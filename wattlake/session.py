@@ -19,6 +19,10 @@ def get_spark(app: str = "wattlake", cpus: int | str = "*", shuffle_partitions:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
+        # HotSpot does not JIT methods over 8000 bytes of bytecode; stages whose
+        # generated method is larger fall back to expression codegen instead of
+        # running interpreted (value recommended by the Spark configuration docs)
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
