@@ -39,9 +39,16 @@ def _keys(key: str | Sequence[str]) -> list[str]:
 
 
 def _default_chunk(order: str) -> Column:
+    """Day of the order column: bounds a (key, chunk) group by time span."""
     return F.to_date(F.col(order))
 
 
+def _index_chunk(order: str) -> Column:
+    """Month of the order column: the counts table stays keys x months even
+    for daily series, and a (key, month) group is small for hourly data."""
+    return F.trunc(F.to_date(F.col(order)), "month")
+
+
 def row_index(df: DataFrame, key: str | Sequence[str], order: str, chunk: Column | None = None, name: str = "_idx") -> DataFrame:
     """Add a 0-based row position per key in ``order`` without a per-key task.
 
@@ -49,7 +56,7 @@ def row_index(df: DataFrame, key: str | Sequence[str], order: str, chunk: Column
     chunk's offset, and ``row_number`` runs inside (key, chunk).
     """
     keys = _keys(key)
-    d = df.withColumn("_chunk", chunk if chunk is not None else _default_chunk(order))
+    d = df.withColumn("_chunk", chunk if chunk is not None else _index_chunk(order))
     counts = d.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

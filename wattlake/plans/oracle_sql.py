@@ -137,4 +137,4 @@ def sql(body: str) -> str:
 
 def r4(expr: str, alias: str | None = None) -> str:
     a = alias or expr.split(".")[-1]
-    return f"floor(round(CAST({expr} AS DOUBLE), 9) * 10000 + 0.5) / 10000 AS {a}"
+    return f"CAST(round(TRY_CAST(round(CAST({expr} AS DOUBLE), 9) AS DECIMAL(38, 9)), 4) AS DOUBLE) AS {a}"

@@ -74,8 +74,9 @@ def stream_latest(spark, sf_dir):
         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start()
     )
     q.awaitTermination()
-    out = spark.read.parquet(f"{base}/out")
-    return out.select("region_id", "time", F.round(F.col("demand_mw"), 4).alias("demand_mw"))
+    from wattlake.plans.silver import rounded
+
+    return rounded(spark.read.parquet(f"{base}/out").select("region_id", "time", "demand_mw"))
 
 
 @register(

@@ -16,16 +16,19 @@ from wattlake.operators.gold import gold_daily, gold_hourly, hourly_features
 from wattlake.sources import standins
 
 
+ROUND4_SQL = "CAST(round(try_cast(round(CAST({x} AS DOUBLE), 9) AS DECIMAL(38, 9)), 4) AS DOUBLE)"
+
+
 def round4(c: Column) -> Column:
     """Engine-independent 4-place rounding.
 
     Snapping to 9 places first removes summation-order noise (engines add in
-    different orders), then ``floor(y + 0.5)`` is plain IEEE arithmetic, so
-    Spark and DuckDB return the same double for the same exact value.
+    different orders); the 4-place step is exact decimal HALF_UP, which Spark
+    and DuckDB implement identically. The value is referenced once, so the
+    projection stays small.
     """
     d = c.cast("double")
-    snapped = F.floor(F.round(d, 9) * F.lit(10000.0) + F.lit(0.5)) / F.lit(10000.0)
-    return F.when(d.isNull() | F.isnan(d), d).otherwise(snapped)
+    return F.round(F.round(d, 9).try_cast("decimal(38,9)"), 4).cast("double")
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -37,11 +40,7 @@ def rounded(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         q = f"`{f.name}`"
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            d = f"CAST({q} AS DOUBLE)"
-            exprs.append(
-                f"CASE WHEN {d} IS NULL OR isnan({d}) THEN {d} "
-                f"ELSE floor(round({d}, 9) * 10000D + 0.5D) / 10000D END AS {q}"
-            )
+            exprs.append(f"{ROUND4_SQL.format(x=q)} AS {q}")
         else:
             exprs.append(q)
     return df.selectExpr(*exprs)
