@@ -65,3 +65,22 @@ def test_quality_suite_known_violations(spark):
     assert not res[5].success and res[5].unexpected == 1  # region in set
     assert res[6].unexpected == 1 and not res[6].success  # 2/3 in range < 0.95
     assert not res[7].success and res[7].unexpected == 2  # the (T0, NSW1) pair
+
+
+def test_change_counters_by_reason(spark):
+    from wattlake.streaming.changes import change_counters
+
+    def env(after):
+        return json.dumps({"payload": {"after": after, "op": "c"}})
+
+    msgs = [
+        "{not json",
+        json.dumps({"payload": {"after": None, "op": "d"}}),
+        env({"region_id": "NSW1", "demand_mw": 1}),
+        env({"time": "2024-01-01T00:00:00", "region_id": "ZZZ1", "demand_mw": 1}),
+        env({"time": "garbage", "region_id": "VIC1", "demand_mw": 1}),
+        env({"time": "2024-01-01T00:00:00", "region_id": "VIC1", "demand_mw": 1}),
+    ]
+    r = change_counters(spark.createDataFrame([(m,) for m in msgs], "value string")).first()
+    assert (r.received, r.decoded) == (6, 1)
+    assert (r.skipped_bad_json, r.skipped_deleted, r.skipped_no_time, r.skipped_unknown_region, r.skipped_bad_time) == (1, 1, 1, 1, 1)

@@ -53,7 +53,7 @@ def history(df: DataFrame, hours: int, as_of: Column | dt.datetime | None = None
         d = df.where(F.col("time") >= add_hours(ref.cast("timestamp_ntz"), -hours))
     if regions is not None:
         d = d.where(F.col("region_id").isin(*regions))
-    return d.select("region_id", "time", "demand_mw")
+    return d.select("region_id", "time", "demand_mw").orderBy("region_id", "time")
 
 
 def _range_filter(df: DataFrame, regions: Sequence[str], start, end, granularity: str) -> DataFrame:
@@ -70,12 +70,15 @@ def _range_filter(df: DataFrame, regions: Sequence[str], start, end, granularity
     return d
 
 
-def insight_data(daily: DataFrame, hourly: DataFrame, regions: Sequence[str], start=None, end=None, granularity: str = "daily") -> DataFrame:
-    """P11 + P13 + P14: filtered daily or hourly rows, NaN/inf as null."""
+def insight_data(daily: DataFrame, hourly: DataFrame, regions: Sequence[str], start=None, end=None,
+                 granularity: str = "daily", ordered: bool = True) -> DataFrame:
+    """P11 + P13 + P14 (+ L1): filtered daily or hourly rows, NaN/inf as null,
+    ordered by region and time at the edge (the API's result order)."""
     src, cols = (daily, DAILY_COLUMNS) if granularity == "daily" else (hourly, HOURLY_COLUMNS)
     d = _range_filter(src, regions, start, end, granularity).select(*cols)
     dbl = {f.name for f in d.schema.fields if f.dataType.typeName() == "double"}
-    return d.select(*[nan_to_null(F.col(c)).alias(c) if c in dbl else F.col(c) for c in cols])
+    out = d.select(*[nan_to_null(F.col(c)).alias(c) if c in dbl else F.col(c) for c in cols])
+    return out.orderBy("region_id", cols[0]) if ordered else out
 
 
 def correlation(daily: DataFrame, regions: Sequence[str], start=None, end=None) -> DataFrame:
@@ -100,7 +103,7 @@ def correlation(daily: DataFrame, regions: Sequence[str], start=None, end=None)
 def cross_region_daily(daily: DataFrame) -> DataFrame:
     """Mean across regions per date (nulls ignored), ordered by date."""
     cols = ["demand_mw_avg", *[DAILY_VAR_MAP[v] for v in WEATHER_COLS]]
-    return daily.groupBy("date").agg(*[F.avg(c).alias(c) for c in cols])
+    return daily.groupBy("date").agg(*[F.avg(c).alias(c) for c in cols]).orderBy("date")
 
 
 def demand_scale(df: DataFrame, step: int = DEMAND_SCALE_STEP, default: int = DEMAND_SCALE_DEFAULT) -> DataFrame:

@@ -152,8 +152,8 @@ def horizon_long(spark, sf_dir):
 
 @register("features_wide", _wide_sql())
 def features_wide(spark, sf_dir):
-    wide, targets, feats = FT.features_wide(S.daily_series(spark, sf_dir))
-    return S.rounded(wide.select("region_id", "time", *feats, *targets))
+    wide, _targets, _feats = FT.features_wide(S.daily_series(spark, sf_dir))
+    return S.rounded(wide)
 
 
 @register(

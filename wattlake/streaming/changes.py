@@ -82,6 +82,37 @@ def decode_changes(raw: DataFrame, value_col: str = "value", regions: Sequence[s
     )
 
 
+SKIP_REASONS = ["bad_json", "deleted", "no_time", "unknown_region", "bad_time"]
+
+
+def classify_changes(raw: DataFrame, value_col: str = "value", regions: Sequence[str] = VALID_REGIONS) -> DataFrame:
+    """Every envelope with its skip reason (null = decoded). Count with
+    ``groupBy('skip_reason')`` in batch, or ``observe`` on a stream."""
+    tz = raw.sparkSession.conf.get("spark.sql.session.timeZone")
+    env = F.from_json(F.col(value_col), ENVELOPE_SCHEMA, {"mode": "PERMISSIVE"})
+    d = raw.select(env.alias("e"), F.col(value_col).alias("_raw"))
+    a = F.col("e.payload.after")
+    t = event_time_utc(a["time"], tz)
+    reason = (
+        F.when(F.try_parse_json(F.col("_raw")).isNull(), F.lit("bad_json"))
+        .when(a.isNull(), F.lit("deleted"))
+        .when(a["time"].isNull(), F.lit("no_time"))
+        .when(~F.coalesce(a["region_id"].isin(*regions), F.lit(False)), F.lit("unknown_region"))
+        .when(t.isNull(), F.lit("bad_time"))
+    )
+    return d.select(reason.alias("skip_reason"), t.alias("time"), a["region_id"].alias("region_id"))
+
+
+def change_counters(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """T7 batch form: events received, decoded and skipped by reason, one row."""
+    c = classify_changes(raw, value_col)
+    return c.agg(
+        F.count(F.lit(1)).alias("received"),
+        F.count_if(F.col("skip_reason").isNull()).alias("decoded"),
+        *[F.count_if(F.col("skip_reason") == r).alias(f"skipped_{r}") for r in SKIP_REASONS],
+    )
+
+
 def live_updates(changes: DataFrame) -> DataFrame:
     """The fan-out projection; rows lacking region or value are dropped."""
     return changes.where(F.col("region_id").isNotNull() & F.col("demand_mw").isNotNull()).select(
