@@ -11,6 +11,7 @@ from wattlake.operators import features as FT
 from wattlake.plans import silver as S
 from wattlake.plans.catalog import register
 from wattlake.plans.q_features import TRAIN_END, VAL_END
+from wattlake.session import ensure_checkpoint_dir
 
 # Horizons trained by the registered check and the tree count per model.
 EVAL_HORIZONS = (1, 24)
@@ -21,9 +22,10 @@ EVAL_TREES = 5
 def train_eval(spark, sf_dir):
     """M1 + M2 (+ U2, P15): train on train+validation, evaluate on test."""
     wide, _targets, feats = FT.features_wide(S.daily_series(spark, sf_dir))
-    # iterative learners re-read their input every pass: keep it materialised
-    # (a lost cached block is recomputed from lineage)
-    wide = wide.persist()
+    # iterative learners re-read their input every pass: materialise it once
+    # in the shared checkpoint folder (cuts lineage, survives executor loss)
+    ensure_checkpoint_dir(spark)
+    wide = wide.checkpoint(eager=True)
     train, val, test = FT.chrono_split(wide, TRAIN_END, VAL_END)
     fit_on = train.unionByName(val)
     models = TR.train_horizons(fit_on, feats, EVAL_HORIZONS, max_iter=EVAL_TREES)
