@@ -65,3 +65,19 @@ def test_forward_fill_equals_plain(spark):
     w = Window.partitionBy("region_id").orderBy("time").rowsBetween(Window.unboundedPreceding, 0)
     plain = df.withColumn("x", F.last("x", ignorenulls=True).over(w))
     assert _rows(filled, ["region_id", "time", "x"]) == _rows(plain, ["region_id", "time", "x"])
+
+
+def test_horizon_tables_do_not_depend_on_block_size(spark):
+    """Blocks of 1000 rows (>= the 744-row look-back) cut each region's
+    daily series into several blocks; results must equal one block."""
+    from tests.conftest import SF_CHECK
+    from wattlake.operators import features as FT
+    from wattlake.plans import silver as S
+
+    ds = S.daily_series(spark, SF_CHECK).persist()
+    cols = ["region_id", "time", "horizon", "target", "demand_lag_744h", "temperature_2m", "demand_rolling_std_24h"]
+    small = FT.horizon_long(ds, block_rows=1000).select(*cols)
+    big = FT.horizon_long(ds).select(*cols)
+    assert small.count() > 0
+    assert small.exceptAll(big).count() == 0 and big.exceptAll(small).count() == 0
+    ds.unpersist()

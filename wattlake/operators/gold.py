@@ -112,3 +112,10 @@ def features_increment(sink: DataFrame, demand_5min: DataFrame, weather: DataFra
     d = demand_5min.where(F.col("time") >= last) if reopen_last else demand_5min.where(F.col("time") > last)
     feats = hourly_features(d, weather.where(F.col("time") >= last))
     return feats.where(F.col("time") >= last) if reopen_last else feats.where(F.col("time") > last)
+
+
+def gold_daily_increment(sink_daily: DataFrame, hourly: DataFrame, min_last_hour: int = 23) -> DataFrame:
+    """Incremental daily gold: days after the newest day in the sink. A day
+    that was incomplete last run is not in the sink, so it is retried."""
+    last = sink_daily.select(F.coalesce(F.max("date"), F.lit("1970-01-01").cast("date"))).scalar()
+    return gold_daily(hourly.where(F.to_date("time") > last), min_last_hour)
