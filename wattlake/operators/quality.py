@@ -57,56 +57,84 @@ class Suite:
     rules: list[Rule] = field(default_factory=list)
 
 
-def _row_rule_sql(r: Rule) -> tuple[str, str, str, str]:
-    """(evaluated, unexpected, observed, success) as aggregate SQL expressions."""
+def _row_rule_sql(r: Rule) -> tuple[str, str]:
+    """(evaluated, unexpected) as decomposable count aggregates."""
     if r.expectation == "expect_table_row_count_to_be_between":
-        n = "count(1)"
-        ok = f"({n} >= {int(r.min_value)} AND {n} <= {int(r.max_value)})"
-        return n, "CAST(NULL AS BIGINT)", f"CAST({n} AS DOUBLE)", ok
+        return "count(1)", "CAST(NULL AS BIGINT)"
     c = f"`{r.column}`"
     if r.expectation == "expect_column_values_to_not_be_null":
-        n, bad = "count(1)", f"count_if({c} IS NULL)"
-        return n, bad, f"CAST({bad} / greatest({n}, 1) AS DOUBLE)", f"({bad} = 0)"
+        return "count(1)", f"count_if({c} IS NULL)"
     if r.expectation == "expect_column_values_to_be_in_set":
         vals = ", ".join("'" + str(v).replace("'", "''") + "'" for v in r.value_set)
-        n, bad = f"count({c})", f"count_if({c} IS NOT NULL AND NOT {c} IN ({vals}))"
-        return n, bad, f"CAST({bad} / greatest({n}, 1) AS DOUBLE)", f"({bad} = 0)"
+        return f"count({c})", f"count_if({c} IS NOT NULL AND NOT {c} IN ({vals}))"
     if r.expectation == "expect_column_values_to_be_between":
-        n = f"count({c})"
-        bad = f"count_if({c} IS NOT NULL AND NOT ({c} >= {float(r.min_value)!r} AND {c} <= {float(r.max_value)!r}))"
-        frac_ok = f"(CASE WHEN {n} = 0 THEN 1.0D ELSE 1.0D - {bad} / {n} END)"
-        ok = f"({frac_ok} >= {float(r.mostly)!r})" if r.mostly is not None else f"({bad} = 0)"
-        return n, bad, f"CAST(1.0D - {frac_ok} AS DOUBLE)", ok
+        lo, hi = float(r.min_value), float(r.max_value)
+        return f"count({c})", f"count_if({c} IS NOT NULL AND NOT ({c} >= {lo!r} AND {c} <= {hi!r}))"
     raise ValueError(f"not a row rule: {r.expectation}")
 
 
+def _verdict_sql(r: Rule, e: str, u: str) -> tuple[str, str]:
+    """(observed, success) from the evaluated / unexpected totals."""
+    if r.expectation == "expect_table_row_count_to_be_between":
+        return f"CAST({e} AS DOUBLE)", f"({e} >= {int(r.min_value)} AND {e} <= {int(r.max_value)})"
+    if r.expectation == "expect_column_values_to_be_between":
+        frac_ok = f"(CASE WHEN {e} = 0 THEN 1.0D ELSE 1.0D - {u} / {e} END)"
+        ok = f"({frac_ok} >= {float(r.mostly)!r})" if r.mostly is not None else f"({u} = 0)"
+        return f"CAST(1.0D - {frac_ok} AS DOUBLE)", ok
+    return f"CAST({u} / greatest({e}, 1) AS DOUBLE)", f"({u} = 0)"
+
+
+def _struct_sql(i: int, r: Rule, column: str | None, e: str, u: str, obs: str, ok: str) -> str:
+    col = "NULL" if column is None else "'" + column + "'"
+    return (
+        f"named_struct('rule_id', {i}, 'expectation', '{r.expectation}', "
+        f"'column_name', CAST({col} AS STRING), 'severity', '{r.severity}', "
+        f"'evaluated', CAST({e} AS BIGINT), 'unexpected', CAST({u} AS BIGINT), 'observed', {obs}, 'success', {ok})"
+    )
+
+
 def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
-    """Q6: evaluate a suite; row rules in one aggregate, key rules separately.
-
-    The rules compile to SQL text, so a 52-rule suite is two plan calls."""
-    spark = df.sparkSession
-    row_rules = [(i, r) for i, r in enumerate(suite.rules, 1) if r.expectation != "expect_compound_columns_to_be_unique"]
-    key_rules = [(i, r) for i, r in enumerate(suite.rules, 1) if r.expectation == "expect_compound_columns_to_be_unique"]
-    parts: list[DataFrame] = []
-    if row_rules:
-        aggs = []
-        for i, r in row_rules:
-            ev, bad, obs, ok = _row_rule_sql(r)
-            aggs += [f"{ev} AS e{i}", f"{bad} AS u{i}", f"{obs} AS o{i}", f"{ok} AS s{i}"]
-        one = df.selectExpr(*aggs)
-        structs = ", ".join(
-            f"named_struct('rule_id', {i}, 'expectation', '{r.expectation}', "
-            f"'column_name', CAST({repr(r.column) if r.column else 'NULL'} AS STRING), 'severity', '{r.severity}', "
-            f"'evaluated', CAST(e{i} AS BIGINT), 'unexpected', CAST(u{i} AS BIGINT), 'observed', o{i}, 'success', s{i})"
-            for i, r in row_rules
+    """Q6: evaluate a suite over one scan of the table.
+
+    Every row rule is a pair of counts, so with a compound-key rule the
+    counts are first taken per key (``groupBy(keys)``, partial aggregation)
+    and then summed; the same per-key counts give the duplicate rows. Without
+    a key rule it is a single global aggregate. Rules compile to SQL text.
+    """
+    rules = list(enumerate(suite.rules, 1))
+    row_rules = [(i, r) for i, r in rules if r.expectation != "expect_compound_columns_to_be_unique"]
+    key_rules = [(i, r) for i, r in rules if r.expectation == "expect_compound_columns_to_be_unique"]
+    if len({r.columns for _, r in key_rules}) > 1:
+        raise ValueError("one compound key per suite")
+    parts = [_row_rule_sql(r) for _, r in row_rules]
+    structs = []
+    if key_rules:
+        keys = list(key_rules[0][1].columns)
+        per_key = df.groupBy(*keys).agg(
+            F.expr("count(1)").alias("_n"),
+            *[F.expr(ev).alias(f"pe{i}") for (i, _), (ev, _) in zip(row_rules, parts)],
+            *[F.expr(bad).alias(f"pu{i}") for (i, _), (_, bad) in zip(row_rules, parts)],
         )
-        parts.append(one.selectExpr(f"inline(array({structs}))"))
-    for i, r in key_rules:
-        parts.append(_unique_rule(df, i, r))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(F.lit(suite.name).alias("suite"), "*") if parts else spark.createDataFrame([], "suite string")
+        totals = per_key.selectExpr(
+            "sum(_n) AS _rows",
+            "coalesce(sum(CASE WHEN _n > 1 THEN _n ELSE 0 END), 0) AS _dup",
+            *[f"sum(pe{i}) AS e{i}" for i, _ in row_rules],
+            *[f"sum(pu{i}) AS u{i}" for i, _ in row_rules],
+        )
+        for i, r in key_rules:
+            e, u = "coalesce(_rows, 0)", "_dup"
+            structs.append(_struct_sql(i, r, ",".join(r.columns), e, u, f"CAST({u} / greatest({e}, 1) AS DOUBLE)", f"({u} = 0)"))
+    else:
+        totals = df.selectExpr(
+            *[f"{ev} AS e{i}" for (i, _), (ev, _) in zip(row_rules, parts)],
+            *[f"{bad} AS u{i}" for (i, _), (_, bad) in zip(row_rules, parts)],
+        )
+    for i, r in row_rules:
+        e, u = f"coalesce(e{i}, 0)", f"u{i}" if r.expectation == "expect_table_row_count_to_be_between" else f"coalesce(u{i}, 0)"
+        obs, ok = _verdict_sql(r, e, u)
+        structs.append(_struct_sql(i, r, r.column, e, u, obs, ok))
+    out = totals.selectExpr(f"inline(array({', '.join(structs)}))")
+    return out.select(F.lit(suite.name).alias("suite"), "*")
 
 
 def duplicate_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -114,23 +142,6 @@ def duplicate_keys(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def _unique_rule(df: DataFrame, i: int, r: Rule) -> DataFrame:
-    """Q5 in one pass: per-key counts (partial aggregation), then one global
-    aggregate gives both the evaluated rows and the rows in duplicated keys."""
-    cols = list(r.columns)
-    per_key = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-    return per_key.selectExpr(
-        f"{i} AS rule_id",
-        f"'{r.expectation}' AS expectation",
-        f"'{','.join(cols)}' AS column_name",
-        f"'{r.severity}' AS severity",
-        "CAST(coalesce(sum(n), 0) AS BIGINT) AS evaluated",
-        "CAST(coalesce(sum(CASE WHEN n > 1 THEN n ELSE 0 END), 0) AS BIGINT) AS unexpected",
-        "CAST(coalesce(sum(CASE WHEN n > 1 THEN n ELSE 0 END), 0) / greatest(coalesce(sum(n), 0), 1) AS DOUBLE) AS observed",
-        "coalesce(sum(CASE WHEN n > 1 THEN n ELSE 0 END), 0) = 0 AS success",
-    )
-
-
 def run_checkpoint(results: DataFrame, checkpoints: dict[str, Sequence[str]]) -> DataFrame:
     """Q7: statistics per checkpoint over suite results (warns, never raises)."""
     rows = [(cp, s) for cp, suites in checkpoints.items() for s in suites]
