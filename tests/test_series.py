@@ -81,3 +81,25 @@ def test_horizon_tables_do_not_depend_on_block_size(spark):
     assert small.count() > 0
     assert small.exceptAll(big).count() == 0 and big.exceptAll(small).count() == 0
     ds.unpersist()
+
+
+def test_wide_equals_pivot_of_long(spark):
+    """R2: the wide table is the long table pivoted on horizon, keeping only
+    keys that have all 24 horizons (the 23 inner joins upstream)."""
+    from tests.conftest import SF_CHECK
+    from wattlake.operators import features as FT
+    from wattlake.plans import silver as S
+
+    ds = S.daily_series(spark, SF_CHECK).persist()
+    long = FT.horizon_long(ds)
+    full = long.groupBy("region_id", "time").count().where("count = 24").select("region_id", "time")
+    piv = (long.join(full, ["region_id", "time"])
+           .groupBy("region_id", "time").pivot("horizon", list(range(1, 25)))
+           .agg(F.first("target").alias("t"), F.first("temp_change").alias("c")))
+    wide, _, _ = FT.features_wide(ds)
+    w = wide.select("region_id", "time", *[F.col(f"target_h{h}").alias(f"{h}_t") for h in range(1, 25)],
+                    *[F.col(f"temp_change_h{h}").alias(f"{h}_c") for h in range(1, 25)])
+    p = piv.select(*w.columns)
+    assert w.count() == p.count() > 0
+    assert w.exceptAll(p).count() == 0
+    ds.unpersist()

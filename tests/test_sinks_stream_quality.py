@@ -84,3 +84,23 @@ def test_change_counters_by_reason(spark):
     r = change_counters(spark.createDataFrame([(m,) for m in msgs], "value string")).first()
     assert (r.received, r.decoded) == (6, 1)
     assert (r.skipped_bad_json, r.skipped_deleted, r.skipped_no_time, r.skipped_unknown_region, r.skipped_bad_time) == (1, 1, 1, 1, 1)
+
+
+def test_high_water_global_vs_per_key(spark):
+    """One late region is lost with the global mark, kept with per-key marks."""
+    from wattlake.operators.incremental import newer_than
+
+    schema = "time timestamp_ntz, region_id string, demand_mw double"
+    sink = spark.createDataFrame([(T0, "NSW1", 1.0), (T0 - dt.timedelta(hours=2), "QLD1", 1.0)], schema)
+    late = spark.createDataFrame([(T0 - dt.timedelta(hours=1), "QLD1", 2.0), (T0 + dt.timedelta(hours=1), "NSW1", 3.0)], schema)
+    assert sorted(r.region_id for r in newer_than(late, sink).collect()) == ["NSW1"]
+    assert sorted(r.region_id for r in newer_than(late, sink, per_key="region_id").collect()) == ["NSW1", "QLD1"]
+    back = newer_than(late, sink, lookback_hours=2).collect()
+    assert sorted(r.region_id for r in back) == ["NSW1", "QLD1"]
+
+
+def test_stamp_updated_at(spark):
+    from wattlake.operators.clean import stamp
+
+    df = spark.createDataFrame([(1,)], "x int")
+    assert stamp(df, dt.datetime(2024, 5, 1)).first().updated_at == dt.datetime(2024, 5, 1)

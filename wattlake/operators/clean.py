@@ -41,6 +41,13 @@ def weather_from_json(df: DataFrame, doc_col: str, regions: Sequence[str] = VALI
     return clean_weather(flat, regions)
 
 
+def stamp(df: DataFrame, as_of=None) -> DataFrame:
+    """``updated_at`` as an explicit parameter (upstream uses NOW());
+    ``None`` means the query's current timestamp."""
+    ts = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else F.localtimestamp()
+    return df.withColumn("updated_at", ts)
+
+
 def complete_cases(df: DataFrame) -> DataFrame:
     """P10: drop rows holding any null or NaN (``na.drop`` treats NaN as missing)."""
     return df.na.drop("any")
