@@ -32,7 +32,3 @@ def scale_ceiling(max_value: Column, step: int, default: int) -> Column:
     ceil = F.floor((max_value.cast("bigint") + F.lit(step - 1)) / F.lit(step)) * F.lit(step)
     return F.when(max_value.isNull() | (ceil == 0), F.lit(default)).otherwise(ceil).cast("bigint")
 
-
-def r4(c: Column) -> Column:
-    """Round to 4 places (used at the edge of comparison queries)."""
-    return F.round(c.cast("double"), 4)

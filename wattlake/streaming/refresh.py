@@ -1,4 +1,4 @@
-"""Micro-batch jobs: hour trigger (T4, T5, T7) and downstream refresh.
+"""Micro-batch jobs: hour trigger (T4, T5) and downstream refresh.
 
 Both run in ``foreachBatch``. Their durable state (the last fired hour, the
 tables) lives on shared storage and is only advanced after the batch's
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.functions.timecols import hour_floor
@@ -50,9 +50,7 @@ def hour_trigger(
     def batch_fn(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         last = _last_fired(spark, state_path)
-        obs = Observation(f"hour_trigger_{epoch_id}")
-        counted = batch.observe(obs, F.count(F.lit(1)).alias("events"))
-        hours = [r["hour"] for r in fire_hours(counted, last).orderBy("hour").collect()]  # a handful per batch
+        hours = [r["hour"] for r in fire_hours(batch, last).orderBy("hour").collect()]  # a handful per batch
         for h in hours:
             if on_hour is not None:
                 on_hour(spark, h)
@@ -80,7 +78,6 @@ def start_refresh(
     def batch_fn(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         keys = ["time", "region_id"]
-        # T7 counter: events seen by this batch, collected with the bronze write
         n = sinks.upsert_table(batch.select("time", "region_id", "demand_mw"), bronze_path, keys)
         sinks.delete_insert_table(clean_demand(batch), silver_path, keys)
         if on_rows is not None:
