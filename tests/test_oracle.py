@@ -30,3 +30,14 @@ def test_entry_smoke(spark):
 def test_every_query_has_oracle_or_is_rows_only():
     assert set(ORACLE) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLE) == {"train_eval"}
+
+
+@pytest.mark.parametrize("name", ["gold_hourly", "serving_lags", "stream_latest", "region_staleness"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Australia/Sydney")
+    try:
+        r = compare(QUERIES[name](spark, SF_SMALL), con, ORACLE[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["match"], r
