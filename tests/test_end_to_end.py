@@ -24,7 +24,7 @@ def test_refresh_stream_upserts_bronze_and_silver(spark, tmp_path):
         return json.dumps({"payload": {"after": {"time": t.isoformat(), "region_id": r, "demand_mw": v}, "op": "c"}})
 
     (feed / "a.json").write_text("\n".join([msg(T0, "NSW1", "10"), msg(T0, "QLD1", "20"), "{bad"]))
-    raw = spark.readStream.format("text").load(str(feed))
+    raw = CH.read_changes(spark, str(feed))
     changes = CH.decode_changes(raw)
     bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
     seen = []
@@ -32,7 +32,7 @@ def test_refresh_stream_upserts_bronze_and_silver(spark, tmp_path):
     q.awaitTermination()
     # a corrected value for NSW1 arrives in a second file
     (feed / "b.json").write_text(msg(T0, "NSW1", "11"))
-    q = RF.start_refresh(CH.decode_changes(spark.readStream.format("text").load(str(feed))), bronze, silver,
+    q = RF.start_refresh(CH.decode_changes(CH.read_changes(spark, str(feed))), bronze, silver,
                          str(tmp_path / "ckpt"))
     q.awaitTermination()
     got = sorted(tuple(r) for r in sinks.read_table(spark, silver).collect())
