@@ -96,6 +96,8 @@ def main(argv: list[str]) -> int:
     con = duck_connection(sf_dir)
     qs, orc = E.queries(), E.oracle_sql()
     bad = 0
+    ok = 0
+    rows_only = 0
     for name, fn in qs.items():
         if names and name not in names:
             continue
@@ -103,6 +105,7 @@ def main(argv: list[str]) -> int:
         df = fn(spark, sf_dir)
         if name not in orc:
             n = df.count()
+            rows_only += 1
             print(f"{name:28s} rows-only  rows={n} ({time.time() - t0:.1f}s)")
             continue
         try:
@@ -111,10 +114,12 @@ def main(argv: list[str]) -> int:
             bad += 1
             print(f"{name:28s} ERROR {type(ex).__name__}: {str(ex)[:300]}")
             continue
-        ok = "OK " if r["match"] else "BAD"
+        tag = "OK " if r["match"] else "BAD"
         bad += 0 if r["match"] else 1
-        print(f"{name:28s} {ok} rows={r['spark_rows']}/{r['oracle_rows']} ({time.time() - t0:.1f}s)"
+        ok += 1 if r["match"] else 0
+        print(f"{name:28s} {tag} rows={r['spark_rows']}/{r['oracle_rows']} ({time.time() - t0:.1f}s)"
               + ("" if r["match"] else f" {r}"))
+    print(f"SUMMARY ok={ok} bad={bad} rows_only={rows_only}")
     return 1 if bad else 0
 
 

@@ -26,7 +26,7 @@ GBT_PARAMS = {"maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8, "featureS
 
 def _pipeline(features: Sequence[str], target: str, max_iter: int) -> Pipeline:
     idx = StringIndexer(inputCol="region_id", outputCol="_region_idx", handleInvalid="keep")
-    ohe = OneHotEncoder(inputCols=["_region_idx"], outputCols=["_region_vec"])
+    ohe = OneHotEncoder(inputCols=["_region_idx"], outputCols=["_region_vec"], dropLast=False)
     vec = VectorAssembler(inputCols=[*features, "_region_vec"], outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol=target, predictionCol="prediction", maxIter=max_iter, **GBT_PARAMS)
     return Pipeline(stages=[idx, ohe, vec, gbt])
@@ -51,6 +51,9 @@ def predict_long(models: dict[int, PipelineModel], test: DataFrame, features: Se
     return out
 
 
+METRICS_SCHEMA = "region_id string, horizon int, r2 double, mae double, n bigint"
+
+
 def evaluate(long_pred: DataFrame) -> DataFrame:
     """M2: R^2 and MAE per (region, horizon)."""
     return r2_mae(long_pred)

@@ -28,5 +28,8 @@ def train_eval(spark, sf_dir):
     wide = wide.checkpoint(eager=True)
     train, val, test = FT.chrono_split(wide, TRAIN_END, VAL_END)
     fit_on = train.unionByName(val)
+    if fit_on.isEmpty() or test.isEmpty():
+        # too little history for 744-row lags (e.g. sf0.001): nothing to fit
+        return spark.createDataFrame([], TR.METRICS_SCHEMA)
     models = TR.train_horizons(fit_on, feats, EVAL_HORIZONS, max_iter=EVAL_TREES)
     return S.rounded(TR.evaluate(TR.predict_long(models, test, feats)))
