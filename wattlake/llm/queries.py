@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import decontam, licenses, simhash
+from wattlake.llm import decontam, licenses, pii, secrets, simhash
 from wattlake.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,51 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _span_text(spans):
+    """``kind:start:end`` of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+
+def _count(kind: str):
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+@register("op5_secret_scan")
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read(spark, sf_dir, "documents"))
+
+    def by_start(spans):
+        order = F.create_map(*[F.lit(x) for i, k in enumerate(secrets.KINDS) for x in (k, i)])
+        keyed = F.transform(
+            spans, lambda s: F.struct(s["start"].alias("start"), order[s["kind"]].alias("at"), s["stop"].alias("stop"), s["kind"].alias("kind"))
+        )
+        return F.array_sort(keyed)
+
+    plain = lambda name: F.transform(name, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["stop"].alias("stop")))
+    return found.select(
+        "doc_id", *[_count(k) for k in ("assign", "access", "hex")],
+        F.sha2(_span_text(by_start(plain("base"))).cast("binary"), 256).alias("base_sha256"),
+        _span_text(by_start(F.concat(plain("base"), plain("inferred")))).alias("spans"),
+    )
+
+
 @register("op9_license_scan")
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.scan(read(spark, sf_dir, "documents")))
+
+
+@register("op10_pii_scan")
+def op10_pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(read(spark, sf_dir, "documents"))
+
+    def by_kind(spans):
+        order = F.create_map(*[F.lit(x) for i, k in enumerate(pii.KINDS) for x in (k, i)])
+        return F.array_sort(F.transform(
+            spans, lambda s: F.struct(order[s["kind"]].alias("at"), s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))
+        ))
+
+    return found.select(
+        "doc_id", *[_count(k) for k in pii.KINDS],
+        F.sha2(_span_text(by_kind("base")).cast("binary"), 256).alias("base_sha256"),
+        _span_text(by_kind(F.concat("base", "added"))).alias("spans"),
+    )
