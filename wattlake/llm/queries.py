@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import decontam, licenses, pii, quality, secrets, simhash
+from wattlake.llm import decontam, licenses, mixing, pii, quality, secrets, simhash, urls
 from wattlake.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +113,123 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.learn(docs, read(spark, sf_dir, "labels")))
 
 
+_URLS_SQL = r"""
+WITH raw AS (
+    SELECT page_id, url, CAST(DATE '2024-01-01' + CAST(page_id * 7919 % 365 AS INTEGER) AS DATE) AS fetched,
+        rtrim(regexp_extract(lower(coalesce(url, '')), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1), '.') AS host,
+        regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+caps AS (SELECT page_id, url, fetched, host, CASE WHEN host = '' THEN '' ELSE host || rtrim(path, '/') END AS address FROM raw),
+entries AS (
+    SELECT * FROM (VALUES
+        ('domain', 'spam-farm.example.org', 'block', DATE '2024-02-01'),
+        ('domain', 'spam-farm.example.org', 'allow', DATE '2024-06-01'),
+        ('domain', 'spam-farm.example.org', 'block', DATE '2024-09-01'),
+        ('domain', 'cheap-pills.example.com', 'block', DATE '2024-01-15'),
+        ('host', 'www.cheap-pills.example.com', 'allow', DATE '2024-11-01')) AS t(kind, value, action, listed)
+    UNION ALL SELECT 'host', host, 'block', min(fetched) FROM caps WHERE url LIKE '%utm_source=%' GROUP BY host
+    UNION ALL SELECT 'host', host, 'allow', CAST(min(fetched) + 90 AS DATE) FROM caps WHERE url LIKE '%utm_source=%' GROUP BY host
+    UNION ALL SELECT 'address', address, 'block', max(fetched) FROM caps WHERE address <> '' GROUP BY address HAVING count(*) > 1),
+daily AS (SELECT kind, value, listed, bool_or(action = 'block') AS block FROM entries GROUP BY ALL),
+spells AS (SELECT *, lead(listed) OVER (PARTITION BY kind, value ORDER BY listed) AS until FROM daily),
+labels AS (SELECT *, string_split(host, '.') AS l FROM caps WHERE host <> ''),
+keys AS (
+    SELECT page_id, fetched, 'address' AS kind, address AS value, 0 AS up FROM labels
+    UNION ALL SELECT page_id, fetched, 'host', host, 1 FROM labels
+    UNION ALL SELECT page_id, fetched, 'domain', array_to_string(list_slice(l, i, len(l)), '.'), i + 1
+        FROM (SELECT *, unnest(generate_series(1, len(l))) AS i FROM labels)),
+found AS (
+    SELECT k.page_id, s.kind, s.value, s.listed, s.block,
+        row_number() OVER (PARTITION BY k.page_id ORDER BY k.up) AS r
+    FROM keys k JOIN spells s ON k.kind = s.kind AND k.value = s.value AND s.listed <= k.fetched
+        AND (s.until IS NULL OR k.fetched < s.until))
+SELECT c.page_id, c.url, c.host, c.fetched, f.kind, f.value, f.listed, coalesce(f.block, FALSE) AS blocked
+FROM caps c LEFT JOIN (SELECT * FROM found WHERE r = 1) f ON c.page_id = f.page_id
+"""
+
+
+@register("op7_url_filter", _URLS_SQL)
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages against a dated list: two known spam domains, hosts first seen with tracking, addresses captured again.
+
+    Pages carry no fetch time, so a day of 2024 is taken from the id.
+    """
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("page_id") * 7919, F.lit(365)).cast("int"))
+    captures = read(spark, sf_dir, "pages").select("page_id", "url", day.alias("fetched"))
+    known = [
+        ("domain", "spam-farm.example.org", "block", "2024-02-01"),
+        ("domain", "spam-farm.example.org", "allow", "2024-06-01"),
+        ("domain", "spam-farm.example.org", "block", "2024-09-01"),
+        ("domain", "cheap-pills.example.com", "block", "2024-01-15"),
+        ("host", "www.cheap-pills.example.com", "allow", "2024-11-01"),
+    ]
+    cols = ["kind", "value", "action", "listed"]
+    entries = spark.range(1).select(
+        F.inline(F.array(*[F.struct(*[F.lit(v).alias(c) for c, v in zip(cols, row)]) for row in known]))
+    ).withColumn("listed", F.col("listed").cast("date"))
+    host, address = urls.host_of(F.col("url")), urls.address_of(F.col("url"))
+    tracked = (
+        captures.where(F.col("url").contains("utm_source=")).groupBy(host.alias("value")).agg(F.min("fetched").alias("first"))
+        .select("value", F.explode(F.array(
+            F.struct(F.lit("block").alias("action"), F.col("first").alias("listed")),
+            F.struct(F.lit("allow").alias("action"), F.date_add("first", 90).alias("listed")),
+        )).alias("e")).select(F.lit("host").alias("kind"), "value", "e.action", "e.listed")
+    )
+    again = (
+        captures.where(address != "").groupBy(address.alias("value")).agg(F.max("fetched").alias("listed"), F.count("*").alias("n"))
+        .where("n > 1").select(F.lit("address").alias("kind"), "value", F.lit("block").alias("action"), "listed")
+    )
+    return urls.filter_urls(captures, entries.unionByName(tracked).unionByName(again))
+
+
+def _mixing_sql(rounds: int, cap_rounds: int, temper: float, budget: float, topics: int) -> str:
+    """The raking written out as one common table expression a step."""
+    parts = [rf"""
+words AS (
+    SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[0-9a-z\x{{80}}-\x{{10FFFF}}]+') AS ws FROM documents),
+initials AS (
+    SELECT doc_id, (ascii(w) - 97) % {topics} AS t, count(*) AS n
+    FROM (SELECT doc_id, unnest(ws) AS w FROM words) WHERE w[1] BETWEEN 'a' AND 'z' GROUP BY ALL),
+best AS (SELECT doc_id, arg_max('t' || t, n * 100 - t) AS topic FROM initials GROUP BY doc_id),
+d AS (SELECT doc_id, source, lang, coalesce(topic, 'none') AS topic, CAST(len(ws) AS BIGINT) AS n_tokens
+    FROM words LEFT JOIN best USING (doc_id)),
+w0 AS (SELECT source, lang, topic, sum(n_tokens) AS tokens, CAST(sum(n_tokens) AS DOUBLE) AS weight
+    FROM d GROUP BY source, lang, topic HAVING sum(n_tokens) > 0)"""]
+    for c in ("source", "lang", "topic"):
+        parts.append(f"""
+r_{c} AS (SELECT {c}, pow(sum(tokens)::DOUBLE, {temper}) AS r FROM w0 GROUP BY {c}),
+g_{c} AS (SELECT {c}, r / (SELECT sum(r) FROM r_{c}) AS goal FROM r_{c})""")
+    k = 0
+    for _ in range(rounds):
+        for c in ("source", "lang", "topic"):
+            parts.append(f"""
+w{k + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, weight * goal / sum(weight) OVER (PARTITION BY {c}) AS weight
+    FROM w{k} JOIN g_{c} USING ({c}))""")
+            k += 1
+    parts.append("\ns0 AS (SELECT 0.0::DOUBLE AS scale)")
+    for i in range(cap_rounds):
+        parts.append(f"""
+s{i + 1} AS MATERIALIZED (SELECT ({budget} * sum(tokens) - sum(CASE WHEN weight * scale < tokens THEN 0 ELSE tokens END))
+    / sum(CASE WHEN weight * scale < tokens THEN weight ELSE 0 END) AS scale FROM w{k}, s{i})""")
+    return "WITH " + ",".join(parts) + f"""
+SELECT doc_id, source, lang, topic, n_tokens, round(coalesce(weight, 0), 6) AS weight,
+    round(coalesce(least(1.0, weight * scale / tokens), 1.0), 6) AS p,
+    CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) / CAST(4503599627370496 AS DOUBLE)
+        < coalesce(least(1.0, weight * scale / tokens), 1.0) AS sampled
+FROM d LEFT JOIN w{k} USING (source, lang, topic), s{cap_rounds}"""
+
+
+@register("op8_mixing", _mixing_sql(mixing.ROUNDS, mixing.CAP_ROUNDS, mixing.TEMPER, mixing.BUDGET, mixing.TOPICS))
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    mixed = mixing.mix(docs)
+    return mixed.select(
+        "row.doc_id", "source", "lang", "topic", "n_tokens", F.round("weight", 6).alias("weight"),
+        F.round("p", 6).alias("p"), "sampled",
+    )
+
+
 @register("op9_license_scan")
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.summary(licenses.scan(read(spark, sf_dir, "documents")))
