@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import ann, decontam, licenses, mixing, pii, quality, secrets, simhash, urls
+from wattlake.llm import ann, decontam, licenses, lines, mixing, pii, quality, secrets, simhash, urls
 from wattlake.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +36,12 @@ def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(rows, rows.where("vec_id % 20 = 0"), k=20)
 
 
+@register("op3_line_dedup")
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return lines.summary(docs, lines.repeats(docs))
+
+
 _DECONTAM_SQL = r"""
 WITH d AS (
     SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i, len(ws) AS n FROM (

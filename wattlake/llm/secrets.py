@@ -23,7 +23,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.llm.automata import Automaton
@@ -146,10 +146,10 @@ class Formats:
         return best, margins[best] - max(self.kinds[best][1], 0.0)
 
 
-def _sample(rows: DataFrame, sample: int) -> DataFrame:
-    """At most ``sample`` distinct tokens of a kind, smallest hashes first."""
-    first = Window.partitionBy("kind").orderBy(F.xxhash64("token"), "token")
-    return rows.distinct().withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= sample)
+def _sample(rows: DataFrame, kind: str, sample: int) -> DataFrame:
+    """At most ``sample`` distinct tokens of ``kind``, smallest hashes first."""
+    own = rows.where(F.col("kind") == kind).distinct()
+    return own.orderBy(F.xxhash64("token"), "token").limit(sample)
 
 
 def learn(found: DataFrame, sample: int = SAMPLE) -> Formats:
@@ -159,10 +159,10 @@ def learn(found: DataFrame, sample: int = SAMPLE) -> Formats:
     labelled = labelled.where("kind <> 'assign' or (token rlike '[0-9]' and length(token) >= 16)")
     words = found.where("ordinary is not null").select(F.lit("").alias("kind"), F.col("ordinary").alias("token"))
     by_kind: dict[str, list[str]] = {f: _seeds(f, sample // 4) for f in FORMATS}
-    for r in _sample(labelled.unionAll(words), sample).orderBy("kind", "rank").collect():
-        by_kind.setdefault(r.kind, []).append(r.token)
-    ordinary = by_kind.pop("", [])
-    return Formats(by_kind, ordinary)
+    for kind in KINDS[:3]:
+        by_kind.setdefault(kind, []).extend(r.token for r in _sample(labelled, kind, sample).collect())
+    ordinary = [r.token for r in _sample(words, "", sample).collect()]
+    return Formats({k: v for k, v in by_kind.items() if v}, ordinary)
 
 
 def scan(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:

@@ -21,7 +21,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import Scratch, components, text_bytes
@@ -139,3 +139,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataF
     smallest = member.groupBy("root").agg(F.min("first").alias("component_id"))
     of_print = member.join(smallest, "root").select("fp", "component_id")
     return prints.join(of_print, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_first(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
+    """``docs`` with one document of each group: the one of smallest ``doc_id``; columns unchanged.
+
+    A ``doc_id`` goes if any row of it is near a smaller one; of its rows with
+    equal texts one stays. Rows with a null ``doc_id`` stay.
+    """
+    found = near_duplicates(docs, shingle, radius)
+    spare = found.where("doc_id <> component_id").select(F.col("doc_id").alias("spare")).distinct()
+    kept = docs.join(spare, docs["doc_id"].cast("long") == spare.spare, "left_anti")
+    # null ids are dealt out; equal rows stand together
+    own = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    copies = Window.partitionBy("doc_id", own, F.xxhash64("text")).orderBy(F.lit(0))
+    at = next(f"copy{i}" for i in range(len(docs.columns) + 1) if f"copy{i}" not in docs.columns)
+    return kept.withColumn(at, F.row_number().over(copies)).where(F.col(at) == 1).drop(at)
