@@ -24,6 +24,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
+from itertools import filterfalse
 from operator import eq
 
 import numpy as np
@@ -81,7 +82,7 @@ def votes(raw: bytes, insults: frozenset[bytes]) -> tuple[list[int], set[bytes]]
     out["bare_marks"] = _vote(sum(map(_is_mark, words)) / n, 0.02, 0.15)
     if n >= ENOUGH:
         out["repeats"] = _vote(sum(map(eq, words, words[1:])) / n, 0.05, 0.2)
-        out["top_word"] = _vote(max(Counter(words).values()) / n, 0.15, 0.3)
+        out["top_word"] = _vote(max(Counter(filterfalse(_is_mark, words)).values(), default=0) / n, 0.15, 0.3)
         lines = [x for x in raw.split(b"\n") if x]
         if len(lines) >= 4:
             out["lines"] = _vote(1 - len(set(lines)) / len(lines), 0.1, 0.5)

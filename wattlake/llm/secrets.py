@@ -4,9 +4,9 @@ One pass over the texts finds the base spans and the candidate tokens (runs of
 token characters, with a digit and a letter). From the base spans, which are
 credentials labelled with their kind, and from seeds of published formats, one
 probabilistic automaton per kind is inferred; ordinary words give one more.
-Every candidate is scored by the best format's log-likelihood per symbol above
-the ordinary automaton's, and becomes a span if the score reaches the value
-that most held-out credentials of that kind reach.
+Every candidate is scored by its log-likelihood per symbol under the likeliest
+format, and becomes a span if that is about what held-out credentials of the
+kind reach and more than the ordinary automaton gives.
 
 Training reads at most ``SAMPLE`` credentials of a kind and ``SAMPLE`` ordinary
 words, smallest hashes first; everything else covers all texts.
@@ -30,8 +30,8 @@ from wattlake.llm.automata import Automaton
 from wattlake.llm.common import Scratch, text_bytes
 
 SAMPLE = 400
-#: Share of held-out credentials of a kind that its threshold lets through.
-RECALL = 0.95
+#: Standard deviations below held-out credentials of its kind that a token's likelihood may lie.
+DEVIATIONS = 3.0
 KINDS = ("assign", "access", "hex", "inferred")
 
 _ASSIGN = re.compile(
@@ -124,26 +124,26 @@ def _find(docs: DataFrame) -> DataFrame:
 
 
 class Formats:
-    """Automata of every credential kind and of ordinary words, with each kind's threshold."""
+    """Automata of every credential kind, each with the least likelihood it accepts, and of ordinary words."""
 
     def __init__(self, labelled: dict[str, list[str]], ordinary: list[str]):
         self.ordinary = Automaton(ordinary or ["ordinary", "words"])
         self.kinds: dict[str, tuple[Automaton, float]] = {}
         for kind, strings in sorted(labelled.items()):
-            # every fifth credential sets the threshold, the others the automaton
+            # every fifth credential sets the least likelihood, the others the automaton
             held, fit = strings[::5], [s for i, s in enumerate(strings) if i % 5]
             automaton = Automaton(fit or held)
-            scores = sorted(self._margin(automaton, s) for s in held)
-            self.kinds[kind] = (automaton, scores[int((1 - RECALL) * len(scores))])
-
-    def _margin(self, automaton: Automaton, token: str) -> float:
-        return (automaton.log_likelihood(token) - self.ordinary.log_likelihood(token)) / len(token)
+            seen = np.array([automaton.log_likelihood(s) / len(s) for s in held])
+            self.kinds[kind] = (automaton, seen.mean() - DEVIATIONS * max(seen.std(), 0.02))
 
     def score(self, token: str) -> tuple[str, float]:
-        """The kind of highest likelihood, and its margin above that kind's threshold (a span if not negative)."""
-        margins = {k: self._margin(a, token) for k, (a, _) in self.kinds.items()}
-        best = max(margins, key=margins.get)
-        return best, margins[best] - max(self.kinds[best][1], 0.0)
+        """The likeliest kind, and by how much a symbol is likelier than that kind accepts and than in ordinary words.
+
+        The lesser of the two differences; a span if not negative.
+        """
+        own = {k: a.log_likelihood(token) / len(token) for k, (a, _) in self.kinds.items()}
+        best = max(own, key=own.get)
+        return best, float(min(own[best] - self.kinds[best][1], own[best] - self.ordinary.log_likelihood(token) / len(token)))
 
 
 def _sample(rows: DataFrame, kind: str, sample: int) -> DataFrame:
