@@ -50,14 +50,19 @@ def latest_forecast(pred: DataFrame) -> DataFrame:
 
 
 def forecast_accuracy(pred: DataFrame, actual: DataFrame) -> DataFrame:
-    """J5 + A11: MAPE per forecast and horizon where the actual value is > 0."""
-    long = forecast_long(pred).where(F.col("predicted").isNotNull())
+    """J5 + A11: MAPE of every forecast and horizon; null without a forecast or a positive actual value."""
     act = actual.select("region_id", F.col("time").alias("target_time"), F.col("demand_mw").alias("actual"))
-    j = long.join(act, ["region_id", "target_time"], "inner").where(F.col("actual") > 0)
-    mape = F.round(F.abs((F.col("actual") - F.col("predicted")) / F.col("actual")) * 100, 2)
+    j = forecast_long(pred).join(act, ["region_id", "target_time"], "left")
+    error = F.abs((F.col("actual") - F.col("predicted")) / F.nullif(F.col("actual"), F.lit(0.0)))
+    mape = F.when(F.col("actual") > 0, F.round(error * 100, 2))
     return j.select("region_id", "created_at", "horizon", mape.alias("mape"), (F.lit(100.0) - mape).alias("accuracy"))
 
 
+def latest_forecast_accuracy(pred: DataFrame, actual: DataFrame) -> DataFrame:
+    """L2 + J5 + A11: the newest forecast of every region, 24 rows each."""
+    return forecast_accuracy(latest_forecast(pred), actual)
+
+
 def r2_mae(long_pred: DataFrame, keys=("region_id", "horizon"), y: str = "actual", p: str = "predicted") -> DataFrame:
     """A8 + A9: R^2 and MAE per group in one aggregate (one shuffle).
 

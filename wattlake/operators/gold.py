@@ -18,10 +18,10 @@ def hourly_mean(demand: DataFrame) -> DataFrame:
 def with_region_name(df: DataFrame, regions: DataFrame) -> DataFrame:
     """Dimension lookup; unmatched ids keep a null name.
 
-    ``regions`` is the region dimension (a handful of rows), so it is
-    broadcast and the fact side is never shuffled for this join.
+    No broadcast hint: Spark broadcasts the dimension when its measured size
+    is below the threshold, and shuffles otherwise.
     """
-    return df.join(F.broadcast(regions.select("region_id", "region_name")), "region_id", "left")
+    return df.join(regions.select("region_id", "region_name"), "region_id", "left")
 
 
 def hourly_features(demand_5min: DataFrame, weather: DataFrame) -> DataFrame:
@@ -63,59 +63,68 @@ def gold_daily(hourly: DataFrame, min_last_hour: int = 23) -> DataFrame:
     return agg.where(F.col("_last_hour") >= min_last_hour).drop("_last_hour")
 
 
+def _open_hours(df: DataFrame, marks: DataFrame, reopen_last: bool) -> DataFrame:
+    """Rows of hours after each region's newest hour in the sink, that hour included with ``reopen_last``.
+
+    A region without a mark is new: all its rows are open. ``marks`` has one
+    row per region.
+    """
+    hour = hour_floor("time")
+    after = hour >= F.col("_mark") if reopen_last else hour > F.col("_mark")
+    return df.join(marks, "region_id", "left").where(F.col("_mark").isNull() | after).drop("_mark")
+
+
 def gold_hourly_increment(
     sink: DataFrame,
     demand_5min: DataFrame,
     weather: DataFrame,
     regions: DataFrame,
     seed_fill: bool = True,
+    reopen_last: bool = True,
 ) -> DataFrame:
-    """Incremental gold: the new hours after ``max(sink.time)``.
+    """Incremental gold: the hours that are new for their region; write by upsert.
 
-    D3: new demand is selected on its *truncated* hour (raw ``time > last``
-    would re-emit the last hour partially). D10: with ``seed_fill`` the last
-    sink row per region seeds the forward fill, so a gap at the batch start
-    is filled like a full rebuild would.
+    Every region has its own mark, so one that lags behind loses nothing, and
+    its newest hour, which may have been built from part of its rows, is
+    computed again (``reopen_last``). With ``seed_fill`` the last sink row
+    before the open hours seeds the forward fill, so a gap at the batch start
+    is filled as a full rebuild would.
     """
-    from wattlake.functions.timecols import add_hours
-    from wattlake.operators.incremental import high_water
-
-    last = high_water(sink)
-    d = demand_5min.where(F.col("time") >= add_hours(last, 1))
-    w = weather.where(F.col("time") > last)
+    marks = sink.groupBy("region_id").agg(F.max("time").alias("_mark"))
+    d = _open_hours(demand_5min, marks, reopen_last)
+    w = _open_hours(weather, marks, reopen_last)
     new = gold_hourly(d, w, regions, fill=False).withColumn("_seed", F.lit(False))
     if not seed_fill:
         return forward_fill(new.drop("_seed"), WEATHER_COLS, "region_id", "time")
     cols = ["time", "region_id", "region_name", "demand_mw", *WEATHER_COLS]
+    closed = sink.join(marks, "region_id").where(F.col("time") < F.col("_mark")) if reopen_last else sink
     seed = (
-        sink.groupBy("region_id")
+        closed.groupBy("region_id")
         .agg(F.max_by(F.struct(*[c for c in cols if c != "region_id"]), F.col("time")).alias("_s"))
         .select("region_id", "_s.*")
         .select(*cols)
         .withColumn("_seed", F.lit(True))
     )
-    # fill over (seed + batch); the day chunk of the seed row carries into the batch
     filled = forward_fill(new.unionByName(seed), WEATHER_COLS, "region_id", "time")
     return filled.where(~F.col("_seed")).drop("_seed")
 
 
 def features_increment(sink: DataFrame, demand_5min: DataFrame, weather: DataFrame, reopen_last: bool = True) -> DataFrame:
-    """Incremental silver features.
+    """Incremental silver features with a mark per region; write by upsert.
 
-    Upstream keeps only hours ``> max(sink.time)``, so an hour first seen
-    while partial is never refreshed (D2). With ``reopen_last`` the boundary
-    hour is recomputed too; write the result with an upsert (S7).
+    With ``reopen_last`` a region's newest hour, first seen while partial, is
+    computed again (D2).
     """
-    from wattlake.operators.incremental import high_water
-
-    last = high_water(sink)
-    d = demand_5min.where(F.col("time") >= last) if reopen_last else demand_5min.where(F.col("time") > last)
-    feats = hourly_features(d, weather.where(F.col("time") >= last))
-    return feats.where(F.col("time") >= last) if reopen_last else feats.where(F.col("time") > last)
+    marks = sink.groupBy("region_id").agg(F.max("time").alias("_mark"))
+    return hourly_features(_open_hours(demand_5min, marks, reopen_last), _open_hours(weather, marks, reopen_last))
 
 
 def gold_daily_increment(sink_daily: DataFrame, hourly: DataFrame, min_last_hour: int = 23) -> DataFrame:
-    """Incremental daily gold: days after the newest day in the sink. A day
-    that was incomplete last run is not in the sink, so it is retried."""
-    last = sink_daily.select(F.coalesce(F.max("date"), F.lit("1970-01-01").cast("date"))).scalar()
-    return gold_daily(hourly.where(F.to_date("time") > last), min_last_hour)
+    """Incremental daily gold: the complete days of a region that the sink does not hold yet.
+
+    The anti join is per (date, region), so a day that was incomplete for one
+    region is summarised as soon as it is complete, whatever the others did.
+    """
+    have = sink_daily.select(F.col("date").alias("_date"), F.col("region_id").alias("_region"))
+    missing = hourly.join(have, (F.to_date("time") == F.col("_date")) & (F.col("region_id") == F.col("_region")), "left_anti")
+    return gold_daily(missing, min_last_hour)

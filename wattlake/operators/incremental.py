@@ -51,18 +51,25 @@ def newer_than(
     return j.where(F.col(col) > m).drop("_mark")
 
 
-def dedupe_last(df: DataFrame, keys: Sequence[str], order_by: str) -> DataFrame:
-    """Keep the row with the greatest ``order_by`` per key (last write wins)."""
+def dedupe_last(df: DataFrame, keys: Sequence[str], order_by: str | None = None) -> DataFrame:
+    """One row per key: the greatest ``order_by``, nulls first, ties by the other columns.
+
+    Without ``order_by`` (a source position) the greatest row by its other
+    columns stays, so the result does not depend on the order of arrival.
+    """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order_by)).alias("_r"))
+    if not rest:
+        return df.distinct()
+    order = F.struct(*([order_by] if order_by else []), *rest)
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_r"))
     return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: str | None = None) -> DataFrame:
-    """Merge on ``keys``, the source wins; ``order_by`` dedupes the batch first."""
+    """Merge on ``keys``, the source wins; the batch is always deduped first, by ``order_by``."""
     keys = list(keys)
-    src = dedupe_last(source, keys, order_by).drop(order_by) if order_by else source
+    src = dedupe_last(source, keys, order_by)
     cols = target.columns
     kept = target.join(src.select(*keys), keys, "left_anti")
     return kept.unionByName(src.select(*cols))
@@ -121,6 +128,6 @@ def backfill_slices(spark: SparkSession, start, end, last_time=None, days: int =
 
 def assign_slice(df: DataFrame, start, days: int = 7, col: str = "time") -> DataFrame:
     """Slice id of every row by arithmetic (an equi-key, no range join)."""
-    s = F.lit(start).cast("timestamp_ntz")
+    s = (start if isinstance(start, Column) else F.lit(start)).cast("timestamp_ntz")
     secs = F.unix_timestamp(F.col(col)) - F.unix_timestamp(s)
     return df.withColumn("slice_id", F.floor(secs / F.lit(days * 86400)).cast("int"))

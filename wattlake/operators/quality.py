@@ -94,12 +94,11 @@ def _struct_sql(i: int, r: Rule, column: str | None, e: str, u: str, obs: str, o
 
 
 def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
-    """Q6: evaluate a suite over one scan of the table.
+    """Q6: evaluate a suite in one global aggregate, plus one over the keys alone.
 
-    Every row rule is a pair of counts, so with a compound-key rule the
-    counts are first taken per key (``groupBy(keys)``, partial aggregation)
-    and then summed; the same per-key counts give the duplicate rows. Without
-    a key rule it is a single global aggregate. Rules compile to SQL text.
+    Row rules are pairs of counts in a single ``agg`` (partial sums per task,
+    no row is shuffled); a compound-key rule counts rows per key, so only the
+    key columns are read and shuffled for it. Rules compile to SQL text.
     """
     rules = list(enumerate(suite.rules, 1))
     row_rules = [(i, r) for i, r in rules if r.expectation != "expect_compound_columns_to_be_unique"]
@@ -107,28 +106,18 @@ def run_suite(df: DataFrame, suite: Suite) -> DataFrame:
     if len({r.columns for _, r in key_rules}) > 1:
         raise ValueError("one compound key per suite")
     parts = [_row_rule_sql(r) for _, r in row_rules]
+    totals = df.selectExpr(
+        "count(1) AS _rows",
+        *[f"{ev} AS e{i}" for (i, _), (ev, _) in zip(row_rules, parts)],
+        *[f"{bad} AS u{i}" for (i, _), (_, bad) in zip(row_rules, parts)],
+    )
     structs = []
-    if key_rules:
-        keys = list(key_rules[0][1].columns)
-        per_key = df.groupBy(*keys).agg(
-            F.expr("count(1)").alias("_n"),
-            *[F.expr(ev).alias(f"pe{i}") for (i, _), (ev, _) in zip(row_rules, parts)],
-            *[F.expr(bad).alias(f"pu{i}") for (i, _), (_, bad) in zip(row_rules, parts)],
-        )
-        totals = per_key.selectExpr(
-            "sum(_n) AS _rows",
-            "coalesce(sum(CASE WHEN _n > 1 THEN _n ELSE 0 END), 0) AS _dup",
-            *[f"sum(pe{i}) AS e{i}" for i, _ in row_rules],
-            *[f"sum(pu{i}) AS u{i}" for i, _ in row_rules],
-        )
-        for i, r in key_rules:
-            e, u = "coalesce(_rows, 0)", "_dup"
-            structs.append(_struct_sql(i, r, ",".join(r.columns), e, u, f"CAST({u} / greatest({e}, 1) AS DOUBLE)", f"({u} = 0)"))
-    else:
-        totals = df.selectExpr(
-            *[f"{ev} AS e{i}" for (i, _), (ev, _) in zip(row_rules, parts)],
-            *[f"{bad} AS u{i}" for (i, _), (_, bad) in zip(row_rules, parts)],
-        )
+    for i, r in key_rules:
+        per_key = df.groupBy(*r.columns).agg(F.count(F.lit(1)).alias("_n"))
+        repeated = per_key.select(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)))
+        totals = totals.withColumn("_dup", repeated.scalar())
+        e, u = "_rows", "_dup"
+        structs.append(_struct_sql(i, r, ",".join(r.columns), e, u, f"CAST({u} / greatest({e}, 1) AS DOUBLE)", f"({u} = 0)"))
     for i, r in row_rules:
         e, u = f"coalesce(e{i}, 0)", f"u{i}" if r.expectation == "expect_table_row_count_to_be_between" else f"coalesce(u{i}, 0)"
         obs, ok = _verdict_sql(r, e, u)

@@ -29,6 +29,9 @@ from pyspark.sql import functions as F
 from wattlake.functions.timecols import epoch_seconds
 
 DEFAULT_BLOCK_ROWS = 100_000
+# rows per (key, chunk) at one row per grain, and the grain assumed without a better one
+CHUNK_ROWS = 2048
+DEFAULT_GRAIN_SECONDS = 3600
 DEFAULT_BLOCK_SECONDS = 90 * 24 * 3600
 
 Build = Callable[[WindowSpec], dict[str, Column]]
@@ -38,27 +41,29 @@ def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def _default_chunk(order: str) -> Column:
-    """Hour bucket of the order column (epoch seconds div 3600).
+def time_chunk(order: str, grain_seconds: int = DEFAULT_GRAIN_SECONDS) -> Column:
+    """Bucket of ``CHUNK_ROWS`` grains of the order column.
 
-    A (key, hour) group holds one hour of one key, so even a key with a third
-    of all rows is cut into groups of bounded size; the per-(key, hour)
-    summary tables stay orders of magnitude smaller than the data.
+    With one row per key and grain, a (key, chunk) group holds at most
+    ``CHUNK_ROWS`` rows whatever the grain is, and the summary of a key has
+    one row for up to ``CHUNK_ROWS`` rows of data, so the per-key step over it
+    stays small. Coarser data than the given grain only makes chunks smaller;
+    give the grain of finer data.
     """
-    return F.floor(epoch_seconds(order) / F.lit(3600))
+    return F.floor(epoch_seconds(order) / F.lit(CHUNK_ROWS * grain_seconds))
 
 
-_index_chunk = _default_chunk
-
-
-def row_index(df: DataFrame, key: str | Sequence[str], order: str, chunk: Column | None = None, name: str = "_idx") -> DataFrame:
+def row_index(
+    df: DataFrame, key: str | Sequence[str], order: str, chunk: Column | None = None, name: str = "_idx",
+    grain_seconds: int = DEFAULT_GRAIN_SECONDS,
+) -> DataFrame:
     """Add a 0-based row position per key in ``order`` without a per-key task.
 
     Counts per (key, chunk) are a small table; their running sum gives each
     chunk's offset, and ``row_number`` runs inside (key, chunk).
     """
     keys = _keys(key)
-    d = df.withColumn("_chunk", chunk if chunk is not None else _index_chunk(order))
+    d = df.withColumn("_chunk", chunk if chunk is not None else time_chunk(order, grain_seconds))
     counts = d.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
@@ -78,6 +83,7 @@ def row_window(
     lookahead: int = 0,
     block_rows: int = DEFAULT_BLOCK_ROWS,
     chunk: Column | None = None,
+    grain_seconds: int = DEFAULT_GRAIN_SECONDS,
 ) -> DataFrame:
     """Evaluate row-offset window expressions per key, partitioned by (key, block).
 
@@ -89,7 +95,7 @@ def row_window(
         raise ValueError("lookback/lookahead must not exceed block_rows")
     keys = _keys(key)
     cols = df.columns
-    d = row_index(df, keys, order, chunk)
+    d = row_index(df, keys, order, chunk, grain_seconds=grain_seconds)
     blk = F.floor(F.col("_idx") / F.lit(block_rows))
     pos = F.col("_idx") - blk * F.lit(block_rows)
     copies = [blk]
@@ -151,6 +157,7 @@ def forward_fill(
     key: str | Sequence[str],
     order: str,
     chunk: Column | None = None,
+    grain_seconds: int = DEFAULT_GRAIN_SECONDS,
 ) -> DataFrame:
     """Replace nulls in ``cols`` with the last non-null value of the key.
 
@@ -160,7 +167,7 @@ def forward_fill(
     """
     keys = _keys(key)
     out_cols = df.columns
-    d = df.withColumn("_chunk", chunk if chunk is not None else _default_chunk(order))
+    d = df.withColumn("_chunk", chunk if chunk is not None else time_chunk(order, grain_seconds))
     upto = Window.partitionBy(*keys, "_chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     d = d.select(
         *[c for c in d.columns if c not in cols],

@@ -33,8 +33,8 @@ _ACC = """
 , acc AS (
   SELECT f.region_id, f.created_at, f.horizon,
          round(abs((a.demand_mw - f.predicted) / a.demand_mw) * 100, 2) AS mape
-  FROM forecast_long f JOIN features_ml a ON f.region_id = a.region_id AND f.target_time = a.time
-  WHERE f.predicted IS NOT NULL AND a.demand_mw > 0
+  FROM forecast_long f LEFT JOIN (SELECT * FROM features_ml WHERE demand_mw > 0) a
+  ON f.region_id = a.region_id AND f.target_time = a.time
 )"""
 
 
@@ -47,6 +47,17 @@ def forecast_accuracy(spark, sf_dir):
     return S.rounded(FC.forecast_accuracy(S.predictions(spark, sf_dir), S.features_ml(spark, sf_dir)))
 
 
+@register(
+    "latest_forecast_accuracy",
+    O.sql(_ACC + ", newest AS (SELECT region_id, max(created_at) AS created_at FROM predictions GROUP BY 1)"
+          " SELECT region_id, created_at, CAST(horizon AS INTEGER) AS horizon, " + O.r4("mape") + ", "
+          + O.r4("100.0 - mape", "accuracy") + " FROM acc JOIN newest USING (region_id, created_at)").replace("\n, acc AS", ", acc AS"),
+)
+def latest_forecast_accuracy(spark, sf_dir):
+    """24 rows per region, null where the target hour has no actual value yet."""
+    return S.rounded(FC.latest_forecast_accuracy(S.predictions(spark, sf_dir), S.features_ml(spark, sf_dir)))
+
+
 _R2 = """
 , lp AS (
   SELECT f.region_id, f.horizon, a.demand_mw AS actual, f.predicted

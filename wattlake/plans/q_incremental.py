@@ -127,9 +127,7 @@ def backfill_slices(spark, sf_dir):
         "d0", F.posexplode(F.sequence(F.col("d0"), F.col("t1"), F.make_dt_interval(F.lit(7)))).alias("slice_id", "slice_start")
     )
     d0 = bronze.select(F.to_date(F.min("time")).cast("timestamp_ntz")).scalar()
-    rows = bronze.withColumn(
-        "slice_id", F.floor((F.unix_timestamp("time") - F.unix_timestamp(d0)) / F.lit(7 * 86400)).cast("int")
-    )
+    rows = INC.assign_slice(bronze, d0, 7)
     per_slice = rows.groupBy("slice_id").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("time").alias("first_time"), F.max("time").alias("last_time")
     )
@@ -138,10 +136,17 @@ def backfill_slices(spark, sf_dir):
     )
 
 
-GOLD_CUT = "2024-01-15 00:00:00"
+GOLD_CUT = "2024-01-15 10:30:00"  # mid-hour: each region's newest hour is partial
+LATE_REGION, LATE_CUT = "QLD1", "2024-01-12 06:15:00"  # one region is days behind in the first run
 FEATURE_CUT = "2024-01-15 10:30:00"  # mid-hour: the sink's last hour is partial
 
 
+def _seen_first(cut: str):
+    """Rows that the first run saw: up to the cut, the late region up to its own."""
+    last = F.when(F.col("region_id") == LATE_REGION, F.lit(LATE_CUT)).otherwise(F.lit(cut)).cast("timestamp_ntz")
+    return F.col("time") < last
+
+
 @register(
     "incremental_gold",
     O.sql(
@@ -151,15 +156,15 @@ FEATURE_CUT = "2024-01-15 10:30:00"  # mid-hour: the sink's last hour is partial
     ),
 )
 def incremental_gold(spark, sf_dir):
-    """D3 + D10: first run up to a cut, second run incremental with the
-    truncated-hour filter and a seeded fill; equals the full build."""
+    """D3 + D10: first run up to a mid-hour cut with one region days behind;
+    the second run reopens each region's newest hour and seeds the fill.
+    Equals the full build."""
     from wattlake.operators.gold import gold_hourly, gold_hourly_increment
 
     dm, wh, reg = S.demand_5min(spark, sf_dir), S.weather_hourly(spark, sf_dir), standins.regions(spark)
-    cut = F.lit(GOLD_CUT).cast("timestamp_ntz")
-    sink = gold_hourly(dm.where(F.col("time") < cut), wh.where(F.col("time") < cut), reg)
+    sink = gold_hourly(dm.where(_seen_first(GOLD_CUT)), wh.where(_seen_first(GOLD_CUT)), reg)
     new = gold_hourly_increment(sink, dm, wh, reg)
-    return S.rounded(sink.unionByName(new))
+    return S.rounded(INC.upsert(sink, new, KEYS))
 
 
 @register(
@@ -176,7 +181,7 @@ def incremental_features(spark, sf_dir):
     from wattlake.operators.gold import features_increment, hourly_features
 
     dm, wh = S.demand_5min(spark, sf_dir), S.weather_hourly(spark, sf_dir)
-    sink = hourly_features(dm.where(F.col("time") < F.lit(FEATURE_CUT).cast("timestamp_ntz")), wh)
+    sink = hourly_features(dm.where(_seen_first(FEATURE_CUT)), wh)
     inc = features_increment(sink, dm, wh, reopen_last=True)
     return S.rounded(INC.upsert(sink, inc, KEYS))
 
@@ -201,5 +206,5 @@ def incremental_daily(spark, sf_dir):
     from wattlake.operators.gold import gold_daily, gold_daily_increment
 
     hourly = S.correlation_hourly(spark, sf_dir)
-    first = gold_daily(hourly.where(F.col("time") < F.lit(DAILY_CUT).cast("timestamp_ntz")))
+    first = gold_daily(hourly.where(_seen_first(DAILY_CUT)))
     return S.rounded(first.unionByName(gold_daily_increment(first, hourly)))
