@@ -64,11 +64,12 @@ def serving_static(history: DataFrame, missing: str = "zero") -> DataFrame:
             out[f"demand_lag_{k}h"] = F.first(d).over(w.rangeBetween(-k * H, -k * H))
         for k in TEMP_LAGS:
             out[f"temp_lag_{k}h"] = F.first(t).over(w.rangeBetween(-k * H, -k * H))
-        w24 = w.rangeBetween(-23 * H, -H)
+        # open at the left edge: times after t - 24 h, also off the hour
+        w24 = w.rangeBetween(-24 * H + 1, -H)
         out["demand_rolling_mean_24h"] = F.avg(d).over(w24)
         out["_n24"] = F.count(d).over(w24)
         out["demand_rolling_std_24h"] = F.stddev_samp(d).over(w24)
-        out["demand_rolling_mean_168h"] = F.avg(d).over(w.rangeBetween(-167 * H, -H))
+        out["demand_rolling_mean_168h"] = F.avg(d).over(w.rangeBetween(-168 * H + 1, -H))
         return out
 
     base = history.select("region_id", "time", "demand_mw", "temperature_2m")

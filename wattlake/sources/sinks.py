@@ -1,20 +1,44 @@
-"""Table sinks on shared storage.
+"""Keyed tables on shared storage.
 
-Parquet has no MERGE, so a keyed write produces a new table version:
-``<base>/v=<n>/`` is written completely (Spark's ``_SUCCESS`` marks it done)
-and readers take the highest finished version. A failed or retried job
-leaves at most an unfinished directory that nobody reads, and the version
-being read is never overwritten.
+Parquet has no MERGE, so a table is a folder of immutable files and a log:
+
+* ``<base>/data/<id>/_day=<date>/`` holds the rows of one day from one write;
+* ``<base>/_log/<n>.json`` says, for commit ``n``, which folders make up each
+  day, and the last epoch of every writer.
+
+A write reads and rewrites the days its batch touches and no others, then adds
+the next log file. The file is created exclusively, so of two writers one
+fails and can retry; until then readers see the previous commit whole. A batch
+whose epoch was committed before is skipped, so a replayed micro-batch changes
+nothing. Folders that none of the last ``KEEP`` commits names are removed.
+
+The list of days is held by the driver: it is bounded by the calendar.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+
+from wattlake.operators.incremental import dedupe_last, insert_absent, upsert
+
+#: Commits whose files are kept for readers that still use them.
+KEEP = 5
+_DAY = "_day"
+_NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+
 
-from wattlake.operators.incremental import delete_insert, insert_absent, upsert
+@dataclass
+class Commit:
+    number: int = 0
+    days: dict[str, list[str]] = field(default_factory=dict)
+    epochs: dict[str, int] = field(default_factory=dict)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -23,92 +47,155 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
-    fs, p = _fs(spark, base)
+def _log_numbers(spark: SparkSession, base: str) -> list[int]:
+    fs, p = _fs(spark, f"{base}/_log")
     if not fs.exists(p):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v="):
-            done = fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
-            if done:
-                out.append(int(name[2:]))
-    return sorted(out)
-
-
-def current_version(spark: SparkSession, base: str) -> int | None:
-    v = _versions(spark, base)
-    return v[-1] if v else None
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+
+def _load(spark: SparkSession, base: str, number: int) -> Commit | None:
+    fs, p = _fs(spark, f"{base}/_log/{number}.json")
+    stream = fs.open(p)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    try:
+        return Commit(number, **json.loads(text))
+    except ValueError:  # its writer has not finished the file
+        return None
 
 
-def read_table(spark: SparkSession, base: str, schema=None) -> DataFrame | None:
-    """The newest finished version, or None when the table does not exist."""
-    v = current_version(spark, base)
-    if v is None:
+def current_commit(spark: SparkSession, base: str) -> Commit:
+    """The newest finished commit; number 0 without one."""
+    for n in reversed(_log_numbers(spark, base)):
+        if (found := _load(spark, base, n)) is not None:
+            return found
+    return Commit()
+
+
+def _commit(spark: SparkSession, base: str, commit: Commit) -> None:
+    fs, p = _fs(spark, f"{base}/_log/{commit.number}.json")
+    out = fs.create(p, False)  # fails if another writer has taken the number
+    out.write(bytearray(json.dumps({"days": commit.days, "epochs": commit.epochs}).encode()))
+    out.close()
+    _clean(spark, base, commit.number)
+
+
+def _clean(spark: SparkSession, base: str, newest: int) -> None:
+    """Remove logs older than the kept ones and the folders that no kept log names."""
+    old = [n for n in _log_numbers(spark, base) if n <= newest - KEEP]
+    if not old:
+        return
+    kept = [c for n in _log_numbers(spark, base) if n > newest - KEEP and (c := _load(spark, base, n))]
+    named = {f for c in kept for folders in c.days.values() for f in folders}
+    for n in old:
+        if commit := _load(spark, base, n):
+            for folder in {f for folders in commit.days.values() for f in folders} - named:
+                fs, p = _fs(spark, f"{base}/{folder}")
+                fs.delete(p, True)
+        fs, p = _fs(spark, f"{base}/_log/{n}.json")
+        fs.delete(p, False)
+
+
+def read_table(spark: SparkSession, base: str, schema=None, days: Sequence[str] | None = None) -> DataFrame | None:
+    """The table as of its newest commit (of the given days only); None when there is nothing."""
+    commit = current_commit(spark, base)
+    folders = [f for d, fs in commit.days.items() if days is None or d in days for f in fs]
+    if not folders:
         return None
     r = spark.read.schema(schema) if schema is not None else spark.read
-    return r.parquet(f"{base}/v={v}")
-
-
-def write_version(df: DataFrame, base: str, partition_by: Sequence[str] | None = None) -> int:
-    """Write ``df`` as the next version; returns rows written."""
-    spark = df.sparkSession
-    v = (current_version(spark, base) or 0) + 1
-    obs = Observation(f"write_{abs(hash((base, v)))}")
-    w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(f"{base}/v={v}")
-    return int(obs.get["rows"])
-
+    return r.parquet(*[f"{base}/{f}" for f in folders])
 
-def build(df: DataFrame, base: str, partition_by: Sequence[str] | None = None) -> int:
-    """Full build (create-table-as) = a new version from scratch."""
-    return write_version(df, base, partition_by)
 
+def _day(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Day of the first time column, key columns first; one part for a table without any."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    for c in [*keys, *df.columns]:
+        if isinstance(kinds[c], (TimestampType, TimestampNTZType, DateType)):
+            return F.date_format(c, "yyyy-MM-dd")
+    return F.lit("all")
 
-def append(df: DataFrame, base: str) -> int:
-    """Append rows; an empty frame writes nothing. Returns rows written."""
-    if df.isEmpty():
-        return 0
-    spark = df.sparkSession
-    v = current_version(spark, base)
-    if v is None:
-        return write_version(df, base)
-    obs = Observation(f"append_{abs(hash(base))}_{v}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(f"{base}/v={v}")
-    return int(obs.get["rows"])
-
-
-def _merge(spark: SparkSession, source: DataFrame, base: str, fn) -> int:
-    target = read_table(spark, base, source.schema)
-    if target is None:
-        return write_version(source, base)
-    return write_version(fn(target), base)
 
-
-def upsert_table(source: DataFrame, base: str, keys: Sequence[str], order_by: str | None = None) -> int:
-    """S7 sink: last write wins, batch deduped by ``order_by``."""
+def _write(
+    source: DataFrame, base: str, keys: Sequence[str], merge: Callable[[DataFrame, DataFrame], DataFrame] | None,
+    epoch: int | None, writer: str, keep_days: bool = True,
+) -> int:
+    """Commit ``merge(old rows of the touched days, source)``; without ``merge``, add the source's folders to the days."""
     spark = source.sparkSession
-    src = source
-    if order_by:
-        from wattlake.operators.incremental import dedupe_last
-
-        src = dedupe_last(source, keys, order_by).drop(order_by)
-    return _merge(spark, src, base, lambda t: upsert(t.select(*src.columns), src, keys))
-
-
-def delete_insert_table(source: DataFrame, base: str, keys: Sequence[str]) -> int:
-    """S8 sink."""
-    return _merge(source.sparkSession, source, base, lambda t: delete_insert(t, source, keys))
-
-
-def insert_absent_table(source: DataFrame, base: str, keys: Sequence[str]) -> int:
-    """S9 sink: first write wins."""
-    return _merge(source.sparkSession, source, base, lambda t: insert_absent(t, source, keys))
-
-
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None) -> DataFrame:
-    """Read an operational table through JDBC (driver jar supplied by the cluster)."""
-    return spark.read.jdbc(url, table, properties=properties or {})
+    before = current_commit(spark, base)
+    if epoch is not None and epoch <= before.epochs.get(writer, -1):
+        return 0
+    src = source.withColumn(_DAY, _day(source, keys)).persist()
+    try:
+        found = src.groupBy(_DAY).count().collect()
+        counts = {r[_DAY] if r[_DAY] is not None else _NULL_DAY: r["count"] for r in found}
+        days = dict(before.days) if keep_days else {}
+        epochs = before.epochs | ({writer: epoch} if epoch is not None else {})
+        if counts:
+            new = src
+            old = [f for d in counts for f in days.get(d, [])]
+            if merge is not None and old:
+                target = spark.read.schema(source.schema).parquet(*[f"{base}/{f}" for f in old])
+                new = merge(target, src.drop(_DAY))
+                new = new.withColumn(_DAY, _day(new, keys))
+            folder = f"data/{uuid.uuid4().hex}"
+            new.write.partitionBy(_DAY).parquet(f"{base}/{folder}")
+            for d in counts:
+                own = f"{folder}/{_DAY}={d}"
+                days[d] = [own] if merge is not None or not keep_days else [*days.get(d, []), own]
+        elif epoch is None and keep_days:
+            return 0
+        _commit(spark, base, Commit(before.number + 1, days, epochs))
+        return sum(counts.values())
+    finally:
+        src.unpersist()
+
+
+def build(df: DataFrame, base: str, keys: Sequence[str] = ()) -> int:
+    """Full build (create-table-as); replaces what the table held. Returns rows written."""
+    return _write(df, base, keys, None, None, "build", keep_days=False)
+
+
+def append(df: DataFrame, base: str, epoch: int | None = None, writer: str = "append") -> int:
+    """Add rows; an empty frame adds none, a committed epoch is skipped. Returns rows written."""
+    return _write(df, base, (), None, epoch, writer)
+
+
+def upsert_table(
+    source: DataFrame, base: str, keys: Sequence[str], order_by: str | None = None, epoch: int | None = None,
+    writer: str = "upsert",
+) -> int:
+    """Last write wins. The batch is always deduped, by ``order_by`` (dropped then) or by its other columns."""
+    src = dedupe_last(source, keys, order_by)
+    src = src.drop(order_by) if order_by else src
+    return _write(src, base, keys, lambda old, new: upsert(old, new, keys), epoch, writer)
+
+
+def upsert_newest_table(
+    source: DataFrame, base: str, keys: Sequence[str], position: str, epoch: int | None = None, writer: str = "upsert"
+) -> int:
+    """S7 by source position: of all writes of a key the greatest ``position`` stays, in whatever order they arrive.
+
+    The position is a column of the table, so batches may overlap, repeat or
+    come out of order without changing the result.
+    """
+    newest = lambda old, new: dedupe_last(old.unionByName(new), keys, position)
+    return _write(dedupe_last(source, keys, position), base, keys, newest, epoch, writer)
+
+
+def delete_insert_table(
+    source: DataFrame, base: str, keys: Sequence[str], epoch: int | None = None, writer: str = "delete_insert"
+) -> int:
+    """The batch's keys are deleted, then its rows (one per key) inserted."""
+    return upsert_table(source, base, keys, None, epoch, writer)
+
+
+def insert_absent_table(
+    source: DataFrame, base: str, keys: Sequence[str], epoch: int | None = None, writer: str = "insert_absent"
+) -> int:
+    """First write wins."""
+    src = dedupe_last(source, keys)
+    return _write(src, base, keys, lambda old, new: insert_absent(old, new, keys), epoch, writer)

@@ -42,11 +42,18 @@ ENVELOPE_SCHEMA = T.StructType(
 _ZONED = r"(Z|[+-][0-9]{2}:?[0-9]{2})$"
 
 
-def read_changes(spark: SparkSession, path: str, fmt: str = "text", options: dict | None = None) -> DataFrame:
-    """Change events as a stream of JSON text (files here; ``kafka`` on a cluster
-    with ``startingOffsets=latest`` (T11) and ``value`` cast to string)."""
-    r = spark.readStream.format(fmt).options(**(options or {}))
-    df = r.load(path)
+def read_changes(
+    spark: SparkSession, path: str | None, fmt: str = "text", options: dict | None = None, start: str = "latest"
+) -> DataFrame:
+    """S13 + T11: change events as a stream of JSON text, from files or ``kafka``.
+
+    ``start`` is where a query without a checkpoint begins: ``latest`` (only
+    new messages) or ``earliest``; files start with all that are there, and
+    with ``latest`` take the newest first.
+    """
+    own = {"startingOffsets": start} if fmt == "kafka" else {"latestFirst": str(start == "latest").lower()}
+    r = spark.readStream.format(fmt).options(**(own | (options or {})))
+    df = r.load(path) if path is not None else r.load()
     if fmt == "kafka":
         df = df.select(F.col("value").cast("string").alias("value"), "timestamp")
     return df
@@ -113,14 +120,18 @@ def change_counters(raw: DataFrame, value_col: str = "value") -> DataFrame:
     )
 
 
-def live_updates(changes: DataFrame) -> DataFrame:
-    """The fan-out projection; rows lacking region or value are dropped."""
-    return changes.where(F.col("region_id").isNotNull() & F.col("demand_mw").isNotNull()).select(
-        F.lit("demand_update").alias("type"),
-        F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
-        "region_id",
-        F.col("demand_mw").cast("double").alias("demand_mw"),
-    )
+def live_updates(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """The fan-out projection of change envelopes.
+
+    The event's time is passed through as it came and the region is not checked
+    against the list; messages without a region or a numeric value are dropped.
+    """
+    after = F.from_json(F.col(value_col), ENVELOPE_SCHEMA, {"mode": "PERMISSIVE"})["payload"]["after"]
+    value = after["demand_mw"].try_cast("double")
+    return raw.select(
+        F.lit("demand_update").alias("type"), after["time"].alias("timestamp"), after["region_id"].alias("region_id"),
+        value.alias("demand_mw"),
+    ).where((F.col("region_id") != "") & F.col("demand_mw").isNotNull())
 
 
 def latest_stream(changes: DataFrame) -> DataFrame:
@@ -129,10 +140,19 @@ def latest_stream(changes: DataFrame) -> DataFrame:
     return changes.groupBy("region_id").agg(s).select("region_id", "_l.time", "_l.demand_mw")
 
 
-def dedupe_stream(changes: DataFrame, window: str = "2 minutes", keys: Sequence[str] = ("region_id", "time")) -> DataFrame:
-    """Drop repeats of a key within the watermark delay (bounded state)."""
-    with_et = changes.withColumn("_event_time", F.col("time").cast("timestamp"))
-    return with_et.withWatermark("_event_time", window).dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")
+def dedupe_stream(changes: DataFrame, keys: Sequence[str] = ("region_id", "time"), window: str | None = None) -> DataFrame:
+    """Drop repeats of a key, and nothing else.
+
+    Without ``window`` every key is remembered, so neither file layout nor
+    timing decides the rows. With one (such as ``2 minutes``) a key is
+    forgotten that long after it arrived: the watermark is on arrival, so a
+    late event is never dropped, and state is bounded by the arrivals of the
+    window.
+    """
+    if window is None:
+        return changes.dropDuplicates(list(keys))
+    arrived = changes.withColumn("_arrival", F.current_timestamp())
+    return arrived.withWatermark("_arrival", window).dropDuplicatesWithinWatermark(list(keys)).drop("_arrival")
 
 
 def staleness(changes: DataFrame, as_of: dt.datetime | Column) -> DataFrame:

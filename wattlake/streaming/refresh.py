@@ -1,13 +1,14 @@
-"""Micro-batch jobs: hour trigger (T4, T5) and downstream refresh.
+"""Micro-batch jobs: hour trigger (T4, T5), refresh chain (T13, T14), saved poll position.
 
-Both run in ``foreachBatch``. Their durable state (the last fired hour, the
-tables) lives on shared storage and is only advanced after the batch's
-work succeeded, so a replayed batch (at-least-once) fires again exactly the
-hours that were not committed.
+Both streams run in ``foreachBatch``. Their durable state (fired hours, tables)
+lives on shared storage and is committed with the batch's epoch after the
+batch's work succeeded, so a replayed batch repeats only what was not
+committed.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,11 @@ from pyspark.sql import functions as F
 
 from wattlake.functions.timecols import hour_floor
 from wattlake.operators.clean import clean_demand
+from wattlake.operators.gold import hourly_features
 from wattlake.sources import sinks
+from wattlake.streaming.changes import poll_increment
+
+KEYS = ["time", "region_id"]
 
 
 def _last_fired(spark: SparkSession, state_path: str):
@@ -27,7 +32,7 @@ def _last_fired(spark: SparkSession, state_path: str):
 
 def fire_hours(batch: DataFrame, last_hour) -> DataFrame:
     """T4 for one micro-batch: hours that start with a minute-0 event and are
-    later than every hour fired before (in arrival order, then hour order)."""
+    later than every hour fired before; a late hour never fires."""
     q = batch.where(F.minute("time") == 0).select(hour_floor("time").alias("hour"))
     if last_hour is not None:
         q = q.where(F.col("hour") > F.lit(last_hour).cast("timestamp_ntz"))
@@ -41,21 +46,23 @@ def hour_trigger(
     checkpoint: str | None = None,
     trigger: dict | None = None,
 ):
-    """Start the trigger query; ``on_hour(spark, hour)`` runs per fired hour.
+    """Start the trigger query; ``on_hour(spark, hour)`` runs per fired hour, in hour order.
 
-    Fired hours are appended to ``state_path`` only after ``on_hour`` returned
-    (T5: a failure leaves the hour unfired, the batch is retried).
+    Fired hours are appended to ``state_path`` under the batch's epoch only
+    after ``on_hour`` returned for all (T5: a failure leaves them unfired and
+    the batch is retried). Hours reach the driver one partition at a time.
     """
 
     def batch_fn(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        last = _last_fired(spark, state_path)
-        hours = [r["hour"] for r in fire_hours(batch, last).orderBy("hour").collect()]  # a handful per batch
-        for h in hours:
+        hours = fire_hours(batch, _last_fired(spark, state_path)).orderBy("hour").persist()
+        try:
             if on_hour is not None:
-                on_hour(spark, h)
-        if hours:
-            sinks.append(spark.createDataFrame([(h, epoch_id) for h in hours], "hour timestamp_ntz, epoch bigint"), state_path)
+                for r in hours.toLocalIterator():
+                    on_hour(spark, r["hour"])
+            sinks.append(hours.withColumn("epoch", F.lit(epoch_id).cast("bigint")), state_path, epoch_id, "hours")
+        finally:
+            hours.unpersist()
 
     w = stream.writeStream.foreachBatch(batch_fn)
     if checkpoint:
@@ -63,23 +70,56 @@ def hour_trigger(
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def refresh_batch(
+    batch: DataFrame, base: str, epoch_id: int, weather: DataFrame | None = None, writer: str = "refresh"
+) -> int:
+    """One step of the chain: bronze demand, then silver demand, then the features of the touched hours.
+
+    ``batch`` is ``(time, region_id, demand_mw, position)``; of several updates
+    of a key the greatest position wins, across batches too. Features are
+    recomputed only for hours that the batch touches, from silver demand and
+    the hourly ``weather`` rows. Returns the bronze rows written.
+    """
+    spark = batch.sparkSession
+    rows = batch.select(*KEYS, "demand_mw", "position").persist()
+    try:
+        n = sinks.upsert_newest_table(rows, f"{base}/bronze_demand", KEYS, "position", epoch_id, writer)
+        days = [r.d for r in rows.select(F.date_format("time", "yyyy-MM-dd").alias("d")).distinct().collect()]
+        bronze = sinks.read_table(spark, f"{base}/bronze_demand", days=days)
+        if bronze is None:
+            return n
+        current = bronze.join(rows.select(*KEYS).distinct(), KEYS, "left_semi")
+        sinks.delete_insert_table(clean_demand(current), f"{base}/silver_demand", KEYS, epoch_id, writer)
+        silver = sinks.read_table(spark, f"{base}/silver_demand", days=days)
+        if silver is None or weather is None:
+            return n
+        hours = rows.select(hour_floor("time").alias("_hour"), F.col("region_id").alias("_region")).distinct()
+        touched = silver.join(hours, (hour_floor("time") == F.col("_hour")) & (F.col("region_id") == F.col("_region")), "left_semi")
+        sinks.upsert_table(hourly_features(touched, weather), f"{base}/features", KEYS, None, epoch_id, writer)
+        return n
+    finally:
+        rows.unpersist()
+
+
 def start_refresh(
     stream: DataFrame,
-    bronze_path: str,
-    silver_path: str,
+    base: str,
     checkpoint: str,
+    weather: Callable[[SparkSession], DataFrame] | None = None,
     trigger: dict | None = None,
     on_rows: Callable[[SparkSession, int], None] | None = None,
+    writer: str = "refresh",
 ):
-    """T13 + T14: each micro-batch is merged into bronze (S7), cleaned and
-    merged into silver (P1 + S8), then ``on_rows`` (e.g. the feature refresh)
-    runs. Micro-batches never overlap (single-flight by construction)."""
+    """T13 + T14: run ``refresh_batch`` on every micro-batch, then ``on_rows(spark, rows)``.
+
+    Micro-batches never overlap. Each table commits with the batch's epoch, so
+    a replay resumes behind the last table that was written. A restart with a
+    new checkpoint needs a new ``writer`` name, as its epochs start over.
+    """
 
     def batch_fn(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        keys = ["time", "region_id"]
-        n = sinks.upsert_table(batch.select("time", "region_id", "demand_mw"), bronze_path, keys)
-        sinks.delete_insert_table(clean_demand(batch), silver_path, keys)
+        n = refresh_batch(batch, base, epoch_id, weather(spark) if weather else None, writer)
         if on_rows is not None:
             on_rows(spark, n)
 
@@ -89,3 +129,24 @@ def start_refresh(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def poll(
+    rows: DataFrame, base: str, keys: list[str], lookback_minutes: int = 30, as_of: dt.datetime | None = None
+) -> int:
+    """Write the rows after the saved position to ``<base>/rows`` and save the new position.
+
+    The position is the newest time written; it is saved after the rows, so a
+    failure between the two repeats rows that the keyed write then replaces.
+    """
+    spark = rows.sparkSession
+    saved = sinks.read_table(spark, f"{base}/position")
+    last = saved.agg(F.max("position")).first()[0] if saved is not None else None
+    fresh = poll_increment(rows, last, lookback_minutes, as_of).persist()
+    try:
+        newest = fresh.agg(F.max("time").alias("position"))
+        n = sinks.upsert_table(fresh, f"{base}/rows", keys)
+        sinks.append(newest.where("position is not null"), f"{base}/position")
+        return n
+    finally:
+        fresh.unpersist()
