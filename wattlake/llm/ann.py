@@ -29,8 +29,8 @@ from wattlake.llm.common import Scratch
 
 #: Sample that the graph, the parts and the classifier are made from.
 SAMPLE = 8192
-#: Vectors of a part that the number of parts aims at, and the most parts that the sample supports.
-PART, MOST_PARTS = 512, 64
+#: Parts, as far as the sample gives each of them ``PART`` vectors.
+PARTS, PART = 32, 256
 GRAPH = 10
 HIDDEN = 128
 #: Recall on held-out sample queries that fixes how many parts a query visits.
@@ -172,7 +172,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, recall: float = REC
         return empty
     # equal vectors would make parts of their own
     points = np.unique(_matrix(chosen), axis=0)
-    parts = int(max(1, min(MOST_PARTS, -(-n // PART), len(points) // (2 * GRAPH))))
+    parts = max(1, min(PARTS, len(points) // PART))
     router, visits = fit(points[np.random.default_rng(0).permutation(len(points))], parts, k, recall)
     shared = spark.sparkContext.broadcast((router, visits))
     out_schema = "part int, block int, vec_id long, vec array<double>"
