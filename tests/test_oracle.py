@@ -3,11 +3,14 @@
 import pytest
 
 import __spark_entry__ as E
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_CHECK, SF_SMALL
 from tests.oracle_compare import compare, duck_connection
+from wattlake.plans import catalog
 
-ORACLE = E.oracle_sql()
-QUERIES = E.queries()
+catalog.load_all()
+ORACLE, QUERIES = catalog.ORACLE, catalog.QUERIES
+# the long lags of these need more history than the smallest tables hold
+LONG = {"features_wide", "split_profile", "horizon_long"}
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +20,11 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    r = compare(QUERIES[name](spark, SF_SMALL), con, ORACLE[name])
+    if name in LONG:
+        r = compare(QUERIES[name](spark, SF_CHECK), duck_connection(SF_CHECK), ORACLE[name])
+        assert r["spark_rows"] > 0
+    else:
+        r = compare(QUERIES[name](spark, SF_SMALL), con, ORACLE[name])
     assert r["match"], r
 
 

@@ -103,3 +103,14 @@ def test_wide_equals_pivot_of_long(spark):
     assert w.count() == p.count() > 0
     assert w.exceptAll(p).count() == 0
     ds.unpersist()
+
+
+def test_summaries_stay_far_smaller_than_the_data(spark):
+    """Chunks hold a bounded number of rows at an hourly and at a 5-minute grain."""
+    from wattlake.operators.series import CHUNK_ROWS, time_chunk
+
+    start = dt.datetime(2024, 1, 1)
+    for grain, n in ((3600, 20_000), (300, 40_000)):
+        times = spark.range(n).select((F.lit(start) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("id") * grain)).cast("timestamp_ntz").alias("time"))
+        sizes = [r["count"] for r in times.groupBy(time_chunk("time", grain)).count().collect()]
+        assert max(sizes) <= CHUNK_ROWS and len(sizes) <= n // CHUNK_ROWS + 2

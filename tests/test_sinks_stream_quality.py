@@ -104,3 +104,214 @@ def test_stamp_updated_at(spark):
 
     df = spark.createDataFrame([(1,)], "x int")
     assert stamp(df, dt.datetime(2024, 5, 1)).first().updated_at == dt.datetime(2024, 5, 1)
+
+
+DEMAND = "time timestamp_ntz, region_id string, demand_mw double"
+KEYS = ["time", "region_id"]
+
+
+def _files(base):
+    return {str(p.relative_to(base)) for p in base.rglob("*.parquet")}
+
+
+def test_two_updates_of_a_key_in_one_batch(spark, tmp_path):
+    rows = spark.createDataFrame([(T0, "NSW1", 1.0), (T0, "NSW1", 2.0)], DEMAND)
+    for name in (sinks.upsert_table, sinks.delete_insert_table, sinks.insert_absent_table):
+        base = str(tmp_path / name.__name__)
+        assert name(rows, base, KEYS) == 1
+        assert [tuple(r) for r in sinks.read_table(spark, base).collect()] == [(T0, "NSW1", 2.0)]
+
+
+def test_null_order_keeps_the_row(spark):
+    from wattlake.operators.incremental import dedupe_last
+
+    rows = spark.createDataFrame([(T0, "NSW1", 1.0, None), (T0, "SA1", 2.0, None), (T0, "SA1", 1.0, 3)], DEMAND + ", seq int")
+    got = sorted((r.region_id, r.demand_mw) for r in dedupe_last(rows, KEYS, "seq").collect())
+    assert got == [("NSW1", 1.0), ("SA1", 1.0)]
+
+
+def test_replayed_epoch_changes_nothing(spark, tmp_path):
+    base = str(tmp_path / "t")
+    rows = spark.createDataFrame([(T0, "NSW1", 1.0)], DEMAND)
+    assert sinks.append(rows, base, epoch=0) == 1
+    assert sinks.append(rows, base, epoch=0) == 0
+    assert sinks.append(rows, base, epoch=1) == 1
+    assert sinks.append(rows, base, epoch=1, writer="other") == 1
+    assert sinks.read_table(spark, base).count() == 3
+    assert sinks.append(rows.limit(0), base) == 0
+
+
+def test_untouched_days_are_not_rewritten_and_old_files_go(spark, tmp_path):
+    base = tmp_path / "t"
+    day = lambda n: T0 + dt.timedelta(days=n)
+    sinks.upsert_table(spark.createDataFrame([(day(n), "NSW1", float(n)) for n in range(4)], DEMAND), str(base), KEYS)
+    before = _files(base)
+    sinks.upsert_table(spark.createDataFrame([(day(2), "NSW1", 9.0)], DEMAND), str(base), KEYS)
+    new = _files(base) - before
+    assert new and all("_day=2024-01-03" in f for f in new)
+    for i in range(sinks.KEEP + 2):
+        sinks.upsert_table(spark.createDataFrame([(day(2), "NSW1", float(i))], DEMAND), str(base), KEYS)
+    assert len([f for f in _files(base) if "_day=2024-01-03" in f]) <= sinks.KEEP + 1
+    got = sorted((r.time, r.demand_mw) for r in sinks.read_table(spark, str(base)).collect())
+    assert got == [(day(0), 0.0), (day(1), 1.0), (day(2), float(sinks.KEEP + 1)), (day(3), 3.0)]
+
+
+def test_second_writer_of_a_commit_fails(spark, tmp_path):
+    import pytest
+    from py4j.protocol import Py4JJavaError
+
+    base = str(tmp_path / "t")
+    sinks.append(spark.createDataFrame([(T0, "NSW1", 1.0)], DEMAND), base)
+    taken = sinks.Commit(1)
+    with pytest.raises(Py4JJavaError):
+        sinks._commit(spark, base, taken)
+    assert sinks.read_table(spark, base).count() == 1
+
+
+def test_build_replaces_and_days_select(spark, tmp_path):
+    base = str(tmp_path / "t")
+    rows = spark.createDataFrame([(T0, "NSW1", 1.0), (T0 + dt.timedelta(days=1), "NSW1", 2.0), (None, "SA1", 3.0)], DEMAND)
+    assert sinks.build(rows, base, KEYS) == 3
+    assert sinks.read_table(spark, base, days=["2024-01-02"]).count() == 1
+    assert sinks.build(rows.limit(1), base, KEYS) == 1
+    assert sinks.read_table(spark, base).count() == 1
+
+
+def test_refresh_ignores_layout_order_and_replay(spark, tmp_path):
+    """The chain's tables depend on the rows alone: shuffled, split, repeated batches give the same."""
+    import random
+
+    from wattlake.streaming.refresh import refresh_batch
+
+    rng = random.Random(0)
+    schema = DEMAND + ", position long"
+    rows = [(T0 + dt.timedelta(minutes=5 * rng.randrange(60)), rng.choice(["NSW1", "SA1"]), float(i), i) for i in range(200)]
+    weather = spark.createDataFrame([(T0, "NSW1", *[1.0] * 6)], "time timestamp_ntz, region_id string, temperature_2m double, "
+                                    "relative_humidity_2m double, precipitation double, cloud_cover double, wind_speed_10m double, shortwave_radiation double")
+    results = []
+    for run, batches in (("one", [rows]), ("three", None)):
+        if batches is None:
+            mixed = rows[:]
+            rng.shuffle(mixed)
+            batches = [mixed[:90], mixed[50:], mixed[:90]]
+        base = str(tmp_path / run)
+        for epoch, b in enumerate(batches):
+            frame = spark.createDataFrame(b, schema)
+            refresh_batch(frame, base, epoch, weather)
+            refresh_batch(frame, base, epoch, weather)  # replay
+        tables = [sorted(map(tuple, sinks.read_table(spark, f"{base}/{t}").collect()), key=str)
+                  for t in ("bronze_demand", "silver_demand", "features")]
+        results.append(tables)
+    assert results[0] == results[1]
+    newest = {}
+    for t, r, v, p in rows:
+        newest[(t, r)] = max(newest.get((t, r), (-1, 0.0)), (p, v))
+    assert {(t, r): v for t, r, v in results[0][1]} == {k: v for k, (_, v) in newest.items()}
+
+
+def test_stream_queries_do_not_depend_on_file_layout(spark, tmp_path):
+    from tests.conftest import SF_SMALL
+    from wattlake.plans import q_stream
+
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    layouts = {"shuffled": events.orderBy("value").repartition(4), "sorted": events.orderBy("ts").coalesce(1)}
+    want = None
+    for name, frame in layouts.items():
+        frame.write.parquet(f"{tmp_path}/{name}/events.parquet")
+    for sf in (SF_SMALL, *(f"{tmp_path}/{n}" for n in layouts)):
+        got = [sorted(map(tuple, q(spark, sf).collect()))
+               for q in (q_stream.stream_latest, q_stream.stream_dedup, q_stream.stream_hour_trigger)]
+        want = want or got
+        assert got == want and all(got)
+
+
+def test_late_hours_never_fire_across_batches(spark, tmp_path):
+    from wattlake.streaming.refresh import fire_hours
+
+    hour = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
+    first = spark.createDataFrame([(hour(3),), (hour(5),), (hour(6, 5),)], "time timestamp_ntz")
+    late = spark.createDataFrame([(hour(4),), (hour(7),)], "time timestamp_ntz")
+    assert sorted(r.hour for r in fire_hours(first, None).collect()) == [hour(3), hour(5)]
+    assert [r.hour for r in fire_hours(late, hour(5)).collect()] == [hour(7)]
+
+
+def test_failed_hour_is_retried(spark, tmp_path):
+    """T5: an hour whose work failed is not committed and fires again."""
+    import pytest
+
+    from wattlake.streaming.refresh import hour_trigger
+
+    src = f"{tmp_path}/src"
+    spark.createDataFrame([(dt.datetime(2024, 1, 1, h),) for h in (1, 2)], "time timestamp_ntz").coalesce(1).write.parquet(src)
+    seen, fail = [], [True]
+
+    def on_hour(_, hour):
+        seen.append(hour.hour)
+        if hour.hour == 2 and fail[0]:
+            raise RuntimeError("down")
+
+    def start():
+        stream = spark.readStream.schema("time timestamp_ntz").parquet(src)
+        return hour_trigger(stream, f"{tmp_path}/state", on_hour, f"{tmp_path}/ckpt")
+
+    with pytest.raises(Exception, match="down"):
+        start().awaitTermination()
+    fail[0] = False
+    start().awaitTermination()
+    assert seen == [1, 2, 1, 2]
+    assert sorted(r.hour.hour for r in sinks.read_table(spark, f"{tmp_path}/state").collect()) == [1, 2]
+
+
+def test_poll_saves_its_position(spark, tmp_path):
+    from wattlake.streaming.refresh import poll
+
+    base = str(tmp_path / "poll")
+    rows = lambda hours: spark.createDataFrame([(T0 + dt.timedelta(hours=h), "NSW1", float(h)) for h in hours], DEMAND)
+    assert poll(rows([0, 1]), base, KEYS) == 2
+    assert poll(rows([0, 1, 2]), base, KEYS) == 1
+    assert poll(rows([0, 1, 2]), base, KEYS) == 0
+    assert sinks.read_table(spark, f"{base}/rows").count() == 3
+
+
+def test_dedupe_by_arrival_keeps_late_events(spark, tmp_path):
+    from wattlake.streaming.changes import dedupe_stream
+
+    src = f"{tmp_path}/src"
+    times = [T0, T0 - dt.timedelta(days=3), T0, T0 - dt.timedelta(days=3), T0 - dt.timedelta(hours=5)]
+    for t in times:
+        spark.createDataFrame([(t, "NSW1", 1.0)], DEMAND).coalesce(1).write.mode("append").parquet(src)
+    for i, window in enumerate((None, "2 minutes")):
+        stream = spark.readStream.schema(DEMAND).option("maxFilesPerTrigger", 1).parquet(src)
+        out, ckpt = f"{tmp_path}/out{i}", f"{tmp_path}/ckpt{i}"
+        dedupe_stream(stream, window=window).writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True).start(out).awaitTermination()
+        assert sorted(r.time for r in spark.read.parquet(out).collect()) == sorted(set(times))
+
+
+def test_key_rule_shuffles_keys_only(spark):
+    rows = spark.createDataFrame([(T0, "NSW1", 100.0)], DEMAND)
+    plan = Q.run_suite(rows, Q.default_suites()["silver.demand_5min"])._jdf.queryExecution().optimizedPlan().toString()
+    keyed = [line for line in plan.splitlines() if "Aggregate [time" in line]
+    assert keyed and all("demand_mw" not in line for line in keyed)
+
+
+def test_checkpoint_folder_must_be_given_off_local():
+    import pytest
+
+    from wattlake import session
+
+    class Context:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())

@@ -19,31 +19,39 @@ from pyspark.sql import types as T
 from wattlake.functions.timecols import parse_local_time
 from wattlake.schemas import MARKET_TZ, REGION_FULL_NAME_TO_ID, VALID_REGIONS, WEATHER_COLS
 
-LINE_SCHEMA = "file string, pos int, fields array<string>"
+LINE_SCHEMA = "file string, pos int, fields array<string>, error string"
 
 
 def _unzip_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per file: first member of the zip, BOM stripped, CSV-split lines.
-    A file that cannot be read is skipped (the rest of the batch goes on)."""
+
+    A file that cannot be read gives one row with the reason in ``error``, so
+    that it can be counted and named; the rest of the batch goes on.
+    """
     for pdf in batches:
-        files, poss, fields = [], [], []
+        files, poss, fields, errors = [], [], [], []
         for path, content in zip(pdf["path"], pdf["content"]):
             try:
                 with zipfile.ZipFile(io.BytesIO(content)) as zf:
                     text = zf.read(zf.namelist()[0]).decode("utf-8-sig")
-            except Exception:
+            except (zipfile.BadZipFile, OSError, ValueError, IndexError, NotImplementedError, RuntimeError) as ex:
+                files.append(path)
+                poss.append(-1)
+                fields.append(None)
+                errors.append(f"{type(ex).__name__}: {ex}")
                 continue
             for i, row in enumerate(csv.reader(text.splitlines())):
                 if row:
                     files.append(path)
                     poss.append(i)
                     fields.append(row)
+                    errors.append(None)
         if files:
-            yield pd.DataFrame({"file": files, "pos": poss, "fields": pd.Series(fields, dtype=object)})
+            yield pd.DataFrame({"file": files, "pos": poss, "fields": pd.Series(fields, dtype=object), "error": pd.Series(errors, dtype=object)})
 
 
 def dispatch_lines(spark: SparkSession, path: str) -> DataFrame:
-    """S1 (decode): ``(file, pos, fields)`` for every line of every report zip."""
+    """S1 (decode): ``(file, pos, fields, error)`` for every line of every report zip; ``error`` names an unreadable file."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
     return raw.mapInPandas(_unzip_lines, LINE_SCHEMA)
 
@@ -60,10 +68,10 @@ def parse_dispatch(lines: DataFrame) -> DataFrame:
     lines are kept when their field count matches and the 3rd field is REGIONSUM.
     Output ``(file, pos, header, values)``."""
     kind = F.get(F.col("fields"), 0)
-    header = F.when(kind == "I", F.transform(F.slice("fields", 2, 10_000), lambda x: F.upper(F.trim(x))))
+    header = F.when(kind == "I", F.transform(F.slice("fields", 2, F.size("fields")), lambda x: F.upper(F.trim(x))))
     w = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     d = lines.select("file", "pos", "fields", F.last(header, ignorenulls=True).over(w).alias("header"))
-    values = F.slice("fields", 2, 10_000)
+    values = F.slice("fields", 2, F.size("fields"))
     return d.where(
         (kind == "D")
         & F.col("header").isNotNull()
