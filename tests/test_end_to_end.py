@@ -24,18 +24,20 @@ def test_refresh_stream_upserts_bronze_and_silver(spark, tmp_path):
         return json.dumps({"payload": {"after": {"time": t.isoformat(), "region_id": r, "demand_mw": v}, "op": "c"}})
 
     (feed / "a.json").write_text("\n".join([msg(T0, "NSW1", "10"), msg(T0, "QLD1", "20"), "{bad"]))
-    raw = CH.read_changes(spark, str(feed))
-    changes = CH.decode_changes(raw)
-    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+
+    def changes():
+        raw = CH.read_changes(spark, str(feed)).select("value", F.unix_micros("_metadata.file_modification_time").alias("position"))
+        return CH.decode_changes(raw, keep=["position"])
+
+    base = str(tmp_path / "tables")
     seen = []
-    q = RF.start_refresh(changes, bronze, silver, str(tmp_path / "ckpt"), on_rows=lambda s, n: seen.append(n))
+    q = RF.start_refresh(changes(), base, str(tmp_path / "ckpt"), on_rows=lambda s, n: seen.append(n))
     q.awaitTermination()
     # a corrected value for NSW1 arrives in a second file
     (feed / "b.json").write_text(msg(T0, "NSW1", "11"))
-    q = RF.start_refresh(CH.decode_changes(CH.read_changes(spark, str(feed))), bronze, silver,
-                         str(tmp_path / "ckpt"))
+    q = RF.start_refresh(changes(), base, str(tmp_path / "ckpt"))
     q.awaitTermination()
-    got = sorted(tuple(r) for r in sinks.read_table(spark, silver).collect())
+    got = sorted(tuple(r) for r in sinks.read_table(spark, f"{base}/silver_demand").collect())
     assert got == [(T0, "NSW1", 11.0), (T0, "QLD1", 20.0)]
     assert seen == [2]
 

@@ -17,13 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.operators.forecast import r2_mae
+from wattlake.schemas import GBT_PARAMS, HORIZON_COLS, MAX_HORIZON
 from wattlake.sources import sinks
 
-# Learner settings (depth and learning rate as published; tree count is a parameter).
-GBT_PARAMS = {"maxDepth": 5, "stepSize": 0.05, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8",
-              "minInstancesPerNode": 5, "seed": 911}
-
-
 def _pipeline(features: Sequence[str], target: str, max_iter: int) -> Pipeline:
     idx = StringIndexer(inputCol="region_id", outputCol="_region_idx", handleInvalid="keep")
     ohe = OneHotEncoder(inputCols=["_region_idx"], outputCols=["_region_vec"], dropLast=False)
@@ -39,16 +35,21 @@ def train_horizons(train: DataFrame, features: Sequence[str], horizons: Sequence
     return {h: _pipeline(features, f"target_h{h}", max_iter).fit(data) for h in horizons}
 
 
+def _with_predictions(models: dict[int, PipelineModel], rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_p<h>`` of every model, one transform after another on the same rows (no shuffle)."""
+    keep = rows.columns
+    for h, m in models.items():
+        keep = [*keep, f"_p{h}"]
+        rows = m.transform(rows).withColumnRenamed("prediction", f"_p{h}").select(*keep)
+    return rows
+
+
 def predict_long(models: dict[int, PipelineModel], test: DataFrame, features: Sequence[str]) -> DataFrame:
     """Long predictions ``(region_id, time, horizon, actual, predicted)``."""
-    out = None
-    for h, m in models.items():
-        p = m.transform(test).select(
-            "region_id", "time", F.lit(h).alias("horizon"),
-            F.col(f"target_h{h}").alias("actual"), F.col("prediction").alias("predicted"),
-        )
-        out = p if out is None else out.unionByName(p)
-    return out
+    pairs = F.array(*[
+        F.struct(F.lit(h).alias("horizon"), F.col(f"target_h{h}").alias("actual"), F.col(f"_p{h}").alias("predicted")) for h in models
+    ])
+    return _with_predictions(models, test).select("region_id", "time", F.inline(pairs))
 
 
 METRICS_SCHEMA = "region_id string, horizon int, r2 double, mae double, n bigint"
@@ -59,38 +60,42 @@ def evaluate(long_pred: DataFrame) -> DataFrame:
     return r2_mae(long_pred)
 
 
+def _path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def save_models(models: dict[int, PipelineModel], base: str, version: int) -> None:
-    """M3: ``<base>/horizon=<h>/version=<v>``; overwrite only that version."""
+    """M3: ``<base>/version=<v>/horizon=<h>``; the marker ``_COMPLETE`` is written when all are saved."""
+    spark = SparkSession.active()
     for h, m in models.items():
-        m.write().overwrite().save(f"{base}/horizon={h}/version={version}")
+        m.write().overwrite().save(f"{base}/version={version}/horizon={h}")
+    fs, marker = _path(spark, f"{base}/version={version}/_COMPLETE")
+    out = fs.create(marker, True)
+    out.write(bytearray(",".join(map(str, sorted(models))).encode()))
+    out.close()
 
 
 def load_latest(spark: SparkSession, base: str, horizons: Sequence[int]) -> dict[int, PipelineModel]:
-    """M3: newest saved version per horizon (missing horizons are skipped)."""
-    jvm = spark.sparkContext._jvm
-    out = {}
-    for h in horizons:
-        p = jvm.org.apache.hadoop.fs.Path(f"{base}/horizon={h}")
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(p):
-            continue
-        versions = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(p) if s.getPath().getName().startswith("version=")]
-        if versions:
-            out[h] = PipelineModel.load(f"{base}/horizon={h}/version={max(versions)}")
-    return out
+    """M3: the models of the newest version whose save finished (a horizon it lacks is left out)."""
+    fs, root = _path(spark, base)
+    if not fs.exists(root):
+        return {}
+    names = [s.getPath().getName() for s in fs.listStatus(root)]
+    versions = sorted((int(n.split("=")[1]) for n in names if n.startswith("version=")), reverse=True)
+    for v in versions:
+        if fs.exists(_path(spark, f"{base}/version={v}/_COMPLETE")[1]):
+            here = {h: f"{base}/version={v}/horizon={h}" for h in horizons}
+            return {h: PipelineModel.load(p) for h, p in here.items() if fs.exists(_path(spark, p)[1])}
+    return {}
 
 
 def score(models: dict[int, PipelineModel], feature_rows: DataFrame, created_at_col: str = "time") -> DataFrame:
-    """M5: one forecast row per (created_at, region) with ``horizon_hNN``;
-    rows are only complete when every horizon has a model (S9 then skips the rest)."""
-    long = None
-    for h, m in models.items():
-        p = m.transform(feature_rows).select(
-            F.col(created_at_col).alias("created_at"), "region_id", F.lit(h).alias("horizon"), F.col("prediction")
-        )
-        long = p if long is None else long.unionByName(p)
-    cols = [F.max(F.when(F.col("horizon") == h, F.col("prediction"))).alias(f"horizon_h{h:02d}") for h in range(1, 25)]
-    return long.groupBy("created_at", "region_id").agg(*cols)
+    """M5: one forecast row per (created_at, region) with ``horizon_hNN``, null for a horizon without a model."""
+    rows = _with_predictions(models, feature_rows)
+    null = F.lit(None).cast("double")
+    cols = [(F.col(f"_p{h}") if h in models else null).alias(HORIZON_COLS[h - 1]) for h in range(1, MAX_HORIZON + 1)]
+    return rows.select(F.col(created_at_col).alias("created_at"), "region_id", *cols)
 
 
 def store_forecasts(forecasts: DataFrame, base: str) -> int:

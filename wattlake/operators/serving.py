@@ -121,8 +121,10 @@ def serving_per_horizon(history: DataFrame, forecast: DataFrame, horizons: int =
 
 def serving_features(history: DataFrame, forecast: DataFrame, horizons: int = MAX_HORIZON) -> DataFrame:
     """M4 for every hour: one wide row (10 static + horizons x 13) per (region, time)."""
-    st = serving_static(history)
-    ph = serving_per_horizon(history, forecast, horizons)
+    return _one_row(serving_static(history), serving_per_horizon(history, forecast, horizons), horizons)
+
+
+def _one_row(st: DataFrame, ph: DataFrame, horizons: int) -> DataFrame:
     cols = [F.max(F.when(F.col("horizon") == h, F.col(c))).alias(f"{c}_h{h}") for h in range(1, horizons + 1) for c in SERVING_PER_HORIZON]
     wide = ph.groupBy("region_id", "time").agg(*cols)
     return st.join(wide, ["region_id", "time"], "left")
@@ -131,4 +133,6 @@ def serving_features(history: DataFrame, forecast: DataFrame, horizons: int = MA
 def serving_row(history: DataFrame, forecast: DataFrame, as_of: dt.datetime, horizons: int = MAX_HORIZON) -> DataFrame:
     """M4 at one instant: the feature row per region for ``as_of``."""
     hist = history_window(history, as_of)
-    return serving_features(hist, forecast, horizons).where(F.col("time") == F.lit(as_of).cast("timestamp_ntz"))
+    now = F.col("time") == F.lit(as_of).cast("timestamp_ntz")
+    # only the row at ``as_of`` is expanded by horizon; the static features need the history
+    return _one_row(serving_static(hist).where(now), serving_per_horizon(hist.where(now), forecast, horizons), horizons)

@@ -149,3 +149,14 @@ PREDICTIONS = T.StructType(
 )
 
 HORIZON_COLS = [f"horizon_h{h:02d}" for h in range(1, MAX_HORIZON + 1)]
+
+
+# Fixed learner settings of the boosted trees (the tree count is a parameter).
+GBT_PARAMS = {
+    "maxDepth": 5,
+    "stepSize": 0.05,
+    "subsamplingRate": 0.8,
+    "featureSubsetStrategy": "0.8",
+    "minInstancesPerNode": 5,
+    "seed": 911,
+}

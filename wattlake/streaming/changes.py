@@ -76,15 +76,18 @@ def event_time_utc(raw: Column, session_tz: str) -> Column:
     )
 
 
-def decode_changes(raw: DataFrame, value_col: str = "value", regions: Sequence[str] = VALID_REGIONS) -> DataFrame:
+def decode_changes(
+    raw: DataFrame, value_col: str = "value", regions: Sequence[str] = VALID_REGIONS, keep: Sequence[str] = ()
+) -> DataFrame:
     """Parse envelopes; skip bad JSON, deletes (no ``after``), unknown
-    regions and unparsable times. Output ``(time, region_id, demand_mw)``."""
+    regions and unparsable times. Output ``(time, region_id, demand_mw)`` and
+    the columns of ``keep`` (a source position, say)."""
     tz = raw.sparkSession.conf.get("spark.sql.session.timeZone")
     env = F.from_json(F.col(value_col), ENVELOPE_SCHEMA, {"mode": "PERMISSIVE"})
-    d = raw.select(env.alias("e")).select("e.payload.after.*")
+    d = raw.select(env.alias("e"), *keep).select("e.payload.after.*", *keep)
     d = d.where(F.col("time").isNotNull() & F.col("region_id").isin(*regions))
     t = event_time_utc(F.col("time"), tz)
-    return d.select(t.alias("time"), "region_id", F.col("demand_mw").try_cast("double").alias("demand_mw")).where(
+    return d.select(t.alias("time"), "region_id", F.col("demand_mw").try_cast("double").alias("demand_mw"), *keep).where(
         F.col("time").isNotNull()
     )
 
