@@ -24,6 +24,8 @@ table gives no rows; other columns pass untouched through ``deduplicate``.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -38,7 +40,9 @@ CROWD = 128
 #: Counters of a partition's frequency summary; a hash with this share of all rows cannot escape it.
 COUNTERS = 1000
 #: Lines that a partition remembers, and rows of one hash that a task holds before it looks for repeats.
-_SEEN, _OPEN = 1 << 20, 1 << 16
+_SEEN, _OPEN = 1 << 18, 1 << 16
+#: Characters of lines that a task handles at once, and bits of the fixed-size filter of wanted lines.
+_PIECE, BITS = 1 << 20, 26
 _SEGMENT, _PROBE = 1, 2
 _hash = xxhash.xxh64_intdigest
 
@@ -58,26 +62,31 @@ def _segments(length: int, parts: int) -> list[tuple[int, int]]:
     return out
 
 
-def signatures(line: str, edits: int = MAX_EDITS) -> list[tuple[int, int, int, int]]:
-    """``(hash, role, start, length)`` of a line's own segments and of the substrings that may equal a line's segment.
+@lru_cache(maxsize=8192)
+def _plan(length: int, edits: int) -> tuple[list[tuple[int, int, int]], np.ndarray]:
+    """``(start, stop, seed)`` of what a line of ``length`` gives to the join, and the role of each.
 
-    A line probes for lines of its length and up to ``edits`` shorter. A place
-    where both roles fall together is given once.
+    A line gives its own segments, and the substrings that may equal a segment
+    of a line of its length or up to ``edits`` shorter. A place where both fall
+    together is given once. The seed holds the segment's line length and number.
     """
-    n, parts = len(line), edits + 1
-    out: dict[tuple[int, int], tuple[int, int, int, int]] = {}
+    places, roles = [], []
     for less in range(edits + 1):
-        if n - less < parts:
+        if length - less <= edits:
             break
-        for i, (at, size) in enumerate(_segments(n - less, parts)):
+        for i, (at, size) in enumerate(_segments(length - less, edits + 1)):
             low = max(at - i, at + less - (edits - i), 0)
-            high = min(at + i, at + less + (edits - i), n - size)
+            high = min(at + i, at + less + (edits - i), length - size)
             for start in range(low, high + 1):
-                key = _hash(line[start:start + size], (n - less) * 16 + i)
-                role = _PROBE | (_SEGMENT if not less and start == at else 0)
-                old = out.get((key, start))
-                out[(key, start)] = (key, role | (old[1] if old else 0), start, size)
-    return list(out.values())
+                places.append((start, start + size, (length - less) * 16 + i))
+                roles.append(_PROBE | (_SEGMENT if not less and start == at else 0))
+    return places, np.array(roles, np.int32)
+
+
+def signatures(line: str, edits: int = MAX_EDITS) -> list[tuple[int, int, int, int]]:
+    """``(hash, role, start, length)`` of a line's segments and probed substrings."""
+    places, roles = _plan(len(line), edits)
+    return [(_hash(line[a:b], seed), r, a, b - a) for (a, b, seed), r in zip(places, roles.tolist())]
 
 
 def edit_distance(a: str, b: str, most: int) -> int:
@@ -141,9 +150,9 @@ def _line_ids(line: str) -> tuple[int, int]:
 
 def _eligible(raw: bytes | None, least: int):
     """``(line number, normalised line)`` of a text's lines that are long enough."""
-    for i, line in enumerate(raw.decode().split("\n") if raw else ()):
+    for i, line in enumerate(raw.lower().decode().split("\n") if raw else ()):
         if len(line) >= least:
-            line = normal(line)
+            line = " ".join(line.split())
             if len(line) >= least:
                 yield i, line
 
@@ -167,10 +176,10 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _distinct_lines(batches, least: int):
-    """Batches of ``(id, line)``, without lines that this partition has just given."""
+    """Small lists of ids and lines, without lines that this partition has just given."""
     seen: set[int] = set()
     for b in batches:
-        ids, lines = [], []
+        ids, lines, size = [], [], 0
         for raw in text_bytes(b.column(b.num_columns - 1)):
             for _, line in _eligible(raw, least):
                 i = _line_ids(line)[0]
@@ -180,7 +189,12 @@ def _distinct_lines(batches, least: int):
                     seen.add(i)
                     ids.append(i)
                     lines.append(line)
-        yield ids, lines
+                    size += len(line)
+            if size > _PIECE:
+                yield ids, lines
+                ids, lines, size = [], [], 0
+        if ids:
+            yield ids, lines
 
 
 def _signed(keys) -> np.ndarray:
@@ -188,28 +202,32 @@ def _signed(keys) -> np.ndarray:
 
 
 def _rows(ids: list[int], lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    found = [signatures(x, edits) for x in lines]
-    of = np.repeat(np.array(ids, np.int64), [len(f) for f in found])
-    return _signed(s[0] for f in found for s in f), of, np.array([s[1] for f in found for s in f], np.int32)
+    """Hash, line id and role of every signature of the lines."""
+    plans = [_plan(len(x), edits) for x in lines]
+    keys = _signed(_hash(x[a:b], seed) for x, (places, _) in zip(lines, plans) for a, b, seed in places)
+    of = np.repeat(np.array(ids, np.int64), [len(roles) for _, roles in plans])
+    return keys, of, np.concatenate([roles for _, roles in plans])
 
 
 def _heavy(docs: DataFrame, edits: int, least: int, crowd: int) -> frozenset[int]:
-    """Hashes that may hold more than one in ``COUNTERS`` of all signature rows: a bounded set."""
+    """Hashes that may be a segment of more than one in ``COUNTERS`` of all segments: a bounded set."""
 
     def run(batches):
         keys, counts, total = np.empty(0, np.int64), np.empty(0, np.int64), 0
-        for ids, lines in _distinct_lines(batches, least):
-            new, _, _ = _rows(ids, lines, edits)
+        for _, lines in _distinct_lines(batches, least):
+            new = _signed(
+                _hash(x[at:at + size], len(x) * 16 + i) for x in lines for i, (at, size) in enumerate(_segments(len(x), edits + 1))
+            )
             total += len(new)
             new, n = np.unique(new, return_counts=True)
             keys, back = np.unique(np.concatenate([keys, new]), return_inverse=True)
             counts = np.bincount(back, np.concatenate([counts, n]), len(keys)).astype(np.int64)
-            if len(keys) > COUNTERS:
+            if len(keys) > 8 * COUNTERS:
                 # what every counter loses here is at most its share of the rows
                 counts = counts - np.partition(counts, -COUNTERS - 1)[-COUNTERS - 1]
                 keys, counts = keys[counts > 0], counts[counts > 0]
         # only what is common in a partition can be common in all
-        common = counts * COUNTERS >= total
+        common = (counts * COUNTERS >= total) & (counts > 1)
         yield pa.RecordBatch.from_arrays([pa.array(keys[common]), pa.array(counts[common])], ["key", "n"])
 
     parts = _texts(docs).select("text").mapInArrow(run, "key long, n long")
@@ -245,55 +263,76 @@ def _meet(crowd: int):
                 roles = pa.array(np.concatenate([p[3] for p in group])) if group is again else pa.nulls(len(a), pa.int32())
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), keys, roles], ["a", "b", "crowd", "role"])
 
-    def shrink(ids, roles):
-        """One row for each line of the open group."""
-        joined, at = np.unique(np.concatenate(ids), return_inverse=True)
-        role = np.zeros(len(joined), np.int32)
-        np.bitwise_or.at(role, at, np.concatenate(roles))
-        return joined, role
+    def merged(k, i, r):
+        """One row for each hash and line; equal ones stand together."""
+        first = np.concatenate([[True], (k[1:] != k[:-1]) | (i[1:] != i[:-1])])
+        at = np.flatnonzero(first)
+        return k[at], i[at], np.bitwise_or.reduceat(r, at)
 
     def run(batches):
-        key, ids, roles, crowded = None, [], [], False
+        # the rows of the hash that may go on in the next batch
+        key, ids, roles, crowded = None, np.empty(0, np.int64), np.empty(0, np.int32), False
         for b in batches:
             if not b.num_rows:
                 continue
             k, i, r = (c.to_numpy(zero_copy_only=False) for c in b.columns)
-            cut = np.concatenate([[0], np.flatnonzero(np.diff(k)) + 1, [len(k)]])
-            several = np.diff(cut) > 1
-            several[0] = several[-1] = True  # a group may go on in the next batch
+            if key is not None:
+                k, i, r = (np.concatenate(x) for x in ((np.full(len(ids), key), k), (ids, i), (roles, r)))
+            k, i, r = merged(k, i, r)
+            cut = np.concatenate([[0], np.flatnonzero(k[1:] != k[:-1]) + 1, [len(k)]])
+            size = np.diff(cut)
+            size[-1] = 0  # the last group stays open
             parts = []
-            for n in np.flatnonzero(several):
+            if crowded and k[0] == key and len(size) > 1:
+                parts.append(flush(key, i[:cut[1]], r[:cut[1]], True))
+                size[0] = 0
+            if k[-1] != key or len(size) > 1:
+                crowded = False
+            twos = cut[:-1][size == 2]
+            near = ((r[twos] & r[twos + 1] >> 1) | (r[twos] >> 1 & r[twos + 1])) & 1 > 0
+            twos = twos[near] if crowd > 1 else twos
+            if crowd > 1:
+                parts.append((np.minimum(i[twos], i[twos + 1]), np.maximum(i[twos], i[twos + 1]), None, None))
+            for n in np.flatnonzero(size > (2 if crowd > 1 else 1)):
                 s, e = cut[n], cut[n + 1]
-                if k[s] != key:
-                    if crowded or len(ids) > 1 or ids and len(ids[0]) > 1:
-                        parts.append(flush(key, *shrink(ids, roles), crowded))
-                    key, ids, roles, crowded = k[s], [], [], False
-                ids.append(i[s:e])
-                roles.append(r[s:e])
-                if sum(map(len, ids)) > _OPEN:
-                    joined, role = shrink(ids, roles)
-                    ids, roles = [joined], [role]
-                    if len(joined) > crowd:  # hand the rows on, so that no group fills the memory
-                        parts.append(flush(key, joined, role, True))
-                        ids, roles, crowded = [joined[:1]], [role[:1]], True
+                parts.append(flush(k[s], i[s:e], r[s:e], False))
+            key, ids, roles = k[-1], i[cut[-2]:], r[cut[-2]:]
+            if len(ids) > _OPEN:  # hand the rows on, so that no group fills the memory
+                parts.append(flush(key, ids, roles, True))
+                ids, roles, crowded = ids[-1:], roles[-1:], True
             yield from batch(parts)
-        if crowded or len(ids) > 1 or ids and len(ids[0]) > 1:
-            yield from batch([flush(key, *shrink(ids, roles), crowded)])
+        if crowded or len(ids) > 1:
+            yield from batch([flush(key, ids, roles, crowded)])
 
     return run
 
 
 def _candidates(rows: DataFrame, crowd: int) -> DataFrame:
     """Rows ``(key, id, role)`` brought together by hash."""
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(crowd), _CANDIDATES)
+    return rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_meet(crowd), _CANDIDATES)
+
+
+def _bits(ids: DataFrame) -> np.ndarray:
+    """A bit for each of ``2 ** BITS`` remainders, set where some id has it: ``2 ** (BITS - 3)`` bytes for any number of ids."""
+    low = F.col("id").bitwiseAND(F.lit((1 << BITS) - 1))
+    word, bit = F.shiftright(low, 6).alias("word"), F.expr("shiftleft(1L, CAST(id & 63 AS INT))")
+    found = ids.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << BITS - 6, np.uint64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
 
 
 def _wanted(docs: DataFrame, ids: DataFrame, least: int) -> DataFrame:
-    """``(id, text)`` of the lines with the given distinct ``id``."""
+    """``(id, text)`` of the lines with the given distinct ``id``; most others are left out before the shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(_bits(ids))
 
     def run(batches):
+        bits = shared.value
         for found, lines in _distinct_lines(batches, least):
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(lines, pa.string())], ["id", "text"])
+            i = np.array(found, np.int64)
+            low = i & (1 << BITS) - 1
+            maybe = pa.array(bits[low >> 6] >> (low & 63).astype(np.uint64) & np.uint64(1) > 0)
+            yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(lines, pa.string())], ["id", "text"]).filter(maybe)
 
     every = _texts(docs).select("text").mapInArrow(run, "id long, text string")
     return every.join(ids, "id", "left_semi").dropDuplicates(["id"])
@@ -353,7 +392,7 @@ def _block_links(edits: int):
 
 def _crowded_links(docs: DataFrame, crowded: DataFrame, scratch: Scratch, edits: int, least: int, crowd: int) -> DataFrame:
     """Links among the lines ``(key, id, role)`` of crowded hashes."""
-    text = scratch.table(_wanted(docs, crowded.select("id").distinct(), least))
+    text = scratch.table(_wanted(docs, scratch.table(crowded.select("id").distinct()), least))
     rows = crowded.join(text, "id").select("key", "id", "role", "text")
     found = scratch.table(_candidates(rows.mapInArrow(_inner_rows(edits), "key long, id long, role int"), crowd))
     pairs = _verified(found.where("crowd is null").select("a", "b").distinct(), text, edits)
@@ -408,7 +447,7 @@ def links(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, crowd
     crowded = scratch.table(crowded)
     pairs = scratch.table(found.where("crowd is null").select("a", "b").distinct())
     scratch.drop(found)
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = scratch.table(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     out = _verified(pairs, scratch.table(_wanted(docs, ids, least)), edits)
     if not crowded.isEmpty():
         out = out.unionAll(_crowded_links(docs, crowded, scratch, edits, least, crowd))
