@@ -1,15 +1,19 @@
-"""Step 7: JSON-document weather (P3); file-format ingest is covered by unit tests."""
+"""Step 7: ingest forms (S1-S4, S12), documents (P3), cleaning (P10, P14), history (P16) and polls (T12) over the given tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wattlake.operators.clean import weather_from_json
+from wattlake.operators import incremental as INC
+from wattlake.operators import serving as SV
+from wattlake.operators.clean import complete_cases, nan_inf_to_null, weather_from_json
+from wattlake.operators.profile import is_empty
 from wattlake.plans import oracle_sql as O
 from wattlake.plans import silver as S
 from wattlake.plans.catalog import register
-from wattlake.schemas import WEATHER_COLS
-from wattlake.sources import standins
+from wattlake.schemas import REGION_FULL_NAME_TO_ID, WEATHER_COLS
+from wattlake.sources import ingest, standins
+from wattlake.streaming.changes import poll_increment
 
 
 @register("json_weather_clean", O.sql(f"SELECT time, region_id, {', '.join(O.r4(c) for c in WEATHER_COLS)} FROM weather_hourly"))
@@ -19,3 +23,180 @@ def json_weather_clean(spark, sf_dir):
     bronze = standins.bronze_weather(spark, sf_dir)
     docs = bronze.select("time", "region_id", F.to_json(F.struct(*WEATHER_COLS)).alias("raw"))
     return S.rounded(weather_from_json(docs, "raw"))
+
+
+_REGION_CASE = standins._sql_case(standins.DEMAND_REGION_OF_EVENT, "event_type")
+# market time in the month of the events: eleven hours ahead of UTC
+_LOCAL = "ts + INTERVAL 11 HOURS"
+
+
+def _dispatch_lines(spark, sf_dir):
+    """Report lines of one file a day, as the unzip step gives them.
+
+    A comment line, a header of another record, the header, one data line an
+    event, and the end line. Events of some minutes bring lines that must go:
+    minute 11 a line with a field too few, 22 another record, 33 a negative
+    value. Regions are codes or, for odd users, full names.
+    """
+    ev = standins.read(spark, sf_dir, "events")
+    code = standins._map_lookup(standins.DEMAND_REGION_OF_EVENT, F.col("event_type"))
+    full = standins._map_lookup({v: k for k, v in REGION_FULL_NAME_TO_ID.items()}, code)
+    region = F.when(F.col("user_id") % 2 == 1, F.coalesce(full, code)).otherwise(code)
+    stamp = F.date_format(F.expr(_LOCAL), "yyyy/MM/dd HH:mm:ss")
+
+    def line(record, value, *more):
+        return F.array(F.lit("D"), F.lit("DISPATCH"), F.lit(record), stamp, region, value, *more)
+
+    value, filler = F.col("value").cast("string"), F.lit("x")
+    minute = F.minute("ts")
+    lines = F.array(
+        line("REGIONSUM", value, filler),
+        F.when(minute == 11, line("REGIONSUM", value)).when(minute == 22, line("PRICE", value, filler))
+        .when(minute == 33, line("REGIONSUM", F.concat(F.lit("-"), F.col("value").cast("string")), filler)),
+    )
+    file = F.date_format("ts", "yyyyMMdd")
+    data = ev.select(file.alias("file"), (F.col("event_id") + 10).alias("pos"), F.explode(F.filter(lines, lambda x: x.isNotNull())).alias("fields"))
+    heads = [
+        ["C", "NEMP.WORLD", "DISPATCHIS"],
+        ["I", "DISPATCH", "PRICE", "SETTLEMENTDATE", "OTHER"],
+        ["I", "DISPATCH", "REGIONSUM", "settlementdate", "REGIONID", " TOTALDEMAND ", "EXTRA"],
+    ]
+    rows = F.array(*[F.struct(F.lit(i).cast("long").alias("pos"), F.array(*[F.lit(x) for x in h]).alias("fields")) for i, h in enumerate(heads)])
+    head = ev.select(file.alias("file")).distinct().select("file", F.inline(rows))
+    return data.unionByName(head)
+
+
+@register(
+    "dispatch_ingest",
+    f"SELECT CAST(date_trunc('second', ts) AS TIMESTAMP) AS time, {_REGION_CASE} AS region_id, {O.r4('value', 'demand_mw')} FROM events",
+)
+def dispatch_ingest(spark, sf_dir):
+    """S1 + S2 (+ strings): report lines to demand rows; headers, field counts, record kinds, names and signs checked."""
+    records = ingest.parse_dispatch(_dispatch_lines(spark, sf_dir))
+    return S.rounded(ingest.extract_demand(records))
+
+
+@register(
+    "market_flatten",
+    f"SELECT CAST(date_trunc('second', ts) AS TIMESTAMP) AS time, {_REGION_CASE} AS region_id, "
+    f"{O.r4('CASE WHEN minute(ts) = 5 THEN NULL ELSE value END', 'demand_mw')} FROM events",
+)
+def market_flatten(spark, sf_dir):
+    """S3: nested market documents, one an hour, to rows; a null value stays, an unknown series goes."""
+    ev = standins.read(spark, sf_dir, "events")
+    region = standins._map_lookup(standins.DEMAND_REGION_OF_EVENT, F.col("event_type"))
+    local = F.date_format(F.expr(_LOCAL), "yyyy-MM-dd'T'HH:mm:ss")
+    point = F.array(local, F.when(F.minute("ts") != 5, F.col("value").cast("string")))
+    series = ev.groupBy(F.date_trunc("hour", "ts").alias("h"), region.alias("r")).agg(F.collect_list(point).alias("data"))
+    series = series.select("h", F.explode(F.array(F.concat(F.lit("demand_"), "r"), F.lit("demand_total"))).alias("name"), "data")
+    docs = series.groupBy("h").agg(F.collect_list(F.struct("name", "data")).alias("results"))
+    text = docs.select(F.to_json(F.struct(F.array(F.struct("results")).alias("data"))).alias("doc"))
+    parsed = text.select(F.from_json("doc", ingest.MARKET_SCHEMA).alias("d")).select("d.*")
+    return S.rounded(ingest.flatten_market(parsed))
+
+
+@register(
+    "weather_flatten",
+    O.sql("SELECT time, region_id, " + ", ".join(
+        O.r4(c) if c != "wind_speed_10m" else O.r4("CASE WHEN last THEN NULL ELSE wind_speed_10m END", c) for c in WEATHER_COLS)
+        + " FROM (SELECT *, row_number() OVER (PARTITION BY region_id, CAST(time AS DATE) ORDER BY time DESC) = 1 AS last FROM bronze_weather)"),
+)
+def weather_flatten(spark, sf_dir):
+    """Documents of parallel arrays, one a region and day; the wind array is one value short."""
+    bronze = standins.bronze_weather(spark, sf_dir)
+    at = F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss").alias("time")
+    rows = bronze.groupBy("region_id", F.to_date("time").alias("d")).agg(
+        F.sort_array(F.collect_list(F.struct(at, *WEATHER_COLS))).alias("r")
+    )
+    arrays = [F.col("r")[c].alias(c) for c in ["time", *WEATHER_COLS]]
+    docs = rows.select("region_id", F.struct(*arrays).alias("hourly"))
+    short = F.slice("hourly.wind_speed_10m", 1, F.size("hourly.time") - 1)
+    text = docs.select("region_id", F.to_json(F.struct(F.col("hourly").withField("wind_speed_10m", short).alias("hourly"))).alias("doc"))
+    parsed = text.select("region_id", F.from_json("doc", ingest.weather_schema()).alias("p")).select("region_id", "p.*")
+    return S.rounded(ingest.flatten_weather(parsed, F.col("region_id"), "UTC"))
+
+
+_FILE_TIME = "make_timestamp(year(ts), month(ts), day(ts), hour(ts), (minute(ts) // 5) * 5, 0)"
+
+
+@register(
+    "select_new_files",
+    f"SELECT DISTINCT 'PUBLIC_DISPATCHIS_' || strftime({_FILE_TIME} + INTERVAL 11 HOUR, '%Y%m%d%H%M') || '_1.zip' AS name, "
+    f"{_FILE_TIME} AS settlement_time FROM events WHERE {_FILE_TIME} > TIMESTAMP '2024-01-20 00:00:00'",
+)
+def select_new_files(spark, sf_dir):
+    """S12 + L3: report files newer than the last one, by the market time in their names; other names are passed over."""
+    at = F.expr("CAST(date_trunc('hour', ts) AS TIMESTAMP_NTZ) + make_dt_interval(0, 11, cast((minute(ts) div 5) * 5 as int))")
+    names = F.array(F.concat(F.lit("PUBLIC_DISPATCHIS_"), F.date_format(at, "yyyyMMddHHmm"), F.lit("_1.zip")), F.lit("README_of_files.zip"))
+    files = standins.read(spark, sf_dir, "events").select(F.explode(names).alias("name")).distinct()
+    return ingest.select_new_files(files, "2024-01-20 00:00:00")
+
+
+@register(
+    "clean_non_finite",
+    O.sql("SELECT time, region_id, " + O.r4("CASE WHEN minute(time) IN (0, 5, 10) THEN NULL ELSE demand_mw END", "demand_mw")
+          + " FROM bronze_demand"),
+)
+def clean_non_finite(spark, sf_dir):
+    """NaN and both infinities become null; they are put into the rows of three minutes."""
+    minute, value = F.minute("time"), F.col("demand_mw")
+    bad = F.when(minute == 0, F.lit(float("nan"))).when(minute == 5, F.lit(float("inf"))).when(minute == 10, F.lit(float("-inf")))
+    rows = standins.bronze_demand(spark, sf_dir).withColumn("demand_mw", F.coalesce(bad, value))
+    return S.rounded(nan_inf_to_null(rows, ["demand_mw"]))
+
+
+@register(
+    "complete_rows",
+    O.sql("SELECT time, region_id, " + O.r4("demand_mw") + ", " + O.r4("temperature_2m") + " FROM features_ml WHERE temperature_2m IS NOT NULL "
+          "AND demand_mw IS NOT NULL AND hour(time) <> 3"),
+)
+def complete_rows(spark, sf_dir):
+    """P10: rows without a null or NaN; the values of one hour are made NaN."""
+    rows = S.features_ml(spark, sf_dir).select("time", "region_id", "demand_mw", "temperature_2m")
+    nan = F.when(F.hour("time") == 3, F.lit(float("nan"))).otherwise(F.col("demand_mw"))
+    return S.rounded(complete_cases(rows.withColumn("demand_mw", nan)))
+
+
+@register(
+    "serving_history",
+    O.sql("SELECT time, region_id, " + O.r4("demand_mw") + " FROM features_ml WHERE time <= TIMESTAMP '2024-01-29 12:00:00' "
+          "AND time >= TIMESTAMP '2024-01-29 12:00:00' - INTERVAL 744 HOUR"),
+)
+def serving_history(spark, sf_dir):
+    """The look-back window of one inference."""
+    import datetime as dt
+
+    rows = S.features_ml(spark, sf_dir).select("time", "region_id", "demand_mw")
+    return S.rounded(SV.history_window(rows, dt.datetime(2024, 1, 29, 12)))
+
+
+@register("distinct_keys", O.sql("SELECT DISTINCT time, region_id FROM bronze_demand"))
+def distinct_keys(spark, sf_dir):
+    """A12."""
+    return INC.distinct_keys(standins.bronze_demand(spark, sf_dir), ["time", "region_id"])
+
+
+@register(
+    "empty_checks",
+    O.sql("SELECT 'bronze_demand' AS name, count(*) = 0 AS empty FROM bronze_demand "
+          "UNION ALL SELECT 'after_the_end', count(*) = 0 FROM bronze_demand WHERE time > (SELECT max(time) FROM bronze_demand)"),
+)
+def empty_checks(spark, sf_dir):
+    """Whether a table, and what is newer than its newest row, holds nothing."""
+    rows = standins.bronze_demand(spark, sf_dir)
+    newest = rows.select(F.max("time")).scalar()
+    found = [("bronze_demand", is_empty(rows)), ("after_the_end", is_empty(rows.where(F.col("time") > newest)))]
+    return spark.createDataFrame(found, "name string, empty boolean")
+
+
+@register(
+    "poll_window",
+    O.sql("SELECT time, region_id, " + O.r4("demand_mw") + " FROM bronze_demand WHERE time > TIMESTAMP '2024-01-20 11:40:00' "
+          "AND time >= TIMESTAMP '2024-01-20 12:00:00' - INTERVAL 30 MINUTE"),
+)
+def poll_window(spark, sf_dir):
+    """One poll: the look-back window, without what the saved position covers."""
+    import datetime as dt
+
+    rows = standins.bronze_demand(spark, sf_dir)
+    return S.rounded(poll_increment(rows, dt.datetime(2024, 1, 20, 11, 40), 30, dt.datetime(2024, 1, 20, 12)))
