@@ -88,18 +88,6 @@ def cyclic(x: Column, period: int) -> tuple[Column, Column]:
     return F.sin(angle), F.cos(angle)
 
 
-def target_calendar(c: str | Column, hours: int | Column) -> dict[str, Column]:
-    """Calendar of ``time + h hours`` in the training convention (Monday=0)."""
-    tt = add_hours(c, hours)
-    dow = ml_day_of_week(tt)
-    return {
-        "hour": F.hour(tt).cast("int"),
-        "day_of_week": dow,
-        "month": F.month(tt).cast("int"),
-        "is_weekend": dow.isin(5, 6).cast("int"),
-    }
-
-
 def parse_local_time(text: Column, source_tz: str | Column, formats: list[str] | None = None) -> Column:
     """Parse wall-clock text in ``source_tz`` and return UTC wall time (NTZ).
 

@@ -154,3 +154,10 @@ def chrono_split(df: DataFrame, train_end, val_end, col: str = "time") -> tuple[
     t = F.col(col)
     a, b = F.lit(train_end).cast("timestamp_ntz"), F.lit(val_end).cast("timestamp_ntz")
     return df.where(t < a), df.where((t >= a) & (t < b)), df.where(t >= b)
+
+
+def split_name(order: str, train_end: str, val_end: str) -> Column:
+    """P15 as a column: the part of ``chrono_split`` that a row falls into, for one aggregate over all parts."""
+    t = F.col(order)
+    a, b = (F.lit(x).cast("timestamp_ntz") for x in (train_end, val_end))
+    return F.when(t < a, "train").when(t < b, "validation").otherwise("test")

@@ -169,9 +169,4 @@ def split_profile(spark, sf_dir):
     from wattlake.operators.profile import profile
 
     wide, _, _ = FT.features_wide(S.daily_series(spark, sf_dir))
-    train, val, test = FT.chrono_split(wide.select("time", "region_id"), TRAIN_END, VAL_END)
-    return (
-        profile(train.withColumn("split", F.lit("train")))
-        .unionByName(profile(val.withColumn("split", F.lit("validation"))))
-        .unionByName(profile(test.withColumn("split", F.lit("test"))))
-    )
+    return profile(wide.select("time", "region_id", FT.split_name("time", TRAIN_END, VAL_END).alias("split")))

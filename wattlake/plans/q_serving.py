@@ -68,6 +68,28 @@ _PH_SQL = (
 )
 
 
+_AS_OF = "2024-01-29 12:00:00"
+_PER_HORIZON = ", ".join(
+    f"max(CASE WHEN p.horizon = {h} THEN p.{c} END) AS {c}_h{h}" for h in range(1, 25) for c in _PH
+)
+_ROW_SQL = (
+    _SV_SQL.replace(") SELECT b.region_id, b.time,", "), st AS (SELECT b.region_id, b.time,", 1)
+    + f" WHERE b.time = TIMESTAMP '{_AS_OF}'), ph AS ({_PH_SQL} WHERE x.time = TIMESTAMP '{_AS_OF}') "
+    + f"SELECT st.*, q.* EXCLUDE (region_id) FROM st JOIN (SELECT p.region_id, {_PER_HORIZON} FROM ph p GROUP BY p.region_id) q "
+    "ON q.region_id = st.region_id"
+)
+
+
+@register("serving_row", O.sql(_ROW_SQL))
+def serving_row(spark, sf_dir):
+    """M4 (+ P16): the wide feature row of every region at one instant, 10 static and 24 x 13 horizon features."""
+    import datetime as dt
+
+    as_of = dt.datetime.fromisoformat(_AS_OF)
+    row = SV.serving_row(S.features_ml(spark, sf_dir), S.weather_hourly(spark, sf_dir), as_of)
+    return S.rounded(row.drop("demand_mw", "temperature_2m"))
+
+
 @register("serving_features", O.sql(_PH_SQL))
 def serving_features(spark, sf_dir):
     """J6 + P7 + P8 (+ D6/D7): per-horizon serving features for every hour, long form."""
