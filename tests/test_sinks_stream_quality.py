@@ -315,3 +315,33 @@ def test_checkpoint_folder_must_be_given_off_local():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Session())
+
+
+def test_stream_counters_add_up_over_batches(spark, tmp_path):
+    import time
+
+    from wattlake.streaming.changes import read_changes
+    from wattlake.streaming.counters import ChangeCounters, counted_changes
+
+    def env(**after):
+        return json.dumps({"payload": {"after": after, "op": "c"}})
+
+    good = env(time="2024-01-01T00:00:00", region_id="NSW1", demand_mw="1")
+    (tmp_path / "src").mkdir()
+    (tmp_path / "src" / "a.json").write_text("\n".join([good, "{bad", good]))
+    (tmp_path / "src" / "b.json").write_text("\n".join([good, env(time="x", region_id="NSW1", demand_mw="1")]))
+    counters = ChangeCounters()
+    spark.streams.addListener(counters)
+    try:
+        raw = read_changes(spark, f"{tmp_path}/src", options={"maxFilesPerTrigger": 1}, start="earliest")
+        out, ckpt = f"{tmp_path}/out", f"{tmp_path}/ckpt"
+        counted_changes(raw).writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True).start(out).awaitTermination()
+        deadline = time.time() + 20
+        while not counters.totals["ended"] and time.time() < deadline:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(counters)
+    t = counters.totals
+    assert (t["batches"], t["received"], t["decoded"], t["skipped_bad_json"], t["skipped_bad_time"]) == (2, 5, 3, 1, 1)
+    assert counters.latency_mean > 0 and counters.latency_max >= counters.latency_mean
+    assert spark.read.parquet(out).count() == 3

@@ -110,7 +110,8 @@ def classify_changes(raw: DataFrame, value_col: str = "value", regions: Sequence
         .when(~F.coalesce(a["region_id"].isin(*regions), F.lit(False)), F.lit("unknown_region"))
         .when(t.isNull(), F.lit("bad_time"))
     )
-    return d.select(reason.alias("skip_reason"), t.alias("time"), a["region_id"].alias("region_id"))
+    value = a["demand_mw"].try_cast("double").alias("demand_mw")
+    return d.select(reason.alias("skip_reason"), t.alias("time"), a["region_id"].alias("region_id"), value)
 
 
 def change_counters(raw: DataFrame, value_col: str = "value") -> DataFrame:
