@@ -36,7 +36,9 @@ from wattlake.llm.common import Scratch, components, text_bytes
 
 MAX_EDITS = 2
 MIN_CHARS = 20
-CROWD = 128
+CROWD = 16
+#: Lines of a still crowded hash that one task compares with as many others.
+BLOCK = 256
 #: Counters of a partition's frequency summary; a hash with this share of all rows cannot escape it.
 COUNTERS = 1000
 #: Lines that a partition remembers, and rows of one hash that a task holds before it looks for repeats.
@@ -397,7 +399,7 @@ def _crowded_links(docs: DataFrame, crowded: DataFrame, scratch: Scratch, edits:
     found = scratch.table(_candidates(rows.mapInArrow(_inner_rows(edits), "key long, id long, role int"), crowd))
     pairs = _verified(found.where("crowd is null").select("a", "b").distinct(), text, edits)
     still = found.where("crowd is not null").select(F.col("crowd").alias("key"), F.col("a").alias("id")).distinct()
-    blocks = still.groupBy("key").count().select("key", F.ceil(F.col("count") / crowd).cast("int").alias("blocks"))
+    blocks = still.groupBy("key").count().select("key", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     members = still.join(blocks, "key").select("key", "id", own.alias("own"), other)
@@ -466,7 +468,9 @@ def repeats(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, cro
         F.when(F.col("root").isNull(), F.col("check")).otherwise(0).alias("check"), F.col("root").isNotNull().alias("linked"),
     )
     first = known.groupBy("class", "check").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count("*").alias("n"))
-    spare = known.join(first.where("n > 1"), ["class", "check"]).where(F.struct("doc_id", "line") != F.col("first"))
+    # a table of its own, so that the join's sides are plain exchanges and a very common line can be split
+    first = scratch.table(first.where("n > 1"))
+    spare = known.join(first, ["class", "check"]).where(F.struct("doc_id", "line") != F.col("first"))
     return spare.select(
         "doc_id", "line", F.col("first.doc_id").alias("first_doc"), F.col("first.line").alias("first_line"), "linked"
     ).distinct()
