@@ -377,11 +377,15 @@ def _block_links(edits: int):
                 i = parent[i]
             return i
 
+        # an edit changes the counts of characters by two at most
+        counts = np.stack([np.bincount(np.frombuffer(x.encode("utf-32-le"), np.uint32) & 63, minlength=64) for x in lines])
+        counts = counts[order].astype(np.int32)
         a, b, start = [], [], 0
         for n, j in enumerate(order):
             while len(lines[order[start]]) < len(lines[j]) - edits:
                 start += 1
-            for i in order[start:n]:
+            alike = np.abs(counts[start:n] - counts[n]).sum(axis=1) <= 2 * edits
+            for i in (order[start + k] for k in np.flatnonzero(alike)):
                 if (sides[i] != sides[j] or sides[i] == 2) and root(i) != root(j):
                     if edit_distance(lines[i], lines[j], edits) <= edits:
                         parent[root(i)] = root(j)
