@@ -55,9 +55,21 @@ def detections(text: str) -> list[tuple[int, int, Rule]]:
         (*m.span(1 if every[i].form == "identifier" else 0), every[i])
         for i in sorted(wanted) for m in every[i].pattern.finditer(text)
     ]
-    found.sort(key=lambda d: (-d[2].priority, d[0] - d[1], d[0], d[2].label))
+    found.sort(key=lambda d: d[:2])
+    out, cluster, reach = [], [], 0
+    for d in found:  # detections that don't overlap cannot suppress each other
+        if cluster and d[0] >= reach:
+            out += _resolved(cluster)
+            cluster = []
+        cluster.append(d)
+        reach = max(reach, d[1]) if len(cluster) > 1 else d[1]
+    return out + _resolved(cluster)
+
+
+def _resolved(cluster: list[tuple[int, int, Rule]]) -> list[tuple[int, int, Rule]]:
+    """Detections by priority, then length, then place, without those inside an earlier one; by place."""
     accepted: list[tuple[int, int, Rule]] = []
-    for start, stop, rule in found:
+    for start, stop, rule in sorted(cluster, key=lambda d: (-d[2].priority, d[0] - d[1], d[0], d[2].label)):
         if not any(a <= start and stop <= b for a, b, _ in accepted):
             accepted.append((start, stop, rule))
     return sorted(accepted, key=lambda d: d[:2])
