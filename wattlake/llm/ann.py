@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import Scratch
+from wattlake.llm.common import Scratch, sample_of
 
 #: Sample that the graph, the parts and the classifier are made from.
 SAMPLE = 8192
@@ -36,6 +36,7 @@ HIDDEN = 128
 #: Recall on held-out sample queries that fixes how many parts a query visits.
 RECALL = 0.93
 BLOCK = 4096
+_MIX = np.uint64(0x9E3779B97F4A7C15)  # deals ids of any pattern over blocks
 
 
 def neighbour_graph(x: np.ndarray, degree: int) -> np.ndarray:
@@ -166,7 +167,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, recall: float = REC
     scratch = Scratch(spark)
     every = scratch.table(vectors(rows))
     n = every.count()
-    chosen = every.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vec").toArrow()["vec"]
+    chosen = sample_of(every, sample, n, "vec_id").select("vec").toArrow()["vec"]
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not n:
         return empty
@@ -185,7 +186,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, recall: float = REC
             where = router.ranked(_matrix(b.column(1)))[:, :visits if per_row == "visits" else 1]
             index = pa.array(np.repeat(np.arange(len(where)), where.shape[1]))
             ids = b.column(0).take(index)
-            block = (ids.to_numpy(zero_copy_only=False) // 7) % other
+            block = (ids.to_numpy(zero_copy_only=False).view(np.uint64) * _MIX >> np.uint64(33)) % np.uint64(other)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(where.ravel().astype(np.int32)), pa.array(block.astype(np.int32)), ids, b.column(1).take(index)],
                 ["part", "block", "vec_id", "vec"],

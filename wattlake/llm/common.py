@@ -31,6 +31,19 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def sample_of(rows: DataFrame, limit: int, total: int, *columns: str) -> DataFrame:
+    """At most ``limit`` of about ``total`` rows, by the smallest hashes of ``columns``.
+
+    A bound on the hash leaves little more than ``limit`` rows before the sort,
+    so what the sort gathers does not grow with the number of partitions.
+    """
+    key = F.xxhash64(*columns)
+    share = (limit + 8 * limit**0.5 + 64) / max(total, 1)
+    if share < 1:
+        rows = rows.where(key < F.lit(int(share * (1 << 64)) - (1 << 63)))
+    return rows.orderBy(key, *columns).limit(limit)
+
+
 class Scratch:
     """Tables written to the shared checkpoint folder, so lineage ends in files every executor can read."""
 

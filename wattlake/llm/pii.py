@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import Scratch, text_bytes
+from wattlake.llm.common import Scratch, sample_of, text_bytes
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -247,12 +247,10 @@ def _columns(row_nodes) -> tuple[list[str], list[int], list[int], list[int]]:
 def learn(found: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_nodes: int = SAMPLE_NODES) -> Field:
     """Fit the field on at most ``sample_rows`` rows, smallest hashes first, half of them with base spans."""
     usable = found.where(F.size("nodes").between(1, sample_nodes))
-    half = sample_rows // 2
-    parts = [
-        usable.where(F.size("base") > 0 if with_base else F.size("base") == 0)
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(half).collect()
-        for with_base in (True, False)
-    ]
+    parts = []
+    for chosen in (F.size("base") > 0, F.size("base") == 0):
+        own = usable.where(chosen)
+        parts.append(sample_of(own, sample_rows // 2, own.count(), "doc_id").collect())
     rows = []
     for r in (r for part in parts for r in part):
         tokens, places, starts, stops = _columns(r.nodes)

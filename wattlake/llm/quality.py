@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import Scratch, phrase_words, text_bytes
+from wattlake.llm.common import Scratch, phrase_words, sample_of, text_bytes
 
 #: Class that each labeller accuses a text of; ``good`` is the class of texts that are none of these.
 LABELLERS = {
@@ -188,7 +188,7 @@ def _toxic_words(docs: DataFrame, labels: DataFrame | None, labelled: int) -> fr
     rows = labels.where("doc_id is not null and toxic is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.col("toxic") > 0).cast("int").alias("toxic")
     )
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled)
+    sample = sample_of(rows, labelled, rows.count(), "doc_id")
 
     def run(batches):
         for b in batches:
@@ -209,6 +209,7 @@ def _toxic_words(docs: DataFrame, labels: DataFrame | None, labelled: int) -> fr
     # a word of k documents is toxic in all of them by chance with probability (t/n)^k; allow 1 in 100 over 1e6 words
     least = math.log(1e8) / math.log(size.n / size.t)
     marked = by_word.where((F.col("toxic") >= least) & (F.col("clean") <= 0.02 * F.col("toxic")))
+    # the labelled rows bound these words: one that marks toxic texts stands in several of them
     words = marked.orderBy(F.desc("toxic"), "word").limit(labelled).collect()
     return INSULTS | {bytes(r.word) for r in words}
 
@@ -231,7 +232,8 @@ def learn(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE
     patterns = np.array([list(r.votes) for r in counted], np.int64).reshape(-1, len(LABELLERS))
     model.fit_labellers(patterns, np.array([r["count"] for r in counted], np.float64))
 
-    ids = cast.where("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id").distinct()
+    total = int(sum(r["count"] for r in counted))
+    ids = sample_of(cast.where("doc_id is not null").select("doc_id"), sample, total, "doc_id").distinct()
 
     def featured(batches):
         for b in batches:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.llm.automata import Automaton
-from wattlake.llm.common import Scratch, text_bytes
+from wattlake.llm.common import Scratch, sample_of, text_bytes
 
 SAMPLE = 400
 #: Standard deviations below held-out credentials of its kind that a token's likelihood may lie.
@@ -148,8 +148,8 @@ class Formats:
 
 def _sample(rows: DataFrame, kind: str, sample: int) -> DataFrame:
     """At most ``sample`` distinct tokens of ``kind``, smallest hashes first."""
-    own = rows.where(F.col("kind") == kind).distinct()
-    return own.orderBy(F.xxhash64("token"), "token").limit(sample)
+    own = rows.where(F.col("kind") == kind).select("token").distinct()
+    return sample_of(own, sample, own.count(), "token")
 
 
 def learn(found: DataFrame, sample: int = SAMPLE) -> Formats:
