@@ -16,7 +16,7 @@ the empty string; repeated rows are decided alike; an empty table gives no rows.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import Scratch, phrase_words, text_bytes
@@ -67,28 +67,26 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, rounds:
     written table, so a lost executor costs one round at most.
     """
     scratch = Scratch(cells.sparkSession)
-    marginals = {}
+    start = cells.where("tokens > 0").withColumn("weight", F.col("tokens").cast("double"))
     for d in DIMENSIONS:
         if targets and d in targets:
-            t = targets[d].select(F.col("value").alias(d), F.col("share").alias("goal"))
+            t = targets[d].select(F.col("value").alias(d), F.col("share").alias(f"goal_{d}"))
         else:
             t = cells.groupBy(d).agg(F.sum("tokens").alias("n")).where("n > 0")
-            raised = t.select(d, F.pow(F.col("n").cast("double"), F.lit(TEMPER)).alias("goal"))
-            total = raised.agg(F.sum("goal")).first()[0] or 1.0
-            t = raised.select(d, (F.col("goal") / total).alias("goal"))
-        marginals[d] = scratch.table(t)
-    current = scratch.table(cells.where("tokens > 0").withColumn("weight", F.col("tokens").cast("double")))
+            raised = t.select(d, F.pow(F.col("n").cast("double"), F.lit(TEMPER)).alias("raised"))
+            total = raised.agg(F.sum("raised")).first()[0] or 1.0
+            t = raised.select(d, (F.col("raised") / total).alias(f"goal_{d}"))
+        start = start.join(scratch.table(t), d)
+    current = scratch.table(start)
     for _ in range(rounds):
         step = current
         for d in DIMENSIONS:
-            have = step.groupBy(d).agg(F.sum("weight").alias("have")).join(marginals[d], d)
-            step = step.join(have, d).select(
-                *DIMENSIONS, "tokens", (F.col("weight") * F.col("goal") / F.col("have")).alias("weight")
-            )
+            have = F.sum("weight").over(Window.partitionBy(d))
+            step = step.withColumn("weight", F.col("weight") * F.col(f"goal_{d}") / have)
         after = scratch.table(step)
         scratch.drop(current)
         current = after
-    return current
+    return current.select(*DIMENSIONS, "tokens", "weight")
 
 
 def probabilities(raked: DataFrame, budget: float = BUDGET, cap_rounds: int = CAP_ROUNDS) -> DataFrame:
