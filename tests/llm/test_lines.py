@@ -116,3 +116,33 @@ def test_deduplicate_edges(spark):
     assert lines.deduplicate(docs.limit(0)).count() == 0
     told = {r.doc_id: r for r in lines.summary(docs, lines.repeats(docs)).collect()}
     assert told[2].dropped == [0] and told[2].first_docs == [1] and told[6].n_linked == 1 and told[4].n_lines == 0
+
+
+def replaced(rng, line, n):
+    words = line.split()
+    for at in rng.sample(range(len(words)), n):
+        words[at] = "other"
+    return " ".join(words)
+
+
+def test_whole_bit_columns_equal_dynamic_programming():
+    rng = random.Random(9)
+    for _ in range(150):
+        a = "".join(rng.choice("abc") for _ in range(rng.randrange(1, 60)))
+        b = mutate(rng, a, rng.randrange(12))
+        assert lines.edit_distance(a, b, 9) == min(distance(a, b), 10), (a, b)
+
+
+def test_long_lines_link_by_their_share_of_edits(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 8)))
+    base = [" ".join(word() for _ in range(rng.randrange(25, 120))) for _ in range(60)]
+    rows = [(i, x) for i, x in enumerate(base)] + [(100 + i, replaced(rng, x, max(1, len(x) // 150))) for i, x in enumerate(base)]
+    rows += [(200 + i, replaced(rng, x, len(x.split()) // 3)) for i, x in enumerate(base)]
+    # over CROWD variants of one line
+    rows += [(300 + i, replaced(rng, base[0], 1)) for i in range(40)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], SCHEMA).repartition(3)
+    got = {(r.doc_id, r.line): (r.first_doc, r.first_line) for r in lines.repeats(docs).collect()}
+    assert all(got[100 + i, 0] == (i, 0) for i in range(60))
+    assert all(got[300 + i, 0] == (0, 0) for i in range(40))
+    assert not any((200 + i, 0) in got for i in range(60))

@@ -68,3 +68,16 @@ def test_empty_tables(spark, tmp_path):
     for t in ("documents", "benchmark", "labels"):
         spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_line_stage_takes_every_line_of_a_near_copy(spark):
+    import random
+
+    rng = random.Random(0)
+    word = lambda: "".join(rng.choice("bcdfghlmnprst") + rng.choice("aeiou") for _ in range(rng.randrange(1, 4)))
+    first = [" ".join(word() for _ in range(25)) for _ in range(6)]
+    near = list(first)
+    near[2] = near[2].replace(near[2].split()[5], "other", 1)
+    rows = [(3, "\n".join(first)), (101, "\n".join(near))]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert [r.doc_id for r in corpus_pipeline.line_stage(spark, frame, "").collect()] == [3]

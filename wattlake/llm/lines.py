@@ -2,7 +2,8 @@
 
 Lines are compared lower-cased (A-Z) and with runs of white space as one blank.
 Two lines of ``MIN_CHARS`` or more characters link at an edit distance of at
-most ``MAX_EDITS``. A line is cut into ``MAX_EDITS + 1`` even segments; a line
+most ``MAX_EDITS``, or from ``LONG`` characters on of one edit in ``SHARE``
+characters of the shorter line. For the first a line is cut into ``MAX_EDITS + 1`` even segments; a line
 within the distance that is not shorter holds at least one of them unchanged,
 at a place that its length and the segment's number narrow to a few positions.
 Segments and probed substrings meet by hash, and candidate pairs are verified
@@ -14,6 +15,12 @@ is compared in bounded blocks that return spanning links only. Hashes that hold
 a large share of all rows are found beforehand by bounded frequency summaries
 and never shuffled to one task.
 
+Pairs of long lines with more edits are candidates when a band of their MinHash
+signatures (character grams of ``GRAM``) agrees; all candidates are verified.
+Up to ``MAX_EDITS`` the join is exact; beyond it a pair is met with the
+probability that its common grams give: nearly all where edits come in whole
+words, less where single characters all over a line differ.
+
 Of every class of linked or equal lines the first (smallest document, then
 line) stays. Lines below the length are never touched.
 
@@ -36,6 +43,10 @@ from wattlake.llm.common import Scratch, components, text_bytes
 
 MAX_EDITS = 2
 MIN_CHARS = 20
+#: Lines of this length on may differ by one edit in so many characters.
+LONG, SHARE = 64, 16
+#: Characters of a gram, and bands and minima of each in a long line's signature.
+GRAM, BANDS, MINIMA = 12, 20, 3
 CROWD = 16
 #: Lines of a still crowded hash that one task compares with as many others.
 BLOCK = 256
@@ -53,6 +64,11 @@ def normal(line: str) -> str:
     return " ".join(line.encode().lower().decode().split())
 
 
+def allowed(length: int, edits: int = MAX_EDITS) -> int:
+    """Most edits between two lines, the shorter one of ``length`` characters."""
+    return max(edits, length // SHARE) if length >= LONG else edits
+
+
 def _segments(length: int, parts: int) -> list[tuple[int, int]]:
     """Start and length of even segments, the longer ones last."""
     size, longer = divmod(length, parts)
@@ -111,6 +127,8 @@ def edit_distance(a: str, b: str, most: int) -> int:
     where: dict[str, int] = {}
     for i, c in enumerate(a):
         where[c] = where.get(c, 0) | 1 << i
+    if most > 4:
+        return min(_full_distance(where, len(a), b), most + 1)
     band = (1 << 2 * most + 1) - 1
     reach = [((1 << j + 1) - 1) << most & band for j in range(most + 1)]
     for t, c in enumerate(b, 1):
@@ -130,6 +148,22 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return next((j for j in range(most + 1) if reach[j] & final), most + 1)
 
 
+def _full_distance(where: dict[str, int], size: int, b: str) -> int:
+    """Edit distance to ``b`` by whole bit columns; ``where`` holds the places of each character in the other text."""
+    mask, last = (1 << size) - 1, 1 << size - 1
+    up, down, out = mask, 0, size
+    for c in b:
+        same = where.get(c, 0)
+        flat = ((same & up) + up ^ up) | same | down
+        right = down | ~(flat | up) & mask
+        left = up & flat
+        out += bool(right & last) - bool(left & last)
+        right = (right << 1 | 1) & mask
+        up = (left << 1 | ~(same | down | right)) & mask
+        down = right & (same | down)
+    return out
+
+
 def _common(a: str, b: str) -> int:
     """Length of the common prefix."""
     if a[:1] != b[:1]:
@@ -211,15 +245,56 @@ def _rows(ids: list[int], lines: list[str], edits: int) -> tuple[np.ndarray, np.
     return keys, of, np.concatenate([roles for _, roles in plans])
 
 
-def _heavy(docs: DataFrame, edits: int, least: int, crowd: int) -> frozenset[int]:
-    """Hashes that may be a segment of more than one in ``COUNTERS`` of all segments: a bounded set."""
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def _bands(ids: list[int], lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, line id and role of every signature band of the long lines."""
+    chosen = [i for i, x in enumerate(lines) if len(x) >= LONG]
+    if not chosen:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
+    of = np.array([ids[i] for i in chosen], np.int64)
+    sizes = np.array([len(lines[i]) for i in chosen])
+    chars = np.frombuffer("".join(lines[i] for i in chosen).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    grams = np.zeros(len(chars) - GRAM + 1, np.uint64)
+    for j in range(GRAM):
+        grams = grams * np.uint64(0x100000001B3) + chars[j:j + len(grams)]
+    # grams that reach into the next line are left out
+    starts = np.cumsum(sizes) - sizes
+    inside = np.ones(len(chars), bool)
+    for j in range(1, GRAM):
+        inside[starts + sizes - j] = False
+    grams = (_mixed(grams[inside[:len(grams)]]) >> np.uint64(32)).astype(np.uint32)
+    firsts = np.cumsum(sizes - GRAM + 1) - (sizes - GRAM + 1)
+    factors = (_mixed(np.arange(1, BANDS * MINIMA + 1, dtype=np.uint64)) | np.uint64(1)).astype(np.uint32)
+    keys = []
+    for band in range(BANDS):
+        key = np.full(len(of), band + 1 << 8, np.uint64)
+        for f in factors[band * MINIMA:(band + 1) * MINIMA]:
+            turned = grams * f
+            turned ^= turned >> np.uint32(15)
+            key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(turned * np.uint32(0x85EBCA6B), firsts))
+        keys.append(key.view(np.int64))
+    return np.concatenate(keys), np.tile(of, BANDS), np.full(BANDS * len(of), _SEGMENT | _PROBE, np.int32)
+
+
+def _own_segments(edits: int):
+    """Hashes of the lines' segments."""
+    return lambda ids, lines: _signed(
+        _hash(x[at:at + size], len(x) * 16 + i) for x in lines for i, (at, size) in enumerate(_segments(len(x), edits + 1))
+    )
+
+
+def _heavy(docs: DataFrame, hashes, least: int, crowd: int) -> frozenset[int]:
+    """Hashes that may be more than one in ``COUNTERS`` of all that ``hashes(ids, lines)`` gives: a bounded set."""
 
     def run(batches):
         keys, counts, total = np.empty(0, np.int64), np.empty(0, np.int64), 0
-        for _, lines in _distinct_lines(batches, least):
-            new = _signed(
-                _hash(x[at:at + size], len(x) * 16 + i) for x in lines for i, (at, size) in enumerate(_segments(len(x), edits + 1))
-            )
+        for ids, lines in _distinct_lines(batches, least):
+            new = hashes(ids, lines)
             total += len(new)
             new, n = np.unique(new, return_counts=True)
             keys, back = np.unique(np.concatenate([keys, new]), return_inverse=True)
@@ -382,12 +457,14 @@ def _block_links(edits: int):
         counts = counts[order].astype(np.int32)
         a, b, start = [], [], 0
         for n, j in enumerate(order):
-            while len(lines[order[start]]) < len(lines[j]) - edits:
+            most = allowed(len(lines[j]), edits)
+            while len(lines[order[start]]) < len(lines[j]) - most:
                 start += 1
-            alike = np.abs(counts[start:n] - counts[n]).sum(axis=1) <= 2 * edits
+            alike = np.abs(counts[start:n] - counts[n]).sum(axis=1) <= 2 * most
             for i in (order[start + k] for k in np.flatnonzero(alike)):
                 if (sides[i] != sides[j] or sides[i] == 2) and root(i) != root(j):
-                    if edit_distance(lines[i], lines[j], edits) <= edits:
+                    # the line before is not longer
+                    if edit_distance(lines[i], lines[j], most := allowed(len(lines[i]), edits)) <= most:
                         parent[root(i)] = root(j)
                         a.append(ids[i])
                         b.append(ids[j])
@@ -403,6 +480,11 @@ def _crowded_links(docs: DataFrame, crowded: DataFrame, scratch: Scratch, edits:
     found = scratch.table(_candidates(rows.mapInArrow(_inner_rows(edits), "key long, id long, role int"), crowd))
     pairs = _verified(found.where("crowd is null").select("a", "b").distinct(), text, edits)
     still = found.where("crowd is not null").select(F.col("crowd").alias("key"), F.col("a").alias("id")).distinct()
+    return pairs.unionAll(_dense_links(still, text, edits))
+
+
+def _dense_links(still: DataFrame, text: DataFrame, edits: int) -> DataFrame:
+    """Links among the lines ``(key, id)`` of each key, block against block."""
     blocks = still.groupBy("key").count().select("key", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
@@ -411,8 +493,7 @@ def _crowded_links(docs: DataFrame, crowded: DataFrame, scratch: Scratch, edits:
         "key", "id", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
     ).join(text, "id")
-    dense = members.groupBy("key", "low", "high").applyInArrow(_block_links(edits), "a long, b long")
-    return pairs.unionAll(dense)
+    return members.groupBy("key", "low", "high").applyInArrow(_block_links(edits), "a long, b long")
 
 
 def _verified(pairs: DataFrame, text: DataFrame, edits: int) -> DataFrame:
@@ -420,24 +501,28 @@ def _verified(pairs: DataFrame, text: DataFrame, edits: int) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            ok = [edit_distance(x, y, edits) <= edits for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            ok = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                most = allowed(min(len(x), len(y)), edits)
+                ok.append(edit_distance(x, y, most) <= most)
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     left = text.select(F.col("id").alias("a"), F.col("text").alias("left"))
     right = text.select(F.col("id").alias("b"), F.col("text").alias("right"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-    close = both.where(F.abs(F.length("left") - F.length("right")) <= edits)
+    short = F.least(F.length("left"), F.length("right"))
+    most = F.when(short >= LONG, F.greatest(F.lit(edits), F.floor(short / SHARE))).otherwise(edits)
+    close = both.where(F.abs(F.length("left") - F.length("right")) <= most)
     return close.mapInArrow(run, "a long, b long")
 
 
-def links(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, crowd: int = CROWD) -> DataFrame:
-    """Links ``(a, b)`` between hashes of different lines within the distance; they span every component."""
-    scratch = Scratch(docs.sparkSession)
-    heavy = docs.sparkSession.sparkContext.broadcast(_heavy(docs, edits, least, crowd))
+def _met(docs: DataFrame, scratch: Scratch, rows_of, heavy: frozenset[int], least: int, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs, and the rows of crowded hashes, of what ``rows_of(ids, lines)`` gives."""
+    heavy = docs.sparkSession.sparkContext.broadcast(heavy)
 
     def run(batches, want_heavy):
         for ids, lines in _distinct_lines(batches, least):
-            keys, of, roles = _rows(ids, lines, edits)
+            keys, of, roles = rows_of(ids, lines)
             if heavy.value:
                 in_heavy = np.isin(keys, np.fromiter(heavy.value, np.int64))
                 chosen = in_heavy if want_heavy else ~in_heavy
@@ -453,10 +538,30 @@ def links(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, crowd
     crowded = scratch.table(crowded)
     pairs = scratch.table(found.where("crowd is null").select("a", "b").distinct())
     scratch.drop(found)
+    return pairs, crowded
+
+
+def links(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, crowd: int = CROWD) -> DataFrame:
+    """Links ``(a, b)`` between hashes of different lines within the distance; they span every component."""
+    scratch = Scratch(docs.sparkSession)
+    heavy = _heavy(docs, _own_segments(edits), least, crowd)
+    pairs, crowded = _met(docs, scratch, lambda ids, lines: _rows(ids, lines, edits), heavy, least, crowd)
+    heavy = _heavy(docs, lambda ids, lines: _bands(ids, lines)[0], max(least, LONG), crowd)
+    long_pairs, long_crowded = _met(docs, scratch, _bands, heavy, max(least, LONG), crowd)
+    pairs = scratch.table(pairs.unionAll(long_pairs).distinct())
     ids = scratch.table(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
     out = _verified(pairs, scratch.table(_wanted(docs, ids, least)), edits)
     if not crowded.isEmpty():
         out = out.unionAll(_crowded_links(docs, crowded, scratch, edits, least, crowd))
+    if not long_crowded.isEmpty():
+        # bands that the same lines share are compared once
+        same = long_crowded.select("key", "id").distinct().groupBy("key").agg(
+            F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sum")
+        )
+        keys = scratch.table(same.groupBy("n", "sum").agg(F.min("key").alias("key")).select("key"))
+        still = scratch.table(long_crowded.select("key", "id").distinct().join(keys, "key"))
+        text = scratch.table(_wanted(docs, scratch.table(still.select("id").distinct()), least))
+        out = out.unionAll(_dense_links(still, text, edits))
     return out
 
 
