@@ -44,7 +44,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled to the target weights of source, language and topic."""
-    return mixing.mix(docs).where("sampled").select("row.*")
+    return mixing.mix(docs, hold=True).where("sampled").select("row.*")
 
 
 STAGES = [

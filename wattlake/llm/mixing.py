@@ -7,6 +7,11 @@ the expected tokens meet the budget, with probabilities above one capped and
 their share given to the other cells. A document is sampled if the hash of its
 id, a number in [0, 1), lies below its cell's probability.
 
+That cap leaves the marginals where many cells reach it. ``bounded`` raking
+itself holds every probability to one at most, for the largest budget up
+to ``BUDGET`` whose marginals it reaches within ``RESIDUAL``. Values with a
+target share under ``MINOR`` may fall short: they give at most all they have.
+
 Defined results: a null source or language is a value of its own (the empty
 string); documents without words have topic ``none`` and zero tokens, and their
 cell the probability of one that is not scaled (1); a null ``doc_id`` hashes as
@@ -29,6 +34,10 @@ TEMPER = 0.7
 BUDGET = 0.9
 ROUNDS = 10
 CAP_ROUNDS = 6
+#: Largest relative miss of a marginal under bounded raking, and by how much a budget that misses more is cut.
+RESIDUAL, SHRINK = 0.02, 0.9
+#: Values with a smaller target share don't bound the budget: they give all they have, up to their target.
+MINOR = 0.02
 
 
 def topic(words: list[bytes], topics: int = TOPICS) -> str:
@@ -67,6 +76,20 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, rounds:
     written table, so a lost executor costs one round at most.
     """
     scratch = Scratch(cells.sparkSession)
+    current = _with_goals(cells, targets, scratch)
+    for _ in range(rounds):
+        step = current
+        for d in DIMENSIONS:
+            have = F.sum("weight").over(Window.partitionBy(d))
+            step = step.withColumn("weight", F.col("weight") * F.col(f"goal_{d}") / have)
+        after = scratch.table(step)
+        scratch.drop(current)
+        current = after
+    return current.select(*DIMENSIONS, "tokens", "weight")
+
+
+def _with_goals(cells: DataFrame, targets: dict[str, DataFrame] | None, scratch: Scratch) -> DataFrame:
+    """Cells with tokens, their ``weight`` before raking, and the target share of each of their values."""
     start = cells.where("tokens > 0").withColumn("weight", F.col("tokens").cast("double"))
     for d in DIMENSIONS:
         if targets and d in targets:
@@ -77,16 +100,68 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, rounds:
             total = raised.agg(F.sum("raised")).first()[0] or 1.0
             t = raised.select(d, (F.col("raised") / total).alias(f"goal_{d}"))
         start = start.join(scratch.table(t), d)
-    current = scratch.table(start)
-    for _ in range(rounds):
-        step = current
+    return scratch.table(start)
+
+
+def marginals(decided: DataFrame) -> DataFrame:
+    """``(dimension, value, goal, reached)`` of cells with ``p``: target shares and those of the expected sample."""
+    drawn = F.col("p") * F.col("tokens")
+    parts = [
+        decided.groupBy(F.col(d).alias("value")).agg(F.max(f"goal_{d}").alias("goal"), F.sum(drawn).alias("n"))
+        .select(F.lit(d).alias("dimension"), "value", "goal", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias("reached"))
+        for d in DIMENSIONS
+    ]
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+
+
+def bounded(
+    cells: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET, rounds: int = 2 * ROUNDS
+) -> DataFrame:
+    """Cells with ``weight``, ``p`` and their goals: raked with no probability above one.
+
+    A step scales one value's open cells so that with the capped ones they hold
+    its target. The budget starts at what the scarcest value allows and falls
+    until every marginal is within ``RESIDUAL``.
+    """
+    scratch = Scratch(cells.sparkSession)
+    start = _with_goals(cells, targets, scratch)
+    total = start.agg(F.sum("tokens")).first()[0]
+    if not total:
+        return start.withColumn("p", F.lit(1.0))
+    for d in DIMENSIONS:
+        # a value cannot give more than it has
+        share = start.groupBy(d).agg(F.max(f"goal_{d}").alias("goal"), F.sum("tokens").alias("n")).where(F.col("goal") >= MINOR)
+        budget = min([budget, *(r[0] for r in share.agg(F.min(F.col("n") / F.col("goal") / total)).collect() if r[0])])
+    while True:
+        aimed = start
         for d in DIMENSIONS:
-            have = F.sum("weight").over(Window.partitionBy(d))
-            step = step.withColumn("weight", F.col("weight") * F.col(f"goal_{d}") / have)
-        after = scratch.table(step)
+            share = start.groupBy(d).agg(F.max(f"goal_{d}").alias("goal"), F.sum("tokens").alias("n"))
+            minor = F.col("goal") < MINOR
+            given = F.when(minor, F.least("goal", F.col("n") / F.lit(float(budget * total))))
+            left = share.agg(F.sum(given), F.sum(F.when(~minor, F.col("goal")))).first()
+            # what minor values lack goes to the others
+            rest = F.col("goal") * F.lit((1 - (left[0] or 0.0)) / left[1] if left[1] else 1.0)
+            aimed = aimed.join(share.select(d, F.coalesce(given, rest).alias(f"aim_{d}")), d)
+        current = scratch.table(aimed)
+        for _ in range(rounds):
+            step = current
+            for d in DIMENSIONS:
+                # capped cells come first; the scale is the largest that any number of them asks for
+                full = Window.partitionBy(d).orderBy(F.col("tokens") / F.col("weight"), *DIMENSIONS)
+                before = full.rowsBetween(Window.unboundedPreceding, -1)
+                after = full.rowsBetween(0, Window.unboundedFollowing)
+                wanted = F.col(f"aim_{d}") * F.lit(float(budget * total)) - F.coalesce(F.sum("tokens").over(before), F.lit(0))
+                step = step.withColumn("scale", wanted / F.sum("weight").over(after))
+                step = step.withColumn("weight", F.col("weight") * F.max("scale").over(Window.partitionBy(d))).drop("scale")
+            done = scratch.table(step)
+            scratch.drop(current)
+            current = done
+        out = current.withColumn("p", F.least(F.lit(1.0), F.col("weight") / F.col("tokens")))
+        miss = marginals(out).where(F.col("goal") >= MINOR).agg(F.max(F.abs(F.col("reached") / F.col("goal") - 1))).first()[0]
+        if miss is None or miss <= RESIDUAL or budget < 0.01:
+            return out.withColumn("weight", F.col("weight") / F.lit(float(total)))
         scratch.drop(current)
-        current = after
-    return current.select(*DIMENSIONS, "tokens", "weight")
+        budget *= SHRINK
 
 
 def probabilities(raked: DataFrame, budget: float = BUDGET, cap_rounds: int = CAP_ROUNDS) -> DataFrame:
@@ -115,12 +190,14 @@ def uniform(doc_id: Column) -> Column:
 
 
 def mix(
-    docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET, topics: int = TOPICS
+    docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET, topics: int = TOPICS,
+    hold: bool = False,
 ) -> DataFrame:
-    """``(row, source, lang, topic, n_tokens, weight, p, sampled)`` of every document."""
+    """``(row, source, lang, topic, n_tokens, weight, p, sampled)`` of every document; with ``hold`` by bounded raking."""
     every = with_cells(docs, topics)
     cells = every.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"))
-    decided = probabilities(rake(Scratch(docs.sparkSession).table(cells), targets), budget)
+    cells = Scratch(docs.sparkSession).table(cells)
+    decided = bounded(cells, targets, budget) if hold else probabilities(rake(cells, targets), budget)
     known = decided.select(*[F.col(c).alias(f"cell_{c}") for c in DIMENSIONS], "weight", "p")
     same = [F.col(c) == F.col(f"cell_{c}") for c in DIMENSIONS]
     # cells are few beside documents: Spark broadcasts them below its threshold, else splits skewed cells
