@@ -146,3 +146,12 @@ def test_long_lines_link_by_their_share_of_edits(spark):
     assert all(got[100 + i, 0] == (i, 0) for i in range(60))
     assert all(got[300 + i, 0] == (0, 0) for i in range(40))
     assert not any((200 + i, 0) in got for i in range(60))
+
+
+def test_short_lines_of_their_own_keep_a_document(spark):
+    header = "this is a licence line of more than twenty characters"
+    rows = [(1, header + "\na full line that nobody else has written\nx"), (2, header + "\nroses are red\n\nviolets"),
+            (3, header + "\n  X \n"), (4, header + "\nroses  are red"), (5, header + "\n \n")]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], SCHEMA)
+    got = {r.doc_id: r.text for r in lines.deduplicate(docs).collect()}
+    assert got == {1: rows[0][1], 2: "roses are red\n\nviolets"}

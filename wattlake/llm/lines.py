@@ -22,7 +22,9 @@ probability that its common grams give: nearly all where edits come in whole
 words, less where single characters all over a line differ.
 
 Of every class of linked or equal lines the first (smallest document, then
-line) stays. Lines below the length are never touched.
+line) stays. Lines below the length are never touched, unless the whole document
+goes: its long lines are all redundant and its short ones all stand in earlier
+documents.
 
 Defined results: null text has no lines; repeated rows are one occurrence and
 share decisions; rows with a null ``doc_id`` are left as they are; an empty
@@ -603,8 +605,24 @@ def summary(docs: DataFrame, found: DataFrame) -> DataFrame:
     )
 
 
+def _fresh(docs: DataFrame, least: int) -> DataFrame:
+    """``fresh``: documents with a short line, not blank, that no smaller ``doc_id`` has."""
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for d, raw in zip(b.column(0).to_pylist(), text_bytes(b.column(1))):
+                short = {" ".join(x.split()) for x in raw.lower().decode().split("\n")} if raw else set()
+                out += [(d, *_line_ids(x)) for x in short if 0 < len(x) < least]
+            cols = list(zip(*out)) if out else [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "id", "check"])
+
+    short = _texts(docs).mapInArrow(run, "doc_id long, id long, check long")
+    return short.groupBy("id", "check").agg(F.min("doc_id").alias("fresh")).select("fresh").distinct()
+
+
 def deduplicate(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, crowd: int = CROWD) -> DataFrame:
-    """``docs`` without redundant lines; a document whose long lines are all redundant goes. Columns are unchanged."""
+    """``docs`` without redundant lines; a document with nothing but redundant and earlier short lines goes. Columns are unchanged."""
     others = [c for c in docs.columns if c != "text"]
     found = repeats(docs, edits, least, crowd)
     spare = found.groupBy("doc_id").agg(F.collect_list("line").alias("spare"))
@@ -612,19 +630,21 @@ def deduplicate(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS,
         F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"), F.col("text").cast("string").alias("text"),
         F.col("doc_id").cast("long").alias("key"),
     )
-    joined = rows.join(spare, F.col("key") == spare.doc_id, "left").select("row", "text", "spare")
+    fresh = _fresh(docs, least)
+    joined = rows.join(spare, F.col("key") == spare.doc_id, "left").join(fresh, F.col("key") == fresh.fresh, "left")
+    joined = joined.select("row", "text", "spare", F.col("fresh").isNotNull().alias("fresh"))
 
     def run(batches):
         for b in batches:
             texts, keep = [], []
-            for raw, lines in zip(text_bytes(b.column(1)), b.column(2).to_pylist()):
+            for raw, lines, fresh in zip(text_bytes(b.column(1)), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 if not lines:
                     texts.append(raw.decode() if raw is not None else None)
                     keep.append(True)
                     continue
                 gone = set(lines)
                 texts.append("\n".join(x for i, x in enumerate(raw.decode().split("\n")) if i not in gone))
-                keep.append(any(i not in gone for i, _ in _eligible(raw, least)))
+                keep.append(fresh or any(i not in gone for i, _ in _eligible(raw, least)))
             out = pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["row", "text"])
             yield out.filter(pa.array(keep, pa.bool_()))
 
