@@ -199,3 +199,14 @@ def test_words_agree_with_the_pattern():
     for text in ("Ab9é__x", "", "ÀB c", "a\x7fb`c[d"):
         want = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", text.translate({i: i + 32 for i in range(65, 91)}))
         assert [w.decode() for w in phrase_words(text.encode())] == want
+
+
+def test_credentials_inside_assignments_and_addresses():
+    formats = secrets.Formats({k: secrets._seeds(k, 100) for k in secrets.FORMATS}, ["thing", "another", "considerable", "windows"] * 30)
+    fresh = {k: secrets._seeds(k, 101)[-1] for k in ("github", "stripe", "google", "slack")}
+    texts = {"github": "GITHUB_PAT={}", "stripe": "STRIPE={};", "google": "see https://a.example.com/v1?key={}", "slack": "post /hooks/{} now"}
+    for kind, text in texts.items():
+        text = text.format(fresh[kind])
+        got = [(f, text[s + a:s + b]) for s, _, t in secrets.candidates(text.encode()) for a, b, f, _ in secrets.best_parts(t, formats.score)]
+        assert got == [(kind, fresh[kind])], (text, got)
+    assert secrets.candidates(b"ghp_" + b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJ")

@@ -1,12 +1,15 @@
 """Secret scan: base patterns, and formats inferred from labelled credentials.
 
 One pass over the texts finds the base spans and the candidate tokens (runs of
-token characters, with a digit and a letter). From the base spans, which are
+token characters, with a digit and a letter or a known prefix). From the base spans, which are
 credentials labelled with their kind, and from seeds of published formats, one
 probabilistic automaton per kind is inferred; ordinary words give one more.
 Every candidate is scored by its log-likelihood per symbol under the likeliest
 format, and becomes a span if that is about what held-out credentials of the
-kind reach and more than the ordinary automaton gives.
+kind reach and more than the ordinary automaton gives. A run is scored as a
+whole and in its parts: what stands between '=', '/' and '.', behind its first
+and last '=' and from each published prefix on; the best parts that don't
+overlap become spans.
 
 Training reads at most ``SAMPLE`` credentials of a kind and ``SAMPLE`` ordinary
 words, smallest hashes first; everything else covers all texts.
@@ -17,6 +20,7 @@ alone; repeated rows each get a row; only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
+import bisect
 import random
 import re
 import zlib
@@ -59,6 +63,11 @@ FORMATS = {
 }
 
 
+_PREFIXES = sorted({p for parts in FORMATS.values() for p, n in parts[:1] if not n})
+_CUT = re.compile("[=/.]|(?=" + "|".join(map(re.escape, _PREFIXES)) + ")")
+_PREFIX = re.compile("|".join(map(re.escape, _PREFIXES)))
+
+
 def _seeds(fmt: str, n: int) -> list[str]:
     rng = random.Random(fmt)
     return [
@@ -83,18 +92,47 @@ def base_spans(raw: bytes) -> list[tuple[str, int, int, str]]:
 
 
 def candidates(raw: bytes) -> list[tuple[int, int, str]]:
-    """Runs of 16 or more token characters with a digit and a letter, without the punctuation at their ends."""
-    if not _DIGIT.search(raw):
-        return []
+    """Runs of 16 or more token characters, without the punctuation at their ends, that may hold a credential."""
     out = []
     for m in _TOKEN.finditer(raw.decode()):
-        token = m[0].strip(".=-/+_")
+        token = m[0].strip(".=/+")
         start = m.start() + m[0].index(token)
-        if len(token) >= 16 and any(c.isdigit() for c in token) and any(c.isalpha() for c in token):
+        if len(token) >= 16 and _mixed(token):
             out.append((start, start + len(token), token))
     return out
 
 
+def _mixed(token: str) -> bool:
+    digit, letter = any(c.isdigit() for c in token), any(c.isalpha() for c in token)
+    return letter and (digit or _PREFIX.search(token) is not None)
+
+
+def parts(token: str) -> list[tuple[int, int]]:
+    """``(start, stop)`` of what is scored of a run: their lengths add up to a few times its own."""
+    cuts = list(_CUT.finditer(token))
+    starts, stops = [0, *(m.end() for m in cuts)], [*(m.start() for m in cuts), len(token)]
+    found = {(0, len(token)), *zip(starts, stops)}
+    if "=" in token:
+        found |= {(token.index("=") + 1, len(token)), (token.rindex("=") + 1, len(token))}
+    for a, b in list(found):
+        bare = token[a:b].strip("-_")
+        if bare and len(bare) < b - a:
+            at = a + token[a:b].index(bare)
+            found.add((at, at + len(bare)))
+    return sorted((a, b) for a, b in found if b - a >= 16 and _mixed(token[a:b]))
+
+
+def best_parts(token: str, score) -> list[tuple[int, int, str, float]]:
+    """``(start, stop, format, margin)`` of the accepted parts, best margins first where they overlap, by start."""
+    scored = [(a, b, *score(token[a:b])) for a, b in parts(token)]
+    out: list[tuple[int, int, str, float]] = []
+    for p in sorted((p for p in scored if p[3] >= 0), key=lambda p: (-p[3], p[0], p[1])):
+        at = bisect.bisect(out, p)
+        if (not at or out[at - 1][1] <= p[0]) and (at == len(out) or p[1] <= out[at][0]):
+            out.insert(at, p)
+    return out
+
+
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("token", pa.string())])
 _FIND_SCHEMA = pa.schema(
     [("doc_id", pa.int64()), ("base", pa.list_(_SPAN)), ("candidates", pa.list_(_SPAN)), ("ordinary", pa.string())]
@@ -186,9 +224,9 @@ def scan(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
                 for s in base:
                     free[np.searchsorted(stops, s["start"], "right"):np.searchsorted(starts, s["stop"], "left")] = False
                 for t in (t for t, ok in zip(tokens, free) if ok):
-                    fmt, margin = score(t["token"])
-                    if margin >= 0:
-                        spans.append({"kind": "inferred", "start": t["start"], "stop": t["stop"], "format": fmt, "score": margin})
+                    for a, e, fmt, margin in best_parts(t["token"], score):
+                        start, stop = t["start"] + a, t["start"] + e
+                        spans.append({"kind": "inferred", "start": start, "stop": stop, "format": fmt, "score": margin})
                 out.append(spans)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(out, inferred)], ["doc_id", "base", "inferred"]
