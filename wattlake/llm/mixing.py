@@ -1,27 +1,29 @@
 """Mixing to target weights by iterative proportional fitting.
 
 Tokens are counted per (source, language, topic) cell. Raking scales the cells'
-token weights to the target marginals of each dimension in turn; a cell's
-sampling probability is its calibrated weight over its tokens, scaled so that
-the expected tokens meet the budget, with probabilities above one capped and
-their share given to the other cells. A document is sampled if the hash of its
-id, a number in [0, 1), lies below its cell's probability.
-
-That cap leaves the marginals where many cells reach it. ``bounded`` raking
-itself holds every probability to one at most, for the largest budget up
-to ``BUDGET`` whose marginals it reaches within ``RESIDUAL``. Values with a
-target share under ``MINOR`` may fall short: they give at most all they have.
+token weights to the target marginals of each dimension in turn, with no cell
+above its own tokens; a cell's sampling probability is its calibrated weight
+over its tokens, at most one. A document is sampled if the hash of its id, a
+number in [0, 1), lies below its cell's probability.
+
+Targets that are not given are the token shares to the power ``TEMPER``; a value
+whose share of the budget would exceed all its tokens is asked for all of them,
+and the others share the rest. Given targets are met as they are: if no
+probabilities up to one reach them, the budget is bisected downwards; targets
+that no budget reaches raise an error that names the miss. Rounds go on until
+every marginal is within ``RESIDUAL``; ``marginals`` reports what is reached.
 
 Defined results: a null source or language is a value of its own (the empty
-string); documents without words have topic ``none`` and zero tokens, and their
-cell the probability of one that is not scaled (1); a null ``doc_id`` hashes as
-the empty string; repeated rows are decided alike; an empty table gives no rows.
+string); documents without words have topic ``none`` and zero tokens, and
+probability 1 if their cell has no tokens; a null ``doc_id`` hashes as the empty
+string; repeated rows are decided alike; an empty table gives no rows; further
+columns, whatever their names, stand inside ``row``.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattlake.llm.common import Scratch, phrase_words, text_bytes
@@ -32,12 +34,12 @@ TOPICS = 8
 TEMPER = 0.7
 #: Share of all tokens that the sample is to hold.
 BUDGET = 0.9
-ROUNDS = 10
-CAP_ROUNDS = 6
-#: Largest relative miss of a marginal under bounded raking, and by how much a budget that misses more is cut.
-RESIDUAL, SHRINK = 0.02, 0.9
-#: Values with a smaller target share don't bound the budget: they give all they have, up to their target.
-MINOR = 0.02
+#: Largest relative miss of a marginal.
+RESIDUAL = 0.01
+#: Rounds a budget is given at most, and after how many without a fifth less to miss it counts as out of reach.
+ROUNDS, PATIENCE = 60, 6
+#: How closely a lower budget is searched, and the least one tried.
+BISECTION, LEAST = 0.2, 0.01
 
 
 def topic(words: list[bytes], topics: int = TOPICS) -> str:
@@ -68,121 +70,113 @@ def with_cells(docs: DataFrame, topics: int = TOPICS) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, rounds: int = ROUNDS) -> DataFrame:
-    """``cells(source, lang, topic, tokens)`` with ``weight`` raked to the marginals.
+def shares(cells: DataFrame, d: str, target: DataFrame | None, budget: float, total: int) -> DataFrame:
+    """``(value, goal)`` of dimension ``d``: the given shares, or tempered ones that the budget can take."""
+    have = cells.groupBy(F.col(d).alias("value")).agg(F.sum("tokens").alias("n")).where("n > 0")
+    if target is not None:
+        asked = target.groupBy("value").agg(F.sum("share").alias("share")).where("share > 0")
+        whole, lost = asked.join(have, "value", "left").agg(F.sum("share"), F.sum(F.when(F.col("n").isNull(), F.col("share")))).first()
+        if lost or not whole:
+            raise ValueError(f"targets of {d}: a share of {lost} is asked of values without tokens")
+        asked = asked.select("value", (F.col("share") / whole).alias("goal"))
+        return have.select("value").join(asked, "value", "left").select("value", F.coalesce("goal", F.lit(0.0)).alias("goal"))
+    tempered = have.select("value", F.pow(F.col("n").cast("double"), F.lit(TEMPER)).alias("wish"), (F.col("n") / F.lit(budget * total)).alias("most"))
+    scale = 0.0
+    while True:  # the scale only grows, and ends when no further value is asked for all it has
+        full = F.col("wish") * F.lit(scale) >= F.col("most")
+        taken, open_ = tempered.agg(F.sum(F.when(full, F.col("most"))), F.sum(F.when(~full, F.col("wish")))).first()
+        if not open_ or (1 - (taken or 0.0)) / open_ <= scale:
+            return tempered.select("value", F.least("most", F.col("wish") * F.lit(scale)).alias("goal"))
+        scale = (1 - (taken or 0.0)) / open_
+
+
+def _round(cells: DataFrame, budget_tokens: float) -> DataFrame:
+    """One raking step a dimension; ``miss`` is the largest relative miss of a marginal before its step.
 
-    ``targets`` gives ``(value, share)`` by dimension; a dimension without one
-    gets its tempered token shares. Weights sum to one. Every round is a
-    written table, so a lost executor costs one round at most.
+    Of a value's cells those at their tokens stay there and the open ones are
+    scaled to what is left of its aim; a value above its aim is scaled down as a
+    whole. Neither passes the aim, as the drawn tokens are concave in the scale.
+    """
+    out = cells.drop("miss")
+    for d in DIMENSIONS:
+        drawn = F.least(F.col("weight"), F.col("tokens").cast("double"))
+        of_value = out.groupBy(d).agg(
+            (F.max(f"goal_{d}") * F.lit(budget_tokens)).alias("aim"), F.sum(drawn).alias("drawn"),
+            F.sum(F.when(F.col("weight") < F.col("tokens"), F.col("weight")).otherwise(0.0)).alias("open"),
+        )
+        up = F.when(F.col("open") > 0, (F.col("aim") - F.col("drawn") + F.col("open")) / F.col("open")).otherwise(1.0)
+        down = F.when(F.col("drawn") > 0, F.col("aim") / F.col("drawn")).otherwise(1.0)
+        of_value = of_value.select(
+            F.col(d).alias("of"), F.when(F.col("drawn") < F.col("aim"), up).otherwise(down).alias("step"),
+            F.when(F.col("aim") > 0, F.abs(F.col("drawn") / F.col("aim") - 1)).otherwise(0.0).alias(f"miss_{d}"),
+        )
+        out = out.join(of_value, out[d] == of_value["of"]).drop("of")
+        out = out.withColumn("weight", F.col("weight") * F.col("step")).drop("step")
+    missed = [f"miss_{d}" for d in DIMENSIONS]
+    return out.withColumn("miss", F.greatest(*missed)).drop(*missed)
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET) -> DataFrame:
+    """``cells(source, lang, topic, tokens)`` with ``p``, ``weight`` and the goal of each of its values.
+
+    ``targets`` gives ``(value, share)`` by dimension. ``weight`` is the cell's share of the expected sample.
+    Every round is one written table, so a lost executor costs one round at most.
     """
     scratch = Scratch(cells.sparkSession)
-    current = _with_goals(cells, targets, scratch)
-    for _ in range(rounds):
-        step = current
-        for d in DIMENSIONS:
-            have = F.sum("weight").over(Window.partitionBy(d))
-            step = step.withColumn("weight", F.col("weight") * F.col(f"goal_{d}") / have)
-        after = scratch.table(step)
-        scratch.drop(current)
-        current = after
-    return current.select(*DIMENSIONS, "tokens", "weight")
-
-
-def _with_goals(cells: DataFrame, targets: dict[str, DataFrame] | None, scratch: Scratch) -> DataFrame:
-    """Cells with tokens, their ``weight`` before raking, and the target share of each of their values."""
-    start = cells.where("tokens > 0").withColumn("weight", F.col("tokens").cast("double"))
+    start = cells.where("tokens > 0")
+    total = start.agg(F.sum("tokens")).first()[0]
+    if not total:
+        return start.withColumns({"p": F.lit(1.0), "weight": F.lit(0.0)} | {f"goal_{d}": F.lit(0.0) for d in DIMENSIONS})
     for d in DIMENSIONS:
-        if targets and d in targets:
-            t = targets[d].select(F.col("value").alias(d), F.col("share").alias(f"goal_{d}"))
+        goal = scratch.table(shares(start, d, (targets or {}).get(d), budget, total)).select(F.col("value").alias("of"), F.col("goal").alias(f"goal_{d}"))
+        start = start.join(goal, start[d] == goal["of"]).drop("of")
+    high = budget
+    for d in targets or {}:  # a value gives no more than it has
+        of = start.groupBy(d).agg(F.max(f"goal_{d}").alias("goal"), F.sum("tokens").alias("n"))
+        high = min(high, of.agg(F.min(F.col("n") / F.col("goal") / total)).first()[0])
+    start = scratch.table(start)
+    low, tried, best = 0.0, high, None
+    current = scratch.table(start.withColumn("weight", F.col("tokens") * F.lit(float(tried))))
+    while best is None or high - low > BISECTION * high:
+        missed = []
+        while not missed or (missed[-1] > RESIDUAL and len(missed) < ROUNDS):
+            if len(missed) > PATIENCE and missed[-1] > 0.8 * missed[-1 - PATIENCE]:
+                break
+            after = scratch.table(_round(current, tried * total))
+            if current is not best:
+                scratch.drop(current)
+            current = after
+            missed.append(current.agg(F.max("miss")).first()[0])
+        if missed[-1] <= RESIDUAL:
+            if best is not None:
+                scratch.drop(best)
+            best, low = current, tried
         else:
-            t = cells.groupBy(d).agg(F.sum("tokens").alias("n")).where("n > 0")
-            raised = t.select(d, F.pow(F.col("n").cast("double"), F.lit(TEMPER)).alias("raised"))
-            total = raised.agg(F.sum("raised")).first()[0] or 1.0
-            t = raised.select(d, (F.col("raised") / total).alias(f"goal_{d}"))
-        start = start.join(scratch.table(t), d)
-    return scratch.table(start)
+            high = tried
+        if low == high:
+            break
+        if high < LEAST:
+            raise ValueError(f"no budget of {LEAST} or more reaches the targets: a marginal still misses {missed[-1]:.3f} of its target")
+        tried = (low + high) / 2
+    drawn = F.least(F.col("weight"), F.col("tokens").cast("double"))
+    return best.select(
+        *DIMENSIONS, "tokens", *[f"goal_{d}" for d in DIMENSIONS], (drawn / F.col("tokens")).alias("p"),
+        (drawn / F.lit(float(low * total))).alias("weight"),
+    )
 
 
 def marginals(decided: DataFrame) -> DataFrame:
     """``(dimension, value, goal, reached)`` of cells with ``p``: target shares and those of the expected sample."""
     drawn = F.col("p") * F.col("tokens")
+    total = decided.agg(F.sum(drawn)).first()[0] or 1.0
     parts = [
         decided.groupBy(F.col(d).alias("value")).agg(F.max(f"goal_{d}").alias("goal"), F.sum(drawn).alias("n"))
-        .select(F.lit(d).alias("dimension"), "value", "goal", (F.col("n") / F.sum("n").over(Window.partitionBy())).alias("reached"))
+        .select(F.lit(d).alias("dimension"), "value", "goal", (F.col("n") / F.lit(float(total))).alias("reached"))
         for d in DIMENSIONS
     ]
     return parts[0].unionAll(parts[1]).unionAll(parts[2])
 
 
-def bounded(
-    cells: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET, rounds: int = 2 * ROUNDS
-) -> DataFrame:
-    """Cells with ``weight``, ``p`` and their goals: raked with no probability above one.
-
-    A step scales one value's open cells so that with the capped ones they hold
-    its target. The budget starts at what the scarcest value allows and falls
-    until every marginal is within ``RESIDUAL``.
-    """
-    scratch = Scratch(cells.sparkSession)
-    start = _with_goals(cells, targets, scratch)
-    total = start.agg(F.sum("tokens")).first()[0]
-    if not total:
-        return start.withColumn("p", F.lit(1.0))
-    for d in DIMENSIONS:
-        # a value cannot give more than it has
-        share = start.groupBy(d).agg(F.max(f"goal_{d}").alias("goal"), F.sum("tokens").alias("n")).where(F.col("goal") >= MINOR)
-        budget = min([budget, *(r[0] for r in share.agg(F.min(F.col("n") / F.col("goal") / total)).collect() if r[0])])
-    while True:
-        aimed = start
-        for d in DIMENSIONS:
-            share = start.groupBy(d).agg(F.max(f"goal_{d}").alias("goal"), F.sum("tokens").alias("n"))
-            minor = F.col("goal") < MINOR
-            given = F.when(minor, F.least("goal", F.col("n") / F.lit(float(budget * total))))
-            left = share.agg(F.sum(given), F.sum(F.when(~minor, F.col("goal")))).first()
-            # what minor values lack goes to the others
-            rest = F.col("goal") * F.lit((1 - (left[0] or 0.0)) / left[1] if left[1] else 1.0)
-            aimed = aimed.join(share.select(d, F.coalesce(given, rest).alias(f"aim_{d}")), d)
-        current = scratch.table(aimed)
-        for _ in range(rounds):
-            step = current
-            for d in DIMENSIONS:
-                # capped cells come first; the scale is the largest that any number of them asks for
-                full = Window.partitionBy(d).orderBy(F.col("tokens") / F.col("weight"), *DIMENSIONS)
-                before = full.rowsBetween(Window.unboundedPreceding, -1)
-                after = full.rowsBetween(0, Window.unboundedFollowing)
-                wanted = F.col(f"aim_{d}") * F.lit(float(budget * total)) - F.coalesce(F.sum("tokens").over(before), F.lit(0))
-                step = step.withColumn("scale", wanted / F.sum("weight").over(after))
-                step = step.withColumn("weight", F.col("weight") * F.max("scale").over(Window.partitionBy(d))).drop("scale")
-            done = scratch.table(step)
-            scratch.drop(current)
-            current = done
-        out = current.withColumn("p", F.least(F.lit(1.0), F.col("weight") / F.col("tokens")))
-        miss = marginals(out).where(F.col("goal") >= MINOR).agg(F.max(F.abs(F.col("reached") / F.col("goal") - 1))).first()[0]
-        if miss is None or miss <= RESIDUAL or budget < 0.01:
-            return out.withColumn("weight", F.col("weight") / F.lit(float(total)))
-        scratch.drop(current)
-        budget *= SHRINK
-
-
-def probabilities(raked: DataFrame, budget: float = BUDGET, cap_rounds: int = CAP_ROUNDS) -> DataFrame:
-    """Cells with ``p``: expected tokens are ``budget`` of all, no probability above one.
-
-    Each round finds the scale that the cells not yet capped need; a cell whose
-    probability would pass one is capped, and the scale only grows.
-    """
-    scale = 0.0
-    for _ in range(cap_rounds):
-        free = F.col("weight") * scale < F.col("tokens")
-        r = raked.agg(
-            F.sum("tokens").alias("all"), F.sum(F.when(~free, F.col("tokens")).otherwise(0)).alias("capped"),
-            F.sum(F.when(free, F.col("weight")).otherwise(0.0)).alias("open"),
-        ).first()
-        if not r.open:
-            break
-        scale = (budget * r.all - r.capped) / r.open
-    return raked.withColumn("p", F.least(F.lit(1.0), F.col("weight") * F.lit(scale) / F.col("tokens")))
-
-
 def uniform(doc_id: Column) -> Column:
     """A number in [0, 1) from the id's hash."""
     digest = F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
@@ -190,14 +184,13 @@ def uniform(doc_id: Column) -> Column:
 
 
 def mix(
-    docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET, topics: int = TOPICS,
-    hold: bool = False,
+    docs: DataFrame, targets: dict[str, DataFrame] | None = None, budget: float = BUDGET, topics: int = TOPICS
 ) -> DataFrame:
-    """``(row, source, lang, topic, n_tokens, weight, p, sampled)`` of every document; with ``hold`` by bounded raking."""
+    """``(row, source, lang, topic, n_tokens, weight, p, sampled)`` of every document."""
     every = with_cells(docs, topics)
     cells = every.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"))
     cells = Scratch(docs.sparkSession).table(cells)
-    decided = bounded(cells, targets, budget) if hold else probabilities(rake(cells, targets), budget)
+    decided = rake(cells, targets, budget)
     known = decided.select(*[F.col(c).alias(f"cell_{c}") for c in DIMENSIONS], "weight", "p")
     same = [F.col(c) == F.col(f"cell_{c}") for c in DIMENSIONS]
     # cells are few beside documents: Spark broadcasts them below its threshold, else splits skewed cells

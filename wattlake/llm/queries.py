@@ -193,8 +193,9 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(captures, entries.unionByName(tracked).unionByName(again))
 
 
-def _mixing_sql(rounds: int, cap_rounds: int, temper: float, budget: float, topics: int) -> str:
-    """The raking written out as one common table expression a step."""
+def _mixing_sql(rounds: int, residual: float, temper: float, budget: float, topics: int) -> str:
+    """Bounded raking as a recursive query: one step a dimension and round, until every marginal is reached."""
+    dims = ("source", "lang", "topic")
     parts = [rf"""
 words AS (
     SELECT doc_id, coalesce(source, '') AS source, coalesce(lang, '') AS lang,
@@ -206,33 +207,41 @@ initials AS (
 best AS (SELECT doc_id, arg_max('t' || t, n * 100 - t) AS topic FROM initials GROUP BY doc_id),
 d AS (SELECT doc_id, source, lang, coalesce(topic, 'none') AS topic, CAST(len(ws) AS BIGINT) AS n_tokens
     FROM words LEFT JOIN best USING (doc_id)),
-w0 AS (SELECT source, lang, topic, sum(n_tokens) AS tokens, CAST(sum(n_tokens) AS DOUBLE) AS weight
-    FROM d GROUP BY source, lang, topic HAVING sum(n_tokens) > 0)"""]
-    for c in ("source", "lang", "topic"):
+cells AS (SELECT source, lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS tokens FROM d
+    GROUP BY source, lang, topic HAVING sum(n_tokens) > 0),
+wanted AS (SELECT {budget} * sum(tokens) AS budget FROM cells)"""]
+    for c in dims:
         parts.append(f"""
-r_{c} AS (SELECT {c}, pow(sum(tokens)::DOUBLE, {temper}) AS r FROM w0 GROUP BY {c}),
-g_{c} AS (SELECT {c}, r / (SELECT sum(r) FROM r_{c}) AS goal FROM r_{c})""")
-    k = 0
-    for _ in range(rounds):
-        for c in ("source", "lang", "topic"):
-            parts.append(f"""
-w{k + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, weight * goal / sum(weight) OVER (PARTITION BY {c}) AS weight
-    FROM w{k} JOIN g_{c} USING ({c}))""")
-            k += 1
-    parts.append("\ns0 AS (SELECT 0.0::DOUBLE AS scale)")
-    for i in range(cap_rounds):
-        parts.append(f"""
-s{i + 1} AS MATERIALIZED (SELECT ({budget} * sum(tokens) - sum(CASE WHEN weight * scale < tokens THEN 0 ELSE tokens END))
-    / sum(CASE WHEN weight * scale < tokens THEN weight ELSE 0 END) AS scale FROM w{k}, s{i})""")
-    return "WITH " + ",".join(parts) + f"""
-SELECT doc_id, source, lang, topic, n_tokens, round(coalesce(weight, 0), 6) AS weight,
-    round(coalesce(least(1.0, weight * scale / tokens), 1.0), 6) AS p,
+v_{c} AS (SELECT {c}, pow(sum(tokens), {temper}) AS wish, sum(tokens) / any_value(budget) AS most FROM cells, wanted GROUP BY {c}),
+l_{c} AS (SELECT max(scale) AS scale FROM (
+    SELECT (1 - coalesce(sum(most) OVER (ORDER BY most / wish, {c} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(wish) OVER (ORDER BY most / wish, {c} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS scale FROM v_{c})),
+g_{c} AS (SELECT {c}, least(most, wish * scale) * budget AS aim_{c} FROM v_{c}, l_{c}, wanted)""")
+    step = "(SELECT * FROM raked WHERE miss > {} AND round < {})".format(residual, rounds)
+    for c in dims:
+        sums = f"""SELECT *, sum(least(weight, tokens)) OVER (PARTITION BY {c}) AS drawn,
+            sum(CASE WHEN weight < tokens THEN weight ELSE 0 END) OVER (PARTITION BY {c}) AS open FROM {step}"""
+        step = f"""(SELECT * EXCLUDE (drawn, open) REPLACE (weight * CASE WHEN drawn < aim_{c}
+            THEN CASE WHEN open > 0 THEN (aim_{c} - drawn + open) / open ELSE 1 END ELSE aim_{c} / drawn END AS weight),
+            abs(drawn / aim_{c} - 1) AS miss_{c} FROM ({sums}))"""
+    parts.append(f"""
+raked AS (
+    SELECT source, lang, topic, tokens, aim_source, aim_lang, aim_topic, tokens * {budget} AS weight,
+        CAST(1e9 AS DOUBLE) AS miss, 0 AS round
+    FROM cells JOIN g_source USING (source) JOIN g_lang USING (lang) JOIN g_topic USING (topic)
+    UNION ALL
+    SELECT source, lang, topic, tokens, aim_source, aim_lang, aim_topic, weight,
+        max(greatest(miss_source, miss_lang, miss_topic)) OVER () AS miss, round + 1 AS round FROM {step}),
+done AS (SELECT source, lang, topic, least(weight, tokens) / tokens AS p, least(weight, tokens) / budget AS weight
+    FROM raked, wanted WHERE round = (SELECT max(round) FROM raked))""")
+    return "WITH RECURSIVE " + ",".join(parts) + """
+SELECT doc_id, source, lang, topic, n_tokens, round(coalesce(weight, 0), 6) AS weight, round(coalesce(p, 1.0), 6) AS p,
     CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 13) AS BIGINT) / CAST(4503599627370496 AS DOUBLE)
-        < coalesce(least(1.0, weight * scale / tokens), 1.0) AS sampled
-FROM d LEFT JOIN w{k} USING (source, lang, topic), s{cap_rounds}"""
+        < coalesce(p, 1.0) AS sampled
+FROM d LEFT JOIN done USING (source, lang, topic)"""
 
 
-@register("op8_mixing", _mixing_sql(mixing.ROUNDS, mixing.CAP_ROUNDS, mixing.TEMPER, mixing.BUDGET, mixing.TOPICS))
+@register("op8_mixing", _mixing_sql(mixing.ROUNDS, mixing.RESIDUAL, mixing.TEMPER, mixing.BUDGET, mixing.TOPICS))
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     mixed = mixing.mix(docs)
