@@ -15,7 +15,7 @@ def test_stages_are_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "quality classifier", "line dedup", "SimHash near-dedup", "benchmark decontamination", "mixing to target weights"]
     names = [n.split("_")[0] for n in E.queries() if n.startswith("op")]
-    assert sorted(names) == sorted(f"op{i}" for i in range(1, 11))
+    assert sorted(names) == sorted(f"op{i}" for i in range(1, 14))
 
 
 def test_run_composes_the_stages(spark):

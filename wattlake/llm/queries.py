@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import ann, decontam, licenses, lines, mixing, pii, quality, secrets, simhash, urls
+from wattlake.llm import ann, decontam, licenses, lines, mixing, periodic, pii, quality, ranked, secrets, sharding, simhash, urls
 from wattlake.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -271,3 +271,39 @@ def op10_pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(_span_text(by_kind("base")).cast("binary"), 256).alias("base_sha256"),
         _span_text(by_kind(F.concat("base", "added"))).alias("spans"),
     )
+
+
+@register("op11_sharding")
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(read(spark, sf_dir, "documents"), shards=8)
+
+
+@register("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.summary(periodic.find_runs(read(spark, sf_dir, "documents"), plant=periodic.planted))
+
+
+_RANKED_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS at, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM documents),
+total AS (SELECT count(*) AS docs, CAST(sum(len(ws)) AS BIGINT) AS words FROM d WHERE len(ws) > 0),
+tf AS (SELECT at, doc_id, n, w, count(*) AS tf FROM (SELECT at, doc_id, len(ws) AS n, unnest(ws) AS w FROM d) GROUP BY ALL),
+wanted AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS w FROM benchmark),
+weight AS (
+    SELECT w, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+    FROM tf, total GROUP BY w),
+scores AS (
+    SELECT item_id, at, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words)))) AS BIGINT) AS score
+    FROM wanted JOIN tf USING (w) JOIN weight USING (w), total GROUP BY item_id, at, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+    SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+    FROM scores WHERE score > 0) WHERE rank <= 50
+"""
+
+
+@register("op13_ranked_search", _RANKED_SQL)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=50)
