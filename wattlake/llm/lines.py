@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import Scratch, components, text_bytes
+from wattlake.llm.common import Scratch, components, pieces, text_bytes
 
 MAX_EDITS = 2
 MIN_CHARS = 20
@@ -199,7 +199,7 @@ def occurrences(docs: DataFrame, least: int = MIN_CHARS) -> DataFrame:
     """``(doc_id, line, id, check)`` of every eligible line."""
 
     def run(batches):
-        for b in batches:
+        for b in pieces(batches):
             out = [(d, i, *_line_ids(x)) for d, raw in zip(b.column(0).to_pylist(), text_bytes(b.column(1))) for i, x in _eligible(raw, least)]
             cols = list(zip(*out)) if out else [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "line", "id", "check"])
@@ -216,7 +216,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 def _distinct_lines(batches, least: int):
     """Small lists of ids and lines, without lines that this partition has just given."""
     seen: set[int] = set()
-    for b in batches:
+    for b in pieces(batches):
         ids, lines, size = [], [], 0
         for raw in text_bytes(b.column(b.num_columns - 1)):
             for _, line in _eligible(raw, least):
@@ -609,7 +609,7 @@ def _fresh(docs: DataFrame, least: int) -> DataFrame:
     """``fresh``: documents with a short line, not blank, that no smaller ``doc_id`` has."""
 
     def run(batches):
-        for b in batches:
+        for b in pieces(batches):
             out = []
             for d, raw in zip(b.column(0).to_pylist(), text_bytes(b.column(1))):
                 short = {" ".join(x.split()) for x in raw.lower().decode().split("\n")} if raw else set()
@@ -635,7 +635,7 @@ def deduplicate(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS,
     joined = joined.select("row", "text", "spare", F.col("fresh").isNotNull().alias("fresh"))
 
     def run(batches):
-        for b in batches:
+        for b in pieces(batches):
             texts, keep = [], []
             for raw, lines, fresh in zip(text_bytes(b.column(1)), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 if not lines:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import Scratch, phrase_words, text_bytes
+from wattlake.llm.common import Scratch, phrase_words, pieces, text_bytes
 
 DIMENSIONS = ("source", "lang", "topic")
 TOPICS = 8
@@ -59,7 +59,7 @@ def with_cells(docs: DataFrame, topics: int = TOPICS) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches):
-        for b in batches:
+        for b in pieces(batches, 500):
             found = [phrase_words(t) for t in text_bytes(b.column(0).field(at))]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array([topic(w, topics) for w in found], pa.string()), pa.array(map(len, found), pa.int64())],

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattlake.llm.common import Scratch, phrase_words, sample_of, text_bytes
+from wattlake.llm.common import phrase_words, pieces, sample_of, Scratch, text_bytes
 
 #: Class that each labeller accuses a text of; ``good`` is the class of texts that are none of these.
 LABELLERS = {
@@ -222,7 +222,7 @@ def learn(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE
     words = spark.sparkContext.broadcast(model.insults)
 
     def vote(batches):
-        for b in batches:
+        for b in pieces(batches):
             codes = [bytes(votes(raw or b"", words.value)[0]) for raw in text_bytes(b.column(1))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(codes, pa.binary())], ["doc_id", "votes"])
 
@@ -236,7 +236,7 @@ def learn(docs: DataFrame, labels: DataFrame | None = None, sample: int = SAMPLE
     ids = sample_of(cast.where("doc_id is not null").select("doc_id"), sample, total, "doc_id").distinct()
 
     def featured(batches):
-        for b in batches:
+        for b in pieces(batches):
             got = [votes(raw or b"", words.value) for raw in text_bytes(b.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([bytes(v) for v, _ in got], pa.binary()),
@@ -260,7 +260,7 @@ def classify(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
 
     def run(batches):
         m = shared.value
-        for b in batches:
+        for b in pieces(batches):
             got = [m.score(raw) for raw in text_bytes(b.column(1))]
             post = m.posterior(np.array([v for v, _ in got], np.int64).reshape(-1, len(LABELLERS)))[:, 0]
             said = [",".join(name for name, v in zip(LABELLERS, vote) if v == _YES) for vote, _ in got]
@@ -281,7 +281,7 @@ def keep_good(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
 
     def run(batches):
         m = shared.value
-        for b in batches:
+        for b in pieces(batches):
             yield b.filter(pa.array([m.score(raw)[1] >= keep for raw in text_bytes(b.column(at))], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
