@@ -2,10 +2,16 @@
 
 import datetime as dt
 import json
+import os
+import pathlib
+import shutil
+
+import pytest
 
 from wattlake.operators import quality as Q
 from wattlake.sources import sinks
 from wattlake.streaming.changes import decode_changes
+from wattlake.streaming.refresh import hour_trigger
 
 T0 = dt.datetime(2024, 1, 1, 10, 0)
 
@@ -141,31 +147,63 @@ def test_replayed_epoch_changes_nothing(spark, tmp_path):
     assert sinks.append(rows.limit(0), base) == 0
 
 
-def test_untouched_days_are_not_rewritten_and_old_files_go(spark, tmp_path):
+def test_untouched_days_keep_their_files(spark, tmp_path):
     base = tmp_path / "t"
     day = lambda n: T0 + dt.timedelta(days=n)
     sinks.upsert_table(spark.createDataFrame([(day(n), "NSW1", float(n)) for n in range(4)], DEMAND), str(base), KEYS)
-    before = _files(base)
-    sinks.upsert_table(spark.createDataFrame([(day(2), "NSW1", 9.0)], DEMAND), str(base), KEYS)
-    new = _files(base) - before
-    assert new and all("_day=2024-01-03" in f for f in new)
-    for i in range(sinks.KEEP + 2):
+    before = _files(base / "rows")
+    for i in range(4):
         sinks.upsert_table(spark.createDataFrame([(day(2), "NSW1", float(i))], DEMAND), str(base), KEYS)
-    assert len([f for f in _files(base) if "_day=2024-01-03" in f]) <= sinks.KEEP + 1
+    after = _files(base / "rows")
+    assert before - after == {f for f in before if "_day=2024-01-03" in f}
+    assert all("_day=2024-01-03" in f for f in after - before) and len(after) == len(before)
     got = sorted((r.time, r.demand_mw) for r in sinks.read_table(spark, str(base)).collect())
-    assert got == [(day(0), 0.0), (day(1), 1.0), (day(2), float(sinks.KEEP + 1)), (day(3), 3.0)]
-
+    assert got == [(day(0), 0.0), (day(1), 1.0), (day(2), 3.0), (day(3), 3.0)]
 
-def test_second_writer_of_a_commit_fails(spark, tmp_path):
-    import pytest
-    from py4j.protocol import Py4JJavaError
 
+@pytest.mark.parametrize("writer", [sinks.upsert_table, sinks.insert_absent_table, sinks.delete_insert_table])
+@pytest.mark.parametrize("broken", ["before the swap", "in the swap", "before the mark"])
+def test_a_stop_at_any_step_and_a_replay_give_the_same_table(spark, tmp_path, monkeypatch, writer, broken):
     base = str(tmp_path / "t")
-    sinks.append(spark.createDataFrame([(T0, "NSW1", 1.0)], DEMAND), base)
-    taken = sinks.Commit(1)
-    with pytest.raises(Py4JJavaError):
-        sinks._commit(spark, base, taken)
-    assert sinks.read_table(spark, base).count() == 1
+    day = lambda n: T0 + dt.timedelta(days=n)
+    first = spark.createDataFrame([(day(n), r, float(n)) for n in range(3) for r in ("NSW1", "SA1")], DEMAND)
+    batch = spark.createDataFrame([(day(1), "NSW1", 7.0), (day(2), "VIC1", 8.0), (day(4), "SA1", 9.0)], DEMAND)
+    writer(first, base, KEYS, epoch=0)
+    whole = {(r.time, r.region_id): r.demand_mw for r in first.collect()}
+    for r in batch.collect():
+        if writer is not sinks.insert_absent_table or (r.time, r.region_id) not in whole:
+            whole[r.time, r.region_id] = r.demand_mw
+    real = sinks._overwrite
+
+    def stop(rows, path, *parts):
+        if path.endswith("/rows") and broken != "before the mark":
+            if broken == "in the swap":  # a day's old files are gone and its new ones not yet there
+                shutil.rmtree(f"{path}/_day=2024-01-02")
+            raise RuntimeError("killed")
+        if path.endswith("/epochs"):
+            raise RuntimeError("killed")
+        real(rows, path, *parts)
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_overwrite", stop)
+        with pytest.raises(RuntimeError, match="killed"):
+            writer(batch, base, KEYS, epoch=1)
+    assert writer(batch, base, KEYS, epoch=1) == 3
+    assert writer(batch, base, KEYS, epoch=1) == 0
+    assert {(r.time, r.region_id): r.demand_mw for r in sinks.read_table(spark, base).collect()} == whole
+
+
+def test_appended_rows_of_a_replay_overwrite_themselves(spark, tmp_path, monkeypatch):
+    base = str(tmp_path / "t")
+    rows = spark.createDataFrame([(T0, "NSW1", 1.0), (T0 + dt.timedelta(days=1), "SA1", 1.0)], DEMAND)
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "_mark", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+        with pytest.raises(RuntimeError):
+            sinks.append(rows, base, epoch=0)
+    assert sinks.append(rows, base, epoch=0) == 2 and sinks.read_table(spark, base).count() == 2
+    with pytest.raises(ValueError, match="appended"):
+        sinks.upsert_table(rows, base, KEYS)
+    assert sinks.read_table(spark, str(tmp_path / "none")) is None
 
 
 def test_build_replaces_and_days_select(spark, tmp_path):
@@ -225,41 +263,82 @@ def test_stream_queries_do_not_depend_on_file_layout(spark, tmp_path):
         assert got == want and all(got)
 
 
-def test_late_hours_never_fire_across_batches(spark, tmp_path):
-    from wattlake.streaming.refresh import fire_hours
+def _hour_files(spark, folder, batches):
+    """One file a batch, in the order of their names."""
+    for i, times in enumerate(batches):
+        part = f"{folder}/{i}"
+        spark.createDataFrame([(t, "NSW1", 1.0) for t in times], DEMAND).coalesce(1).write.parquet(part)
+        for f in pathlib.Path(part).glob("*.parquet"):
+            f.rename(pathlib.Path(folder) / f"part-{i:03}.parquet")
+            os.utime(pathlib.Path(folder) / f"part-{i:03}.parquet", (1e9 + i, 1e9 + i))
 
-    hour = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
-    first = spark.createDataFrame([(hour(3),), (hour(5),), (hour(6, 5),)], "time timestamp_ntz")
-    late = spark.createDataFrame([(hour(4),), (hour(7),)], "time timestamp_ntz")
-    assert sorted(r.hour for r in fire_hours(first, None).collect()) == [hour(3), hour(5)]
-    assert [r.hour for r in fire_hours(late, hour(5)).collect()] == [hour(7)]
 
+def _fire(spark, src, base, on_hours=None, files=1):
+    stream = spark.readStream.schema(DEMAND).option("maxFilesPerTrigger", files).parquet(f"{src}/*.parquet")
+    return hour_trigger(stream, f"{base}/state", on_hours, f"{base}/ckpt")
 
-def test_failed_hour_is_retried(spark, tmp_path):
-    """T5: an hour whose work failed is not committed and fires again."""
-    import pytest
 
-    from wattlake.streaming.refresh import hour_trigger
-
-    src = f"{tmp_path}/src"
-    spark.createDataFrame([(dt.datetime(2024, 1, 1, h),) for h in (1, 2)], "time timestamp_ntz").coalesce(1).write.parquet(src)
+def test_late_hours_never_fire_and_layout_does_not_matter(spark, tmp_path):
+    hour = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
+    batches = [[hour(3), hour(3), hour(5), hour(6, 5)], [hour(4), hour(7)], [hour(7), hour(7, 1)], [hour(2), hour(9), hour(8)]]
+    _hour_files(spark, f"{tmp_path}/src", batches)
+    _fire(spark, f"{tmp_path}/src", f"{tmp_path}/a").awaitTermination()
+    rows = sinks.read_table(spark, f"{tmp_path}/a/state").collect()
+    assert sorted((r.hour.hour, r.epoch) for r in rows) == [(3, 0), (5, 0), (7, 1), (8, 3), (9, 3)]
+    # an ordered feed fires the same hours in one file or in many
+    ordered = [[hour(h, m) for m in (0, 5)] for h in range(12)]
+    _hour_files(spark, f"{tmp_path}/many", ordered)
+    for name, files in (("one", 100), ("each", 1)):
+        _fire(spark, f"{tmp_path}/many", f"{tmp_path}/{name}", files=files).awaitTermination()
+        assert sorted(r.hour.hour for r in sinks.read_table(spark, f"{tmp_path}/{name}/state").collect()) == list(range(12))
+
+
+def test_a_failed_batch_fires_its_own_hours_again(spark, tmp_path):
+    """T5: hours whose work failed are not finished and fire again; those of earlier batches don't."""
+    hour = lambda h: dt.datetime(2024, 1, 1, h)
+    _hour_files(spark, f"{tmp_path}/src", [[hour(1)], [hour(2), hour(3)], [hour(4)]])
     seen, fail = [], [True]
 
-    def on_hour(_, hour):
-        seen.append(hour.hour)
-        if hour.hour == 2 and fail[0]:
+    def on_hours(hours):
+        now = sorted(r.hour.hour for r in hours.collect())
+        seen.append(now)
+        if 2 in now and fail[0]:
             raise RuntimeError("down")
 
-    def start():
-        stream = spark.readStream.schema("time timestamp_ntz").parquet(src)
-        return hour_trigger(stream, f"{tmp_path}/state", on_hour, f"{tmp_path}/ckpt")
-
     with pytest.raises(Exception, match="down"):
-        start().awaitTermination()
+        _fire(spark, f"{tmp_path}/src", str(tmp_path), on_hours).awaitTermination()
     fail[0] = False
-    start().awaitTermination()
-    assert seen == [1, 2, 1, 2]
-    assert sorted(r.hour.hour for r in sinks.read_table(spark, f"{tmp_path}/state").collect()) == [1, 2]
+    _fire(spark, f"{tmp_path}/src", str(tmp_path), on_hours).awaitTermination()
+    assert seen == [[1], [2, 3], [2, 3], [4]]
+    assert sorted(r.hour.hour for r in sinks.read_table(spark, f"{tmp_path}/state").collect()) == [1, 2, 3, 4]
+
+
+def test_silent_regions_are_reported_with_growing_staleness(spark, tmp_path):
+    import time
+
+    from wattlake.streaming.state import rocksdb, staleness_stream
+
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    spark.createDataFrame([(now, "NSW1", 1.0)], DEMAND).coalesce(1).write.parquet(f"{tmp_path}/src")
+    known = spark.createDataFrame([("NSW1",), ("TAS1",)], "region_id string")
+    stream = spark.readStream.schema(DEMAND).parquet(f"{tmp_path}/src")
+    reports = staleness_stream(stream, known, every=2)
+    with rocksdb(spark):
+        q = reports.writeStream.option("checkpointLocation", f"{tmp_path}/ckpt").trigger(processingTime="1 second").start(f"{tmp_path}/out")
+    try:
+        for _ in range(90):
+            time.sleep(1)
+            assert q.exception() is None
+            got = spark.read.schema("region_id string, last_time timestamp_ntz, reported_at timestamp_ntz, staleness_seconds double").parquet(f"{tmp_path}/out").collect() if os.path.isdir(f"{tmp_path}/out") else []
+            if min(sum(r.region_id == k for r in got) for k in ("NSW1", "TAS1")) >= 2:
+                break
+    finally:
+        q.stop()
+    for region, last in (("NSW1", now), ("TAS1", None)):
+        mine = sorted((r for r in got if r.region_id == region), key=lambda r: r.reported_at)
+        assert len(mine) >= 2 and all(r.last_time == last for r in mine)
+        ages = [r.staleness_seconds for r in mine]
+        assert ages == sorted(ages) and ages[0] < ages[-1] and ages[0] >= 0
 
 
 def test_poll_saves_its_position(spark, tmp_path):

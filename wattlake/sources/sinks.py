@@ -1,113 +1,81 @@
-"""Keyed tables on shared storage.
+"""Keyed tables on shared storage (S5-S10), written by Spark's dynamic partition overwrite.
 
-Parquet has no MERGE, so a table is a folder of immutable files and a log:
+A table is day-partitioned Parquet under ``<base>/rows``. A keyed write reads the
+days that its batch touches, merges, and overwrites those days and no others.
+Three steps make it safe against a stop at any point:
 
-* ``<base>/data/<id>/_day=<date>/`` holds the rows of one day from one write;
-* ``<base>/_log/<n>.json`` says, for commit ``n``, which folders make up each
-  day, and the last epoch of every writer.
+1. the merged days are written to ``<base>/pending/writer=<w>`` with the epoch in
+   every row;
+2. they overwrite their days in ``<base>/rows``;
+3. the epoch is written to ``<base>/epochs``, one row a writer.
 
-A write reads and rewrites the days its batch touches and no others, then adds
-the next log file. The file is created exclusively, so of two writers one
-fails and can retry; until then readers see the previous commit whole. A batch
-whose epoch was committed before is skipped, so a replayed micro-batch changes
-nothing. Folders that none of the last ``KEEP`` commits names are removed.
+A replayed epoch that is marked changes nothing. One that is not marked starts
+again at step 2 if all its pending rows are there (a finished write of Spark leaves
+``_SUCCESS`` last, and its row count is checked), else at step 1, for which the
+table is still as it was.
 
+Appended rows stand in a part of their own (writer and epoch), so a replay
+overwrites itself. One writer works on a table at a time, as micro-batches do.
 The list of days is held by the driver: it is bounded by the calendar.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampNTZType, TimestampType
 
 from wattlake.operators.incremental import dedupe_last, insert_absent, upsert
 
-#: Commits whose files are kept for readers that still use them.
-KEEP = 5
-_DAY = "_day"
-_NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
+_DAY, _PART, _EPOCH, _ROWS = "_day", "_part", "_epoch", "_rows"
+#: Part of the merged rows of a day; appended rows stand in parts of their own.
+_MERGED = "merged"
 
 
-@dataclass
-class Commit:
-    number: int = 0
-    days: dict[str, list[str]] = field(default_factory=dict)
-    epochs: dict[str, int] = field(default_factory=dict)
+def _open(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """The Parquet folder ``path``; None if there is none or no file in it yet."""
+    reader = spark.read.option("basePath", path)
+    try:
+        return (reader.schema(schema) if schema is not None else reader).parquet(path)
+    except AnalysisException as ex:
+        if ex.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+def _overwrite(rows: DataFrame, path: str, *parts: str) -> None:
+    """Replace the partitions that ``rows`` has values of."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
 
-def _log_numbers(spark: SparkSession, base: str) -> list[int]:
-    fs, p = _fs(spark, f"{base}/_log")
-    if not fs.exists(p):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+def _as_schema(schema) -> StructType | None:
+    return StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def _load(spark: SparkSession, base: str, number: int) -> Commit | None:
-    fs, p = _fs(spark, f"{base}/_log/{number}.json")
-    stream = fs.open(p)
-    try:
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    try:
-        return Commit(number, **json.loads(text))
-    except ValueError:  # its writer has not finished the file
-        return None
+def _in_days(days: Sequence[str | None]) -> Column:
+    named = [d for d in days if d is not None]
+    inside = F.col(_DAY).isin(named) if named else F.lit(False)
+    return inside | F.col(_DAY).isNull() if None in days else inside
 
 
-def current_commit(spark: SparkSession, base: str) -> Commit:
-    """The newest finished commit; number 0 without one."""
-    for n in reversed(_log_numbers(spark, base)):
-        if (found := _load(spark, base, n)) is not None:
-            return found
-    return Commit()
-
-
-def _commit(spark: SparkSession, base: str, commit: Commit) -> None:
-    fs, p = _fs(spark, f"{base}/_log/{commit.number}.json")
-    out = fs.create(p, False)  # fails if another writer has taken the number
-    out.write(bytearray(json.dumps({"days": commit.days, "epochs": commit.epochs}).encode()))
-    out.close()
-    _clean(spark, base, commit.number)
-
-
-def _clean(spark: SparkSession, base: str, newest: int) -> None:
-    """Remove logs older than the kept ones and the folders that no kept log names."""
-    old = [n for n in _log_numbers(spark, base) if n <= newest - KEEP]
-    if not old:
-        return
-    kept = [c for n in _log_numbers(spark, base) if n > newest - KEEP and (c := _load(spark, base, n))]
-    named = {f for c in kept for folders in c.days.values() for f in folders}
-    for n in old:
-        if commit := _load(spark, base, n):
-            for folder in {f for folders in commit.days.values() for f in folders} - named:
-                fs, p = _fs(spark, f"{base}/{folder}")
-                fs.delete(p, True)
-        fs, p = _fs(spark, f"{base}/_log/{n}.json")
-        fs.delete(p, False)
-
-
-def read_table(spark: SparkSession, base: str, schema=None, days: Sequence[str] | None = None) -> DataFrame | None:
-    """The table as of its newest commit (of the given days only); None when there is nothing."""
-    commit = current_commit(spark, base)
-    folders = [f for d, fs in commit.days.items() if days is None or d in days for f in fs]
-    if not folders:
-        return None
-    r = spark.read.schema(schema) if schema is not None else spark.read
-    return r.parquet(*[f"{base}/{f}" for f in folders])
+def _stored(spark: SparkSession, base: str, schema, days: Sequence[str | None] | None) -> DataFrame | None:
+    schema = _as_schema(schema)
+    if schema is not None:
+        schema = StructType([*schema.fields, StructField(_DAY, StringType()), StructField(_PART, StringType())])
+    rows = _open(spark, f"{base}/rows", schema)
+    if rows is None or days is None:
+        return rows
+    # a filter on the partition column lists the touched folders only
+    return rows.withColumn(_DAY, F.col(_DAY).cast("string")).where(_in_days(days))
+
+
+def read_table(spark: SparkSession, base: str, schema=None, days: Sequence[str | None] | None = None) -> DataFrame | None:
+    """The table (of the given days only); None when there is nothing."""
+    rows = _stored(spark, base, schema, days)
+    return None if rows is None else rows.drop(_DAY, _PART)
 
 
 def _day(df: DataFrame, keys: Sequence[str]) -> Column:
@@ -119,36 +87,62 @@ def _day(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.lit("all")
 
 
-def _write(
-    source: DataFrame, base: str, keys: Sequence[str], merge: Callable[[DataFrame, DataFrame], DataFrame] | None,
-    epoch: int | None, writer: str, keep_days: bool = True,
+def last_epoch(spark: SparkSession, base: str, writer: str) -> int:
+    """The newest finished epoch of ``writer``; -1 without one."""
+    marks = _open(spark, f"{base}/epochs", StructType.fromDDL("epoch bigint, writer string"))
+    found = marks.where(F.col("writer") == writer).agg(F.max("epoch")).first()[0] if marks is not None else None
+    return -1 if found is None else found
+
+
+def _mark(spark: SparkSession, base: str, writer: str, epoch: int | None) -> None:
+    if epoch is not None:
+        _overwrite(spark.range(1).select(F.lit(epoch).cast("bigint").alias("epoch"), F.lit(writer).alias("writer")), f"{base}/epochs", "writer")
+
+
+def _pending(spark: SparkSession, base: str, writer: str, schema: StructType, epoch: int | None) -> DataFrame | None:
+    """All rows that an unmarked run of the epoch has left behind at step 1, if it ended that step."""
+    if epoch is None:
+        return None
+    more = [StructField(_DAY, StringType()), StructField(_EPOCH, LongType()), StructField(_ROWS, LongType())]
+    found = _open(spark, f"{base}/pending/{writer}", StructType([*schema.fields, *more]))
+    if found is None:
+        return None
+    r = found.agg(F.min(_EPOCH), F.max(_EPOCH), F.min(_ROWS), F.count("*")).first()
+    return found.drop(_EPOCH, _ROWS) if r[0] == r[1] == epoch and r[2] == r[3] else None
+
+
+def _merge(
+    source: DataFrame, base: str, keys: Sequence[str], merge: Callable[[DataFrame, DataFrame], DataFrame],
+    epoch: int | None, writer: str,
 ) -> int:
-    """Commit ``merge(old rows of the touched days, source)``; without ``merge``, add the source's folders to the days."""
+    """Write ``merge(old rows of the touched days, source)``; returns the batch's rows."""
     spark = source.sparkSession
-    before = current_commit(spark, base)
-    if epoch is not None and epoch <= before.epochs.get(writer, -1):
+    if epoch is not None and epoch <= last_epoch(spark, base, writer):
         return 0
     src = source.withColumn(_DAY, _day(source, keys)).persist()
     try:
-        found = src.groupBy(_DAY).count().collect()
-        counts = {r[_DAY] if r[_DAY] is not None else _NULL_DAY: r["count"] for r in found}
-        days = dict(before.days) if keep_days else {}
-        epochs = before.epochs | ({writer: epoch} if epoch is not None else {})
-        if counts:
-            new = src
-            old = [f for d in counts for f in days.get(d, [])]
-            if merge is not None and old:
-                target = spark.read.schema(source.schema).parquet(*[f"{base}/{f}" for f in old])
-                new = merge(target, src.drop(_DAY))
-                new = new.withColumn(_DAY, _day(new, keys))
-            folder = f"data/{uuid.uuid4().hex}"
-            new.write.partitionBy(_DAY).parquet(f"{base}/{folder}")
-            for d in counts:
-                own = f"{folder}/{_DAY}={d}"
-                days[d] = [own] if merge is not None or not keep_days else [*days.get(d, []), own]
-        elif epoch is None and keep_days:
+        counts = {r[_DAY]: r["count"] for r in src.groupBy(_DAY).count().collect()}
+        if not counts:
+            _mark(spark, base, writer, epoch)
             return 0
-        _commit(spark, base, Commit(before.number + 1, days, epochs))
+        ready = _pending(spark, base, writer, source.schema, epoch)
+        if ready is None:
+            new = src.drop(_DAY)
+            old = _stored(spark, base, source.schema, list(counts))
+            if old is not None:
+                if any(f"/{_PART}={_MERGED}/" not in f for f in old.inputFiles()):
+                    raise ValueError(f"{base} has appended rows: a table is either appended to or merged into")
+                new = merge(old.drop(_DAY, _PART), new)
+            new = new.withColumn(_DAY, _day(new, keys)).persist()
+            try:
+                n = new.count()
+                step = new.withColumns({_EPOCH: F.lit(-1 if epoch is None else epoch).cast("bigint"), _ROWS: F.lit(n).cast("bigint")})
+                step.write.mode("overwrite").parquet(f"{base}/pending/{writer}")
+            finally:
+                new.unpersist()
+            ready = _open(spark, f"{base}/pending/{writer}", step.schema).drop(_EPOCH, _ROWS)
+        _overwrite(ready.withColumn(_PART, F.lit(_MERGED)), f"{base}/rows", _DAY, _PART)
+        _mark(spark, base, writer, epoch)
         return sum(counts.values())
     finally:
         src.unpersist()
@@ -156,12 +150,35 @@ def _write(
 
 def build(df: DataFrame, base: str, keys: Sequence[str] = ()) -> int:
     """Full build (create-table-as); replaces what the table held. Returns rows written."""
-    return _write(df, base, keys, None, None, "build", keep_days=False)
+    rows = df.withColumns({_DAY: _day(df, keys), _PART: F.lit(_MERGED)}).persist()
+    try:
+        n = rows.count()
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(_DAY, _PART).parquet(f"{base}/rows")
+        return n
+    finally:
+        rows.unpersist()
 
 
 def append(df: DataFrame, base: str, epoch: int | None = None, writer: str = "append") -> int:
-    """Add rows; an empty frame adds none, a committed epoch is skipped. Returns rows written."""
-    return _write(df, base, (), None, epoch, writer)
+    """Add rows; an empty frame adds none, a finished epoch is skipped. Returns rows written.
+
+    Without an epoch rows are simply added; with one a replay overwrites what it left.
+    """
+    spark = df.sparkSession
+    if epoch is not None and epoch <= last_epoch(spark, base, writer):
+        return 0
+    part = F.lit("added" if epoch is None else f"{writer}-{epoch}")
+    rows = df.withColumns({_DAY: _day(df, ()), _PART: part}).persist()
+    try:
+        n = rows.count()
+        if n and epoch is None:
+            rows.write.mode("append").partitionBy(_DAY, _PART).parquet(f"{base}/rows")
+        elif n:
+            _overwrite(rows, f"{base}/rows", _DAY, _PART)
+        _mark(spark, base, writer, epoch)
+        return n
+    finally:
+        rows.unpersist()
 
 
 def upsert_table(
@@ -171,7 +188,7 @@ def upsert_table(
     """Last write wins. The batch is always deduped, by ``order_by`` (dropped then) or by its other columns."""
     src = dedupe_last(source, keys, order_by)
     src = src.drop(order_by) if order_by else src
-    return _write(src, base, keys, lambda old, new: upsert(old, new, keys), epoch, writer)
+    return _merge(src, base, keys, lambda old, new: upsert(old, new, keys), epoch, writer)
 
 
 def upsert_newest_table(
@@ -183,7 +200,7 @@ def upsert_newest_table(
     come out of order without changing the result.
     """
     newest = lambda old, new: dedupe_last(old.unionByName(new), keys, position)
-    return _write(dedupe_last(source, keys, position), base, keys, newest, epoch, writer)
+    return _merge(dedupe_last(source, keys, position), base, keys, newest, epoch, writer)
 
 
 def delete_insert_table(
@@ -198,4 +215,4 @@ def insert_absent_table(
 ) -> int:
     """First write wins."""
     src = dedupe_last(source, keys)
-    return _write(src, base, keys, lambda old, new: insert_absent(old, new, keys), epoch, writer)
+    return _merge(src, base, keys, lambda old, new: insert_absent(old, new, keys), epoch, writer)

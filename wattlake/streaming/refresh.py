@@ -1,9 +1,8 @@
 """Micro-batch jobs: hour trigger (T4, T5), refresh chain (T13, T14), saved poll position.
 
-Both streams run in ``foreachBatch``. Their durable state (fired hours, tables)
-lives on shared storage and is committed with the batch's epoch after the
-batch's work succeeded, so a replayed batch repeats only what was not
-committed.
+Both streams run in ``foreachBatch``. Tables live on shared storage and are
+marked with the batch's epoch after its work succeeded, so a replayed batch
+repeats only what was not finished. Which hours were fired is state of the query.
 """
 
 from __future__ import annotations
@@ -19,55 +18,44 @@ from wattlake.operators.clean import clean_demand
 from wattlake.operators.gold import hourly_features
 from wattlake.sources import sinks
 from wattlake.streaming.changes import poll_increment
+from wattlake.streaming.state import fired_hours, rocksdb
 
 KEYS = ["time", "region_id"]
 
 
-def _last_fired(spark: SparkSession, state_path: str):
-    t = sinks.read_table(spark, state_path)
-    if t is None:
-        return None
-    return t.agg(F.max("hour")).first()[0]
-
-
-def fire_hours(batch: DataFrame, last_hour) -> DataFrame:
-    """T4 for one micro-batch: hours that start with a minute-0 event and are
-    later than every hour fired before; a late hour never fires."""
-    q = batch.where(F.minute("time") == 0).select(hour_floor("time").alias("hour"))
-    if last_hour is not None:
-        q = q.where(F.col("hour") > F.lit(last_hour).cast("timestamp_ntz"))
-    return q.distinct()
-
-
 def hour_trigger(
     stream: DataFrame,
     state_path: str,
-    on_hour: Callable[[SparkSession, object], None] | None = None,
+    on_hours: Callable[[DataFrame], object] | None = None,
     checkpoint: str | None = None,
     trigger: dict | None = None,
+    feed: str = "demand",
 ):
-    """Start the trigger query; ``on_hour(spark, hour)`` runs per fired hour, in hour order.
-
-    Fired hours are appended to ``state_path`` under the batch's epoch only
-    after ``on_hour`` returned for all (T5: a failure leaves them unfired and
-    the batch is retried). Hours reach the driver one partition at a time.
+    """Start the trigger query; ``on_hours(hours)`` runs the work of a batch's fired hours.
+
+    Which hours fire is decided by the processor of ``state.fired_hours``, whose
+    last hour lives in the checkpoint. ``hours`` is a DataFrame ``(feed, hour)``,
+    so the work is a plan over all of them, not a loop on the driver. Hours are
+    appended to ``state_path`` under the batch's epoch after the work (T5): if it
+    fails, the query stops without committing the batch, and the restarted query
+    fires the same hours again and no others.
     """
+    spark = stream.sparkSession
 
     def batch_fn(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        hours = fire_hours(batch, _last_fired(spark, state_path)).orderBy("hour").persist()
+        hours = batch.persist()
         try:
-            if on_hour is not None:
-                for r in hours.toLocalIterator():
-                    on_hour(spark, r["hour"])
-            sinks.append(hours.withColumn("epoch", F.lit(epoch_id).cast("bigint")), state_path, epoch_id, "hours")
+            if on_hours is not None and not hours.isEmpty():
+                on_hours(hours)
+            sinks.append(hours.withColumn("epoch", F.lit(epoch_id).cast("bigint")), state_path, epoch_id, f"hours-{feed}")
         finally:
             hours.unpersist()
 
-    w = stream.writeStream.foreachBatch(batch_fn)
+    w = fired_hours(stream, feed).writeStream.foreachBatch(batch_fn).outputMode("append")
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+    with rocksdb(spark):
+        return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def refresh_batch(
