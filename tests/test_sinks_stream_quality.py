@@ -173,7 +173,7 @@ def test_a_stop_at_any_step_and_a_replay_give_the_same_table(spark, tmp_path, mo
     for r in batch.collect():
         if writer is not sinks.insert_absent_table or (r.time, r.region_id) not in whole:
             whole[r.time, r.region_id] = r.demand_mw
-    real = sinks._overwrite
+    real = sinks.overwrite_parts
 
     def stop(rows, path, *parts):
         if path.endswith("/rows") and broken != "before the mark":
@@ -185,7 +185,7 @@ def test_a_stop_at_any_step_and_a_replay_give_the_same_table(spark, tmp_path, mo
         real(rows, path, *parts)
 
     with monkeypatch.context() as m:
-        m.setattr(sinks, "_overwrite", stop)
+        m.setattr(sinks, "overwrite_parts", stop)
         with pytest.raises(RuntimeError, match="killed"):
             writer(batch, base, KEYS, epoch=1)
     assert writer(batch, base, KEYS, epoch=1) == 3

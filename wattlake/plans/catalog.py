@@ -38,6 +38,7 @@ MODULES = [
     "q_serving",
     "q_stream",
     "q_train",
+    "q_models",
 ]
 
 

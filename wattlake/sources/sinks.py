@@ -35,7 +35,7 @@ _DAY, _PART, _EPOCH, _ROWS = "_day", "_part", "_epoch", "_rows"
 _MERGED = "merged"
 
 
-def _open(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+def open_folder(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """The Parquet folder ``path``; None if there is none or no file in it yet."""
     reader = spark.read.option("basePath", path)
     try:
@@ -46,7 +46,7 @@ def _open(spark: SparkSession, path: str, schema: StructType | None = None) -> D
         raise
 
 
-def _overwrite(rows: DataFrame, path: str, *parts: str) -> None:
+def overwrite_parts(rows: DataFrame, path: str, *parts: str) -> None:
     """Replace the partitions that ``rows`` has values of."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path)
 
@@ -65,7 +65,7 @@ def _stored(spark: SparkSession, base: str, schema, days: Sequence[str | None] |
     schema = _as_schema(schema)
     if schema is not None:
         schema = StructType([*schema.fields, StructField(_DAY, StringType()), StructField(_PART, StringType())])
-    rows = _open(spark, f"{base}/rows", schema)
+    rows = open_folder(spark, f"{base}/rows", schema)
     if rows is None or days is None:
         return rows
     # a filter on the partition column lists the touched folders only
@@ -89,14 +89,14 @@ def _day(df: DataFrame, keys: Sequence[str]) -> Column:
 
 def last_epoch(spark: SparkSession, base: str, writer: str) -> int:
     """The newest finished epoch of ``writer``; -1 without one."""
-    marks = _open(spark, f"{base}/epochs", StructType.fromDDL("epoch bigint, writer string"))
+    marks = open_folder(spark, f"{base}/epochs", StructType.fromDDL("epoch bigint, writer string"))
     found = marks.where(F.col("writer") == writer).agg(F.max("epoch")).first()[0] if marks is not None else None
     return -1 if found is None else found
 
 
 def _mark(spark: SparkSession, base: str, writer: str, epoch: int | None) -> None:
     if epoch is not None:
-        _overwrite(spark.range(1).select(F.lit(epoch).cast("bigint").alias("epoch"), F.lit(writer).alias("writer")), f"{base}/epochs", "writer")
+        overwrite_parts(spark.range(1).select(F.lit(epoch).cast("bigint").alias("epoch"), F.lit(writer).alias("writer")), f"{base}/epochs", "writer")
 
 
 def _pending(spark: SparkSession, base: str, writer: str, schema: StructType, epoch: int | None) -> DataFrame | None:
@@ -104,7 +104,7 @@ def _pending(spark: SparkSession, base: str, writer: str, schema: StructType, ep
     if epoch is None:
         return None
     more = [StructField(_DAY, StringType()), StructField(_EPOCH, LongType()), StructField(_ROWS, LongType())]
-    found = _open(spark, f"{base}/pending/{writer}", StructType([*schema.fields, *more]))
+    found = open_folder(spark, f"{base}/pending/{writer}", StructType([*schema.fields, *more]))
     if found is None:
         return None
     r = found.agg(F.min(_EPOCH), F.max(_EPOCH), F.min(_ROWS), F.count("*")).first()
@@ -140,8 +140,8 @@ def _merge(
                 step.write.mode("overwrite").parquet(f"{base}/pending/{writer}")
             finally:
                 new.unpersist()
-            ready = _open(spark, f"{base}/pending/{writer}", step.schema).drop(_EPOCH, _ROWS)
-        _overwrite(ready.withColumn(_PART, F.lit(_MERGED)), f"{base}/rows", _DAY, _PART)
+            ready = open_folder(spark, f"{base}/pending/{writer}", step.schema).drop(_EPOCH, _ROWS)
+        overwrite_parts(ready.withColumn(_PART, F.lit(_MERGED)), f"{base}/rows", _DAY, _PART)
         _mark(spark, base, writer, epoch)
         return sum(counts.values())
     finally:
@@ -174,7 +174,7 @@ def append(df: DataFrame, base: str, epoch: int | None = None, writer: str = "ap
         if n and epoch is None:
             rows.write.mode("append").partitionBy(_DAY, _PART).parquet(f"{base}/rows")
         elif n:
-            _overwrite(rows, f"{base}/rows", _DAY, _PART)
+            overwrite_parts(rows, f"{base}/rows", _DAY, _PART)
         _mark(spark, base, writer, epoch)
         return n
     finally:
