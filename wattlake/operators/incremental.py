@@ -9,7 +9,7 @@ holds most of the rows. In-batch dedupe uses ``max_by`` grouped by the key
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -131,3 +131,37 @@ def assign_slice(df: DataFrame, start, days: int = 7, col: str = "time") -> Data
     s = (start if isinstance(start, Column) else F.lit(start)).cast("timestamp_ntz")
     secs = F.unix_timestamp(F.col(col)) - F.unix_timestamp(s)
     return df.withColumn("slice_id", F.floor(secs / F.lit(days * 86400)).cast("int"))
+
+
+def run_backfill(
+    spark: SparkSession, base: str, keys: Sequence[str], load: Callable[[dt.datetime, dt.datetime], DataFrame],
+    start: dt.datetime, end: dt.datetime, days: int = 7,
+) -> int:
+    """Load the slices of ``start..end`` into ``<base>/rows`` one by one; returns the slices run.
+
+    ``load(slice_start, slice_end)`` gives a slice's rows. Every finished slice is
+    a row of the ledger ``<base>/ledger`` (slice, rows, last time); a run that finds
+    one begins a day before the last time in it. Rows are written before the
+    ledger, and a slice loaded twice replaces its keys, so a run that stopped
+    anywhere is resumed to the same table.
+    """
+    from wattlake.sources import sinks
+
+    ledger = sinks.read_table(spark, f"{base}/ledger", LEDGER)
+    known = ledger.agg(F.max("number"), F.max("last_time"), F.max("slice_end")).first() if ledger is not None else (None, None, None)
+    if known[2] is not None and known[2] >= end:
+        return 0
+    # one row a slice: bounded by the span
+    slices = backfill_slices(spark, start, end, known[1], days).orderBy("slice_id").collect()
+    for i, s in enumerate(slices, 0 if known[0] is None else known[0] + 1):
+        rows = load(s.slice_start, s.slice_end)
+        n = sinks.upsert_table(rows, f"{base}/rows", keys)
+        stored = sinks.read_table(spark, f"{base}/rows")
+        last = stored.where(F.col(keys[0]) < F.lit(s.slice_end).cast("timestamp_ntz")).agg(F.max(keys[0])).first()[0] if stored is not None else None
+        done = spark.createDataFrame([(i, s.slice_start, s.slice_end, n, last)], LEDGER)
+        sinks.append(done, f"{base}/ledger", i, "ledger")
+    return len(slices)
+
+
+#: A finished slice of a backfill.
+LEDGER = "number int, slice_start timestamp_ntz, slice_end timestamp_ntz, n_rows long, last_time timestamp_ntz"

@@ -39,6 +39,7 @@ MODULES = [
     "q_stream",
     "q_train",
     "q_models",
+    "q_restart",
 ]
 
 

@@ -36,8 +36,8 @@ def _event_time() -> Column:
     return F.when(kind == 0, F.date_format("ts", text)).when(kind == 1, micros).otherwise(zoned)
 
 
-def _envelopes(ev: DataFrame) -> DataFrame:
-    """Each event row as a JSON change envelope; the events of some minutes bring bad messages along.
+def _envelopes(ev: DataFrame, *more: Column) -> DataFrame:
+    """Each event row as a JSON change envelope, with ``more`` columns; the events of some minutes bring bad messages along.
 
     Minute 7: text that is no JSON; 17: a delete; 27: an unknown region; 37: a
     time that cannot be read; 47: a value that is no number; 57: no time.
@@ -55,7 +55,7 @@ def _envelopes(ev: DataFrame) -> DataFrame:
         .when(F.minute("ts") == 57, message(good.withField("time", F.lit(None).cast("string"))))
         .when(F.minute("ts") == 47, message(good.withField("time", F.lit(None).cast("string")).withField("demand_mw", F.lit("n/a"))))
     )
-    return ev.select(F.explode(F.filter(F.array(message(good), bad), lambda m: m.isNotNull())).alias("value"))
+    return ev.select(F.explode(F.filter(F.array(message(good), bad), lambda m: m.isNotNull())).alias("value"), *more)
 
 
 def _change_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = 1) -> DataFrame:

@@ -1,6 +1,6 @@
 """File ingest into bronze.
 
-Only the unzip step is Python (``mapInPandas``, one task per file batch);
+Only the unzip step is Python (``mapInArrow``, bounded batches of lines);
 header tracking, field lookup, parsing and filtering are Spark expressions.
 """
 
@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import csv
 import io
+import itertools
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,38 +24,52 @@ from wattlake.schemas import MARKET_TZ, REGION_FULL_NAME_TO_ID, VALID_REGIONS, W
 LINE_SCHEMA = "file string, pos int, fields array<string>, error string"
 
 
-def _unzip_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per file: first member of the zip, BOM stripped, CSV-split lines.
+#: Lines of a batch that a task hands on at once.
+LINES = 4096
 
-    A file that cannot be read gives one row with the reason in ``error``, so
-    that it can be counted and named; the rest of the batch goes on.
+
+def _csv_lines(content: bytes) -> Iterator[list[str]]:
+    """CSV fields of every line of the first member, BOM stripped, read piece by piece."""
+    with zipfile.ZipFile(io.BytesIO(content)) as zf, zf.open(zf.namelist()[0]) as member:
+        text = io.TextIOWrapper(member, "utf-8-sig", newline="")
+        yield from csv.reader(part for line in text for part in line.splitlines())
+
+
+def _unzip_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Files (path, content) to lines, ``LINES`` at a time however long a file is.
+
+    A file is read once to its end before its first line is handed on, so one
+    that breaks off gives no lines, only a row with the reason in ``error``.
     """
-    for pdf in batches:
-        files, poss, fields, errors = [], [], [], []
-        for path, content in zip(pdf["path"], pdf["content"]):
+    for b in batches:
+        for path, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             try:
-                with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                    text = zf.read(zf.namelist()[0]).decode("utf-8-sig")
-            except (zipfile.BadZipFile, OSError, ValueError, IndexError, NotImplementedError, RuntimeError) as ex:
-                files.append(path)
-                poss.append(-1)
-                fields.append(None)
-                errors.append(f"{type(ex).__name__}: {ex}")
+                for _ in _csv_lines(content or b""):
+                    pass
+            except (zipfile.BadZipFile, zlib.error, OSError, ValueError, IndexError, NotImplementedError, RuntimeError, EOFError, csv.Error) as ex:
+                yield pa.RecordBatch.from_pylist([{"file": path, "pos": -1, "error": f"{type(ex).__name__}: {ex}"}], schema=_LINES)
                 continue
-            for i, row in enumerate(csv.reader(text.splitlines())):
-                if row:
-                    files.append(path)
-                    poss.append(i)
-                    fields.append(row)
-                    errors.append(None)
-        if files:
-            yield pd.DataFrame({"file": files, "pos": poss, "fields": pd.Series(fields, dtype=object), "error": pd.Series(errors, dtype=object)})
+            lines = ({"file": path, "pos": i, "fields": row} for i, row in enumerate(_csv_lines(content)) if row)
+            while some := list(itertools.islice(lines, LINES)):
+                yield pa.RecordBatch.from_pylist(some, schema=_LINES)
+
+
+_LINES = pa.schema([("file", pa.string()), ("pos", pa.int32()), ("fields", pa.list_(pa.string())), ("error", pa.string())])
+
+
+def zip_lines(files: DataFrame) -> DataFrame:
+    """S1 (decode): ``(file, pos, fields, error)`` for every line of the zips ``files(path, content)``."""
+    return files.select("path", "content").mapInArrow(_unzip_lines, LINE_SCHEMA)
 
 
 def dispatch_lines(spark: SparkSession, path: str) -> DataFrame:
-    """S1 (decode): ``(file, pos, fields, error)`` for every line of every report zip; ``error`` names an unreadable file."""
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
-    return raw.mapInPandas(_unzip_lines, LINE_SCHEMA)
+    """S1 (scan + decode): every line of every report zip below ``path``; Spark packs files into input partitions."""
+    return zip_lines(spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path))
+
+
+def unreadable(lines: DataFrame) -> DataFrame:
+    """S1 (error table): ``(file, error)`` of the files that gave no lines."""
+    return lines.where("error is not null").select("file", "error")
 
 
 def _field(header: Column, values: Column, name: str) -> Column:

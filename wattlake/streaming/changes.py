@@ -95,12 +95,14 @@ def decode_changes(
 SKIP_REASONS = ["bad_json", "deleted", "no_time", "unknown_region", "bad_time"]
 
 
-def classify_changes(raw: DataFrame, value_col: str = "value", regions: Sequence[str] = VALID_REGIONS) -> DataFrame:
+def classify_changes(
+    raw: DataFrame, value_col: str = "value", regions: Sequence[str] = VALID_REGIONS, keep: Sequence[str] = ()
+) -> DataFrame:
     """Every envelope with its skip reason (null = decoded). Count with
-    ``groupBy('skip_reason')`` in batch, or ``observe`` on a stream."""
+    ``groupBy('skip_reason')`` in batch, or ``observe`` on a stream; ``keep`` names further columns of ``raw``."""
     tz = raw.sparkSession.conf.get("spark.sql.session.timeZone")
     env = F.from_json(F.col(value_col), ENVELOPE_SCHEMA, {"mode": "PERMISSIVE"})
-    d = raw.select(env.alias("e"), F.col(value_col).alias("_raw"))
+    d = raw.select(env.alias("e"), F.col(value_col).alias("_raw"), *keep)
     a = F.col("e.payload.after")
     t = event_time_utc(a["time"], tz)
     reason = (
@@ -111,7 +113,7 @@ def classify_changes(raw: DataFrame, value_col: str = "value", regions: Sequence
         .when(t.isNull(), F.lit("bad_time"))
     )
     value = a["demand_mw"].try_cast("double").alias("demand_mw")
-    return d.select(reason.alias("skip_reason"), t.alias("time"), a["region_id"].alias("region_id"), value)
+    return d.select(reason.alias("skip_reason"), t.alias("time"), a["region_id"].alias("region_id"), value, *keep)
 
 
 def change_counters(raw: DataFrame, value_col: str = "value") -> DataFrame:
