@@ -31,7 +31,7 @@ from wattlake.llm.common import Scratch
 
 SHARDS = 8
 #: Rows of a block in which ranks are counted.
-BLOCK = 65_536
+BLOCK = 8_192
 #: Rounds at most; the capacity is kept however many are used.
 ROUNDS = 12
 
