@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from wattlake.functions.timecols import epoch_seconds, minute_floor
 from wattlake.plans import oracle_sql as O
@@ -91,7 +92,8 @@ def stream_latest(spark, sf_dir):
     agg = CH.latest_stream(_change_stream(spark, sf_dir))
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/out")
+        # every epoch has its own folder, so a batch that dies half-way leaves the one before it
+        sinks.overwrite_parts(batch.withColumn("epoch", F.lit(epoch_id).cast("bigint")), f"{base}/out", "epoch")
 
     q = (
         agg.writeStream.outputMode("complete").foreachBatch(write)
@@ -100,7 +102,11 @@ def stream_latest(spark, sf_dir):
     q.awaitTermination()
     from wattlake.plans.silver import rounded
 
-    return rounded(spark.read.parquet(f"{base}/out").select("region_id", "time", "demand_mw"))
+    out = sinks.open_folder(spark, f"{base}/out", StructType([*agg.schema.fields, StructField("epoch", LongType())]))
+    if out is None:
+        return rounded(spark.createDataFrame([], agg.schema))
+    newest = out.where(F.col("epoch") == out.select(F.max("epoch")).scalar())
+    return rounded(newest.select("region_id", "time", "demand_mw"))
 
 
 @register(
