@@ -26,7 +26,7 @@ def brute(text, items, window):
             if tuple(doc[i:i + n]) in grams:
                 hit.update(range(i, i + n))
                 who.add(item)
-    return len(doc), hit, sorted(who)
+    return len(doc), hit, sorted((None if i is None else str(i) for i in who), key=lambda x: (x is None, x or ""))
 
 
 def corpus(seed, n_docs=60):
@@ -51,7 +51,7 @@ def test_hits_equal_brute_force(spark, window, shard_words):
     got = {r.doc_id: r for r in decontam.find_leaks(docs, bench, window, shard_words).collect()}
     hits = 0
     for d, t in rows:
-        n, hit, who = brute(t, items, window)
+        n, hit, who = brute(t, [*items, (None, "the a")], window)
         r = got[d]
         assert (r.n_words, sorted(i for s in r.spans for i in range(s.start, s.stop)), r.items) == (n, sorted(hit), who)
         assert all(a.stop < b.start for a, b in zip(r.spans, r.spans[1:]))
@@ -60,8 +60,8 @@ def test_hits_equal_brute_force(spark, window, shard_words):
 
 
 def test_longest_match_is_told():
-    automaton = decontam.SuffixAutomaton([(1, [b"a", b"b", b"c", b"d", b"e"])], 3)
-    assert automaton.scan([b"x", b"a", b"b", b"c", b"d", b"x", b"b", b"c"]) == ([(1, 5, 4)], {1})
+    automaton = decontam.SuffixAutomaton([("1", [b"a", b"b", b"c", b"d", b"e"])], 3)
+    assert automaton.scan([b"x", b"a", b"b", b"c", b"d", b"x", b"b", b"c"]) == ([(1, 5, 4)], {"1"})
 
 
 def test_decontaminate_cuts_spans_and_drops_documents(spark):
@@ -83,3 +83,28 @@ def test_decontaminate_cuts_spans_and_drops_documents(spark):
     ], key=str)
     assert decontam.decontaminate(docs, bench.limit(0)).count() == len(rows)
     assert decontam.decontaminate(docs.limit(0), bench).count() == 0
+
+
+def test_text_ids_and_null_ids(spark):
+    passage = " ".join(f"p{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, passage + " end"), (2, "other words")], "doc_id long, text string")
+    for ids, kind in ((["b-2", "a10"], "string"), ([10, 9], "long")):
+        bench = spark.createDataFrame([(ids[0], passage), (ids[1], passage), (None, passage), (None, "end")], f"item_id {kind}, text string")
+        got = {r.doc_id: r for r in decontam.find_leaks(docs, bench).collect()}
+        assert got[1].items == [*sorted(map(str, ids)), None] and sum(s.stop - s.start for s in got[1].spans) == 13
+        assert got[2].items == []
+        assert [r.doc_id for r in decontam.decontaminate(docs, bench).collect()] == [2]
+
+
+def test_equal_words_scan_in_linear_time():
+    import time
+
+    words = [b"w"] * 40_000
+    times = []
+    for n in (500, 4000):
+        automaton = decontam.SuffixAutomaton([("1", [b"w"] * n), ("2", [b"w"] * 4), ("3", [b"w", b"x"])], 10)
+        begin = time.process_time()
+        spans, who = automaton.scan(words)
+        times.append(time.process_time() - begin)
+        assert who == {"1", "2"} and [(s, e) for s, e, _ in spans] == [(0, 40_000)]
+    assert times[1] < 4 * times[0] + 0.5

@@ -210,3 +210,35 @@ def test_credentials_inside_assignments_and_addresses():
         got = [(f, text[s + a:s + b]) for s, _, t in secrets.candidates(text.encode()) for a, b, f, _ in secrets.best_parts(t, formats.score)]
         assert got == [(kind, fresh[kind])], (text, got)
     assert secrets.candidates(b"ghp_" + b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJ")
+
+
+def test_many_phrase_places_take_little_time():
+    import time
+
+    words = b"mit license x general public license".split() * 40_000
+    begin = time.process_time()
+    places = licenses.phrase_places(words)
+    assert time.process_time() - begin < 1
+    assert len(places) == 80_000 and sorted(places)[:3] == [(0, "mit"), (3, "gpl"), (6, "mit")]
+
+
+def naive_detections(text):
+    """Every rule over the whole text without the prefilter, and suppression of all against all."""
+    every, _, _ = licenses._prefilter()
+    found = [(*m.span(1 if r.form == "identifier" else 0), r) for r in every for m in r.pattern.finditer(text)]
+    found.sort(key=lambda d: (-d[2].priority, d[0] - d[1], d[0], d[2].label))
+    kept = []
+    for start, stop, rule in found:
+        if not any(a <= start and stop <= b for a, b, _ in kept):
+            kept.append((start, stop, rule))
+    return sorted((s, e, r.label) for s, e, r in kept)
+
+
+def test_detections_equal_all_rules_without_prefilter(spark):
+    docs = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    parts = ["SPDX-License-Identifier: MIT OR Apache-2.0", "Licensed under the Apache License, Version 2.0", "GNU General Public License v3 or later",
+             "Permission is hereby granted, free of charge", "the BSD 3-Clause License", "Mozilla Public License 2.0", "plain words", "MIT License"]
+    rng = random.Random(6)
+    mixed = [rng.choice([". ", "\n", " "]).join(rng.choice(parts) for _ in range(rng.randrange(1, 9))) for _ in range(60)]
+    for text in [t for t in docs if "icense" in t][:40] + mixed:
+        assert sorted((s, e, r.label) for s, e, r in licenses.detections(text)) == naive_detections(text)

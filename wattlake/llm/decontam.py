@@ -7,9 +7,14 @@ than a window count when they occur whole. Items are taken in shards of at most
 about ``SHARD_WORDS`` words, so an automaton has a bounded size however long
 the benchmark is; documents stream through one shard after another.
 
+A document's tokens are scanned in time proportional to their number: every state
+knows the state of its last ``window`` words and the nearest one that ends a whole
+short item.
+
 Defined results: null text or an empty benchmark gives zero words or no hits;
-items without words never hit; equal items all count; repeated rows each get a
-row; only ``doc_id``/``item_id`` and ``text`` are read.
+items without words never hit; equal items all count; item ids of any type are
+told as strings; an item with a null id hits and is told as null; repeated rows
+each get a row; only ``doc_id``/``item_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -33,7 +38,7 @@ _WORD = re.compile("[0-9A-Za-z\u0080-\U0010ffff]+")
 class SuffixAutomaton:
     """Minimal automaton of all substrings of several word sequences."""
 
-    def __init__(self, items: list[tuple[int, list[bytes]]], window: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int):
         self.window = window
         self.vocab: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
@@ -77,7 +82,8 @@ class SuffixAutomaton:
         return copy
 
     def _up_to(self, state: int, depth: int) -> int:
-        """The state of the last ``depth`` words of a string at ``state``."""
+        """The state of the last ``depth`` words of a string at ``state``, for fewer words than ``window``."""
+        state = self.whole[state]
         while self.length[self.link[state]] >= depth:
             state = self.link[state]
         return state
@@ -85,24 +91,34 @@ class SuffixAutomaton:
     def _mark(self, coded) -> None:
         """Items of each window state, and whole short items by the state that holds them."""
         w = self.window
-        self.items: dict[int, set[int]] = {}
-        self.short: dict[int, dict[int, set[int]]] = {}
+        self.items: dict[int, set] = {}
+        self.short: dict[int, dict[int, set]] = {}
+        # shorter strings first: a state's link is always done before it
+        order = sorted(range(1, len(self.length)), key=self.length.__getitem__)
+        #: The state of the last ``window`` words (of all words, if a state's strings have fewer).
+        self.whole = [0] * len(self.length)
+        for s in order:
+            self.whole[s] = self.whole[self.link[s]] if self.length[self.link[s]] >= w else s
         for item, ids in coded:
             state = 0
             for j, c in enumerate(ids):
                 state = self.next[state][c]
                 if j + 1 >= w:
-                    self.items.setdefault(self._up_to(state, w), set()).add(item)
+                    self.items.setdefault(self.whole[state], set()).add(item)
             if 0 < len(ids) < w:
                 at = self._up_to(state, len(ids))
                 self.short.setdefault(at, {}).setdefault(len(ids), set()).add(item)
+        #: The nearest state, the state itself or one behind its links, that ends a whole short item.
+        self.ends = [0] * len(self.length)
+        for s in order:
+            self.ends[s] = s if s in self.short else self.ends[self.link[s]]
 
-    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int, int]], set[int]]:
+    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int, int]], set]:
         """Hit spans ``(start, stop, longest match)``, merged where they meet, and the items that hit."""
         nxt, link, length, w = self.next, self.link, self.length, self.window
-        short = self.short
+        short, whole, ends = self.short, self.whole, self.ends
         spans: list[tuple[int, int, int]] = []
-        found: set[int] = set()
+        found: set = set()
         state = matched = 0
         for i, c in enumerate(map(self.vocab.get, words)):
             if c is None:
@@ -118,16 +134,14 @@ class SuffixAutomaton:
             reach = 0
             if matched >= w:
                 reach = w
-                found |= self.items[self._up_to(state, w)]
-            if short:
-                u, top = state, matched
-                while u > 0:
-                    for size, who in short.get(u, {}).items():
-                        if size <= top:
-                            reach = max(reach, size)
-                            found |= who
-                    u = link[u]
-                    top = length[u]
+                found |= self.items[whole[state]]
+            u = ends[state]
+            while u:  # short items are shorter than a window, and so is this chain
+                for size, who in short[u].items():
+                    if size <= matched:
+                        reach = max(reach, size)
+                        found |= who
+                u = ends[link[u]]
             if reach:
                 start, longest = i + 1 - reach, matched
                 while spans and spans[-1][1] >= start:
@@ -151,8 +165,8 @@ def _merge(spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
 def _shards(benchmark: DataFrame, window: int, shard_words: int):
     """Automata over bounded shards of the items, one after another."""
     items = benchmark.select(
-        F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
-    ).where("item_id is not null and text is not null")
+        F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")
+    ).where("text is not null")
     # a word takes two characters with its separator, so this overestimates the words
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = total // (2 * shard_words) + 1
@@ -177,7 +191,7 @@ def find_leaks(
         *kept,
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast(_SPANS).alias("spans"),
-        F.array().cast("array<long>").alias("items"),
+        F.array().cast("array<string>").alias("items"),
     )
     schema = out.schema
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("longest", pa.int64())]))
@@ -198,9 +212,9 @@ def find_leaks(
                     if was and got:
                         got = _merge([(s["start"], s["stop"], s["longest"]) for s in was] + got)
                     spans.append([dict(zip(("start", "stop", "longest"), s)) for s in got] or was)
-                    items.append(sorted(found | set(who)))
+                    items.append(sorted(found | set(who), key=lambda x: (x is None, x or "")))
                 cols = [b.column(i) for i in range(n - 3)]
-                cols += [pa.array(counts, pa.int64()), pa.array(spans, span_type), pa.array(items, pa.list_(pa.int64()))]
+                cols += [pa.array(counts, pa.int64()), pa.array(spans, span_type), pa.array(items, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(cols, names=b.schema.names)
 
         out = out.mapInArrow(run, schema)

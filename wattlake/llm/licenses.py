@@ -81,8 +81,12 @@ def phrase_places(words: list[bytes]) -> list[tuple[int, str]]:
     out = []
     for phrase, label in PHRASES.items():
         at = joined.find(b" %b " % phrase)
+        word = counted = 0
         while at >= 0:
-            out.append((joined.count(b" ", 0, at), label))
+            # blanks since the place before, not from the start
+            word += joined.count(b" ", counted, at)
+            counted = at
+            out.append((word, label))
             at = joined.find(b" %b " % phrase, at + 1)
     return out
 

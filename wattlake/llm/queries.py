@@ -84,7 +84,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     leaks = decontam.find_leaks(docs, read(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["stop"] - s["start"])
-    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    ids = F.array_join(F.array_sort("items"), ",")
     return leaks.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(ids.cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
