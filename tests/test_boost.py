@@ -3,6 +3,7 @@
 import datetime as dt
 
 import numpy as np
+import pytest
 
 from wattlake.ml import boost
 
@@ -48,7 +49,10 @@ def walk(node, row):
     return node
 
 
-def test_trees_equal_brute_force(spark):
+@pytest.mark.parametrize("block", [60, boost.BLOCK])
+def test_trees_equal_brute_force(spark, monkeypatch, block):
+    """Level by level over several blocks, and alone in one."""
+    monkeypatch.setattr(boost, "BLOCK", block)
     df, x, region, y = _rows(spark)
     s = boost.Settings(trees=2, depth=3, rate=0.3, subsample=1.0, colsample=1.0, bins=8)
     model = boost.train(df, FEATURES, TARGETS, s)
@@ -75,7 +79,6 @@ def test_trees_equal_brute_force(spark):
 def test_boosting_learns_an_interaction_and_repeats(spark, monkeypatch):
     df, x, region, y = _rows(spark)
     monkeypatch.setattr(boost, "KEEP", 5)
-    monkeypatch.setattr(boost, "BLOCK", 40)
     s = boost.Settings(trees=12, depth=3, rate=0.4)
     model = boost.train(df, FEATURES, TARGETS, s)
     for r in model.trees:

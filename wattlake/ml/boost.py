@@ -1,11 +1,14 @@
 """Histogram boosting with vector leaves: one model per region for all horizons (M1).
 
-Features become quantile bins of one byte. Rows stand in blocks of one region,
-written once. A tree is grown level by level: one job adds, over the blocks of
-all regions, every node's gradients by feature and bin for all targets, and finds
-each node's best split where the sums meet. The driver holds one split a
-node and region. A leaf is a vector, one value a target, so a region's 24 horizons
-share one tree.
+Features become quantile bins of one byte. Rows stand in blocks of one region and
+at most about ``BLOCK`` rows, written once. A tree is grown level by level: one job adds,
+over the blocks of all regions, every node's gradients by feature and bin for all
+targets, and finds each node's best split where the sums meet. The driver holds one
+split a node and region. A leaf is a vector, one value a target, so a region's 24
+horizons share one tree.
+
+A region whose rows are one block has nothing to add up: its task goes through the
+same levels by itself, ``KEEP`` trees a job.
 
 Splits maximise ``sum_t soft(GL_t)^2 / (NL + reg_lambda) + soft(GR_t)^2 / (NR + reg_lambda)``
 less the same of the parent, where ``soft`` shrinks by ``reg_alpha``; a leaf is
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 from wattlake.session import shared_path
 
 #: Rows of a block, trees between two tables of predictions, features that one group sums.
-BLOCK, KEEP, CHUNK = 4096, 20, 64
+BLOCK, KEEP, CHUNK = 65_536, 20, 64
 #: Relative accuracy of the quantiles.
 ACCURACY = 1000
 
@@ -91,7 +94,7 @@ def to_bins(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:
 
 
 def soft(g: np.ndarray, alpha: float) -> np.ndarray:
-    return np.sign(g) * np.maximum(np.abs(g) - alpha, 0.0)
+    return g - np.clip(g, -alpha, alpha)
 
 
 def features_of_tree(region: str, tree: int, n: int, s: Settings) -> np.ndarray:
@@ -160,46 +163,103 @@ class _Rows:
         return out
 
 
+def _node(rows: _Rows, feature: np.ndarray, cut: np.ndarray, level: int) -> np.ndarray:
+    """Each row's node within ``level`` of a growing tree."""
+    node, at = np.zeros(len(rows.bins), np.int64), np.arange(len(rows.bins))
+    for _ in range(level):
+        node = 2 * node + 1 + (rows.bins[at, feature[node]] > cut[node])
+    return node - (1 << level) + 1
+
+
+def _histogram(rows: _Rows, g: np.ndarray, node: np.ndarray, used: np.ndarray, taken: np.ndarray, level: int, width: int) -> np.ndarray:
+    """Sums (targets + 1, features, nodes, bins) of the gradients ``g`` of the taken rows, and their number."""
+    nodes = 1 << level
+    place = (np.arange(len(used))[None, :] * nodes + node[taken, None]) * width + rows.bins[taken][:, used]
+    place, size = place.ravel(), len(used) * nodes * width
+    hist = np.empty((g.shape[1] + 1, size))
+    for t in range(g.shape[1]):
+        hist[t] = np.bincount(place, np.repeat(g[taken, t], len(used)), size)
+    hist[-1] = np.bincount(place, minlength=size)
+    return hist.reshape(-1, len(used), nodes, width)
+
+
 def _histograms(shape, at: int, level: int, pending, growing, s: Settings):
     """Blocks to one row a region and chunk of features: sums by (node, feature, bin) of gradients and rows."""
-    n_features, n_targets = shape
 
     def run(batches):
         sums: dict[str, np.ndarray] = {}
-        nodes, width = 1 << level, s.bins
         for b in batches:
             for r in b.to_pylist():
-                rows = _Rows(r, n_features, n_targets)
-                if rows.region not in growing:
-                    continue
-                used = features_of_tree(rows.region, at, n_features, s)
-                taken = rows_of_tree(rows.uid, at, len(rows.y), s)
-                g = (rows.add(pending.get(rows.region, [])) - rows.y).astype(np.float64)[taken]
-                bins = rows.bins[taken]
-                node = np.zeros(len(bins), np.int64)
-                feature, cut = growing[rows.region]
-                for _ in range(level):
-                    node = 2 * node + 1 + (bins[np.arange(len(bins)), feature[node]] > cut[node])
-                node -= nodes - 1
-                place = (np.arange(len(used))[None, :] * nodes + node[:, None]) * width + bins[:, used]
-                place = place.ravel()
-                size = len(used) * nodes * width
-                hist = sums.setdefault(rows.region, np.zeros((n_targets + 1, size)))
-                for t in range(n_targets):
-                    hist[t] += np.bincount(place, np.repeat(g[:, t], len(used)), size)
-                hist[n_targets] += np.bincount(place, minlength=size)
-        out = []
-        for region, hist in sums.items():
-            used = hist.shape[1] // (nodes * width)
-            parts = hist.reshape(n_targets + 1, used, nodes, width)
-            for c in range(0, used, CHUNK):
-                out.append({"region_id": region, "chunk": c, "sums": parts[:, c:c + CHUNK].tobytes()})
+                rows = _Rows(r, *shape)
+                if rows.region in growing:
+                    g = (rows.add(pending.get(rows.region, [])) - rows.y).astype(np.float64)
+                    used, taken = features_of_tree(rows.region, at, shape[0], s), rows_of_tree(rows.uid, at, len(rows.y), s)
+                    hist = _histogram(rows, g, _node(rows, *growing[rows.region], level), used, taken, level, s.bins)
+                    sums[rows.region] = sums[rows.region] + hist if rows.region in sums else hist
+        out = [
+            {"region_id": region, "chunk": c, "sums": hist[:, c:c + CHUNK].tobytes()}
+            for region, hist in sums.items() for c in range(0, hist.shape[1], CHUNK)
+        ]
         if out:
             yield pa.RecordBatch.from_pylist(out, schema=_SUMS)
 
     return run
 
 
+class _Growing:
+    """A tree on its way: splits so far, and the sums of every node that holds rows."""
+
+    def __init__(self, s: Settings):
+        self.s, inner = s, (1 << s.depth) - 1
+        self.feature, self.cut = np.zeros(inner, np.int64), np.full(inner, 255, np.int64)
+        self.sums: dict[int, np.ndarray] = {}
+
+    def live(self, level: int) -> bool:
+        return level == 0 or any(n in self.sums for n in range((1 << level) - 1, (2 << level) - 1))
+
+    def split(self, level: int, node: int, gain: float, feature: int, cut: int, left, whole) -> None:
+        """Take the best split of ``node`` of ``level``; without a gain it stays whole."""
+        here, whole = (1 << level) - 1 + node, np.asarray(whole)
+        if level == 0:
+            self.sums[0] = whole
+        if gain > 0 and here in self.sums:
+            self.feature[here], self.cut[here] = feature, cut
+            self.sums[2 * here + 1], self.sums[2 * here + 2] = np.asarray(left), whole - np.asarray(left)
+
+    def tree(self, n_targets: int) -> Tree:
+        return Tree(self.feature, self.cut, _leaves(self.sums, n_targets, self.s))
+
+
+def _alone(shape, first: int, last: int, s: Settings):
+    """Blocks that are a region's only one to its trees ``first`` to ``last`` and the predictions with them."""
+
+    def run(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                rows = _Rows(r, *shape)
+                p, trees = rows.p, []
+                for at in range(first, last):
+                    growing, g = _Growing(s), (p - rows.y).astype(np.float64)
+                    used, taken = features_of_tree(rows.region, at, shape[0], s), rows_of_tree(rows.uid, at, len(rows.y), s)
+                    for level in range(s.depth):
+                        if not growing.live(level):
+                            break
+                        hist = _histogram(rows, g, _node(rows, growing.feature, growing.cut, level), used, taken, level, s.bins)
+                        for node, gain, f, cut, left, whole in best_splits(hist, s):
+                            growing.split(level, node, gain, used[f], cut, left, whole)
+                    trees.append(growing.tree(shape[1]))
+                    p = p + trees[-1].leaves[trees[-1].places(rows.bins)].astype(np.float32)
+                out = r | {"p": p.tobytes(), "trees": [
+                    {"feature": t.feature.tolist(), "bin": t.bin.tolist(), "leaves": t.leaves.ravel().tolist()} for t in trees]}
+                yield pa.RecordBatch.from_pylist([out], schema=pa.schema([("uid", pa.int64()), *_BLOCK_ARROW, ("trees", _TREES)]))
+
+    return run
+
+
+_TREES = pa.list_(pa.struct([("feature", pa.list_(pa.int64())), ("bin", pa.list_(pa.int64())), ("leaves", pa.list_(pa.float64()))]))
+_TREES_SCHEMA = "array<struct<feature:array<long>,bin:array<long>,leaves:array<double>>>"
+
+
 _SUMS = pa.schema([("region_id", pa.string()), ("chunk", pa.int32()), ("sums", pa.binary())])
 _SPLIT = pa.schema([
     ("region_id", pa.string()), ("node", pa.int32()), ("gain", pa.float64()), ("feature", pa.int32()), ("bin", pa.int32()),
@@ -212,21 +272,25 @@ def best_splits(hist: np.ndarray, s: Settings) -> list[tuple]:
 
     Ties go to the first feature, then the first bin; without a split the gain is 0.
     """
-    left = np.cumsum(hist, axis=3)
-    whole = left[..., -1:]
-    right = whole - left
-
     def score(sums):
-        return (soft(sums[:-1], s.reg_alpha) ** 2).sum(axis=0) / (sums[-1] + s.reg_lambda)
-
-    gain = score(left) + score(right) - score(whole)
-    fits = (left[-1] >= s.min_child) & (right[-1] >= s.min_child)
-    gain = np.where(fits & (gain > 0), gain, 0.0)
+        g = soft(sums[:-1], s.reg_alpha)
+        return np.einsum("t...,t...->...", g, g) / (sums[-1] + s.reg_lambda)
+
+    parts = []
+    for c in range(0, hist.shape[1], 8):  # few features at a time stay in the processor's cache
+        left = np.cumsum(hist[:, c:c + 8], axis=3)
+        whole = left[..., -1:]
+        right = whole - left
+        gain = score(left) + score(right) - score(whole)
+        fits = (left[-1] >= s.min_child) & (right[-1] >= s.min_child)
+        parts.append(np.where(fits & (gain > 0), gain, 0.0))
+    gain = np.concatenate(parts)
     out = []
     for node in range(hist.shape[2]):
         k = int(np.argmax(gain[:, node]))
         f, b = divmod(k, hist.shape[3])
-        out.append((node, float(gain[f, node, b]), f, b, left[:, f, node, b].tolist(), whole[:, f, node, 0].tolist()))
+        sums = np.cumsum(hist[:, f, node], axis=1)
+        out.append((node, float(gain[f, node, b]), f, b, sums[:, b].tolist(), sums[:, -1].tolist()))
     return out
 
 
@@ -267,30 +331,56 @@ def train(rows: DataFrame, features: Sequence[str], targets: Sequence[str], sett
         "region_id", F.array(*[F.coalesce(F.col(c).cast("float"), F.lit(float("nan"))) for c in features]).alias("x"),
         F.array(*[F.col(c).cast("float") for c in targets]).alias("y"),
     )
-    means = data.groupBy("region_id").agg(*[F.avg(F.col("y")[i]).alias(f"m{i}") for i in range(shape[1])]).collect()
-    base = {r.region_id: np.array(r[1:], np.float64) for r in means}
+    means = data.groupBy("region_id").agg(F.count("*").alias("n"), *[F.avg(F.col("y")[i]) for i in range(shape[1])]).collect()
+    base = {r.region_id: np.array(r[2:], np.float64) for r in means}
     if not base:
         return Model({}, {})
     edges = _edges(data, shape[0], s.bins)
     for region in base:  # a region whose features are all null has no edges
         edges.setdefault(region, [np.empty(0, np.float32)] * shape[0])
     model = Model(edges, base, {r: [] for r in base})
-    blocks = data.repartition("region_id", F.pmod(F.xxhash64("x"), F.lit(spark.sparkContext.defaultParallelism)))
-    blocks = blocks.mapInArrow(_blocks(edges, *shape, base), _BLOCK_SCHEMA)
-    blocks.select(F.monotonically_increasing_id().alias("uid"), "*").write.parquet(f"{folder}/t0")
-    schema = f"uid long, {_BLOCK_SCHEMA}"
-    state, kept = spark.read.schema(schema).parquet(f"{folder}/t0"), 0
+    salts = max(1, -(-max(r.n for r in means) // BLOCK))
+    blocks = data.repartition("region_id", F.pmod(F.xxhash64("x"), F.lit(salts))).mapInArrow(_blocks(edges, *shape, base), _BLOCK_SCHEMA)
+    blocks.select(F.monotonically_increasing_id().alias("uid"), "*").write.parquet(f"{folder}/blocks")
+    state = spark.read.schema(_STATE).parquet(f"{folder}/blocks")
+    counts = dict(state.groupBy("region_id").count().collect())
+    single = [r for r, n in counts.items() if n == 1]
+    several = [r for r, n in counts.items() if n > 1]
+    if single:
+        _train_alone(state.where(F.col("region_id").isin(single)), f"{folder}/alone", shape, model, s)
+    if several:
+        _train_by_levels(state.where(F.col("region_id").isin(several)), f"{folder}/levels", shape, model, several, s)
+    return model
+
+
+_STATE = f"uid long, {_BLOCK_SCHEMA}"
+
+
+def _train_alone(state: DataFrame, folder: str, shape: tuple[int, int], model: Model, s: Settings) -> None:
+    """``KEEP`` trees a job for regions of one block each."""
+    for first in range(0, s.trees, KEEP):
+        path = f"{folder}/t{first}"
+        state.mapInArrow(_alone(shape, first, min(first + KEEP, s.trees), s), f"{_STATE}, trees {_TREES_SCHEMA}").write.parquet(path)
+        state = state.sparkSession.read.schema(f"{_STATE}, trees {_TREES_SCHEMA}").parquet(path)
+        for r in state.select("region_id", "trees").collect():
+            model.trees[r.region_id] += [
+                Tree(np.array(t.feature), np.array(t.bin), np.array(t.leaves).reshape(-1, shape[1])) for t in r.trees]
+        state = state.drop("trees")
+
+
+def _train_by_levels(state: DataFrame, folder: str, shape: tuple[int, int], model: Model, regions: list[str], s: Settings) -> None:
+    """One job a level: sums of all blocks by region and chunk of features, and the best splits."""
+    kept = 0
     for at in range(s.trees):
-        pending = {r: t[kept:] for r, t in model.trees.items()}
+        pending = {r: model.trees[r][kept:] for r in regions}
         if at - kept >= KEEP:
-            state.mapInArrow(_updated(shape, pending), schema).write.parquet(f"{folder}/t{at}")
-            state, kept = spark.read.schema(schema).parquet(f"{folder}/t{at}"), at
+            state.mapInArrow(_updated(shape, pending), _STATE).write.parquet(f"{folder}/t{at}")
+            state, kept = state.sparkSession.read.schema(_STATE).parquet(f"{folder}/t{at}"), at
             pending = {}
-        inner = (1 << s.depth) - 1
-        growing = {r: (np.zeros(inner, np.int64), np.full(inner, 255, np.int64)) for r in base}
-        sums = {r: {} for r in base}
+        growing = {r: _Growing(s) for r in regions}
+        used = {r: features_of_tree(r, at, shape[0], s) for r in regions}
         for level in range(s.depth):
-            live = {r: v for r, v in growing.items() if level == 0 or any(n in sums[r] for n in range((1 << level) - 1, (2 << level) - 1))}
+            live = {r: (g.feature, g.cut) for r, g in growing.items() if g.live(level)}
             hist = state.mapInArrow(_histograms(shape, at, level, pending, live, s), "region_id string, chunk int, sums binary")
             best: dict[tuple[str, int], tuple] = {}
             for r in hist.groupBy("region_id", "chunk").applyInArrow(_choose(shape, level, s), _SPLIT_SCHEMA).collect():
@@ -298,20 +388,9 @@ def train(rows: DataFrame, features: Sequence[str], targets: Sequence[str], sett
                 if (r.region_id, r.node) not in best or rank < best[r.region_id, r.node][0]:
                     best[r.region_id, r.node] = rank, r
             for (region, node), (_, r) in best.items():
-                here = (1 << level) - 1 + node
-                whole = np.array(r.whole)
-                if level == 0:
-                    sums[region][0] = whole
-                if here not in sums[region]:
-                    continue
-                if r.gain > 0:
-                    feature, cut = growing[region]
-                    feature[here], cut[here] = features_of_tree(region, at, shape[0], s)[r.feature], r.bin
-                    sums[region][2 * here + 1] = np.array(r.left)
-                    sums[region][2 * here + 2] = whole - np.array(r.left)
-        for region, (feature, cut) in growing.items():
-            model.trees[region].append(Tree(feature, cut, _leaves(sums[region], shape[1], s)))
-    return model
+                growing[region].split(level, node, r.gain, used[region][r.feature], r.bin, r.left, r.whole)
+        for region in regions:
+            model.trees[region].append(growing[region].tree(shape[1]))
 
 
 def _leaves(sums: dict[int, np.ndarray], n_targets: int, s: Settings) -> np.ndarray:
