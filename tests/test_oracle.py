@@ -36,7 +36,7 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_is_rows_only():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"train_eval"}
+    assert set(QUERIES) - set(ORACLE) == {"train_eval", "boosted_eval"}
 
 
 @pytest.mark.parametrize("name", ["gold_hourly", "serving_lags", "stream_latest", "region_staleness"])

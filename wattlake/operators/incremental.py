@@ -156,8 +156,10 @@ def run_backfill(
     for i, s in enumerate(slices, 0 if known[0] is None else known[0] + 1):
         rows = load(s.slice_start, s.slice_end)
         n = sinks.upsert_table(rows, f"{base}/rows", keys)
-        stored = sinks.read_table(spark, f"{base}/rows")
-        last = stored.where(F.col(keys[0]) < F.lit(s.slice_end).cast("timestamp_ntz")).agg(F.max(keys[0])).first()[0] if stored is not None else None
+        # only the slice's own days are read back
+        span = [(s.slice_start + dt.timedelta(days=k)).strftime("%Y-%m-%d") for k in range((s.slice_end - s.slice_start).days + 2)]
+        stored = sinks.read_table(spark, f"{base}/rows", days=span) if n else None
+        last = stored.where(F.col(keys[0]) < F.lit(s.slice_end).cast("timestamp_ntz")).agg(F.max(keys[0])).first()[0] if n else None
         done = spark.createDataFrame([(i, s.slice_start, s.slice_end, n, last)], LEDGER)
         sinks.append(done, f"{base}/ledger", i, "ledger")
     return len(slices)
