@@ -125,12 +125,31 @@ def replaced(rng, line, n):
     return " ".join(words)
 
 
-def test_whole_bit_columns_equal_dynamic_programming():
+def test_banded_columns_equal_dynamic_programming():
     rng = random.Random(9)
-    for _ in range(150):
-        a = "".join(rng.choice("abc") for _ in range(rng.randrange(1, 60)))
-        b = mutate(rng, a, rng.randrange(12))
-        assert lines.edit_distance(a, b, 9) == min(distance(a, b), 10), (a, b)
+    pairs, most, want = [], [], []
+    for _ in range(400):
+        a = "".join(rng.choice("abc\u00e9") for _ in range(rng.randrange(1, 90)))
+        b = mutate(rng, a, rng.randrange(14)) if rng.random() < 0.8 else "".join(rng.choice("abc") for _ in range(rng.randrange(1, 90)))
+        k = rng.choice([0, 1, 2, 4, 5, 9, 20, 31, 40])
+        d = distance(a, b)
+        assert lines.edit_distance(a, b, k) == min(d, k + 1), (a, b, k)
+        pairs.append((a, b))
+        most.append(k)
+        want.append(d <= k)
+    assert lines.within(pairs, most).tolist() == want
+    assert lines.within([], []).tolist() == []
+
+
+def test_a_pair_of_very_long_lines_takes_little_time():
+    import time
+
+    rng = random.Random(1)
+    a = "".join(rng.choice("abcdefgh ") for _ in range(60_000))
+    b = mutate(rng, a, 3)
+    begin = time.process_time()
+    assert lines.edit_distance(a, b, len(a) // 16) <= 3
+    assert time.process_time() - begin < 1
 
 
 def test_long_lines_link_by_their_share_of_edits(spark):

@@ -109,63 +109,126 @@ def signatures(line: str, edits: int = MAX_EDITS) -> list[tuple[int, int, int, i
     return [(_hash(line[a:b], seed), r, a, b - a) for (a, b, seed), r in zip(places, roles.tolist())]
 
 
-def edit_distance(a: str, b: str, most: int) -> int:
-    """Edit distance of ``a`` and ``b``, or ``most + 1`` if it is larger.
-
-    Bit ``d`` of ``reach[j]`` says that the first ``t + d - most`` characters of
-    ``a`` turn into the first ``t`` of ``b`` with at most ``j`` edits: the band
-    around the diagonal fits one word however long the texts are.
-    """
-    if abs(len(a) - len(b)) > most:
-        return most + 1
-    if a == b:
-        return 0
+def _trimmed(a: str, b: str) -> tuple[str, str]:
+    """Both texts without their common start and end."""
     start = _common(a, b)
     a, b = a[start:], b[start:]
     end = _common(a[::-1], b[::-1])
-    a, b = a[:len(a) - end], b[:len(b) - end]
+    return a[:len(a) - end], b[:len(b) - end]
+
+
+def edit_distance(a: str, b: str, most: int) -> int:
+    """Edit distance of ``a`` and ``b``, or ``most + 1`` if it is larger."""
+    if abs(len(a) - len(b)) > most:
+        return most + 1
+    a, b = _trimmed(a, b)
     if not a or not b:
         return max(len(a), len(b))
-    where: dict[str, int] = {}
-    for i, c in enumerate(a):
-        where[c] = where.get(c, 0) | 1 << i
-    if most > 4:
-        return min(_full_distance(where, len(a), b), most + 1)
-    band = (1 << 2 * most + 1) - 1
-    reach = [((1 << j + 1) - 1) << most & band for j in range(most + 1)]
-    for t, c in enumerate(b, 1):
+    # a narrow band ends sooner; it is widened until the distance fits
+    band = min(most, 4)
+    while (found := _banded(a, b, band)) > band and band < most:
+        band = min(most, 4 * band)
+    return min(found, most + 1)
+
+
+def _banded(a: str, b: str, most: int) -> int:
+    """Distance by bit-parallel columns of the ``2 * most + 1`` diagonals around the main one, or ``most + 1``.
+
+    Bit ``d`` of a column stands for the cell on diagonal ``d - most``, so a column's bits need no
+    shift to the next one. ``up`` and ``down`` hold where a cell is one more or one less than the
+    cell above it. The last diagonal's value is followed until it meets the end of ``a``, then
+    the last row's.
+    """
+    if abs(len(a) - len(b)) > most:
+        return most + 1
+    codes = np.frombuffer(a.encode("utf-32-le"), np.uint32)
+    where = {chr(c): int.from_bytes(np.packbits(codes == c, bitorder="little").tobytes(), "little") for c in np.unique(codes)}
+    mask, top, rows = (1 << 2 * most + 1) - 1, 1 << 2 * most, len(a)
+    up, down, value = (mask >> most) << most, 0, min(most, rows)
+    for j, c in enumerate(b, 1):
+        shift = j - 1 - most
         bits = where.get(c, 0)
-        shift = t - 1 - most
-        same = (bits >> shift if shift >= 0 else bits << -shift) & band
-        before, less = reach[0], 0
-        now = before & same
-        reach[0], less = now, now
-        for j in range(1, most + 1):
-            old = reach[j]
-            now = ((old & same) | before | before >> 1 | less << 1) & band
-            reach[j], before, less = now, old, now
-        if not reach[most]:
+        same = (bits >> shift if shift >= 0 else bits << -shift) & mask
+        level = (((same & up) + up ^ up) | same | down) & mask
+        more, less = down | ~(level | up) & mask, level & up
+        if j + most <= rows:
+            value += not level & top
+        else:
+            last = 1 << rows - j + most
+            value += bool(more & last) - bool(less & last)
+        # what is left to come takes off at most one a column
+        if value - (len(b) - j) > most and j + most > rows or value > 2 * most + 1:
             return most + 1
-    final = 1 << len(a) - len(b) + most
-    return next((j for j in range(most + 1) if reach[j] & final), most + 1)
-
-
-def _full_distance(where: dict[str, int], size: int, b: str) -> int:
-    """Edit distance to ``b`` by whole bit columns; ``where`` holds the places of each character in the other text."""
-    mask, last = (1 << size) - 1, 1 << size - 1
-    up, down, out = mask, 0, size
-    for c in b:
-        same = where.get(c, 0)
-        flat = ((same & up) + up ^ up) | same | down
-        right = down | ~(flat | up) & mask
-        left = up & flat
-        out += bool(right & last) - bool(left & last)
-        right = (right << 1 | 1) & mask
-        up = (left << 1 | ~(same | down | right)) & mask
-        down = right & (same | down)
+        up, down = less | ~(level >> 1 | more) & mask, level >> 1 & more
+    return min(value, most + 1)
+
+
+#: Widest band of ``within`` (its bits fit one word), and pairs that it takes at once.
+_BAND, _PAIRS = 31, 1024
+
+
+def within(pairs: list[tuple[str, str]], most: list[int]) -> np.ndarray:
+    """Which pairs are at most so many edits apart: banded bit-parallel columns of many pairs at once."""
+    out = np.zeros(len(pairs), bool)
+    left = []
+    for i, ((a, b), k) in enumerate(zip(pairs, most)):
+        if abs(len(a) - len(b)) > k:
+            continue
+        a, b = _trimmed(a, b)
+        if not a or not b or max(len(a), len(b)) <= k:
+            out[i] = max(len(a), len(b)) <= k
+        elif k > _BAND:
+            out[i] = edit_distance(a, b, k) <= k
+        else:
+            left.append((len(b), i, a, b))
+    left.sort(key=lambda x: (x[0], x[1]), reverse=True)
+    for at in range(0, len(left), _PAIRS):
+        part = left[at:at + _PAIRS]
+        who = np.array([i for _, i, _, _ in part])
+        limit = np.array([most[i] for i in who.tolist()])
+        out[who] = _banded_many([a for _, _, a, _ in part], [b for _, _, _, b in part], int(limit.max())) <= limit
     return out
 
 
+def _codes(texts: list[str], before: int, width: int, blank: int) -> np.ndarray:
+    """Characters of the texts, one row each, ``before`` blanks ahead."""
+    sizes = np.array([len(x) for x in texts])
+    out = np.full((len(texts), width), blank, np.uint32)
+    chars = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    row = np.repeat(np.arange(len(texts)), sizes)
+    out[row, np.arange(len(chars)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + before] = chars
+    return out
+
+
+def _banded_many(a: list[str], b: list[str], most: int) -> np.ndarray:
+    """``_banded`` of many pairs, the longest ``b`` first; larger distances come out above ``most``."""
+    width = 2 * most + 1
+    rows, cols = (np.array([len(x) for x in v]) for v in (a, b))
+    far = int(max(rows.max(), cols.max()))
+    first = _codes(a, most, far + width + 1, 0xFFFFFFFF)
+    second = _codes(b, 0, far, 0xFFFFFFFE).T.copy()
+    one, mask = np.uint64(1), np.uint64((1 << width) - 1)
+    up = np.full(len(a), ((1 << width) - 1) >> most << most, np.uint64)
+    down = np.zeros(len(a), np.uint64)
+    value = np.minimum(rows, most).astype(np.int64)
+    bits = np.zeros((len(a), 64), bool)
+    n = len(a)
+    for j in range(1, int(cols[0]) + 1):
+        n = int(np.searchsorted(-cols[:n], -j, "right"))
+        bits[:n, :width] = first[:n, j - 1:j - 1 + width] == second[j - 1, :n, None]
+        same = np.packbits(bits[:n], axis=1, bitorder="little").view("<u8").ravel()
+        u, d = up[:n], down[:n]
+        level = (((same & u) + u ^ u) | same | d) & mask
+        more, less = d | ~(level | u) & mask, level & u
+        left = rows[:n] - j + most
+        last = np.clip(left, 0, 2 * most).astype(np.uint64)
+        along = ((more >> last & one).astype(np.int64) - (less >> last & one).astype(np.int64))
+        value[:n] += np.where(left >= 2 * most, 1 - (level >> np.uint64(2 * most) & one).astype(np.int64), along)
+        half = level >> one
+        up[:n], down[:n] = less | ~(half | more) & mask, half & more
+    return value
+
+
 def _common(a: str, b: str) -> int:
     """Length of the common prefix."""
     if a[:1] != b[:1]:
@@ -502,11 +565,9 @@ def _verified(pairs: DataFrame, text: DataFrame, edits: int) -> DataFrame:
     """The pairs within the distance."""
 
     def run(batches):
-        for b in batches:
-            ok = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                most = allowed(min(len(x), len(y)), edits)
-                ok.append(edit_distance(x, y, most) <= most)
+        for b in pieces(batches, 4096):
+            pairs = list(zip(b.column(2).to_pylist(), b.column(3).to_pylist()))
+            ok = within(pairs, [allowed(min(len(x), len(y)), edits) for x, y in pairs])
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     left = text.select(F.col("id").alias("a"), F.col("text").alias("left"))
