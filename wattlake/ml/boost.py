@@ -340,7 +340,9 @@ def train(rows: DataFrame, features: Sequence[str], targets: Sequence[str], sett
         edges.setdefault(region, [np.empty(0, np.float32)] * shape[0])
     model = Model(edges, base, {r: [] for r in base})
     salts = max(1, -(-max(r.n for r in means) // BLOCK))
-    blocks = data.repartition("region_id", F.pmod(F.xxhash64("x"), F.lit(salts))).mapInArrow(_blocks(edges, *shape, base), _BLOCK_SCHEMA)
+    # by range, so that regions don't meet in one task
+    dealt = data.repartitionByRange(len(base) * salts, "region_id", F.pmod(F.xxhash64("x"), F.lit(salts)))
+    blocks = dealt.mapInArrow(_blocks(edges, *shape, base), _BLOCK_SCHEMA)
     blocks.select(F.monotonically_increasing_id().alias("uid"), "*").write.parquet(f"{folder}/blocks")
     state = spark.read.schema(_STATE).parquet(f"{folder}/blocks")
     counts = dict(state.groupBy("region_id").count().collect())
