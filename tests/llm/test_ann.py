@@ -77,6 +77,14 @@ def test_edges(spark):
     assert ann.search(frame.limit(0), frame.limit(0)).count() == 0
 
 
+def test_queries_of_another_length_and_ids_of_two_vectors(spark):
+    rows = spark.createDataFrame([(i, [float(i + 1), 1.0], 0) for i in range(6)] + [(2, [9.0, 9.0], 0)], SCHEMA)
+    asked = spark.createDataFrame([(0, [1.0, 2.0, 3.0], 0), (20, [1.0, 0.0, 0.0], 0), (40, [1.0, 0.0], 0), (40, [2.0, 0.0], 0)], SCHEMA)
+    got = by_query(ann.search(rows, asked, k=3).collect())
+    assert {q: [r.vec_id for r in found] for q, found in got.items()} == {40: [5, 4, 3]}
+    assert [r.score for r in got[40]] == [6.0, 5.0, 4.0]
+
+
 def test_equal_vectors_tie_to_smaller_ids(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(600, 16)).astype(np.float32)

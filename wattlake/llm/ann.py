@@ -13,9 +13,11 @@ ids), so they are left out before any block is formed; Spark applies that limit
 before the shuffle.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
-components take no part, nor do vectors of another length than the most common
-one (ties: the shorter); repeated rows count once; fewer candidates than ``k``
-give them all.
+components take no part, nor do vectors, of rows or queries, of another length
+than the rows' most common one (ties: the shorter); repeated rows count once, and
+of several vectors under one ``vec_id`` the smallest (component by component); fewer candidates
+than ``k`` give them all; an empty table gives no rows; only ``vec_id`` and
+``embedding`` are read, so further columns may have any name.
 """
 
 from __future__ import annotations
@@ -143,17 +145,26 @@ def fit(x: np.ndarray, parts: int, k: int, recall: float = RECALL) -> tuple[Rout
     return router, int(needed[min(len(needed) - 1, int(np.ceil(recall * len(needed))) - 1)]) + 1
 
 
-def vectors(rows: DataFrame) -> DataFrame:
-    """``(vec_id, vec)`` of the rows that take part, components as doubles, repeated rows once."""
+def _usable(rows: DataFrame) -> DataFrame:
+    """``(vec_id, vec)`` of the rows with an id and a finite vector that is not zero."""
     vec = F.col("embedding").cast("array<double>")
     bad = F.exists("vec", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
-    usable = (
+    return (
         rows.select(F.col("vec_id").cast("long").alias("vec_id"), vec.alias("vec"))
         .where(F.col("vec_id").isNotNull() & F.col("vec").isNotNull()).where(~bad)
         .where(F.exists("vec", lambda c: c != 0))
     )
-    size = usable.groupBy(F.size("vec").alias("size")).count().orderBy(F.desc("count"), "size").first()
-    return usable.where(F.size("vec") == (size.size if size else 0)).distinct()
+
+
+def common_length(rows: DataFrame) -> int:
+    """The most common length of the rows' vectors; 0 without any."""
+    size = _usable(rows).groupBy(F.size("vec").alias("size")).count().orderBy(F.desc("count"), "size").first()
+    return size.size if size else 0
+
+
+def vectors(rows: DataFrame, size: int) -> DataFrame:
+    """``(vec_id, vec)`` of the rows that take part, those of length ``size``; of several vectors of one id the smallest."""
+    return _usable(rows).where(F.size("vec") == size).groupBy("vec_id").agg(F.min("vec").alias("vec"))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -165,7 +176,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, recall: float = REC
     """``(query_id, rank, vec_id, score)``: the ``k`` nearest found of every query ``(vec_id, embedding)`` among ``rows``."""
     spark = rows.sparkSession
     scratch = Scratch(spark)
-    every = scratch.table(vectors(rows))
+    size = common_length(rows)
+    every = scratch.table(vectors(rows, size))
     n = every.count()
     chosen = sample_of(every, sample, n, "vec_id").select("vec").toArrow()["vec"]
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -194,7 +206,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, recall: float = REC
 
     same = Window.partitionBy("vec").orderBy("vec_id")
     candidates = every.withColumn("r", F.row_number().over(same)).where(F.col("r") <= k + 1).select("vec_id", "vec")
-    asked = vectors(queries)
+    asked = vectors(queries, size)
     # blocks: as many as the fullest part may need if it holds twice its share; queries likewise
     blocks = int(max(1, -(-2 * n // (parts * BLOCK))))
     query_blocks = int(max(1, -(-2 * asked.count() * visits // (parts * BLOCK))))
