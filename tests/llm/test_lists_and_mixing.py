@@ -67,6 +67,13 @@ def test_url_filter_equals_brute_force(spark):
     assert urls.filter_urls(rows, listed.limit(0)).where("blocked").count() == 0
 
 
+def test_one_suffix_of_all_hosts_is_spread(spark):
+    captures = spark.createDataFrame([(i, f"http://h{i}.com/p", dt.date(2024, 1, 1 + i % 9)) for i in range(900)], "page_id long, url string, fetched date")
+    listed = spark.createDataFrame([("domain", "com", "block", dt.date(2024, 1, 5))], "kind string, value string, action string, listed date")
+    got = urls.filter_urls(captures, listed).collect()
+    assert len(got) == 900 and sum(r.blocked for r in got) == sum(1 + i % 9 >= 5 for i in range(900))
+
+
 def reached(cells):
     """Worst relative miss of a marginal by dimension, from collected cells with ``p``."""
     drawn = sum(r.p * r.tokens for r in cells)

@@ -9,12 +9,15 @@ parent domains from the longest.
 Only DataFrame functions are used. Entries are first reduced to one per key and
 day, so a key's history is bounded by days however often it is listed. Captures
 are reduced to distinct (host, day) and (address, day) pairs before the list
-join, and decisions are joined back on salted keys, so a host that holds a
-third of all captures is spread over ``SALTS`` tasks a day.
+join, which is salted, so a suffix of most hosts is spread over ``SALTS`` tasks;
+decisions are joined back on salted keys, so a host that holds a third of all
+captures is spread over as many a day.
 
 Defined results: a null or malformed url has an empty host and no decision; a
 null fetch day matches nothing; of several entries of one key on one day a
-block wins; repeated captures each get a row.
+block wins; repeated captures each get a row; an empty table of captures gives no
+rows and an empty list no decisions; only the columns named are read, so further
+columns may have any name.
 """
 
 from __future__ import annotations
@@ -54,7 +57,7 @@ def _active(day: Column) -> Column:
     return F.get(holds, F.lit(0))
 
 
-def _decisions(captures: DataFrame, listed: DataFrame) -> DataFrame:
+def _decisions(captures: DataFrame, listed: DataFrame, salts: int) -> DataFrame:
     """The most specific active entry of each (host, day): domains of a host are its suffixes, the host included."""
     pairs = captures.where("host <> '' and fetched is not null").select("host", "fetched").distinct()
     labels = F.split("host", r"\.")
@@ -69,7 +72,10 @@ def _decisions(captures: DataFrame, listed: DataFrame) -> DataFrame:
     keys = pairs.select("host", "fetched", F.explode(suffixes).alias("s")).select(
         "host", "fetched", F.col("s.value").alias("value"), F.col("s.up").alias("up"), F.explode("s.kinds").alias("kind")
     )
-    found = keys.join(listed.where("kind <> 'address'"), ["kind", "value"]).withColumn("spell", _active(F.col("fetched")))
+    # a suffix such as "com" belongs to a large share of all hosts: keys are salted, and so is the list, one row a key
+    salted = listed.where("kind <> 'address'").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    keys = keys.withColumn("part", F.pmod(F.xxhash64("host", "fetched"), F.lit(salts)).cast("int"))
+    found = keys.join(salted, ["kind", "value", "part"]).withColumn("spell", _active(F.col("fetched")))
     rank = F.struct((-F.col("up")).alias("up"), (F.col("kind") == "host").alias("own"))
     best = F.max_by(F.struct("kind", "value", "spell"), rank).alias("best")
     return found.where("spell is not null").groupBy("host", "fetched").agg(best).select("host", "fetched", "best.*")
@@ -83,7 +89,7 @@ def filter_urls(captures: DataFrame, entries: DataFrame, salts: int = SALTS) ->
         F.pmod(F.xxhash64("page_id"), F.lit(salts)).cast("int").alias("salt"),
     )
     salt = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt")
-    by_host = _decisions(rows, listed).select(
+    by_host = _decisions(rows, listed, salts).select(
         "host", "fetched", F.struct("kind", "value", "spell").alias("by_host"), salt
     )
     addresses = rows.where("address <> '' and fetched is not null").select("address", "fetched").distinct()
