@@ -331,6 +331,9 @@ def train(rows: DataFrame, features: Sequence[str], targets: Sequence[str], sett
         "region_id", F.array(*[F.coalesce(F.col(c).cast("float"), F.lit(float("nan"))) for c in features]).alias("x"),
         F.array(*[F.col(c).cast("float") for c in targets]).alias("y"),
     )
+    # three passes follow: the wide rows are packed once
+    data.write.parquet(f"{folder}/rows")
+    data = spark.read.schema(data.schema).parquet(f"{folder}/rows")
     means = data.groupBy("region_id").agg(F.count("*").alias("n"), *[F.avg(F.col("y")[i]) for i in range(shape[1])]).collect()
     base = {r.region_id: np.array(r[2:], np.float64) for r in means}
     if not base:

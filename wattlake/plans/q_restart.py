@@ -144,6 +144,20 @@ def stream_restart(spark, sf_dir):
     return S.rounded(sinks.read_table(spark, f"{base}/out").select("time", "region_id", "demand_mw"))
 
 
+@register("change_feed", O.sql(f"SELECT ts AS time, {_REGION_CASE} AS region_id, {O.r4('value', 'demand_mw')} FROM events"))
+def change_feed(spark, sf_dir):
+    """S13 + T11: change messages as text files, read from the earliest; more arrive while the query is down, and only they are read then."""
+    base = QS._run_dir(spark, "feed")
+    events = standins.read(spark, sf_dir, "events")
+    early = F.col("ts") < F.lit(POLL_CUT).cast("timestamp_ntz")
+    for part in (early, ~early):
+        QS._envelopes(events.where(part)).write.mode("append").text(f"{base}/feed")
+        changes = CH.decode_changes(CH.read_changes(spark, f"{base}/feed", start="earliest"))
+        query = changes.writeStream.option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start(f"{base}/out")
+        query.awaitTermination()
+    return S.rounded(spark.read.schema(changes.schema).parquet(f"{base}/out"))
+
+
 # ---- metrics -------------------------------------------------------------
 @register(
     "stream_metrics",
