@@ -509,7 +509,11 @@ def _block_links(edits: int):
     def run(t: pa.Table) -> pa.Table:
         ids, lines, sides = (t[c].to_pylist() for c in ("id", "text", "side"))
         order = sorted(range(len(ids)), key=lambda i: (len(lines[i]), ids[i]))
+        ids, lines, sides = ([v[i] for i in order] for v in (ids, lines, sides))
+        side, size = np.array(sides), np.array([len(x) for x in lines])
+        most = np.array([allowed(int(n), edits) for n in size])
         parent = list(range(len(ids)))
+        a, b = [], []
 
         def root(i):
             while parent[i] != i:
@@ -517,22 +521,34 @@ def _block_links(edits: int):
                 i = parent[i]
             return i
 
+        def link(pairs):
+            """Verify pairs of places that are not linked yet; the first of a pair is not longer."""
+            pairs = [(i, j) for i, j in pairs if root(i) != root(j)]
+            near = within([(lines[i], lines[j]) for i, j in pairs], [int(most[i]) for i, _ in pairs])
+            for i, j in (pairs[k] for k in np.flatnonzero(near)):
+                if root(i) != root(j):
+                    parent[root(i)] = root(j)
+                    a.append(ids[i])
+                    b.append(ids[j])
+
+        def meet(i, j):
+            return (side[i] != side[j]) | (side[i] == 2)
+
+        # neighbours by their start and by their end are the likely pairs: what they link needs no further look
+        for text in (lines, [x[::-1] for x in lines]):
+            by = sorted(range(len(lines)), key=text.__getitem__)
+            link([(min(i, j), max(i, j)) for i, j in zip(by, by[1:]) if meet(i, j)])
         # an edit changes the counts of characters by two at most
-        counts = np.stack([np.bincount(np.frombuffer(x.encode("utf-32-le"), np.uint32) & 63, minlength=64) for x in lines])
-        counts = counts[order].astype(np.int32)
-        a, b, start = [], [], 0
-        for n, j in enumerate(order):
-            most = allowed(len(lines[j]), edits)
-            while len(lines[order[start]]) < len(lines[j]) - most:
-                start += 1
-            alike = np.abs(counts[start:n] - counts[n]).sum(axis=1) <= 2 * most
-            for i in (order[start + k] for k in np.flatnonzero(alike)):
-                if (sides[i] != sides[j] or sides[i] == 2) and root(i) != root(j):
-                    # the line before is not longer
-                    if edit_distance(lines[i], lines[j], most := allowed(len(lines[i]), edits)) <= most:
-                        parent[root(i)] = root(j)
-                        a.append(ids[i])
-                        b.append(ids[j])
+        counts = np.stack([np.bincount(np.frombuffer(x.encode("utf-32-le"), np.uint32) & 63, minlength=64) for x in lines]).astype(np.int32)
+        waiting: list[tuple[int, int]] = []
+        for j in range(len(lines)):
+            start = int(np.searchsorted(size, size[j] - most[j]))
+            alike = np.abs(counts[start:j] - counts[j]).sum(axis=1) <= 2 * most[j]
+            waiting += [(i, j) for i in (start + np.flatnonzero(alike & meet(slice(start, j), j))).tolist()]
+            if len(waiting) > 4 * _PAIRS:
+                link(waiting)
+                waiting = []
+        link(waiting)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
