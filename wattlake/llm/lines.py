@@ -33,6 +33,7 @@ table gives no rows; other columns pass untouched through ``deduplicate``.
 
 from __future__ import annotations
 
+import itertools
 from functools import lru_cache
 
 import numpy as np
@@ -524,8 +525,12 @@ def _block_links(edits: int):
         def link(pairs):
             """Verify pairs of places that are not linked yet; the first of a pair is not longer."""
             pairs = [(i, j) for i, j in pairs if root(i) != root(j)]
-            near = within([(lines[i], lines[j]) for i, j in pairs], [int(most[i]) for i, _ in pairs])
-            for i, j in (pairs[k] for k in np.flatnonzero(near)):
+            narrow = [(i, j) for i, j in pairs if most[i] <= _BAND]
+            near = within([(lines[i], lines[j]) for i, j in narrow], [int(most[i]) for i, _ in narrow])
+            # wide bands are dear: one pair at a time, without those that the ones before have linked
+            wide = ((i, j) for i, j in pairs if most[i] > _BAND and root(i) != root(j)
+                    and edit_distance(lines[i], lines[j], int(most[i])) <= most[i])
+            for i, j in itertools.chain((narrow[k] for k in np.flatnonzero(near)), wide):
                 if root(i) != root(j):
                     parent[root(i)] = root(j)
                     a.append(ids[i])
