@@ -285,10 +285,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _RANKED_SQL = r"""
 WITH d AS (
-    SELECT row_number() OVER () AS at, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    SELECT row_number() OVER () AS row_id, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
         'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS ws FROM documents),
 total AS (SELECT count(*) AS docs, CAST(sum(len(ws)) AS BIGINT) AS words FROM d WHERE len(ws) > 0),
-tf AS (SELECT at, doc_id, n, w, count(*) AS tf FROM (SELECT at, doc_id, len(ws) AS n, unnest(ws) AS w FROM d) GROUP BY ALL),
+tf AS (SELECT row_id, doc_id, n, w, count(*) AS tf FROM (SELECT row_id, doc_id, len(ws) AS n, unnest(ws) AS w FROM d) GROUP BY ALL),
 wanted AS (
     SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
         'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS w FROM benchmark),
@@ -296,8 +296,8 @@ weight AS (
     SELECT w, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
     FROM tf, total GROUP BY w),
 scores AS (
-    SELECT item_id, at, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words)))) AS BIGINT) AS score
-    FROM wanted JOIN tf USING (w) JOIN weight USING (w), total GROUP BY item_id, at, doc_id)
+    SELECT item_id, row_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words)))) AS BIGINT) AS score
+    FROM wanted JOIN tf USING (w) JOIN weight USING (w), total GROUP BY item_id, row_id, doc_id)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
     SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
     FROM scores WHERE score > 0) WHERE rank <= 50
