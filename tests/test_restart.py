@@ -104,6 +104,19 @@ def test_stopped_stream_equals_one_run_and_batches_do_not_overlap(spark, tmp_pat
     assert tables["once"] == tables["stopped"] == sorted(rows)
 
 
+def test_a_batch_of_the_feed_has_files_for_all_cores(spark, tmp_path):
+    from wattlake.plans.q_restart import BATCHES, _feed
+
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(4000).selectExpr("timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, id) AS ts", "id")
+    assert _feed(rows, f"{tmp_path}/feed") == cores
+    written = spark.read.parquet(f"{tmp_path}/feed").groupBy(F.input_file_name()).count().collect()
+    assert len(written) == BATCHES * cores and max(r["count"] for r in written) < 4 * 4000 / len(written)
+    assert _feed(rows.limit(3), f"{tmp_path}/few") == 1 and _feed(rows.limit(0), f"{tmp_path}/none") == 1
+    # a column of one value is one range
+    assert _feed(rows.withColumn("ts", F.lit(T0).cast("timestamp_ntz")), f"{tmp_path}/one") == 1
+
+
 def test_sketched_latency_is_near_the_true_ranks(spark, tmp_path):
     from wattlake.streaming.counters import ChangeCounters, metrics_summary
 

@@ -129,15 +129,27 @@ def poll_stream(spark, sf_dir):
 
 
 # ---- restart -------------------------------------------------------------
+BATCHES = 5
+
+
+def _feed(events, path: str) -> int:
+    """Write the feed in time ranges, so many that a batch has a file for every core; the files of a batch."""
+    spark = events.sparkSession
+    events.repartitionByRange(BATCHES * spark.sparkContext.defaultParallelism, "ts").write.parquet(path)
+    # ranges without rows have no file
+    files = len(spark.read.schema(events.schema).parquet(path).inputFiles())
+    return max(-(-files // BATCHES), 1)
+
+
 @register("stream_restart", O.sql(f"SELECT ts AS time, {_REGION_CASE} AS region_id, {O.r4('value', 'demand_mw')} FROM events"))
 def stream_restart(spark, sf_dir):
     """T11 + T13: the feed in several files, killed after the work of two batches and started again; equals one run."""
     base = QS._run_dir(spark, "restart")
     events = standins.read(spark, sf_dir, "events")
-    events.repartitionByRange(5, "ts").write.parquet(f"{base}/feed")
+    files = _feed(events, f"{base}/feed")
 
     def stream():
-        raw = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/feed")
+        raw = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/feed")
         return CH.decode_changes(QS._envelopes(raw))
 
     run_with_stops(stream, lambda batch, epoch: sinks.append(batch, f"{base}/out", epoch, "feed"), f"{base}/ckpt", stop_at=(1, 3))
