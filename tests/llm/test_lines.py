@@ -174,3 +174,43 @@ def test_short_lines_of_their_own_keep_a_document(spark):
     docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], SCHEMA)
     got = {r.doc_id: r.text for r in lines.deduplicate(docs).collect()}
     assert got == {1: rows[0][1], 2: "roses are red\n\nviolets"}
+
+
+def test_a_wide_band_does_not_end_before_a_way_within_it():
+    """Edits in one half and characters missing in the other: the last diagonal grows by more than twice the limit."""
+    rng = random.Random(7)
+    for _ in range(40):
+        x = "".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(90, 130)))
+        y = mutate(rng, x[rng.randrange(8):-6], rng.randrange(4, 14))
+        d = distance(x, y)
+        for most in range(max(d - 1, abs(len(x) - len(y))), d + 4):
+            for a, b in ((x, y), (y, x), (x[::-1], y[::-1]), (y[::-1], x[::-1])):
+                assert lines._banded(a, b, most) == min(d, most + 1)
+
+
+def test_crowded_lines_of_other_lengths_do_not_meet(spark):
+    """A group of one key is dealt by length: its rows grow with its lines, and all links of its pairs are there."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 8)))
+    passage = " ".join(word() for _ in range(6))
+    texts = [passage + " " + " ".join(word() for _ in range(rng.randrange(5, 40))) for _ in range(60)]
+    texts = sorted({*texts, *(mutate(rng, x, rng.randrange(1, 9)) for x in texts[:40] for _ in range(2))})
+    edges = set()
+    for j, y in enumerate(texts):
+        for i, x in enumerate(texts[:j]):
+            k = lines.allowed(min(len(x), len(y)))
+            if abs(len(x) - len(y)) <= k and lines.within([(x, y)], [k])[0]:
+                edges.add((i, j))
+    text = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    keys = [(k, i) for i in range(len(texts)) for k in (1, 2, 3) if k == 1 or rng.random() < 0.7]
+    still = spark.createDataFrame(keys, "key long, id long")
+    assert lines._dense_rows(still, text, 2, 20).count() <= 2 * len(keys)
+    got = {(min(r), max(r)) for r in lines._dense_links(still, text, 2, 20).collect()}
+
+    def classes(links):
+        of = list(range(len(texts)))
+        for a, b in links:
+            of = [of[a] if x == of[b] else x for x in of]
+        return {tuple(i for i, x in enumerate(of) if x == c) for c in of}
+
+    assert got <= edges and classes(got) == classes(edges) and len(edges) > 60

@@ -51,8 +51,8 @@ LONG, SHARE = 64, 16
 #: Characters of a gram, and bands and minima of each in a long line's signature.
 GRAM, BANDS, MINIMA = 12, 20, 3
 CROWD = 16
-#: Lines of a still crowded hash that one task compares with as many others.
-BLOCK = 256
+#: Lines of a still crowded hash, of about one length, that one task compares with as many others.
+BLOCK = 2048
 #: Counters of a partition's frequency summary; a hash with this share of all rows cannot escape it.
 COUNTERS = 1000
 #: Lines that a partition remembers, and rows of one hash that a task holds before it looks for repeats.
@@ -158,7 +158,8 @@ def _banded(a: str, b: str, most: int) -> int:
             last = 1 << rows - j + most
             value += bool(more & last) - bool(less & last)
         # what is left to come takes off at most one a column
-        if value - (len(b) - j) > most and j + most > rows or value > 2 * most + 1:
+        # (a way of ``most`` edits has ``most`` at this column and lies ``2 * most`` cells off the last diagonal, at most)
+        if value - (len(b) - j) > most and j + most > rows or value > 3 * most:
             return most + 1
         up, down = less | ~(level >> 1 | more) & mask, level >> 1 & more
     return min(value, most + 1)
@@ -166,6 +167,8 @@ def _banded(a: str, b: str, most: int) -> int:
 
 #: Widest band of ``within`` (its bits fit one word), and pairs that it takes at once.
 _BAND, _PAIRS = 31, 1024
+#: Pairs below which one at a time is faster.
+_FEW = 32
 
 
 def within(pairs: list[tuple[str, str]], most: list[int]) -> np.ndarray:
@@ -182,6 +185,10 @@ def within(pairs: list[tuple[str, str]], most: list[int]) -> np.ndarray:
             out[i] = edit_distance(a, b, k) <= k
         else:
             left.append((len(b), i, a, b))
+    if len(left) < _FEW:
+        for _, i, a, b in left:
+            out[i] = edit_distance(a, b, most[i]) <= most[i]
+        return out
     left.sort(key=lambda x: (x[0], x[1]), reverse=True)
     for at in range(0, len(left), _PAIRS):
         part = left[at:at + _PAIRS]
@@ -504,53 +511,89 @@ def _inner_rows(edits: int):
     return run
 
 
+def _gram_counts(lines: list[str], gram: int, buckets: int) -> np.ndarray:
+    """Counts of the lines' character grams by hash; an edit changes a row by ``2 * gram`` in all at most."""
+    out = np.zeros((len(lines), buckets), np.int32)
+    for row, line in zip(out, lines):
+        chars = np.frombuffer(line.encode("utf-32-le"), np.uint32)
+        key = np.zeros(max(len(chars) - gram + 1, 0), np.uint32)
+        for j in range(gram):
+            key = key * np.uint32(0x9E3779B1) + chars[j:j + len(key)]
+        row += np.bincount((key ^ key >> np.uint32(15)) % np.uint32(buckets), minlength=buckets)
+    return out
+
+
+def _shared(keys: list[list[int]]) -> np.ndarray:
+    """Bits of the keys that more than one of the lists holds: two rows have a bit in common where the lists have a key."""
+    flat = np.array([k for v in keys for k in v], np.int64)
+    row = np.repeat(np.arange(len(keys)), [len(v) for v in keys])
+    _, at, n = np.unique(flat, return_inverse=True, return_counts=True)
+    chosen = n[at] > 1
+    place = (np.cumsum(n > 1) - 1)[at[chosen]]
+    out = np.zeros((len(keys), int((n > 1).sum()) // 8 + 1), np.uint8)
+    np.bitwise_or.at(out, (row[chosen], place >> 3), (1 << (place & 7)).astype(np.uint8))
+    return out
+
+
 def _block_links(edits: int):
     """Spanning links of a block of lines, verified."""
 
     def run(t: pa.Table) -> pa.Table:
-        ids, lines, sides = (t[c].to_pylist() for c in ("id", "text", "side"))
+        ids, lines, sides, above, others = (t[c].to_pylist() for c in ("id", "text", "side", "above", "before"))
         order = sorted(range(len(ids)), key=lambda i: (len(lines[i]), ids[i]))
-        ids, lines, sides = ([v[i] for i in order] for v in (ids, lines, sides))
-        side, size = np.array(sides), np.array([len(x) for x in lines])
+        ids, lines, others = ([v[i] for i in order] for v in (ids, lines, others))
+        side, above, size = np.array(sides)[order], np.array(above)[order], np.array([len(x) for x in lines])
         most = np.array([allowed(int(n), edits) for n in size])
-        parent = list(range(len(ids)))
+        label = np.arange(len(ids))
         a, b = [], []
 
-        def root(i):
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
         def link(pairs):
             """Verify pairs of places that are not linked yet; the first of a pair is not longer."""
-            pairs = [(i, j) for i, j in pairs if root(i) != root(j)]
-            narrow = [(i, j) for i, j in pairs if most[i] <= _BAND]
-            near = within([(lines[i], lines[j]) for i, j in narrow], [int(most[i]) for i, _ in narrow])
+            pairs = [(i, j) for i, j in pairs if label[i] != label[j]]
+            near = within([(lines[i], lines[j]) for i, j in pairs], [min(int(most[i]), _BAND) for i, _ in pairs])
             # wide bands are dear: one pair at a time, without those that the ones before have linked
-            wide = ((i, j) for i, j in pairs if most[i] > _BAND and root(i) != root(j)
-                    and edit_distance(lines[i], lines[j], int(most[i])) <= most[i])
-            for i, j in itertools.chain((narrow[k] for k in np.flatnonzero(near)), wide):
-                if root(i) != root(j):
-                    parent[root(i)] = root(j)
+            wide = ((i, j) for (i, j), ok in zip(pairs, near) if not ok and most[i] > _BAND and label[i] != label[j]
+                    and _banded(*_trimmed(lines[i], lines[j]), int(most[i])) <= most[i])
+            for i, j in itertools.chain((pairs[k] for k in np.flatnonzero(near)), wide):
+                if label[i] != label[j]:
+                    label[label == label[i]] = label[j]
                     a.append(ids[i])
                     b.append(ids[j])
 
         def meet(i, j):
-            return (side[i] != side[j]) | (side[i] == 2)
+            return ((side[i] != side[j]) | (side[i] == 2)) & ~(above[i] & above[j])
 
+        shared = _shared(others)
         # neighbours by their start and by their end are the likely pairs: what they link needs no further look
         for text in (lines, [x[::-1] for x in lines]):
             by = sorted(range(len(lines)), key=text.__getitem__)
-            link([(min(i, j), max(i, j)) for i, j in zip(by, by[1:]) if meet(i, j)])
-        # an edit changes the counts of characters by two at most
-        counts = np.stack([np.bincount(np.frombuffer(x.encode("utf-32-le"), np.uint32) & 63, minlength=64) for x in lines]).astype(np.int32)
-        waiting: list[tuple[int, int]] = []
-        for j in range(len(lines)):
+            link([(min(i, j), max(i, j)) for i, j in zip(by, by[1:]) if meet(i, j) and not (shared[i] & shared[j]).any()])
+        counts = [(gram, _gram_counts(lines, gram, buckets)) for gram, buckets in ((1, 64), (3, 512))]
+
+        def alike(j):
+            """Places before ``j`` that may be near, are not linked to it and meet it in no smaller key, and their difference in grams."""
             start = int(np.searchsorted(size, size[j] - most[j]))
-            alike = np.abs(counts[start:j] - counts[j]).sum(axis=1) <= 2 * most[j]
-            waiting += [(i, j) for i in (start + np.flatnonzero(alike & meet(slice(start, j), j))).tolist()]
-            if len(waiting) > 4 * _PAIRS:
+            i = start + np.flatnonzero(meet(slice(start, j), j) & (label[start:j] != label[j]))
+            apart = np.zeros(len(i), np.int64)
+            for gram, n in counts:
+                apart = np.abs(n[i] - n[j]).sum(axis=1)
+                kept = apart <= 2 * gram * most[i]
+                i, apart = i[kept], apart[kept]
+            kept = ~(shared[i] & shared[j]).any(axis=1)
+            return i[kept], apart[kept]
+
+        # first the likeliest of each line, then all that are not linked by then
+        waiting, left = [], []
+        for j in range(len(lines)):
+            i, apart = alike(j)
+            left.append(i.astype(np.int32))
+            if len(i):
+                waiting.append((int(i[apart.argmin()]), j))
+        link(waiting)
+        waiting = []
+        for j, i in enumerate(left):
+            waiting += [(i, j) for i in i[label[i] != label[j]].tolist()]
+            if len(waiting) > _PAIRS:
                 link(waiting)
                 waiting = []
         link(waiting)
@@ -566,20 +609,42 @@ def _crowded_links(docs: DataFrame, crowded: DataFrame, scratch: Scratch, edits:
     found = scratch.table(_candidates(rows.mapInArrow(_inner_rows(edits), "key long, id long, role int"), crowd))
     pairs = _verified(found.where("crowd is null").select("a", "b").distinct(), text, edits)
     still = found.where("crowd is not null").select(F.col("crowd").alias("key"), F.col("a").alias("id")).distinct()
-    return pairs.unionAll(_dense_links(still, text, edits))
+    return pairs.unionAll(_dense_links(still, text, edits, least))
 
 
-def _dense_links(still: DataFrame, text: DataFrame, edits: int) -> DataFrame:
-    """Links among the lines ``(key, id)`` of each key, block against block."""
-    blocks = still.groupBy("key").count().select("key", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
+def _dense_rows(still: DataFrame, text: DataFrame, edits: int, least: int) -> DataFrame:
+    """The lines ``(key, id)`` with their texts, by the groups that compare them: ``key, level, low, high``.
+
+    A level is a range of lengths so wide that linked lines are of one level or of neighbouring ones. So a line goes
+    to the groups of its own level and of the one below, where ``above`` lines do not meet each other. ``before`` holds
+    the smaller keys of a line: a pair is compared under the smallest that both have.
+    """
+    step = max(9 / 8, 1 + (edits + 1) / least)
+    every = still.groupBy("id").agg(F.collect_set("key").alias("every"))
+    before = F.filter("every", lambda k: k < F.col("key")).alias("before")
+    rows = still.join(text.join(every, "id"), "id").select("key", "id", "text", before).withColumn("level", F.floor(F.log(step, F.length("text"))).cast("int"))
+    rows = rows.select("key", "id", "text", "before", F.explode(F.array(
+        F.struct("level", F.lit(False).alias("above")), F.struct((F.col("level") - 1).alias("level"), F.lit(True).alias("above"))
+    )).alias("to")).select("key", "id", "text", "before", "to.*")
+    sizes = still.join(text.select("id", F.floor(F.log(step, F.length("text"))).cast("int").alias("level")), "id")
+    sizes = sizes.groupBy("key", "level").count()
+    sizes = sizes.select("key", "level", F.col("count").alias("own"), F.lit(0).cast("long").alias("more")).unionAll(
+        sizes.select("key", F.col("level") - 1, F.lit(0).cast("long"), "count"))
+    sizes = sizes.groupBy("key", "level").agg(F.sum("own").alias("own"), (F.sum("own") + F.sum("more")).alias("n"))
+    # a line alone meets nothing, and those above meet here only what is of the level
+    sizes = sizes.where("own > 0 AND n > 1").select("key", "level", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    members = still.join(blocks, "key").select("key", "id", own.alias("own"), other)
-    members = members.select(
-        "key", "id", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+    members = rows.join(sizes, ["key", "level"]).select("key", "level", "above", "id", "text", "before", own.alias("own"), other)
+    return members.select(
+        "key", "level", "above", "id", "text", "before", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
-    ).join(text, "id")
-    return members.groupBy("key", "low", "high").applyInArrow(_block_links(edits), "a long, b long")
+    )
+
+
+def _dense_links(still: DataFrame, text: DataFrame, edits: int, least: int) -> DataFrame:
+    """Links among the lines ``(key, id)`` of each key, block against block."""
+    return _dense_rows(still, text, edits, least).groupBy("key", "level", "low", "high").applyInArrow(_block_links(edits), "a long, b long")
 
 
 def _verified(pairs: DataFrame, text: DataFrame, edits: int) -> DataFrame:
@@ -645,7 +710,7 @@ def links(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, crowd
         keys = scratch.table(same.groupBy("n", "sum").agg(F.min("key").alias("key")).select("key"))
         still = scratch.table(long_crowded.select("key", "id").distinct().join(keys, "key"))
         text = scratch.table(_wanted(docs, scratch.table(still.select("id").distinct()), least))
-        out = out.unionAll(_dense_links(still, text, edits))
+        out = out.unionAll(_dense_links(still, text, edits, least))
     return out
 
 
