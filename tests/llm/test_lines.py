@@ -214,3 +214,58 @@ def test_crowded_lines_of_other_lengths_do_not_meet(spark):
         return {tuple(i for i, x in enumerate(of) if x == c) for c in of}
 
     assert got <= edges and classes(got) == classes(edges) and len(edges) > 60
+
+
+def test_wide_bands_of_many_pairs_equal_dynamic_programming():
+    """Limits above 31 edits take bands of several words, many pairs at once."""
+    rng = random.Random(11)
+    pairs, most, want = [], [], []
+    for _ in range(300):
+        a = "".join(rng.choice("abcd é") for _ in range(rng.randrange(130, 330)))
+        b = mutate(rng, a[rng.randrange(9):], rng.randrange(20, 150))
+        d = distance(a, b)
+        k = max(32, min(150, d + rng.randrange(-2, 3)))
+        pairs.append((a, b))
+        most.append(k)
+        want.append(d <= k)
+    assert lines.within(pairs, most).tolist() == want and 50 < sum(want) < 250
+
+
+def test_a_very_common_hash_goes_to_no_bucket(spark):
+    """Lines with one long start in common: their crowded hashes' rows are spread, and still known as crowded."""
+    import numpy as np
+    import pyarrow as pa
+
+    texts = [f"a start that all of these lines have {i:05d} {i * i % 97:05d}" for i in range(400)]
+    other = "another line that nobody else has written"
+    parts = [pa.record_batch([texts[:300] + [other]], ["text"]), pa.record_batch([[*texts[300:], other]], ["text"])]
+    sent = [pa.Table.from_batches(lines._sent(20, 2, 16, 4)([b])) for b in parts]
+    table = pa.concat_tables(sent)
+    own = table.filter(pa.compute.invert(table["crowded"]))
+    # per key and part at most 16 rows and the mark stay
+    for t in sent:
+        mine = t.filter(pa.compute.invert(t["crowded"]))
+        keys = np.concatenate([np.frombuffer(k, np.uint64) for k in mine["keys"].to_pylist()]) >> np.uint64(2)
+        assert np.unique(keys, return_counts=True)[1].max() <= 17
+    assert own.num_rows < table.num_rows
+    found = pa.concat_tables([lines._meet(16)(table.filter(pa.compute.equal(table["bucket"], i))) for i in range(4)])
+    crowded = found.filter(pa.compute.is_valid(found["crowd"]))
+    first = [(c, a) for c, a in zip(crowded["crowd"].to_pylist(), crowded["a"].to_pylist())]
+    most = max(sum(c == k for c, _ in set(first)) for k in {c for c, _ in first})
+    assert most == 400
+
+
+def test_crowded_lines_give_a_row_for_each_key_and_linked_ones_none(spark):
+    rng = random.Random(5)
+    base = "".join(rng.choice("abcdefghijklm ") for _ in range(200))
+    texts = sorted({mutate(rng, base, rng.randrange(1, 5)) for _ in range(50)})
+    text = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    keys = [(k, i) for i in range(len(texts)) for k in range(5)]
+    still = spark.createDataFrame(keys, "key long, id long")
+    assert lines._dense_rows(still, text, 2, 20).count() == len(keys)
+    roots = spark.createDataFrame([(i, 0) for i in range(1, len(texts))], "node long, root long")
+    assert lines._dense_rows(still, text, 2, 20, roots).count() == 0
+    # one line that the known links leave out is compared with all
+    roots = roots.where("node <> 7")
+    got = lines._dense_links(still, text, 2, 20, roots).collect()
+    assert len(got) == 1 and 7 in tuple(got[0])

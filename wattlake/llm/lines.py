@@ -38,6 +38,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,15 +52,30 @@ LONG, SHARE = 64, 16
 #: Characters of a gram, and bands and minima of each in a long line's signature.
 GRAM, BANDS, MINIMA = 12, 20, 3
 CROWD = 16
-#: Lines of a still crowded hash, of about one length, that one task compares with as many others.
-BLOCK = 2048
-#: Counters of a partition's frequency summary; a hash with this share of all rows cannot escape it.
-COUNTERS = 1000
-#: Lines that a partition remembers, and rows of one hash that a task holds before it looks for repeats.
-_SEEN, _OPEN = 1 << 18, 1 << 16
+#: Lines that a partition remembers.
+_SEEN = 1 << 18
 #: Characters of lines that a task handles at once, and bits of the fixed-size filter of wanted lines.
-_PIECE, BITS = 1 << 20, 26
+_PIECE, BITS = 1 << 17, 26
 _SEGMENT, _PROBE = 1, 2
+#: Bits of a packed hash that hold the role, and rows that a task packs at once.
+_ROLE, _HELD = np.uint64(2), 1 << 19
+#: Documents to a bucket of hashes, and most buckets.
+_DOCS, _BUCKETS = 1000, 1 << 13
+#: Lines of a crowded hash that one task compares with as many others.
+BLOCK = 768
+#: Most bits of a gram's hash by which a block counts it, and grams and pairs of lines that it looks at once.
+_SLOTS, _TURN, _MEET = 22, 1 << 21, 1 << 20
+#: Lines that a partition remembers.
+_SEEN = 1 << 18
+#: Characters of lines that a task handles at once, and bits of the fixed-size filter of wanted lines.
+_PIECE, BITS = 1 << 17, 26
+_SEGMENT, _PROBE = 1, 2
+#: Bits of a packed hash that hold the role, and rows that a task packs at once.
+_ROLE, _HELD = np.uint64(2), 1 << 19
+#: Documents to a bucket of hashes, and most buckets.
+_DOCS, _BUCKETS = 1000, 1 << 13
+#: First bits of a gram's hash by which it is counted and known as a tile, and pairs of lines that a task looks at once.
+_COUNTS, _KNOWN, _MEET = 22, 24, 1 << 21
 _hash = xxhash.xxh64_intdigest
 
 
@@ -165,8 +181,8 @@ def _banded(a: str, b: str, most: int) -> int:
     return min(value, most + 1)
 
 
-#: Widest band of ``within`` (its bits fit one word), and pairs that it takes at once.
-_BAND, _PAIRS = 31, 1024
+#: Widest band of ``within``, pairs that it takes at once and characters of them in all.
+_BAND, _PAIRS, _CHARS = 255, 1024, 1 << 20
 #: Pairs below which one at a time is faster.
 _FEW = 32
 
@@ -174,7 +190,7 @@ _FEW = 32
 def within(pairs: list[tuple[str, str]], most: list[int]) -> np.ndarray:
     """Which pairs are at most so many edits apart: banded bit-parallel columns of many pairs at once."""
     out = np.zeros(len(pairs), bool)
-    left = []
+    left = {}
     for i, ((a, b), k) in enumerate(zip(pairs, most)):
         if abs(len(a) - len(b)) > k:
             continue
@@ -184,17 +200,21 @@ def within(pairs: list[tuple[str, str]], most: list[int]) -> np.ndarray:
         elif k > _BAND:
             out[i] = edit_distance(a, b, k) <= k
         else:
-            left.append((len(b), i, a, b))
-    if len(left) < _FEW:
-        for _, i, a, b in left:
-            out[i] = edit_distance(a, b, most[i]) <= most[i]
-        return out
-    left.sort(key=lambda x: (x[0], x[1]), reverse=True)
-    for at in range(0, len(left), _PAIRS):
-        part = left[at:at + _PAIRS]
-        who = np.array([i for _, i, _, _ in part])
-        limit = np.array([most[i] for i in who.tolist()])
-        out[who] = _banded_many([a for _, _, a, _ in part], [b for _, _, _, b in part], int(limit.max())) <= limit
+            # pairs whose bands take as many words
+            left.setdefault(2 * k >> 6, []).append((len(b), i, a, b))
+    for group in left.values():
+        group.sort(key=lambda x: (x[0], x[1]), reverse=True)
+        at = 0
+        while at < len(group):
+            part = group[at:at + max(1, min(_PAIRS, _CHARS // (group[at][0] + 2 * _BAND)))]
+            at += len(part)
+            if len(part) < _FEW:
+                for _, i, a, b in part:
+                    out[i] = edit_distance(a, b, most[i]) <= most[i]
+                continue
+            who = np.array([i for _, i, _, _ in part])
+            limit = np.array([most[i] for i in who.tolist()])
+            out[who] = _banded_many([a for _, _, a, _ in part], [b for _, _, _, b in part], int(limit.max())) <= limit
     return out
 
 
@@ -209,31 +229,56 @@ def _codes(texts: list[str], before: int, width: int, blank: int) -> np.ndarray:
 
 
 def _banded_many(a: list[str], b: list[str], most: int) -> np.ndarray:
-    """``_banded`` of many pairs, the longest ``b`` first; larger distances come out above ``most``."""
+    """``_banded`` of many pairs, the longest ``b`` first; larger distances come out above ``most``.
+
+    A column's bits are in as many words as they need, the lowest first.
+    """
     width = 2 * most + 1
+    words = (width + 63) // 64
     rows, cols = (np.array([len(x) for x in v]) for v in (a, b))
     far = int(max(rows.max(), cols.max()))
     first = _codes(a, most, far + width + 1, 0xFFFFFFFF)
     second = _codes(b, 0, far, 0xFFFFFFFE).T.copy()
-    one, mask = np.uint64(1), np.uint64((1 << width) - 1)
-    up = np.full(len(a), ((1 << width) - 1) >> most << most, np.uint64)
-    down = np.zeros(len(a), np.uint64)
+    one, full = np.uint64(1), (1 << 64) - 1
+    masks = [np.uint64(((1 << width) - 1) >> 64 * w & full) for w in range(words)]
+    up = [np.full(len(a), (((1 << width) - 1) >> most << most) >> 64 * w & full, np.uint64) for w in range(words)]
+    down = [np.zeros(len(a), np.uint64) for _ in range(words)]
     value = np.minimum(rows, most).astype(np.int64)
-    bits = np.zeros((len(a), 64), bool)
+    bits = np.zeros((len(a), 64 * words), bool)
+    top, top_bit = 2 * most >> 6, np.uint64(2 * most & 63)
     n = len(a)
     for j in range(1, int(cols[0]) + 1):
         n = int(np.searchsorted(-cols[:n], -j, "right"))
         bits[:n, :width] = first[:n, j - 1:j - 1 + width] == second[j - 1, :n, None]
-        same = np.packbits(bits[:n], axis=1, bitorder="little").view("<u8").ravel()
-        u, d = up[:n], down[:n]
-        level = (((same & u) + u ^ u) | same | d) & mask
-        more, less = d | ~(level | u) & mask, level & u
+        packed = np.packbits(bits[:n], axis=1, bitorder="little").view("<u8")
+        levels, mores, lesses = [], [], []
+        carry = np.uint64(0)
+        for w in range(words):
+            same, u, d = packed[:, w], up[w][:n], down[w][:n]
+            met = same & u
+            added = met + u
+            if words > 1:
+                over = added < u
+                added += carry
+                carry = (over | (added < carry)).astype(np.uint64)
+            levels.append(((added ^ u) | same | d) & masks[w])
+            mores.append(d | ~(levels[w] | u) & masks[w])
+            lesses.append(levels[w] & u)
         left = rows[:n] - j + most
         last = np.clip(left, 0, 2 * most).astype(np.uint64)
+        if words == 1:
+            more, less = mores[0], lesses[0]
+        else:
+            at = (last >> np.uint64(6)).astype(np.int64)
+            more, less = np.choose(at, mores), np.choose(at, lesses)
+        last &= np.uint64(63)
         along = ((more >> last & one).astype(np.int64) - (less >> last & one).astype(np.int64))
-        value[:n] += np.where(left >= 2 * most, 1 - (level >> np.uint64(2 * most) & one).astype(np.int64), along)
-        half = level >> one
-        up[:n], down[:n] = less | ~(half | more) & mask, half & more
+        value[:n] += np.where(left >= 2 * most, 1 - (levels[top] >> top_bit & one).astype(np.int64), along)
+        for w in range(words):
+            half = levels[w] >> one
+            if w + 1 < words:
+                half |= levels[w + 1] << np.uint64(63)
+            up[w][:n], down[w][:n] = lesses[w] | ~(half | mores[w]) & masks[w], half & mores[w]
     return value
 
 
@@ -343,125 +388,122 @@ def _bands(ids: list[int], lines: list[str]) -> tuple[np.ndarray, np.ndarray, np
     grams = (_mixed(grams[inside[:len(grams)]]) >> np.uint64(32)).astype(np.uint32)
     firsts = np.cumsum(sizes - GRAM + 1) - (sizes - GRAM + 1)
     factors = (_mixed(np.arange(1, BANDS * MINIMA + 1, dtype=np.uint64)) | np.uint64(1)).astype(np.uint32)
-    keys = []
+    keys, turned, spare = [], np.empty_like(grams), np.empty_like(grams)
     for band in range(BANDS):
         key = np.full(len(of), band + 1 << 8, np.uint64)
         for f in factors[band * MINIMA:(band + 1) * MINIMA]:
-            turned = grams * f
-            turned ^= turned >> np.uint32(15)
-            key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(turned * np.uint32(0x85EBCA6B), firsts))
+            np.multiply(grams, f, out=turned)
+            np.right_shift(turned, np.uint32(15), out=spare)
+            turned ^= spare
+            turned *= np.uint32(0x85EBCA6B)
+            key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(turned, firsts))
         keys.append(key.view(np.int64))
     return np.concatenate(keys), np.tile(of, BANDS), np.full(BANDS * len(of), _SEGMENT | _PROBE, np.int32)
 
 
-def _own_segments(edits: int):
-    """Hashes of the lines' segments."""
-    return lambda ids, lines: _signed(
-        _hash(x[at:at + size], len(x) * 16 + i) for x in lines for i, (at, size) in enumerate(_segments(len(x), edits + 1))
-    )
+def _runs(k: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of the runs of equal values."""
+    at = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.empty(0, np.int64)
+    return at, np.diff(np.concatenate([at, [len(k)]]))
 
 
-def _heavy(docs: DataFrame, hashes, least: int, crowd: int) -> frozenset[int]:
-    """Hashes that may be more than one in ``COUNTERS`` of all that ``hashes(ids, lines)`` gives: a bounded set."""
+def _sent(least: int, edits: int, crowd: int, buckets: int):
+    """The hashes of the lines, sorted and packed: ``(bucket, crowded, keys, ids)``, ranges of hashes in a bucket each.
+
+    A hash carries the role in its lowest two bits. Hashes with more than ``crowd`` lines here are crowded anywhere: their
+    rows go to any bucket, and a row of no role tells the hash's own bucket, so that none holds a very common hash's rows.
+    """
+
+    def pack(keys, ids, to):
+        order = np.argsort(keys)
+        keys, ids = keys[order], ids[order]
+        at, size = _runs(keys >> _ROLE)
+        own, marks = np.ones(len(keys), bool), []
+        for s, n in zip(at[size > crowd].tolist(), size[size > crowd].tolist()):
+            if len(np.unique(ids[s:s + n])) > crowd:
+                own[s:s + n] = False
+                marks.append(s)
+        parts = []
+        if marks:
+            parts.append((to % buckets, True, keys[~own].tobytes(), ids[~own].tobytes()))
+            marked = keys[marks] >> _ROLE << _ROLE
+            keys, ids = np.concatenate([keys[own], marked]), np.concatenate([ids[own], ids[marks]])
+            order = np.argsort(keys)
+            keys, ids = keys[order], ids[order]
+        ends = np.searchsorted(keys >> np.uint64(32), (np.arange(1, buckets + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets))
+        begin = 0
+        for i, end in enumerate(ends.tolist()):
+            if end > begin:
+                parts.append((i, False, keys[begin:end].tobytes(), ids[begin:end].tobytes()))
+            begin = end
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*parts), (pa.int32(), pa.bool_(), pa.binary(), pa.binary()))], ["bucket", "crowded", "keys", "ids"]
+        )
 
     def run(batches):
-        keys, counts, total = np.empty(0, np.int64), np.empty(0, np.int64), 0
+        held, n, to = [], 0, 0
         for ids, lines in _distinct_lines(batches, least):
-            new = hashes(ids, lines)
-            total += len(new)
-            new, n = np.unique(new, return_counts=True)
-            keys, back = np.unique(np.concatenate([keys, new]), return_inverse=True)
-            counts = np.bincount(back, np.concatenate([counts, n]), len(keys)).astype(np.int64)
-            if len(keys) > 8 * COUNTERS:
-                # what every counter loses here is at most its share of the rows
-                counts = counts - np.partition(counts, -COUNTERS - 1)[-COUNTERS - 1]
-                keys, counts = keys[counts > 0], counts[counts > 0]
-        # only what is common in a partition can be common in all
-        common = (counts * COUNTERS >= total) & (counts > 1)
-        yield pa.RecordBatch.from_arrays([pa.array(keys[common]), pa.array(counts[common])], ["key", "n"])
+            to = to or abs(ids[0])
+            for keys, of, roles in (_rows(ids, lines, edits), _bands(ids, lines)):
+                held.append((keys.view(np.uint64) >> _ROLE << _ROLE | roles.astype(np.uint64), of))
+                n += len(of)
+            if n > _HELD:
+                yield pack(*(np.concatenate(x) for x in zip(*held)), to)
+                held, n, to = [], 0, to + 1
+        if n:
+            yield pack(*(np.concatenate(x) for x in zip(*held)), to)
 
-    parts = _texts(docs).select("text").mapInArrow(run, "key long, n long")
-    # a hash must be seen often enough to matter; summaries may undercount, never invent
-    top = parts.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") > crowd).orderBy(F.desc("n"), "key")
-    return frozenset(r.key for r in top.limit(2 * COUNTERS).collect())
+    return run
 
 
-_CANDIDATES = "a long, b long, crowd long, role int"
+_CANDIDATES = "a long, b long, crowd long"
 
 
 def _meet(crowd: int):
-    """Over rows sorted by hash: candidate pairs of each hash, or its rows again (``crowd`` set) where there are too many."""
-
-    def flush(key, ids, role, crowded):
-        if crowded or len(ids) > crowd:
-            return ids, np.zeros(len(ids), np.int64), np.full(len(ids), key), role
-        seg, probe = ids[role & _SEGMENT > 0], ids[role & _PROBE > 0]
-        a, b = np.repeat(seg, len(probe)), np.tile(probe, len(seg))
-        ok = a != b
-        a, b = np.minimum(a, b)[ok], np.maximum(a, b)[ok]
-        return a, b, None, None
-
-    def batch(parts):
-        if not parts:
-            return
-        pairs = [p for p in parts if p[2] is None]
-        again = [p for p in parts if p[2] is not None]
-        for group in (pairs, again):
-            if group:
-                a, b = (np.concatenate([p[i] for p in group]) for i in (0, 1))
-                keys = pa.array(np.concatenate([p[2] for p in group])) if group is again else pa.nulls(len(a), pa.int64())
-                roles = pa.array(np.concatenate([p[3] for p in group])) if group is again else pa.nulls(len(a), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), keys, roles], ["a", "b", "crowd", "role"])
-
-    def merged(k, i, r):
-        """One row for each hash and line; equal ones stand together."""
-        first = np.concatenate([[True], (k[1:] != k[:-1]) | (i[1:] != i[:-1])])
-        at = np.flatnonzero(first)
-        return k[at], i[at], np.bitwise_or.reduceat(r, at)
+    """Over a bucket's hashes: candidate pairs of each, or its lines (``crowd`` set) where there are too many."""
 
-    def run(batches):
-        # the rows of the hash that may go on in the next batch
-        key, ids, roles, crowded = None, np.empty(0, np.int64), np.empty(0, np.int32), False
-        for b in batches:
-            if not b.num_rows:
-                continue
-            k, i, r = (c.to_numpy(zero_copy_only=False) for c in b.columns)
-            if key is not None:
-                k, i, r = (np.concatenate(x) for x in ((np.full(len(ids), key), k), (ids, i), (roles, r)))
-            k, i, r = merged(k, i, r)
-            cut = np.concatenate([[0], np.flatnonzero(k[1:] != k[:-1]) + 1, [len(k)]])
-            size = np.diff(cut)
-            size[-1] = 0  # the last group stays open
-            parts = []
-            if crowded and k[0] == key and len(size) > 1:
-                parts.append(flush(key, i[:cut[1]], r[:cut[1]], True))
-                size[0] = 0
-            if k[-1] != key or len(size) > 1:
-                crowded = False
-            twos = cut[:-1][size == 2]
-            near = ((r[twos] & r[twos + 1] >> 1) | (r[twos] >> 1 & r[twos + 1])) & 1 > 0
-            twos = twos[near] if crowd > 1 else twos
-            if crowd > 1:
-                parts.append((np.minimum(i[twos], i[twos + 1]), np.maximum(i[twos], i[twos + 1]), None, None))
-            for n in np.flatnonzero(size > (2 if crowd > 1 else 1)):
-                s, e = cut[n], cut[n + 1]
-                parts.append(flush(k[s], i[s:e], r[s:e], False))
-            key, ids, roles = k[-1], i[cut[-2]:], r[cut[-2]:]
-            if len(ids) > _OPEN:  # hand the rows on, so that no group fills the memory
-                parts.append(flush(key, ids, roles, True))
-                ids, roles, crowded = ids[-1:], roles[-1:], True
-            yield from batch(parts)
-        if crowded or len(ids) > 1:
-            yield from batch([flush(key, ids, roles, crowded)])
+    def run(t: pa.Table) -> pa.Table:
+        def rows(chosen):
+            return (np.frombuffer(b"".join(chosen[c].to_pylist()), d) for c, d in (("keys", np.uint64), ("ids", np.int64)))
+
+        told, told_ids = rows(t.filter(t["crowded"]))
+        keys, ids = rows(t.filter(pc.invert(t["crowded"])))
+        again = [(told >> _ROLE << _ROLE, told_ids)]
+        order = np.argsort(keys)
+        keys, ids = keys[order], ids[order]
+        # most hashes are of one line
+        at, size = _runs(keys >> _ROLE)
+        many = np.repeat((size > 1) | (keys[at] & np.uint64(3) == 0), size)
+        keys, ids = keys[many], ids[many]
+        role, keys = (keys & np.uint64(3)).astype(np.int8), keys >> _ROLE << _ROLE
+        order = np.lexsort((ids, keys))
+        keys, ids, role = keys[order], ids[order], role[order]
+        marked = np.unique(keys[role == 0])
+        keys, ids, role = (x[role > 0] for x in (keys, ids, role))
+        # one row for each hash and line
+        at = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1])])) if len(keys) else np.empty(0, np.int64)
+        keys, ids, role = keys[at], ids[at], np.bitwise_or.reduceat(role, at) if len(at) else role[at]
+        at, size = _runs(keys)
+        full = (size > crowd) | np.isin(keys[at], marked)
+        chosen = np.repeat(full, size)
+        again.append((keys[chosen], ids[chosen]))
+        pairs = []
+        for n in range(2, crowd + 1):
+            place = at[(size == n) & ~full]
+            for i, j in itertools.combinations(range(n), 2) if len(place) else ():
+                x, y = place + i, place + j
+                near = (role[x] & role[y] >> 1 | role[x] >> 1 & role[y]) & 1 > 0
+                pairs.append(np.stack([ids[x[near]], ids[y[near]]]))
+        a, b = np.concatenate(pairs, axis=1) if pairs else np.empty((2, 0), np.int64)
+        key, of = (np.concatenate(x) for x in zip(*again))
+        return pa.table({
+            "a": np.concatenate([a, of]), "b": pa.concat_arrays([pa.array(b), pa.nulls(len(of), pa.int64())]),
+            "crowd": pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(key.view(np.int64))]),
+        })
 
     return run
 
 
-def _candidates(rows: DataFrame, crowd: int) -> DataFrame:
-    """Rows ``(key, id, role)`` brought together by hash."""
-    return rows.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_meet(crowd), _CANDIDATES)
-
-
 def _bits(ids: DataFrame) -> np.ndarray:
     """A bit for each of ``2 ** BITS`` remainders, set where some id has it: ``2 ** (BITS - 3)`` bytes for any number of ids."""
     low = F.col("id").bitwiseAND(F.lit((1 << BITS) - 1))
@@ -488,39 +530,130 @@ def _wanted(docs: DataFrame, ids: DataFrame, least: int) -> DataFrame:
     return every.join(ids, "id", "left_semi").dropDuplicates(["id"])
 
 
-def _inner_rows(edits: int):
-    """Signatures of the text around a crowded segment, under a hash of both."""
+def _neighbours(text: DataFrame) -> DataFrame:
+    """Pairs of lines that stand together in the order of their texts, and of their texts read backwards."""
 
     def run(batches):
+        before = []
         for b in batches:
-            keys, ids, roles = [], [], []
-            for key, i, role, line in zip(*(c.to_pylist() for c in b.columns)):
-                for outer, outer_role, at, size in signatures(line, edits):
-                    if (outer - (1 << 64) if outer >> 63 else outer) != key or not outer_role & role:
-                        continue
-                    rest = line[:at] + "\0" + line[at + size:]
-                    for inner, inner_role, _, _ in signatures(rest, edits):
-                        if both := inner_role & outer_role & role:
-                            keys.append(_hash(inner.to_bytes(8, "little"), outer))
-                            ids.append(i)
-                            roles.append(both)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_signed(keys)), pa.array(ids, pa.int64()), pa.array(roles, pa.int32())], ["key", "id", "role"]
-            )
+            ids = before + b.column(0).to_pylist()
+            pairs = [(min(x, y), max(x, y)) for x, y in zip(ids, ids[1:])]
+            a, c = zip(*pairs) if pairs else ([], [])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["a", "b"])
+            before = ids[-1:]
+
+    orders = [text.orderBy(by).select("id").mapInArrow(run, "a long, b long") for by in (F.col("text"), F.reverse("text"))]
+    return orders[0].unionAll(orders[1])
+
+
+def _grams(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, line and place of every gram of ``size`` characters, in order."""
+    sizes = np.array([len(x) for x in lines])
+    chars = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    key = np.zeros(max(len(chars) - size + 1, 0), np.uint64)
+    for j in range(size):
+        key = key * np.uint64(0x100000001B3) + chars[j:j + len(key)]
+    line = np.repeat(np.arange(len(lines)), sizes)
+    place = np.arange(len(chars)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    inside = place + size <= sizes[line]
+    return _mixed(key[inside[:len(key)]] + np.uint64(size)), line[inside], place[inside]
+
+
+def _sizes(edits: int, least: int) -> tuple[int, int]:
+    """Characters of a tile, of lines below ``LONG`` and from there on: a line holds one more than the edits it may have."""
+    return min(6, max(1, least // (edits + 1))), min(8, max(1, LONG // (allowed(LONG, edits) + 1)))
+
+
+def _tiles(lines: list[str], edits: int, least: int):
+    """Hash, line, place and ``own`` of the grams that may meet; those ``own`` are tiles of the line, side by side."""
+    out = []
+    for long, size in enumerate(_sizes(edits, least)):
+        # the shorter of a pair on both sides of LONG differs by ``edits`` at most
+        chosen = [i for i, x in enumerate(lines) if (len(x) >= LONG - edits if long else len(x) < LONG + edits)]
+        if not chosen:
+            continue
+        key, line, place = _grams([lines[i] for i in chosen], size)
+        length = np.array([len(lines[i]) for i in chosen])[line]
+        own = (place % size == 0) & ((length >= LONG) == bool(long))
+        out.append((key, np.array(chosen)[line], place, own))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
-    return run
 
+def _alike(lines: list[str], label: np.ndarray, edits: int, least: int):
+    """Arrays of places of two lines, shorter ones first, of different labels that may be within the distance.
 
-def _gram_counts(lines: list[str], gram: int, buckets: int) -> np.ndarray:
-    """Counts of the lines' character grams by hash; an edit changes a row by ``2 * gram`` in all at most."""
-    out = np.zeros((len(lines), buckets), np.int32)
-    for row, line in zip(out, lines):
-        chars = np.frombuffer(line.encode("utf-32-le"), np.uint32)
-        key = np.zeros(max(len(chars) - gram + 1, 0), np.uint32)
-        for j in range(gram):
-            key = key * np.uint32(0x9E3779B1) + chars[j:j + len(key)]
-        row += np.bincount((key ^ key >> np.uint32(15)) % np.uint32(buckets), minlength=buckets)
-    return out
+    Of any ``k + 1`` pieces of a line, side by side, ``k`` edits leave one unchanged, at most ``k`` places away. So every
+    line looks for its rarest tiles, one more than the edits it may have, in the other lines.
+    """
+    size = np.array([len(x) for x in lines])
+    most = np.where(size >= LONG, np.maximum(edits, size // SHARE), edits)
+    bits = min(max(int(size.sum()).bit_length() + 2, 12), _SLOTS)
+    counts, known = np.zeros(1 << bits, np.int32), np.zeros(1 << bits, bool)
+    parts = np.flatnonzero(np.concatenate([[True], np.diff(np.cumsum(size) // _PIECE) > 0, [True]])).tolist()
+
+    def slots(key):
+        return (key >> np.uint64(64 - bits)).astype(np.int64)
+
+    def chosen(begin, end):
+        """Grams that more than one line may have, and which are tiles that their line looks for."""
+        key, line, place, own = _tiles(lines[begin:end], edits, least)
+        line += begin
+        n = counts[slots(key)]
+        at = np.flatnonzero(own)
+        at = at[np.lexsort((n[at], line[at]))]
+        first, number = _runs(line[at])
+        own[at[np.arange(len(at)) - np.repeat(first, number) > most[line[at]]]] = False
+        some = n > 1
+        return key[some], line[some], place[some], own[some]
+
+    for begin, end in zip(parts, parts[1:]):
+        counts += np.bincount(slots(_tiles(lines[begin:end], edits, least)[0]), minlength=1 << bits).astype(np.int32)
+    for begin, end in zip(parts, parts[1:]):
+        key, _, _, own = chosen(begin, end)
+        known[slots(key[own])] = True
+    # the grams of very long lines in turns, by their hash
+    turns = int(size.sum()) // _TURN + 1
+    for turn in range(turns):
+        rows = []
+        for begin, end in zip(parts, parts[1:]):
+            key, line, place, own = chosen(begin, end)
+            here = known[slots(key)] & (key % np.uint64(turns) == turn)
+            rows.append((key[here], line[here], place[here], own[here]))
+        key, line, place, own = (np.concatenate(x) for x in zip(*rows))
+        order = np.lexsort((place, key))
+        key, line, place, own = (x[order] for x in (key, line, place, own))
+        if not len(key):
+            continue
+        at, number = _runs(key)
+        several = np.minimum.reduceat(label[line], at) != np.maximum.reduceat(label[line], at)
+        here = np.repeat(several & np.logical_or.reduceat(own, at), number)
+        key, line, place, own = key[here], line[here], place[here], own[here]
+        # places of one hash are a range of these numbers
+        at, number = _runs(key)
+        base = np.repeat(np.arange(len(at)), number) << 32
+        x = np.flatnonzero(own)
+        low = np.searchsorted(base + place, base[x] + np.maximum(place[x] - most[line[x]], 0))
+        high = np.searchsorted(base + place, base[x] + place[x] + most[line[x]], "right")
+        total = np.cumsum(high - low)
+        if len(x) and total[-1] > len(lines) ** 2:
+            # most lines have most tiles: every pair once
+            first = np.searchsorted(size, size - most)
+            for j in range(1, len(lines)):
+                i = np.arange(first[j], j)
+                i = i[label[i] != label[j]]
+                yield i, np.full(len(i), j)
+            return
+        begin = 0
+        while begin < len(x):
+            end = max(begin + 1, int(np.searchsorted(total, (total[begin - 1] if begin else 0) + _MEET, "right")))
+            n = high[begin:end] - low[begin:end]
+            j = np.repeat(low[begin:end], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            i, j = line[np.repeat(x[begin:end], n)], line[j]
+            near = (label[i] != label[j]) & (np.abs(size[i] - size[j]) <= np.minimum(most[i], most[j]))
+            pairs, n = np.unique(np.minimum(i, j)[near] * len(lines) + np.maximum(i, j)[near], return_counts=True)
+            pairs = pairs[np.argsort(-n, kind="stable")]
+            yield pairs // len(lines), pairs % len(lines)
+            begin = end
 
 
 def _shared(keys: list[list[int]]) -> np.ndarray:
@@ -535,116 +668,88 @@ def _shared(keys: list[list[int]]) -> np.ndarray:
     return out
 
 
-def _block_links(edits: int):
+def _block_links(edits: int, least: int):
     """Spanning links of a block of lines, verified."""
 
     def run(t: pa.Table) -> pa.Table:
-        ids, lines, sides, above, others = (t[c].to_pylist() for c in ("id", "text", "side", "above", "before"))
+        ids, lines, sides, others = (t[c].to_pylist() for c in ("id", "text", "side", "before"))
+        label = np.unique(t["label"].to_numpy(), return_inverse=True)[1]
         order = sorted(range(len(ids)), key=lambda i: (len(lines[i]), ids[i]))
         ids, lines, others = ([v[i] for i in order] for v in (ids, lines, others))
-        side, above, size = np.array(sides)[order], np.array(above)[order], np.array([len(x) for x in lines])
-        most = np.array([allowed(int(n), edits) for n in size])
-        label = np.arange(len(ids))
+        side = np.array(sides)[order]
+        most = np.array([allowed(len(x), edits) for x in lines])
+        label = label[order]
+        if label.min() == label.max():
+            return pa.table({"a": pa.nulls(0, pa.int64()), "b": pa.nulls(0, pa.int64())})
+        shared = _shared(others)
         a, b = [], []
 
-        def link(pairs):
-            """Verify pairs of places that are not linked yet; the first of a pair is not longer."""
-            pairs = [(i, j) for i, j in pairs if label[i] != label[j]]
-            near = within([(lines[i], lines[j]) for i, j in pairs], [min(int(most[i]), _BAND) for i, _ in pairs])
-            # wide bands are dear: one pair at a time, without those that the ones before have linked
-            wide = ((i, j) for (i, j), ok in zip(pairs, near) if not ok and most[i] > _BAND and label[i] != label[j]
-                    and _banded(*_trimmed(lines[i], lines[j]), int(most[i])) <= most[i])
-            for i, j in itertools.chain((pairs[k] for k in np.flatnonzero(near)), wide):
-                if label[i] != label[j]:
-                    label[label == label[i]] = label[j]
-                    a.append(ids[i])
-                    b.append(ids[j])
-
-        def meet(i, j):
-            return ((side[i] != side[j]) | (side[i] == 2)) & ~(above[i] & above[j])
+        def link(i, j):
+            """Verify pairs of places that meet here and are not linked yet; the first of a pair is not longer."""
+            i, j = (x[(side[i] != side[j]) | (side[i] == 2)] for x in (i, j))
+            for at in range(0, len(i), _PAIRS):
+                x, y = i[at:at + _PAIRS], j[at:at + _PAIRS]
+                new = label[x] != label[y]
+                x, y = x[new], y[new]
+                new = ~(shared[x] & shared[y]).any(axis=1)
+                x, y = x[new], y[new]
+                near = within([(lines[p], lines[q]) for p, q in zip(x.tolist(), y.tolist())], most[x].tolist())
+                for p, q in zip(x[near].tolist(), y[near].tolist()):
+                    if label[p] != label[q]:
+                        label[label == label[p]] = label[q]
+                        a.append(ids[p])
+                        b.append(ids[q])
 
-        shared = _shared(others)
         # neighbours by their start and by their end are the likely pairs: what they link needs no further look
         for text in (lines, [x[::-1] for x in lines]):
-            by = sorted(range(len(lines)), key=text.__getitem__)
-            link([(min(i, j), max(i, j)) for i, j in zip(by, by[1:]) if meet(i, j) and not (shared[i] & shared[j]).any()])
-        counts = [(gram, _gram_counts(lines, gram, buckets)) for gram, buckets in ((1, 64), (3, 512))]
-
-        def alike(j):
-            """Places before ``j`` that may be near, are not linked to it and meet it in no smaller key, and their difference in grams."""
-            start = int(np.searchsorted(size, size[j] - most[j]))
-            i = start + np.flatnonzero(meet(slice(start, j), j) & (label[start:j] != label[j]))
-            apart = np.zeros(len(i), np.int64)
-            for gram, n in counts:
-                apart = np.abs(n[i] - n[j]).sum(axis=1)
-                kept = apart <= 2 * gram * most[i]
-                i, apart = i[kept], apart[kept]
-            kept = ~(shared[i] & shared[j]).any(axis=1)
-            return i[kept], apart[kept]
-
-        # first the likeliest of each line, then all that are not linked by then
-        waiting, left = [], []
-        for j in range(len(lines)):
-            i, apart = alike(j)
-            left.append(i.astype(np.int32))
-            if len(i):
-                waiting.append((int(i[apart.argmin()]), j))
-        link(waiting)
-        waiting = []
-        for j, i in enumerate(left):
-            waiting += [(i, j) for i in i[label[i] != label[j]].tolist()]
-            if len(waiting) > _PAIRS:
-                link(waiting)
-                waiting = []
-        link(waiting)
+            by = np.array(sorted(range(len(lines)), key=text.__getitem__))
+            link(np.minimum(by[:-1], by[1:]), np.maximum(by[:-1], by[1:]))
+        waiting, n = [], 0
+        for pairs in _alike(lines, label, edits, least):
+            waiting.append(pairs)
+            n += len(pairs[0])
+            if n > _PAIRS:
+                link(*(np.concatenate(x) for x in zip(*waiting)))
+                waiting, n = [], 0
+        if waiting:
+            link(*(np.concatenate(x) for x in zip(*waiting)))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
-def _crowded_links(docs: DataFrame, crowded: DataFrame, scratch: Scratch, edits: int, least: int, crowd: int) -> DataFrame:
-    """Links among the lines ``(key, id, role)`` of crowded hashes."""
-    text = scratch.table(_wanted(docs, scratch.table(crowded.select("id").distinct()), least))
-    rows = crowded.join(text, "id").select("key", "id", "role", "text")
-    found = scratch.table(_candidates(rows.mapInArrow(_inner_rows(edits), "key long, id long, role int"), crowd))
-    pairs = _verified(found.where("crowd is null").select("a", "b").distinct(), text, edits)
-    still = found.where("crowd is not null").select(F.col("crowd").alias("key"), F.col("a").alias("id")).distinct()
-    return pairs.unionAll(_dense_links(still, text, edits, least))
-
-
-def _dense_rows(still: DataFrame, text: DataFrame, edits: int, least: int) -> DataFrame:
-    """The lines ``(key, id)`` with their texts, by the groups that compare them: ``key, level, low, high``.
+def _dense_rows(still: DataFrame, text: DataFrame, edits: int, least: int, roots: DataFrame | None = None) -> DataFrame:
+    """The lines ``(key, id)`` with their texts, by the groups that compare them: ``key, low, high``.
 
-    A level is a range of lengths so wide that linked lines are of one level or of neighbouring ones. So a line goes
-    to the groups of its own level and of the one below, where ``above`` lines do not meet each other. ``before`` holds
-    the smaller keys of a line: a pair is compared under the smallest that both have.
+    A key's lines are one block, or blocks of ``BLOCK`` compared two by two. ``before`` holds the smaller keys of a line:
+    a pair is compared under the smallest that both have. ``roots(node, root)`` are components known: lines of one need no
+    comparison, and a key within one gives no rows.
     """
-    step = max(9 / 8, 1 + (edits + 1) / least)
+    if roots is None:
+        known = still.select("key", "id", F.col("id").alias("label"))
+    else:
+        known = still.join(roots, still.id == roots.node, "left").select("key", "id", F.coalesce("root", "id").alias("label"))
+    sizes = known.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("label").alias("least"), F.max("label").alias("most"))
+    known = known.join(sizes.where("least <> most").select("key", "blocks"), "key")
     every = still.groupBy("id").agg(F.collect_set("key").alias("every"))
     before = F.filter("every", lambda k: k < F.col("key")).alias("before")
-    rows = still.join(text.join(every, "id"), "id").select("key", "id", "text", before).withColumn("level", F.floor(F.log(step, F.length("text"))).cast("int"))
-    rows = rows.select("key", "id", "text", "before", F.explode(F.array(
-        F.struct("level", F.lit(False).alias("above")), F.struct((F.col("level") - 1).alias("level"), F.lit(True).alias("above"))
-    )).alias("to")).select("key", "id", "text", "before", "to.*")
-    sizes = still.join(text.select("id", F.floor(F.log(step, F.length("text"))).cast("int").alias("level")), "id")
-    sizes = sizes.groupBy("key", "level").count()
-    sizes = sizes.select("key", "level", F.col("count").alias("own"), F.lit(0).cast("long").alias("more")).unionAll(
-        sizes.select("key", F.col("level") - 1, F.lit(0).cast("long"), "count"))
-    sizes = sizes.groupBy("key", "level").agg(F.sum("own").alias("own"), (F.sum("own") + F.sum("more")).alias("n"))
-    # a line alone meets nothing, and those above meet here only what is of the level
-    sizes = sizes.where("own > 0 AND n > 1").select("key", "level", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    rows = known.join(text.join(every, "id"), "id")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    members = rows.join(sizes, ["key", "level"]).select("key", "level", "above", "id", "text", "before", own.alias("own"), other)
+    members = rows.select("key", "id", "label", "text", before, own.alias("own"), other)
     return members.select(
-        "key", "level", "above", "id", "text", "before", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        "key", "id", "label", "text", "before", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
     )
 
 
-def _dense_links(still: DataFrame, text: DataFrame, edits: int, least: int) -> DataFrame:
-    """Links among the lines ``(key, id)`` of each key, block against block."""
-    return _dense_rows(still, text, edits, least).groupBy("key", "level", "low", "high").applyInArrow(_block_links(edits), "a long, b long")
+def _dense_links(still: DataFrame, text: DataFrame, edits: int, least: int, roots: DataFrame | None = None) -> DataFrame:
+    """Links among the lines ``(key, id)`` of each key, block against block, that join more than ``roots``."""
+    session = still.sparkSession
+    # alike texts compress well: by their size they would be few tasks
+    tasks = max(4 * session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
+    rows = _dense_rows(still, text, edits, least, roots).repartition(tasks, "key", "low", "high")
+    return rows.groupBy("key", "low", "high").applyInArrow(_block_links(edits, least), "a long, b long")
 
 
 def _verified(pairs: DataFrame, text: DataFrame, edits: int) -> DataFrame:
@@ -665,27 +770,13 @@ def _verified(pairs: DataFrame, text: DataFrame, edits: int) -> DataFrame:
     return close.mapInArrow(run, "a long, b long")
 
 
-def _met(docs: DataFrame, scratch: Scratch, rows_of, heavy: frozenset[int], least: int, crowd: int) -> tuple[DataFrame, DataFrame]:
-    """Candidate pairs, and the rows of crowded hashes, of what ``rows_of(ids, lines)`` gives."""
-    heavy = docs.sparkSession.sparkContext.broadcast(heavy)
-
-    def run(batches, want_heavy):
-        for ids, lines in _distinct_lines(batches, least):
-            keys, of, roles = rows_of(ids, lines)
-            if heavy.value:
-                in_heavy = np.isin(keys, np.fromiter(heavy.value, np.int64))
-                chosen = in_heavy if want_heavy else ~in_heavy
-                keys, of, roles = keys[chosen], of[chosen], roles[chosen]
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(of), pa.array(roles)], ["key", "id", "role"])
-
-    rows = _texts(docs).select("text")
-    schema = "key long, id long, role int"
-    found = scratch.table(_candidates(rows.mapInArrow(lambda it: run(it, False), schema), crowd))
-    crowded = found.where("crowd is not null").select(F.col("crowd").alias("key"), F.col("a").alias("id"), "role")
-    if heavy.value:
-        crowded = crowded.unionAll(rows.mapInArrow(lambda it: run(it, True), schema).distinct())
-    crowded = scratch.table(crowded)
+def _met(docs: DataFrame, scratch: Scratch, edits: int, least: int, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """Candidate pairs, and the lines ``(key, id)`` of crowded hashes."""
+    buckets = min(max(docs.count() // _DOCS, 16), _BUCKETS)
+    rows = _texts(docs).select("text").mapInArrow(_sent(least, edits, crowd, buckets), "bucket int, crowded boolean, keys binary, ids binary")
+    found = scratch.table(rows.groupBy("bucket").applyInArrow(_meet(crowd), _CANDIDATES))
     pairs = scratch.table(found.where("crowd is null").select("a", "b").distinct())
+    crowded = scratch.table(found.where("crowd is not null").select(F.col("crowd").alias("key"), F.col("a").alias("id")).distinct())
     scratch.drop(found)
     return pairs, crowded
 
@@ -693,25 +784,16 @@ def _met(docs: DataFrame, scratch: Scratch, rows_of, heavy: frozenset[int], leas
 def links(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, crowd: int = CROWD) -> DataFrame:
     """Links ``(a, b)`` between hashes of different lines within the distance; they span every component."""
     scratch = Scratch(docs.sparkSession)
-    heavy = _heavy(docs, _own_segments(edits), least, crowd)
-    pairs, crowded = _met(docs, scratch, lambda ids, lines: _rows(ids, lines, edits), heavy, least, crowd)
-    heavy = _heavy(docs, lambda ids, lines: _bands(ids, lines)[0], max(least, LONG), crowd)
-    long_pairs, long_crowded = _met(docs, scratch, _bands, heavy, max(least, LONG), crowd)
-    pairs = scratch.table(pairs.unionAll(long_pairs).distinct())
-    ids = scratch.table(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    out = _verified(pairs, scratch.table(_wanted(docs, ids, least)), edits)
-    if not crowded.isEmpty():
-        out = out.unionAll(_crowded_links(docs, crowded, scratch, edits, least, crowd))
-    if not long_crowded.isEmpty():
-        # bands that the same lines share are compared once
-        same = long_crowded.select("key", "id").distinct().groupBy("key").agg(
-            F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sum")
-        )
-        keys = scratch.table(same.groupBy("n", "sum").agg(F.min("key").alias("key")).select("key"))
-        still = scratch.table(long_crowded.select("key", "id").distinct().join(keys, "key"))
-        text = scratch.table(_wanted(docs, scratch.table(still.select("id").distinct()), least))
-        out = out.unionAll(_dense_links(still, text, edits, least))
-    return out
+    pairs, crowded = _met(docs, scratch, edits, least, crowd)
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionAll(crowded.select("id")).distinct()
+    text = scratch.table(_wanted(docs, scratch.table(ids), least))
+    if crowded.isEmpty():
+        return _verified(pairs, text, edits)
+    # what the pairs and likely ones of the crowded lines link needs no comparison in a crowded key
+    likely = _neighbours(text.join(crowded.select("id").distinct(), "id", "left_semi"))
+    roots = scratch.table(components(scratch, _verified(pairs.unionAll(likely).distinct(), text, edits)))
+    more = _dense_links(crowded, text, edits, least, roots)
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more)
 
 
 def repeats(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, crowd: int = CROWD) -> DataFrame:
