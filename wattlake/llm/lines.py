@@ -594,10 +594,13 @@ def _alike(lines: list[str], label: np.ndarray, edits: int, least: int):
     def slots(key):
         return (key >> np.uint64(64 - bits)).astype(np.int64)
 
+    # the grams of a few lines are made once
+    whole = _tiles(lines, edits, least) if len(parts) == 2 else None
+
     def chosen(begin, end):
         """Grams that more than one line may have, and which are tiles that their line looks for."""
-        key, line, place, own = _tiles(lines[begin:end], edits, least)
-        line += begin
+        key, line, place, own = whole or _tiles(lines[begin:end], edits, least)
+        line, own = line + begin, own.copy()
         n = counts[slots(key)]
         at = np.flatnonzero(own)
         at = at[np.lexsort((n[at], line[at]))]
@@ -607,7 +610,7 @@ def _alike(lines: list[str], label: np.ndarray, edits: int, least: int):
         return key[some], line[some], place[some], own[some]
 
     for begin, end in zip(parts, parts[1:]):
-        counts += np.bincount(slots(_tiles(lines[begin:end], edits, least)[0]), minlength=1 << bits).astype(np.int32)
+        counts += np.bincount(slots((whole or _tiles(lines[begin:end], edits, least))[0]), minlength=1 << bits).astype(np.int32)
     for begin, end in zip(parts, parts[1:]):
         key, _, _, own = chosen(begin, end)
         known[slots(key[own])] = True
@@ -700,10 +703,6 @@ def _block_links(edits: int, least: int):
                         a.append(ids[p])
                         b.append(ids[q])
 
-        # neighbours by their start and by their end are the likely pairs: what they link needs no further look
-        for text in (lines, [x[::-1] for x in lines]):
-            by = np.array(sorted(range(len(lines)), key=text.__getitem__))
-            link(np.minimum(by[:-1], by[1:]), np.maximum(by[:-1], by[1:]))
         waiting, n = [], 0
         for pairs in _alike(lines, label, edits, least):
             waiting.append(pairs)
