@@ -9,11 +9,10 @@ at a place that its length and the segment's number narrow to a few positions.
 Segments and probed substrings meet by hash, and candidate pairs are verified
 by banded bit-parallel edit distance.
 
-A hash shared by more than ``CROWD`` lines gives no pairs: the text around the
-shared segment is partitioned again in the same way, and what is still crowded
-is compared in bounded blocks that return spanning links only. Hashes that hold
-a large share of all rows are found beforehand by bounded frequency summaries
-and never shuffled to one task.
+A hash shared by more than ``CROWD`` lines gives no pairs: its lines are compared
+in bounded blocks that return spanning links only, by the rarest tiles of each
+line and without those that other links already join. Hashes that are crowded in
+one task's lines alone are set aside there and never shuffled to one task.
 
 Pairs of long lines with more edits are candidates when a band of their MinHash
 signatures (character grams of ``GRAM``) agrees; all candidates are verified.
@@ -62,9 +61,9 @@ _ROLE, _HELD = np.uint64(2), 1 << 19
 #: Documents to a bucket of hashes, and most buckets.
 _DOCS, _BUCKETS = 1000, 1 << 13
 #: Lines of a crowded hash that one task compares with as many others.
-BLOCK = 768
+BLOCK = 512
 #: Most bits of a gram's hash by which a block counts it, and grams and pairs of lines that it looks at once.
-_SLOTS, _TURN, _MEET = 22, 1 << 21, 1 << 20
+_SLOTS, _TURN, _MEET = 20, 1 << 18, 1 << 18
 #: Lines that a partition remembers.
 _SEEN = 1 << 18
 #: Characters of lines that a task handles at once, and bits of the fixed-size filter of wanted lines.
@@ -638,7 +637,7 @@ def _alike(lines: list[str], label: np.ndarray, edits: int, least: int):
         low = np.searchsorted(base + place, base[x] + np.maximum(place[x] - most[line[x]], 0))
         high = np.searchsorted(base + place, base[x] + place[x] + most[line[x]], "right")
         total = np.cumsum(high - low)
-        if len(x) and total[-1] > len(lines) ** 2:
+        if len(x) and turns * int(total[-1]) > len(lines) ** 2:
             # most lines have most tiles: every pair once
             first = np.searchsorted(size, size - most)
             for j in range(1, len(lines)):
