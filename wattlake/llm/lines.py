@@ -61,7 +61,7 @@ _ROLE, _HELD = np.uint64(2), 1 << 19
 #: Documents to a bucket of hashes, and most buckets.
 _DOCS, _BUCKETS = 1000, 1 << 13
 #: Lines of a crowded hash that one task compares with as many others.
-BLOCK = 512
+BLOCK = 768
 #: Most bits of a gram's hash by which a block counts it, and grams and pairs of lines that it looks at once.
 _SLOTS, _TURN, _MEET = 20, 1 << 18, 1 << 18
 #: Lines that a partition remembers.
