@@ -269,3 +269,52 @@ def test_crowded_lines_give_a_row_for_each_key_and_linked_ones_none(spark):
     roots = roots.where("node <> 7")
     got = lines._dense_links(still, text, 2, 20, roots).collect()
     assert len(got) == 1 and 7 in tuple(got[0])
+
+
+def test_many_pairs_of_other_lengths_equal_full_dynamic_programming():
+    """Pairs whose second line ends before the first does, on wide bands: cells below the end of a line are no part of the distance."""
+    rng = random.Random(13)
+    pairs, want = [], []
+    for _ in range(400):
+        a = "".join(rng.choice("ab c") for _ in range(rng.randrange(40, 90)))
+        b = mutate(rng, a, rng.randrange(1, 12))[rng.randrange(6):][:rng.randrange(40, 90)]
+        pairs.append((a, b) if rng.random() < 0.5 else (b, a))
+        want.append(distance(a, b))
+    for most in (6, 10, 16, 31, 33, 63, 64, 100):
+        some = sorted(((a, b, d) for (a, b), d in zip(pairs, want) if abs(len(a) - len(b)) <= most), key=lambda x: -len(x[1]))
+        got = lines._banded_many(*map(list, zip(*(x[:2] for x in some))), most)
+        assert [min(int(x), most + 1) for x in got] == [min(d, most + 1) for *_, d in some], most
+
+
+def test_keys_with_few_lines_are_compared_together(spark):
+    """Many crowded hashes of few lines: their pairs are verified in a few calls of many pairs, and all links are found."""
+    import pyarrow as pa
+
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(3, 8)))
+    rows, edges, k = [], set(), 0
+    for key in range(40):
+        base = " ".join(word() for _ in range(20))
+        texts = sorted({base, *(replaced(rng, base, rng.randrange(1, 4)) for _ in range(16))})
+        for i, x in enumerate(texts):
+            edges |= {(k + j, k + i) for j in range(i) if lines.within([(x, texts[j])], [lines.allowed(min(len(x), len(texts[j])))])[0]}
+            rows.append((key, k + i, k + i, x, [], 2))
+        k += len(texts)
+    table = pa.table(dict(zip(("key", "id", "label", "text", "before", "side"), map(list, zip(*rows)))))
+    calls, within = [], lines.within
+    lines.within = lambda pairs, most: calls.append(len(pairs)) or within(pairs, most)
+    try:
+        got = lines._block_links(2, 20)(table).to_pylist()
+    finally:
+        lines.within = within
+    assert len(calls) <= 2 and sum(calls) > 1000
+
+    def classes(links):
+        of = list(range(k))
+        for a, b in links:
+            of = [of[a] if x == of[b] else x for x in of]
+        return of
+
+    got = {(min(r["a"], r["b"]), max(r["a"], r["b"])) for r in got}
+    same = lambda of: {tuple(i for i, x in enumerate(of) if x == c) for c in set(of)}
+    assert got <= edges and same(classes(got)) == same(classes(edges)) and len(edges) > 100

@@ -50,6 +50,8 @@ MIN_CHARS = 20
 LONG, SHARE = 64, 16
 #: Characters of a gram, and bands and minima of each in a long line's signature.
 GRAM, BANDS, MINIMA = 12, 20, 3
+#: Grams that a core hashes at once.
+_CACHED = 1 << 15
 CROWD = 16
 #: Lines that a partition remembers.
 _SEEN = 1 << 18
@@ -62,6 +64,8 @@ _ROLE, _HELD = np.uint64(2), 1 << 19
 _DOCS, _BUCKETS = 1000, 1 << 13
 #: Lines of a crowded hash that one task compares with as many others.
 BLOCK = 768
+#: Lines of a crowded hash up to which all of its pairs are verified, and rows of such hashes that are compared together.
+_SMALL, _TOGETHER = 128, 8192
 #: Most bits of a gram's hash by which a block counts it, and grams and pairs of lines that it looks at once.
 _SLOTS, _TURN, _MEET = 20, 1 << 18, 1 << 18
 #: Lines that a partition remembers.
@@ -181,15 +185,15 @@ def _banded(a: str, b: str, most: int) -> int:
 
 
 #: Widest band of ``within``, pairs that it takes at once and characters of them in all.
-_BAND, _PAIRS, _CHARS = 255, 1024, 1 << 20
-#: Pairs below which one at a time is faster.
-_FEW = 32
+_BAND, _PAIRS, _CHARS = 255, 4096, 1 << 22
+#: Pairs below which one at a time is faster, and characters of pairs that ``within`` sorts by band and length at once.
+_FEW, _SORTED = 16, 1 << 24
 
 
 def within(pairs: list[tuple[str, str]], most: list[int]) -> np.ndarray:
     """Which pairs are at most so many edits apart: banded bit-parallel columns of many pairs at once."""
     out = np.zeros(len(pairs), bool)
-    left = {}
+    left, chars = {}, 0
     for i, ((a, b), k) in enumerate(zip(pairs, most)):
         if abs(len(a) - len(b)) > k:
             continue
@@ -199,8 +203,18 @@ def within(pairs: list[tuple[str, str]], most: list[int]) -> np.ndarray:
         elif k > _BAND:
             out[i] = edit_distance(a, b, k) <= k
         else:
-            # pairs whose bands take as many words
-            left.setdefault(2 * k >> 6, []).append((len(b), i, a, b))
+            # pairs whose bands take about as many words
+            left.setdefault((2 * k >> 6).bit_length(), []).append((len(b), i, a, b))
+            chars += len(a) + len(b)
+            if chars > _SORTED:
+                _within_sorted(left, most, out)
+                left, chars = {}, 0
+    _within_sorted(left, most, out)
+    return out
+
+
+def _within_sorted(left: dict, most: list[int], out: np.ndarray) -> None:
+    """Sets ``out`` for pairs ``(length, place, a, b)`` by their bands."""
     for group in left.values():
         group.sort(key=lambda x: (x[0], x[1]), reverse=True)
         at = 0
@@ -214,71 +228,85 @@ def within(pairs: list[tuple[str, str]], most: list[int]) -> np.ndarray:
             who = np.array([i for _, i, _, _ in part])
             limit = np.array([most[i] for i in who.tolist()])
             out[who] = _banded_many([a for _, _, a, _ in part], [b for _, _, _, b in part], int(limit.max())) <= limit
-    return out
 
 
-def _codes(texts: list[str], before: int, width: int, blank: int) -> np.ndarray:
+def _codes(texts: list[str], sizes: np.ndarray, before: int, width: int, kind: type, blank: int) -> np.ndarray:
     """Characters of the texts, one row each, ``before`` blanks ahead."""
-    sizes = np.array([len(x) for x in texts])
-    out = np.full((len(texts), width), blank, np.uint32)
-    chars = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
-    row = np.repeat(np.arange(len(texts)), sizes)
-    out[row, np.arange(len(chars)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + before] = chars
+    out = np.full((len(texts), width), blank, kind)
+    at = np.arange(width)
+    inside = (at >= before) & (at < before + sizes[:, None])
+    out[inside] = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
     return out
 
 
 def _banded_many(a: list[str], b: list[str], most: int) -> np.ndarray:
     """``_banded`` of many pairs, the longest ``b`` first; larger distances come out above ``most``.
 
-    A column's bits are in as many words as they need, the lowest first.
+    A column's bits are in as many words as they need, the lowest first. The last diagonal's value is followed to the end of
+    ``b``, beyond the end of ``a`` as if blanks came there; the cells below the end of ``a`` are taken off at last.
     """
     width = 2 * most + 1
     words = (width + 63) // 64
     rows, cols = (np.array([len(x) for x in v]) for v in (a, b))
     far = int(max(rows.max(), cols.max()))
-    first = _codes(a, most, far + width + 1, 0xFFFFFFFF)
-    second = _codes(b, 0, far, 0xFFFFFFFE).T.copy()
-    one, full = np.uint64(1), (1 << 64) - 1
-    masks = [np.uint64(((1 << width) - 1) >> 64 * w & full) for w in range(words)]
-    up = [np.full(len(a), (((1 << width) - 1) >> most << most) >> 64 * w & full, np.uint64) for w in range(words)]
-    down = [np.zeros(len(a), np.uint64) for _ in range(words)]
-    value = np.minimum(rows, most).astype(np.int64)
+    # as few bytes a character as hold all of them and two blanks
+    top = ord(max(map(max, itertools.chain(a, b))))
+    kind = next(x for x in (np.uint8, np.uint16, np.uint32) if top < np.iinfo(x).max - 1)
+    first = _codes(a, rows, most, far + width + 1, kind, np.iinfo(kind).max)
+    second = _codes(b, cols, 0, far, kind, np.iinfo(kind).max - 1).T.copy()
+    one, high = np.uint64(1), np.uint64(63)
+    masks = _word_masks(np.zeros(1, np.int64), np.array([width]), words)
+    last, top_bit = masks[-1, 0], np.uint64(2 * most & 63)
+    ups = np.repeat(_word_masks(np.array([most]), np.array([width]), words), len(a), axis=1)
+    downs, hits = np.zeros_like(ups), np.zeros(len(a), np.uint64)
+    spare = [np.empty_like(ups) for _ in range(4)]
     bits = np.zeros((len(a), 64 * words), bool)
-    top, top_bit = 2 * most >> 6, np.uint64(2 * most & 63)
-    n = len(a)
-    for j in range(1, int(cols[0]) + 1):
-        n = int(np.searchsorted(-cols[:n], -j, "right"))
-        bits[:n, :width] = first[:n, j - 1:j - 1 + width] == second[j - 1, :n, None]
-        packed = np.packbits(bits[:n], axis=1, bitorder="little").view("<u8")
-        levels, mores, lesses = [], [], []
-        carry = np.uint64(0)
-        for w in range(words):
-            same, u, d = packed[:, w], up[w][:n], down[w][:n]
-            met = same & u
-            added = met + u
-            if words > 1:
-                over = added < u
-                added += carry
-                carry = (over | (added < carry)).astype(np.uint64)
-            levels.append(((added ^ u) | same | d) & masks[w])
-            mores.append(d | ~(levels[w] | u) & masks[w])
-            lesses.append(levels[w] & u)
-        left = rows[:n] - j + most
-        last = np.clip(left, 0, 2 * most).astype(np.uint64)
-        if words == 1:
-            more, less = mores[0], lesses[0]
-        else:
-            at = (last >> np.uint64(6)).astype(np.int64)
-            more, less = np.choose(at, mores), np.choose(at, lesses)
-        last &= np.uint64(63)
-        along = ((more >> last & one).astype(np.int64) - (less >> last & one).astype(np.int64))
-        value[:n] += np.where(left >= 2 * most, 1 - (levels[top] >> top_bit & one).astype(np.int64), along)
-        for w in range(words):
-            half = levels[w] >> one
-            if w + 1 < words:
-                half |= levels[w + 1] << np.uint64(63)
-            up[w][:n], down[w][:n] = lesses[w] | ~(half | mores[w]) & masks[w], half & mores[w]
-    return value
+    still = np.searchsorted(-cols, -np.arange(1, int(cols[0]) + 1), "right").tolist()
+    n = 0
+    for j, left in enumerate(still):
+        if left != n:
+            n = left
+            up, down, hit, chosen = ups[:, :n], downs[:, :n], hits[:n], bits[:n, :width]
+            level, more, less, half = (x[:, :n] for x in spare)
+        np.equal(first[:n, j:j + width], second[j, :n, None], out=chosen)
+        same = np.packbits(bits[:n], axis=1, bitorder="little").view("<u8").T
+        np.bitwise_and(same, up, out=level)
+        level += up
+        if words > 1:
+            over = level < up
+            for w in range(1, words):
+                level[w] += over[w - 1]
+                over[w] |= (level[w] == 0) & over[w - 1]
+        level ^= up
+        level |= same
+        level |= down
+        level[-1] &= last
+        np.bitwise_or(level, up, out=more)
+        np.invert(more, out=more)
+        more |= down
+        np.bitwise_and(level, up, out=less)
+        hit += level[-1] >> top_bit & one
+        np.right_shift(level, one, out=half)
+        if words > 1:
+            half[:-1] |= level[1:] << high
+        np.bitwise_and(half, more, out=down)
+        half |= more
+        np.invert(half, out=half)
+        np.bitwise_or(less, half, out=up)
+    below = _word_masks(rows - cols + most, np.full(len(a), 2 * most), words)
+    taken = (np.bitwise_count(ups & below).astype(np.int64) - np.bitwise_count(downs & below)).sum(axis=0)
+    return most + cols - hits.astype(np.int64) - taken
+
+
+def _word_masks(low: np.ndarray, high: np.ndarray, words: int) -> np.ndarray:
+    """Words with the bits from ``low`` up to ``high`` set, a column for each of the ranges."""
+    at = 64 * np.arange(words)[:, None]
+
+    def below(n):
+        n = np.clip(n - at, 0, 64).astype(np.uint64)
+        return np.where(n == 64, ~np.uint64(0), (np.uint64(1) << (n & np.uint64(63))) - np.uint64(1))
+
+    return below(high) & ~below(low)
 
 
 def _common(a: str, b: str) -> int:
@@ -310,18 +338,6 @@ def _eligible(raw: bytes | None, least: int):
                 yield i, line
 
 
-def occurrences(docs: DataFrame, least: int = MIN_CHARS) -> DataFrame:
-    """``(doc_id, line, id, check)`` of every eligible line."""
-
-    def run(batches):
-        for b in pieces(batches):
-            out = [(d, i, *_line_ids(x)) for d, raw in zip(b.column(0).to_pylist(), text_bytes(b.column(1))) for i, x in _eligible(raw, least)]
-            cols = list(zip(*out)) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "line", "id", "check"])
-
-    return _texts(docs).mapInArrow(run, "doc_id long, line long, id long, check long")
-
-
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.where("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
@@ -368,6 +384,20 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
+def _rolled(chars: np.ndarray, size: int) -> np.ndarray:
+    """Polynomial hash of every ``size`` characters: those of 1, 2, 4 and more characters put together."""
+    n = max(len(chars) - size + 1, 0)
+    out, part, width, at = np.zeros(n, np.uint64), chars, 1, 0
+    while True:
+        if size & width:
+            out = out * np.uint64(pow(0x100000001B3, width, 1 << 64)) + part[at:at + n]
+            at += width
+        if at == size:
+            return out
+        part = part[:-width] * np.uint64(pow(0x100000001B3, width, 1 << 64)) + part[width:]
+        width *= 2
+
+
 def _bands(ids: list[int], lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, line id and role of every signature band of the long lines."""
     chosen = [i for i, x in enumerate(lines) if len(x) >= LONG]
@@ -376,9 +406,7 @@ def _bands(ids: list[int], lines: list[str]) -> tuple[np.ndarray, np.ndarray, np
     of = np.array([ids[i] for i in chosen], np.int64)
     sizes = np.array([len(lines[i]) for i in chosen])
     chars = np.frombuffer("".join(lines[i] for i in chosen).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    grams = np.zeros(len(chars) - GRAM + 1, np.uint64)
-    for j in range(GRAM):
-        grams = grams * np.uint64(0x100000001B3) + chars[j:j + len(grams)]
+    grams = _rolled(chars, GRAM)
     # grams that reach into the next line are left out
     starts = np.cumsum(sizes) - sizes
     inside = np.ones(len(chars), bool)
@@ -387,15 +415,23 @@ def _bands(ids: list[int], lines: list[str]) -> tuple[np.ndarray, np.ndarray, np
     grams = (_mixed(grams[inside[:len(grams)]]) >> np.uint64(32)).astype(np.uint32)
     firsts = np.cumsum(sizes - GRAM + 1) - (sizes - GRAM + 1)
     factors = (_mixed(np.arange(1, BANDS * MINIMA + 1, dtype=np.uint64)) | np.uint64(1)).astype(np.uint32)
-    keys, turned, spare = [], np.empty_like(grams), np.empty_like(grams)
-    for band in range(BANDS):
-        key = np.full(len(of), band + 1 << 8, np.uint64)
-        for f in factors[band * MINIMA:(band + 1) * MINIMA]:
-            np.multiply(grams, f, out=turned)
+    # lines of so many grams at once that a core's own cache holds them
+    lows = np.empty((BANDS * MINIMA, len(of)), np.uint32)
+    parts = np.flatnonzero(np.concatenate([[True], np.diff(firsts // _CACHED) > 0, [True]])).tolist()
+    for begin, end in zip(parts, parts[1:]):
+        some = grams[firsts[begin]:firsts[end] if end < len(of) else None]
+        at, turned, spare = firsts[begin:end] - firsts[begin], np.empty_like(some), np.empty_like(some)
+        for f, low in zip(factors, lows):
+            np.multiply(some, f, out=turned)
             np.right_shift(turned, np.uint32(15), out=spare)
             turned ^= spare
             turned *= np.uint32(0x85EBCA6B)
-            key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(turned, firsts))
+            np.minimum.reduceat(turned, at, out=low[begin:end])
+    keys = []
+    for band in range(BANDS):
+        key = np.full(len(of), band + 1 << 8, np.uint64)
+        for low in lows[band * MINIMA:(band + 1) * MINIMA]:
+            key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + low)
         keys.append(key.view(np.int64))
     return np.concatenate(keys), np.tile(of, BANDS), np.full(BANDS * len(of), _SEGMENT | _PROBE, np.int32)
 
@@ -513,20 +549,42 @@ def _bits(ids: DataFrame) -> np.ndarray:
     return out
 
 
-def _wanted(docs: DataFrame, ids: DataFrame, least: int) -> DataFrame:
-    """``(id, text)`` of the lines with the given distinct ``id``; most others are left out before the shuffle."""
+def occurrences(docs: DataFrame, ids: DataFrame, least: int = MIN_CHARS) -> DataFrame:
+    """``(doc_id, line, id, check, text)`` of every eligible line.
+
+    ``text`` is there for lines with the given distinct ``id`` and few others, and not again where a partition has just given it.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(_bits(ids))
 
+    def batch(rows, seen):
+        doc, line, i, check, text = zip(*rows)
+        i = np.array(i, np.int64)
+        low = i & (1 << BITS) - 1
+        told = [None] * len(rows)
+        for at in np.flatnonzero(shared.value[low >> 6] >> (low & 63).astype(np.uint64) & np.uint64(1)).tolist():
+            if rows[at][2] not in seen:
+                if len(seen) >= _SEEN:
+                    seen.clear()
+                seen.add(rows[at][2])
+                told[at] = text[at]
+        cols = [pa.array(c, pa.int64()) for c in (doc, line, i, check)]
+        return pa.RecordBatch.from_arrays([*cols, pa.array(told, pa.string())], ["doc_id", "line", "id", "check", "text"])
+
     def run(batches):
-        bits = shared.value
-        for found, lines in _distinct_lines(batches, least):
-            i = np.array(found, np.int64)
-            low = i & (1 << BITS) - 1
-            maybe = pa.array(bits[low >> 6] >> (low & 63).astype(np.uint64) & np.uint64(1) > 0)
-            yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(lines, pa.string())], ["id", "text"]).filter(maybe)
+        seen: set[int] = set()
+        for b in pieces(batches):
+            rows, size = [], 0
+            for d, raw in zip(b.column(0).to_pylist(), text_bytes(b.column(1))):
+                for i, x in _eligible(raw, least):
+                    rows.append((d, i, *_line_ids(x), x))
+                    size += len(x)
+                if size > _PIECE:
+                    yield batch(rows, seen)
+                    rows, size = [], 0
+            if rows:
+                yield batch(rows, seen)
 
-    every = _texts(docs).select("text").mapInArrow(run, "id long, text string")
-    return every.join(ids, "id", "left_semi").dropDuplicates(["id"])
+    return _texts(docs).mapInArrow(run, "doc_id long, line long, id long, check long, text string")
 
 
 def _neighbours(text: DataFrame) -> DataFrame:
@@ -549,9 +607,7 @@ def _grams(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     """Hash, line and place of every gram of ``size`` characters, in order."""
     sizes = np.array([len(x) for x in lines])
     chars = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    key = np.zeros(max(len(chars) - size + 1, 0), np.uint64)
-    for j in range(size):
-        key = key * np.uint64(0x100000001B3) + chars[j:j + len(key)]
+    key = _rolled(chars, size)
     line = np.repeat(np.arange(len(lines)), sizes)
     place = np.arange(len(chars)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     inside = place + size <= sizes[line]
@@ -670,31 +726,33 @@ def _shared(keys: list[list[int]]) -> np.ndarray:
     return out
 
 
+def _few_alike(lines: list[str], label: np.ndarray, edits: int):
+    """All pairs of places of a few lines, shorter ones first, of different labels and lengths within the distance."""
+    size = np.array([len(x) for x in lines])
+    most = np.where(size >= LONG, np.maximum(edits, size // SHARE), edits)
+    i, j = np.triu_indices(len(lines), 1)
+    near = (label[i] != label[j]) & (size[j] - size[i] <= most[i])
+    yield i[near], j[near]
+
+
 def _block_links(edits: int, least: int):
-    """Spanning links of a block of lines, verified."""
+    """Spanning links of the lines of a block, or of some keys with few lines, verified."""
 
     def run(t: pa.Table) -> pa.Table:
-        ids, lines, sides, others = (t[c].to_pylist() for c in ("id", "text", "side", "before"))
-        label = np.unique(t["label"].to_numpy(), return_inverse=True)[1]
-        order = sorted(range(len(ids)), key=lambda i: (len(lines[i]), ids[i]))
+        ids, lines, others, keys = (t[c].to_pylist() for c in ("id", "text", "before", "key"))
+        order = sorted(range(len(ids)), key=lambda i: (keys[i], len(lines[i]), ids[i]))
         ids, lines, others = ([v[i] for i in order] for v in (ids, lines, others))
-        side = np.array(sides)[order]
+        side, key = t["side"].to_numpy()[order], t["key"].to_numpy()[order]
         most = np.array([allowed(len(x), edits) for x in lines])
-        label = label[order]
-        if label.min() == label.max():
-            return pa.table({"a": pa.nulls(0, pa.int64()), "b": pa.nulls(0, pa.int64())})
-        shared = _shared(others)
+        label = np.unique(t["label"].to_numpy(), return_inverse=True)[1][order]
         a, b = [], []
 
         def link(i, j):
-            """Verify pairs of places that meet here and are not linked yet; the first of a pair is not longer."""
-            i, j = (x[(side[i] != side[j]) | (side[i] == 2)] for x in (i, j))
-            for at in range(0, len(i), _PAIRS):
-                x, y = i[at:at + _PAIRS], j[at:at + _PAIRS]
+            """Verify pairs of places that are not linked yet; the first of a pair is not longer."""
+            for at in range(0, len(i), 4 * _PAIRS):
+                x, y = i[at:at + 4 * _PAIRS], j[at:at + 4 * _PAIRS]
                 new = label[x] != label[y]
                 x, y = x[new], y[new]
-                new = ~(shared[x] & shared[y]).any(axis=1)
-                x, y = x[new], y[new]
                 near = within([(lines[p], lines[q]) for p, q in zip(x.tolist(), y.tolist())], most[x].tolist())
                 for p, q in zip(x[near].tolist(), y[near].tolist()):
                     if label[p] != label[q]:
@@ -703,12 +761,24 @@ def _block_links(edits: int, least: int):
                         b.append(ids[q])
 
         waiting, n = [], 0
-        for pairs in _alike(lines, label, edits, least):
-            waiting.append(pairs)
-            n += len(pairs[0])
-            if n > _PAIRS:
-                link(*(np.concatenate(x) for x in zip(*waiting)))
-                waiting, n = [], 0
+        for begin, size in zip(*(x.tolist() for x in _runs(key))):
+            part = slice(begin, begin + size)
+            if label[part].min() == label[part].max():
+                continue
+            few = size <= _SMALL
+            shared = _shared(others[part])
+            for i, j in _few_alike(lines[part], label[part], edits) if few else _alike(lines[part], label[part], edits, least):
+                # pairs that meet here, under the smallest key that both lines have
+                meet = (side[begin + i] != side[begin + j]) | (side[begin + i] == 2)
+                i, j = i[meet], j[meet]
+                for at in range(0, len(i), _MEET):
+                    x, y = i[at:at + _MEET], j[at:at + _MEET]
+                    new = ~(shared[x] & shared[y]).any(axis=1)
+                    waiting.append((begin + x[new], begin + y[new]))
+                    n += len(waiting[-1][0])
+                if n > (4 * _PAIRS if few else _PAIRS // 4):
+                    link(*(np.concatenate(x) for x in zip(*waiting)))
+                    waiting, n = [], 0
         if waiting:
             link(*(np.concatenate(x) for x in zip(*waiting)))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -719,7 +789,7 @@ def _block_links(edits: int, least: int):
 def _dense_rows(still: DataFrame, text: DataFrame, edits: int, least: int, roots: DataFrame | None = None) -> DataFrame:
     """The lines ``(key, id)`` with their texts, by the groups that compare them: ``key, low, high``.
 
-    A key's lines are one block, or blocks of ``BLOCK`` compared two by two. ``before`` holds the smaller keys of a line:
+    A key's lines are one block, or blocks of ``BLOCK`` compared two by two; ``small`` keys have few lines. ``before`` holds the smaller keys of a line:
     a pair is compared under the smallest that both have. ``roots(node, root)`` are components known: lines of one need no
     comparison, and a key within one gives no rows.
     """
@@ -727,16 +797,17 @@ def _dense_rows(still: DataFrame, text: DataFrame, edits: int, least: int, roots
         known = still.select("key", "id", F.col("id").alias("label"))
     else:
         known = still.join(roots, still.id == roots.node, "left").select("key", "id", F.coalesce("root", "id").alias("label"))
-    sizes = known.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("label").alias("least"), F.max("label").alias("most"))
-    known = known.join(sizes.where("least <> most").select("key", "blocks"), "key")
+    sizes = known.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("least"), F.max("label").alias("most"))
+    sizes = sizes.where("least <> most").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), (F.col("n") <= _SMALL).alias("small"))
+    known = known.join(sizes, "key")
     every = still.groupBy("id").agg(F.collect_set("key").alias("every"))
     before = F.filter("every", lambda k: k < F.col("key")).alias("before")
     rows = known.join(text.join(every, "id"), "id")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    members = rows.select("key", "id", "label", "text", before, own.alias("own"), other)
+    members = rows.select("key", "small", "id", "label", "text", before, own.alias("own"), other)
     return members.select(
-        "key", "id", "label", "text", "before", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        "key", "small", "id", "label", "text", "before", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
     )
 
@@ -746,15 +817,18 @@ def _dense_links(still: DataFrame, text: DataFrame, edits: int, least: int, root
     session = still.sparkSession
     # alike texts compress well: by their size they would be few tasks
     tasks = max(4 * session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
-    rows = _dense_rows(still, text, edits, least, roots).repartition(tasks, "key", "low", "high")
-    return rows.groupBy("key", "low", "high").applyInArrow(_block_links(edits, least), "a long, b long")
+    # keys with few lines are compared together: a pair alone takes far longer than one of many
+    parts = max(session.sparkContext.defaultParallelism, still.count() // _TOGETHER)
+    part = F.when(F.col("small"), F.pmod(F.xxhash64("key"), F.lit(parts))).otherwise(F.col("key"))
+    rows = _dense_rows(still, text, edits, least, roots).withColumn("part", part).repartition(tasks, "part", "low", "high")
+    return rows.groupBy("part", "low", "high").applyInArrow(_block_links(edits, least), "a long, b long")
 
 
 def _verified(pairs: DataFrame, text: DataFrame, edits: int) -> DataFrame:
     """The pairs within the distance."""
 
     def run(batches):
-        for b in pieces(batches, 4096):
+        for b in pieces(batches, 2 * _PAIRS):
             pairs = list(zip(b.column(2).to_pylist(), b.column(3).to_pylist()))
             ok = within(pairs, [allowed(min(len(x), len(y)), edits) for x, y in pairs])
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
@@ -779,28 +853,36 @@ def _met(docs: DataFrame, scratch: Scratch, edits: int, least: int, crowd: int)
     return pairs, crowded
 
 
-def links(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, crowd: int = CROWD) -> DataFrame:
-    """Links ``(a, b)`` between hashes of different lines within the distance; they span every component."""
-    scratch = Scratch(docs.sparkSession)
+def _links(docs: DataFrame, scratch: Scratch, edits: int, least: int, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """The links of ``links``, and ``occurrences``."""
     pairs, crowded = _met(docs, scratch, edits, least, crowd)
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionAll(crowded.select("id")).distinct()
-    text = scratch.table(_wanted(docs, scratch.table(ids), least))
+    ids = scratch.table(ids)
+    # the texts are read once for the lines of all and the texts of some
+    every = scratch.table(occurrences(docs, ids, least))
+    text = every.where("text is not null").select("id", "text").join(ids, "id", "left_semi")
+    text = scratch.table(text.dropDuplicates(["id"]))
     if crowded.isEmpty():
-        return _verified(pairs, text, edits)
+        return _verified(pairs, text, edits), every
     # what the pairs and likely ones of the crowded lines link needs no comparison in a crowded key
     likely = _neighbours(text.join(crowded.select("id").distinct(), "id", "left_semi"))
     roots = scratch.table(components(scratch, _verified(pairs.unionAll(likely).distinct(), text, edits)))
     more = _dense_links(crowded, text, edits, least, roots)
-    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more)
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more), every
+
+
+def links(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, crowd: int = CROWD) -> DataFrame:
+    """Links ``(a, b)`` between hashes of different lines within the distance; they span every component."""
+    return _links(docs, Scratch(docs.sparkSession), edits, least, crowd)[0]
 
 
 def repeats(docs: DataFrame, edits: int = MAX_EDITS, least: int = MIN_CHARS, crowd: int = CROWD) -> DataFrame:
     """``(doc_id, line, first_doc, first_line, linked)`` of every line that an earlier line makes redundant."""
     scratch = Scratch(docs.sparkSession)
-    roots = components(scratch, links(docs, edits, least, crowd))
+    found, every = _links(docs, scratch, edits, least, crowd)
+    roots = components(scratch, found)
     # a component's root has no row of its own there
     roots = roots.unionAll(roots.select(F.col("root").alias("node"), "root").distinct())
-    every = scratch.table(occurrences(docs, least))
     known = every.join(roots, every.id == roots.node, "left").select(
         "doc_id", "line", F.coalesce("root", "id").alias("class"),
         F.when(F.col("root").isNull(), F.col("check")).otherwise(0).alias("check"), F.col("root").isNotNull().alias("linked"),
