@@ -185,9 +185,9 @@ def _banded(a: str, b: str, most: int) -> int:
 
 
 #: Widest band of ``within``, pairs that it takes at once and characters of them in all.
-_BAND, _PAIRS, _CHARS = 255, 4096, 1 << 22
+_BAND, _PAIRS, _CHARS = 255, 4096, 1 << 21
 #: Pairs below which one at a time is faster, and characters of pairs that ``within`` sorts by band and length at once.
-_FEW, _SORTED = 16, 1 << 24
+_FEW, _SORTED = 16, 1 << 22
 
 
 def within(pairs: list[tuple[str, str]], most: list[int]) -> np.ndarray:
@@ -828,7 +828,7 @@ def _verified(pairs: DataFrame, text: DataFrame, edits: int) -> DataFrame:
     """The pairs within the distance."""
 
     def run(batches):
-        for b in pieces(batches, 2 * _PAIRS):
+        for b in pieces(batches, _PAIRS):
             pairs = list(zip(b.column(2).to_pylist(), b.column(3).to_pylist()))
             ok = within(pairs, [allowed(min(len(x), len(y)), edits) for x, y in pairs])
             yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
